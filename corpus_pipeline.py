@@ -7,12 +7,16 @@ return the columns of documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from holdwright.llm import decontaminate, mixing, sharding, simhash
+from holdwright.llm import decontaminate, langid, mixing, sharding, simhash
 from holdwright.llm.common import materialize
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is rejected go: those without a letter, and those far from every centroid."""
+    return langid.keep_known(docs)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the smallest doc_id."""
     return simhash.drop_near_duplicates(docs)
@@ -34,6 +38,7 @@ def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language", language),
     ("near_duplicates", near_duplicates),
     ("decontamination", decontamination),
     ("mixture", mixture),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embed_dedup, mixing, sharding, simhash
+from . import chat, decontaminate, embed_dedup, langid, lm_score, mixing, sharding, simhash, warc, wavelet
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -22,6 +22,18 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = warc.round_trip(_read(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    model = langid.fit(docs, ~langid.held_out())
+    found = langid.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(_read(spark, sf_dir, "embeddings"))
 
@@ -32,11 +44,31 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen.select("doc.doc_id", "epoch", "tokens", *mixing.LEVELS)
 
 
+def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet.round_trip(_read(spark, sf_dir, "documents"), _tokenizer())
+
+
+def _tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = chat.rotate(_read(spark, sf_dir, "conversations"))
+    spans = F.array_join(F.transform("mask", lambda s: F.concat(s["start"].cast("string"), F.lit("-"), s["stop"].cast("string"))), ",")
+    return out.select("conv_id", "perspective", "part", "n_turns", "start", "text", spans.alias("mask"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
