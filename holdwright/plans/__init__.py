@@ -1,0 +1,4 @@
+"""The registered queries over the driver's tables; importing a module registers what it holds."""
+
+from . import analytics  # noqa: F401
+from .binding import oracle_sql, queries  # noqa: F401
