@@ -112,14 +112,18 @@ def tidy(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(t, r"\s+", " "), r"(\s*\(\d{1,2}\))+\s*$", ""))
 
 
-def plain_text(html: Column) -> Column:
-    """Text of HTML: scripts, styles and tags go, the common entities are read, numbers that markup split are joined."""
+def strip_markup(html: Column) -> Column:
+    """Text of HTML: scripts, styles and tags go, the common entities are read, white space is squeezed."""
     t = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>", " ")
     t = F.regexp_replace(t, r"(?s)<[^>]*>", " ")
     for entity, char in (("&nbsp;", " "), ("&#160;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
         t = F.replace(t, F.lit(entity), F.lit(char))
-    t = F.trim(F.regexp_replace(t, r"\s+", " "))
-    return F.regexp_replace(F.regexp_replace(t, r"(\d)\s*\.\s+(\d)", "$1.$2"), r"(\d)\s+%", "$1%")
+    return F.trim(F.regexp_replace(t, r"\s+", " "))
+
+
+def plain_text(html: Column) -> Column:
+    """strip_markup, with numbers and per cent signs that markup split joined again."""
+    return F.regexp_replace(F.regexp_replace(strip_markup(html), r"(\d)\s*\.\s+(\d)", "$1.$2"), r"(\d)\s+%", "$1%")
 
 
 def spread_bucket(x: Column) -> Column:
