@@ -84,7 +84,9 @@ def name_key(c: Column) -> Column:
 
 
 def without_legal_form(c: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(F.trim(c)), LEGAL, ""))
+    """The lower-cased name without its legal form, unless nothing else is left."""
+    bare = F.trim(F.regexp_replace(F.lower(F.trim(c)), LEGAL, ""))
+    return F.when(bare == "", F.lower(F.trim(c))).otherwise(bare)
 
 
 def block_key(c: Column) -> Column:

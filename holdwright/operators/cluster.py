@@ -11,6 +11,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def lcs(a: str, b: str) -> int:
@@ -26,7 +27,7 @@ def lcs(a: str, b: str) -> int:
     return len(a) - row.bit_count()
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([200.0 * lcs(x, y) / (len(x) + len(y)) if x or y else 100.0 for x, y in zip(a, b, strict=True)])
 
@@ -102,6 +103,6 @@ def common_prefixes(names: DataFrame, keys: Sequence[str], name: str, least: int
     """(keys, prefix, n): word-bounded proper prefixes of at least ``least`` letters that several names share."""
     words = F.split(F.col(name), " ")
     d = names.select(*keys, name).distinct().withColumn("__w", words)
-    d = d.filter(F.size("__w") > 1).withColumn("k", F.explode(F.sequence(F.lit(1), F.size("__w") - 1)))
-    d = d.select(*keys, F.array_join(F.slice("__w", 1, F.col("k")), " ").alias("prefix")).filter(F.length("prefix") >= least)
+    d = d.filter(F.size("__w") > 1).withColumn("__k", F.explode(F.sequence(F.lit(1), F.size("__w") - 1)))
+    d = d.select(*keys, F.array_join(F.slice("__w", 1, F.col("__k")), " ").alias("prefix")).filter(F.length("prefix") >= least)
     return d.groupBy(*keys, "prefix").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= names_least)

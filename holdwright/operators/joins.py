@@ -44,9 +44,9 @@ def difference(before: DataFrame, after: DataFrame, keys: Sequence[str], value:
 def prefixes(df: DataFrame, name: str, separator: str = " - ") -> DataFrame:
     """(prefix) for every proper prefix of name that ends before a separator: n rows a name, not n * n pairs."""
     parts = F.split(F.col(name), F.lit(separator.replace("-", "\\-")))
-    upto = F.explode(F.sequence(F.lit(1), F.size("parts") - 1)).alias("k")
-    d = df.select("*", parts.alias("parts")).filter(F.size("parts") > 1).select(*df.columns, "parts", upto)
-    return d.select(*df.columns, F.array_join(F.slice("parts", 1, F.col("k")), separator).alias("prefix"))
+    upto = F.explode(F.sequence(F.lit(1), F.size("__parts") - 1)).alias("__upto")
+    d = df.select("*", parts.alias("__parts")).filter(F.size("__parts") > 1).select(*df.columns, "__parts", upto)
+    return d.select(*df.columns, F.array_join(F.slice("__parts", 1, F.col("__upto")), separator).alias("prefix"))
 
 
 def drop_rollups(df: DataFrame, keys: Sequence[str], name: str, separator: str = " - ") -> DataFrame:

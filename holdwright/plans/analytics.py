@@ -12,7 +12,10 @@ KEYS = ["ticker", "period"]
 TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 WALL = (1999, 2006)
 WALL_LABELS = [f"≤{WALL[0]}", *(str(y) for y in range(WALL[0] + 1, WALL[1])), f"{WALL[1]}+"]
-COMMON = {"fv": F.sum("fv").cast("double"), "n": F.count(F.lit(1))}
+
+
+def common():
+    return {"fv": F.sum("fv").cast("double"), "n": F.count(F.lit(1))}
 
 
 def pct(c="pct"):
@@ -36,7 +39,7 @@ def weighted_rates(spark, sf):
   round(CAST(fv AS DOUBLE) * 100 / CAST(sum(fv) OVER (PARTITION BY ticker, period) AS DOUBLE), 4) AS pct
   FROM (SELECT ticker, period, kind, sum(fv) fv, count(*) n, sum(fv - cost) gain, sum(cost) AS "cost" FROM h GROUP BY 1, 2, 3)""")
 def type_mix(spark, sf):
-    m = COMMON | {"gain": F.sum(F.col("fv") - F.col("cost")).cast("double"), "c": F.sum("cost").cast("double")}
+    m = common() | {"gain": F.sum(F.col("fv") - F.col("cost")).cast("double"), "c": F.sum("cost").cast("double")}
     b = A.breakdown(holdings(spark, sf), KEYS, "kind", m, "fv")
     return b.select(*KEYS, "kind", "fv", "n", "gain", F.round(F.col("gain") * 100 / F.col("c"), 4).alias("gain_pct"), pct())
 
@@ -72,14 +75,14 @@ def _labels(values):
   LEFT JOIN b ON b.ticker = k.ticker AND b.period = k.period AND b.bucket = v.bucket""")
 def age_buckets(spark, sf):
     age = F.datediff("period", "acquired") / 365.25
-    b = holdings(spark, sf).groupBy(*KEYS, text.age_bucket(age).alias("bucket")).agg(*[c.alias(n) for n, c in COMMON.items()])
+    b = holdings(spark, sf).groupBy(*KEYS, text.age_bucket(age).alias("bucket")).agg(*[c.alias(n) for n, c in common().items()])
     return A.zero_filled(b, KEYS, "bucket", vocab.AGE_BUCKETS, ["fv", "n"])
 
 
 @query(HOLDINGS + """SELECT ticker, CASE WHEN matures <= 2000 THEN CAST(matures AS VARCHAR) WHEN matures <= 2002 THEN '2001–2002' WHEN matures > 2012 THEN CAST(matures AS VARCHAR) ELSE '2003+' END AS bucket,
   CAST(sum(fv) AS DOUBLE) fv, count(*) n FROM h GROUP BY 1, 2""")
 def maturity_buckets(spark, sf):
-    return holdings(spark, sf).groupBy("ticker", text.maturity_bucket(F.col("matures"), 2000).alias("bucket")).agg(*[c.alias(n) for n, c in COMMON.items()])
+    return holdings(spark, sf).groupBy("ticker", text.maturity_bucket(F.col("matures"), 2000).alias("bucket")).agg(*[c.alias(n) for n, c in common().items()])
 
 
 @query(HOLDINGS + f""", b AS (SELECT ticker, period, CASE WHEN matures <= {WALL[0]} THEN '≤{WALL[0]}' WHEN matures >= {WALL[1]} THEN '{WALL[1]}+' ELSE CAST(matures AS VARCHAR) END AS bucket,
@@ -90,7 +93,7 @@ def maturity_buckets(spark, sf):
 def maturity_wall(spark, sf):
     h = holdings(spark, sf)
     floating = F.sum(F.when(text.rate_type(text.benchmark(F.col("rate"))) == "Floating", F.col("fv"))).cast("double")
-    m = COMMON | {"cash_rate": F.round(A.weighted_avg(F.col("cash_rate"), F.col("fv")), 6), "floating_pct": F.round(F.coalesce(floating, F.lit(0.0)) * 100 / F.sum("fv").cast("double"), 4)}
+    m = common() | {"cash_rate": F.round(A.weighted_avg(F.col("cash_rate"), F.col("fv")), 6), "floating_pct": F.round(F.coalesce(floating, F.lit(0.0)) * 100 / F.sum("fv").cast("double"), 4)}
     b = h.groupBy(*KEYS, text.wall_bucket(F.col("matures"), *WALL).alias("bucket")).agg(*[c.alias(n) for n, c in m.items()])
     return A.zero_filled(b, KEYS, "bucket", WALL_LABELS, ["fv", "n", "floating_pct"])
 
@@ -99,19 +102,19 @@ def maturity_wall(spark, sf):
   FROM (SELECT ticker, coalesce(rate, 'Not Reported') AS rate, sum(fv) fv, count(*) n FROM h GROUP BY 1, 2)""")
 def rate_mix(spark, sf):
     h = holdings(spark, sf).withColumn("rate", F.coalesce(text.benchmark(F.col("rate")), F.lit("Not Reported")))
-    return A.breakdown(h, ["ticker"], "rate", COMMON, "fv").withColumn("pct", pct())
+    return A.breakdown(h, ["ticker"], "rate", common(), "fv").withColumn("pct", pct())
 
 
 @query(HOLDINGS + """SELECT ticker, CASE WHEN rate IS NULL THEN 'Not Reported' WHEN rate = 'Fixed' THEN 'Fixed' ELSE 'Floating' END AS rate_type, CAST(sum(fv) AS DOUBLE) fv, count(*) n FROM h GROUP BY 1, 2""")
 def rate_type_mix(spark, sf):
-    return holdings(spark, sf).groupBy("ticker", text.rate_type(text.benchmark(F.col("rate"))).alias("rate_type")).agg(*[c.alias(n) for n, c in COMMON.items()])
+    return holdings(spark, sf).groupBy("ticker", text.rate_type(text.benchmark(F.col("rate"))).alias("rate_type")).agg(*[c.alias(n) for n, c in common().items()])
 
 
 @query(HOLDINGS + f""", b AS (SELECT ticker, {_SPREAD} AS bucket, CAST(sum(fv) AS DOUBLE) fv, count(*) n FROM h WHERE spread > 0 GROUP BY 1, 2)
   SELECT k.ticker, v.bucket, coalesce(b.fv, 0) fv, coalesce(b.n, 0) n FROM (SELECT DISTINCT ticker FROM h WHERE spread > 0) k CROSS JOIN {_labels(vocab.SPREAD_BUCKETS)}
   LEFT JOIN b ON b.ticker = k.ticker AND b.bucket = v.bucket""")
 def spread_histogram(spark, sf):
-    b = holdings(spark, sf).filter("spread > 0").groupBy("ticker", text.spread_bucket(F.col("spread")).alias("bucket")).agg(*[c.alias(n) for n, c in COMMON.items()])
+    b = holdings(spark, sf).filter("spread > 0").groupBy("ticker", text.spread_bucket(F.col("spread")).alias("bucket")).agg(*[c.alias(n) for n, c in common().items()])
     return A.zero_filled(b, ["ticker"], "bucket", vocab.SPREAD_BUCKETS, ["fv", "n"])
 
 
