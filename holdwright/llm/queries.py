@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, embed_dedup, langid, lm_score, mixing, sharding, simhash, warc, wavelet
+from . import chat, decontaminate, embed_dedup, langid, lm_score, mixing, oracles, sharding, simhash, warc, wavelet
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -66,7 +66,8 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_score.score(_read(spark, sf_dir, "documents"))
+    found = lm_score.score(_read(spark, sf_dir, "documents"))
+    return found.withColumn("score", F.round("score", 3))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -74,4 +75,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracles.SQL)
