@@ -158,7 +158,8 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
         u, v = tile_links(fp[of == a], fp[of == b], radius)
         return pa.table({"u": u.view(np.int64), "v": v.view(np.int64)})
 
-    return pairs.groupBy("a", "b").applyInArrow(compare, "u long, v long")
+    tasks = sum(hi - lo + 1 for _, _, lo, hi in {(f, n, lo, hi) for f, n, lo, hi in plan})
+    return pairs.repartition(min(max(tasks, 1), 10_000), "a", "b").groupBy("a", "b").applyInArrow(compare, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
@@ -170,7 +171,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ids = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     linked = linked.join(ids, "root").select("fp", "component_id")
     of = types.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    out = prints.join(of, "fp")
+    # Read back, so that the join of a frequent fingerprint is a plain one, which Spark can split.
+    out = prints.join(materialize(of, "fingerprint-components"), "fp")
     return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
