@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .common import materialize
+
 BITS = 14
 DIM = 1 << BITS
 #: Labelled texts a language, on average, that centroids are clustered from; centroids a language.
@@ -32,6 +34,8 @@ SAMPLE, CENTROIDS = 500, 4
 #: A text of a known language shares some common n-gram with a centroid; below a cosine of 0.03 it shares next to none.
 MAX_DISTANCE = 0.97
 UNKNOWN = "und"
+#: Labels, at most, that are broadcast.
+MOST_LANGUAGES = 10_000
 
 
 def ngrams(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -111,7 +115,11 @@ def fit(docs: DataFrame, where: Column | None = None, sample: int = SAMPLE, cent
     idf = np.log((1 + df[DIM]) / (1 + df[:DIM])) + 1e-3
 
     share = taught.groupBy("lang").agg((F.lit(float(sample) * (1 << 30)) / F.count("text")).alias("below"))
-    some = taught.join(share, "lang").filter(F.pmod(F.xxhash64(F.coalesce("id", F.lit(""))), F.lit(1 << 30)) < F.col("below")).select("lang", "id", "text")
+    # A row for each language: few, but counted before they are sent to every task. Texts are sampled where
+    # they are read, so those of a frequent language never come together.
+    share = materialize(share, "languages")
+    few = share.count() <= MOST_LANGUAGES
+    some = taught.join(F.broadcast(share) if few else share, "lang").filter(F.pmod(F.xxhash64(F.coalesce("id", F.lit(""))), F.lit(1 << 30)) < F.col("below")).select("lang", "id", "text")
 
     def learn(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
         t = t.sort_by([("id", "ascending"), ("text", "ascending")])  # whatever order the rows came in
