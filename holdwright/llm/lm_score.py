@@ -5,12 +5,13 @@ times, else alpha * c(w) / N; a document's first word has c(w) / N. Words are ru
 of bytes other than space and \\x09-\\x0D with A-Z lower-cased. A document's score
 is the sum of log S over its words.
 
-The corpus is counted whole: unigrams by a combining aggregate, bigrams from one
-shuffle of the exploded (document, bigram, frequency) rows, dealt by a hash of the
-bigram, which counts a bigram and meets its occurrences with the count at once. Each
-document has a bigram in one row however often it occurs there. Words are XXH64
-hashes, but for the most frequent ones, which have small codes and whose counts are
-broadcast (``CODES`` rows at most), so that they need no join at all.
+The corpus is counted whole. Unigrams, and the bigrams of frequent words, come from
+combining aggregates. The most frequent of each (``CODES`` and ``PAIRS`` at most) go to
+every task, which so scores much of a text on the spot; a bigram that a third of all
+documents hold is made of such words, so no hot one is left. The other bigrams are
+exploded as (document, bigram, frequency) rows, one however often it occurs in the
+document, and shuffled once by a hash of the bigram; there they are counted and meet
+their counts. Frequent words travel as small codes, the rest as XXH64 hashes.
 
 Defined results: null and empty texts have no words and score 0; repeated rows each
 get a row and count in the corpus; an empty table gives no rows.
@@ -31,12 +32,16 @@ from .common import materialize
 
 ALPHA = 0.4
 MIN_COUNT = 2
-#: Words with codes: a fixed bound of what is broadcast, which changes no result.
-CODES = 1 << 17
+#: Words with codes, frequent words whose bigrams are counted beforehand, and the bigrams of
+#: these that go to every task: fixed bounds of what is broadcast, which change no result.
+CODES, FREQUENT, PAIRS = 1 << 18, 1 << 12, 1 << 17
+#: Exploded rows that a task gets, about.
+TASK_ROWS = 4_000_000
 #: Words whose codes a task keeps.
-CACHE_WORDS = 1 << 19
-#: The code before a document's first word.
-START = 0
+CACHE_WORDS = 1 << 18
+#: The code before a document's first word, and that of a row with what a task has scored itself.
+START, SCORED = 0, -1
+MIX = np.int64(0x5851F42D4C957F2D)
 
 
 def word_hash(word: bytes) -> int:
@@ -86,26 +91,97 @@ def unigrams(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return texts.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
 
-def exploded(keyed: DataFrame, hashes: np.ndarray) -> DataFrame:
-    """(key, v, w, tf) for every bigram of every text of keyed (key, text)."""
-    shared = keyed.sparkSession.sparkContext.broadcast(hashes)
+def most_frequent(counts: DataFrame, key: str, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, counts) of those at least as frequent as the lowest power of two that leaves at most ``most`` of them."""
+    size = {r.b: r.c for r in counts.groupBy(F.floor(F.log2("n")).cast("int").alias("b")).agg(F.count("n").alias("c")).collect()}
+    least, held = None, 0
+    for b in sorted(size, reverse=True):
+        held += size[b]
+        if held > most:
+            break
+        least = b
+    if least is None:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    rows = counts.filter(F.col("n") >= 1 << least).select(key, "n").collect()
+    rows.sort(key=lambda r: (-r.n, r[key]))
+    return np.array([r[key] for r in rows], np.int64), np.array([r.n for r in rows], np.int64)
 
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def frequent_pairs(texts: DataFrame, hashes: np.ndarray) -> DataFrame:
+    """(pair, n): counts of the bigrams of the FREQUENT first words of hashes; pair is v * (FREQUENT + 1) + w."""
+    shared = texts.sparkSession.sparkContext.broadcast(hashes[:FREQUENT])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = _Codes(shared.value)
+        keys, counts, fresh = np.empty(0, np.int64), np.empty(0, np.int64), []
+
+        def merged():
+            new, n = np.unique(np.concatenate(fresh), return_counts=True) if fresh else (np.empty(0, np.int64), np.empty(0, np.int64))
+            every, at = np.unique(np.concatenate((keys, new)), return_inverse=True)
+            return every, np.bincount(at, np.concatenate((counts, n)), len(every)).astype(np.int64)
+
+        held = 0
+        for b in batches:
+            for text in b.column(0):
+                words = text.as_py().lower().split()
+                w = np.fromiter(map(codes.__getitem__, words), np.int64, len(words))
+                both = (w[:-1] <= FREQUENT) & (w[1:] <= FREQUENT)
+                fresh.append(w[:-1][both] * (FREQUENT + 1) + w[1:][both])
+                held += len(fresh[-1])
+                if held > 1 << 20:
+                    keys, counts = merged()
+                    fresh, held = [], 0
+                if len(keys) > 1 << 21:
+                    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["pair", "n"])
+                    keys, counts = keys[:0], counts[:0]
+        keys, counts = merged()
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["pair", "n"])
+
+    return texts.mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+
+
+def exploded(keyed: DataFrame, words: tuple[np.ndarray, np.ndarray], pairs: tuple[np.ndarray, np.ndarray], total: int, alpha: float, min_count: int) -> DataFrame:
+    """(key, v, w, tf, part) for the bigrams of keyed (key, text) that a task can't score
+    itself, and for each text a row with v = SCORED, w its words, tf those backed off, part the score so far."""
+    hashes, counts = words
+    order = np.argsort(pairs[0])
+    shared = keyed.sparkSession.sparkContext.broadcast((hashes, np.log(counts), pairs[0][order], pairs[1][order]))
+    log_total, log_alpha = math.log(max(total, 1)), math.log(alpha)
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, log_n, known, known_n = shared.value
+        codes, n_codes = _Codes(hashes), len(hashes)
         for b in batches:
             parts: list[tuple[np.ndarray, ...]] = []
             held = 0
             for key, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                words = text.as_py().lower().split()
-                if not words:
-                    continue
-                w = np.fromiter(map(codes.__getitem__, words), np.int64, len(words))
-                v = np.concatenate(([START], w[:-1]))
-                order = np.lexsort((w, v))
+                found = text.as_py().lower().split()
+                w = np.fromiter(map(codes.__getitem__, found), np.int64, len(found))
+                v = np.concatenate(([START], w[:-1]))[: len(w)]
+                sure = (v == START) & (w <= n_codes)
+                part, backed = float((log_n[w[sure] - 1] - log_total).sum()), 0
+                if len(known):
+                    both = np.flatnonzero((v > START) & (v <= FREQUENT) & (w <= FREQUENT))
+                    pair = v[both] * (FREQUENT + 1) + w[both]
+                    at = np.minimum(np.searchsorted(known, pair), len(known) - 1)
+                    hit = known[at] == pair
+                    both, n = both[hit], known_n[at[hit]]
+                    seen = n >= min_count
+                    part += float((np.log(n[seen]) - log_n[v[both[seen]] - 1]).sum())
+                    part += float((log_alpha + log_n[w[both[~seen]] - 1] - log_total).sum())
+                    backed = int((~seen).sum())
+                    sure[both] = True
+                v, w = v[~sure], w[~sure]
+                # In order of a hash: equal bigrams come together, and one that a collision splits is only two rows.
+                order = np.argsort(v * MIX + w)
                 v, w = v[order], w[order]
-                first = np.flatnonzero(np.concatenate(([True], (v[1:] != v[:-1]) | (w[1:] != w[:-1]))))
-                parts.append((np.full(len(first), key), v[first], w[first], np.diff(np.append(first, len(w)))))
-                held += len(first)
+                first = np.flatnonzero(np.concatenate(([True], (v[1:] != v[:-1]) | (w[1:] != w[:-1])))[: len(v)])
+                tf = np.diff(np.append(first, len(w)))
+                n = len(first) + 1
+                score = np.zeros(n)
+                score[-1] = part
+                parts.append((np.full(n, key), np.append(v[first], SCORED), np.append(w[first], len(found)), np.append(tf, backed), score))
+                held += n
                 if held >= 1 << 18:
                     yield batch(parts)
                     parts, held = [], 0
@@ -113,57 +189,56 @@ def exploded(keyed: DataFrame, hashes: np.ndarray) -> DataFrame:
                 yield batch(parts)
 
     def batch(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], names=["key", "v", "w", "tf"])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], names=["key", "v", "w", "tf", "part"])
 
-    return keyed.mapInArrow(explode, "key long, v long, w long, tf long")
+    return keyed.mapInArrow(explode, "key long, v long, w long, tf long, part double")
 
 
 def score(docs: DataFrame, alpha: float = ALPHA, min_count: int = MIN_COUNT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_words, n_backoff (words scored by the backoff), score."""
+    spark = docs.sparkSession
     uni = materialize(unigrams(docs, text_col), "unigrams")
     total = uni.agg(F.sum("n")).first()[0] or 0
-    top = uni.orderBy(F.desc("n"), "h").limit(CODES).collect()
-    coded = docs.sparkSession.createDataFrame([(i + 1, math.log(r.n)) for i, r in enumerate(top)], "code long, log_n double")
-    hashes = np.array([r.h for r in top], np.int64)
-
+    words = most_frequent(uni, "h", CODES)
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
+    pairs = most_frequent(materialize(frequent_pairs(docs.select(text.alias("text")), words[0]), "frequent-pairs"), "pair", PAIRS)
+    coded = spark.createDataFrame([(i + 1, math.log(n)) for i, n in enumerate(words[1].tolist())], "code long, log_n double")
+
     key = F.xxhash64(F.col(id_col).cast("string"), text)
-    occ = exploded(docs.select(key.alias("key"), text.alias("text")), hashes)
-    c2 = F.sum("tf").over(Window.partitionBy("v", "w"))
-    met = occ.withColumn("c2", c2).withColumn("seen", (F.col("v") != START) & (F.col("c2") >= min_count))
+    occ = exploded(docs.select(key.alias("key"), text.alias("text")), words, pairs, total, alpha, min_count)
+    occ = occ.repartition(max(8, -(-total // TASK_ROWS)), "v", "w")
+    seen = (F.col("v") > START) & (F.col("c2") >= min_count)
+    scored, tf, codes = F.col("v") == SCORED, F.col("tf"), len(words[0])
     # log S is known but for the log count of one word, x: the context's if the bigram is seen, else the word's own.
-    fixed = F.when(F.col("seen"), F.log("c2")).otherwise(F.lit(-math.log(max(total, 1))) + F.when(F.col("v") != START, math.log(alpha)).otherwise(0.0))
-    met = met.select(
-        "key",
-        F.when(F.col("seen"), F.col("v")).otherwise(F.col("w")).alias("x"),
-        F.when(F.col("seen"), -F.col("tf")).otherwise(F.col("tf")).alias("times"),
-        (fixed * F.col("tf")).alias("part"),
-        "tf",
-        F.when(~F.col("seen") & (F.col("v") != START), F.col("tf")).otherwise(0).alias("backoff"),
-    )
-    met = met.join(F.broadcast(coded), met.x == coded.code, "left")
-    known = F.col("code").isNotNull()
-    met = met.select(
-        "key",
-        # A word without a code goes on to be looked up; the rest of a document comes together under a name no word has.
-        F.when(known, -1 - F.shiftrightunsigned("key", 1)).otherwise(F.col("x")).alias("x"),
-        F.when(known, 0).otherwise(F.col("times")).alias("times"),
-        (F.col("part") + F.when(known, F.col("log_n") * F.col("times")).otherwise(0.0)).alias("part"),
-        "tf",
-        "backoff",
-    )
-    met = met.groupBy("key", "x").agg(*[F.sum(c).alias(c) for c in ("times", "part", "tf", "backoff")])
-    met = met.join(uni, met.x == uni.h, "left")
-    per = met.groupBy("key").agg(
-        F.sum(F.col("part") + F.when(F.col("n").isNotNull(), F.log("n") * F.col("times")).otherwise(0.0)).alias("part"),
-        F.sum("tf").alias("n_words"),
-        F.sum("backoff").alias("n_backoff"),
-    )
+    fixed = F.when(seen, F.log("c2")).otherwise(F.lit(-math.log(max(total, 1))) + F.when(F.col("v") > START, math.log(alpha)).otherwise(0.0))
+
+    def counted(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("c2", F.sum("tf").over(Window.partitionBy("v", "w"))).select(
+            "key",
+            F.when(scored, None).when(seen, F.col("v")).otherwise(F.col("w")).alias("x"),
+            F.when(seen, -tf).otherwise(tf).alias("times"),
+            F.when(scored, F.col("part")).otherwise(fixed * tf).alias("part"),
+            # Words in the upper half, words backed off in the lower.
+            F.when(scored, F.shiftleft("w", 32) + tf).when(~seen & (F.col("v") > START), tf).otherwise(0).alias("words"),
+        )
+
+    near = counted(occ).filter(F.col("x").isNull() | (F.col("x") <= codes))
+    near = near.join(F.broadcast(coded), F.col("x") == F.col("code"), "left")
+    near = near.groupBy("key").agg(F.sum(F.col("part") + F.coalesce(F.col("log_n") * F.col("times"), F.lit(0.0))).alias("part"), F.sum("words").alias("words"))
+    # Only bigrams with a word without a code can need the join. The condition is tied to rand(), which is
+    # 0 or more and below 1, so that it stays above the shuffle and both branches read the same one.
+    rare = (~scored & ((F.col("v") > codes) | (F.col("w") > codes))).cast("int") + F.rand(0) >= 1
+    far = counted(occ.filter(rare)).filter(F.col("x") > codes).join(uni, F.col("x") == F.col("h"))
+    far = far.groupBy("key").agg(F.sum(F.col("part") + F.log("n") * F.col("times")).alias("part"), F.sum("words").alias("words"))
+    per = near.unionByName(far).groupBy("key").agg(F.sum("part").alias("part"), F.sum("words").alias("words"))
     named = docs.select(F.col(id_col).alias("id"), key.alias("key"))
     copies = named.groupBy("key").agg(F.count("key").alias("copies"), F.first("id").alias("id"))
     # Rows alike in id and text share a key, so each has its part of their sum.
-    out = copies.join(per, "key", "left").withColumn("each", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    share = lambda c: F.coalesce((F.col(c) / F.col("copies")).cast("long"), F.lit(0))
+    out = copies.join(per, "key").withColumn("each", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    share = lambda c: F.floor(c / F.col("copies")).cast("long")
     return out.select(
-        F.col("id").alias(id_col), share("n_words").alias("n_words"), share("n_backoff").alias("n_backoff"), F.round(F.coalesce(F.col("part") / F.col("copies"), F.lit(0.0)), 6).alias("score")
+        F.col("id").alias(id_col),
+        share(F.shiftrightunsigned("words", 32)).alias("n_words"),
+        share(F.col("words").bitwiseAND(F.lit((1 << 32) - 1))).alias("n_backoff"),
+        F.round(F.col("part") / F.col("copies"), 6).alias("score"),
     )

@@ -35,6 +35,8 @@ def test_documents(spark, sf, monkeypatch):
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
     same(lm_score.score(docs), brute(rows))
     monkeypatch.setattr(lm_score, "CODES", 50)
+    monkeypatch.setattr(lm_score, "FREQUENT", 20)
+    monkeypatch.setattr(lm_score, "PAIRS", 30)
     monkeypatch.setattr(lm_score, "CACHE_WORDS", 500)
     same(lm_score.score(docs), brute(rows))
 
