@@ -12,6 +12,7 @@ alone; repeated rows are documents of their own; an empty table gives no shards.
 
 from __future__ import annotations
 
+import array
 import json
 import os
 import sys
@@ -32,8 +33,10 @@ from .common import materialize, shared_dir
 END_ID = 1
 #: Tokens in a shard, about; a task holds one shard.
 SHARD_TOKENS = 1 << 20
-#: Words whose ids a worker keeps.
-CACHE_WORDS = 600_000
+#: Words whose ids a worker keeps in each of two generations; those used since the last change outlive it.
+CACHE_WORDS = 500_000
+#: A single one of these after a letter of ASCII, at a word's end, is a token of its own.
+STOPS = b".,;:!?"
 BLOCK = 512
 MAGIC = b"WAVELET1"
 
@@ -48,8 +51,9 @@ class WaveletMatrix:
     def build(cls, ids: np.ndarray) -> WaveletMatrix:
         levels = max(int(ids.max()).bit_length(), 1) if len(ids) else 1
         planes, zeros, ranks = [], [], []
+        ids = ids.astype(np.uint16 if levels <= 16 else np.uint32)
         for level in range(levels - 1, -1, -1):
-            bit = (ids >> level & 1).astype(bool)
+            bit = (ids & ids.dtype.type(1 << level)) != 0
             packed = np.packbits(bit, bitorder="little")
             packed = np.pad(packed, (0, -len(packed) % (BLOCK // 8) + BLOCK // 8))
             planes.append(packed.view("<u8"))
@@ -57,7 +61,7 @@ class WaveletMatrix:
             ranks.append(np.concatenate(([0], np.cumsum(per)[:-1])).astype("<u4"))
             zeros.append(int(len(bit) - np.count_nonzero(bit)))
             ids = np.concatenate((ids[~bit], ids[bit]))
-        return cls(sum(map(len, [ids])), planes, zeros, ranks)
+        return cls(len(ids), planes, zeros, ranks)
 
     def _bit(self, level: int, i: np.ndarray) -> np.ndarray:
         return (self.planes[level][i >> 6] >> (i & 63).astype(np.uint64)) & np.uint64(1)
@@ -120,16 +124,16 @@ class WaveletMatrix:
         return at
 
     def decode(self) -> np.ndarray:
-        """All ids, level by level for all positions at once."""
-        at, out = np.arange(self.n, dtype=np.int32), np.zeros(self.n, np.uint32)
-        place = np.arange(self.n, dtype=np.int32)
-        for plane, zeros in zip(self.planes, self.zeros, strict=True):
-            bit = np.unpackbits(plane.view(np.uint8), count=self.n, bitorder="little")
-            ones = np.cumsum(bit, dtype=np.int32)
-            to = np.where(bit, ones + np.int32(zeros - 1), place - ones)
-            out = out << np.uint32(1) | bit[at]
-            at = to[at]
-        return out
+        """All ids: from the last level up, each plane says which of its places its zeros and its ones go back to."""
+        kind = np.uint16 if len(self.planes) <= 16 else np.uint32
+        out = np.zeros(self.n, kind)
+        for k in range(len(self.planes) - 1, -1, -1):
+            bit = np.unpackbits(self.planes[k].view(np.uint8), count=self.n, bitorder="little").view(bool)
+            above = np.empty(self.n, kind)
+            above[~bit] = out[: self.zeros[k]]
+            above[bit] = out[self.zeros[k] :] | kind(1 << (len(self.planes) - 1 - k))
+            out = above
+        return out.astype(np.uint32)
 
 
 def write_shard(ids: np.ndarray, doc_ids: list[int | None], starts: np.ndarray) -> bytes:
@@ -165,54 +169,55 @@ def read_shard(data: bytes) -> tuple[WaveletMatrix, list[int | None], np.ndarray
     return WaveletMatrix(head["n"], planes, head["zeros"], ranks), docs, np.cumsum(np.frombuffer(raw["starts"], "<i8"))
 
 
-def _kept(tokenizer: str) -> dict[bytes, bytes]:
+class _Words(dict):
+    """word -> its ids as bytes. What this generation lacks comes from the older one, or from the tokenizer."""
+
+    def __init__(self, encode: Callable[[str], list[int]], kind: str, older: dict[bytes, bytes]):
+        super().__init__()
+        self.encode, self.kind, self.older = encode, kind, older
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        if ids is None and word[-1] in STOPS and word[-2:-1].isalpha():
+            ids = self[word[:-1]] + self[word[-1:]]
+        elif ids is None:
+            ids = array.array(self.kind, self.encode(word.decode())).tobytes()
+        self[word] = ids
+        return ids
+
+
+def _words(tokenizer: str) -> _Words:
     """The words that this worker process has encoded with a tokenizer; they outlast the task."""
-    state = sys.modules.setdefault("holdwright_worker_state", types.ModuleType("holdwright_worker_state"))
-    return state.__dict__.setdefault(f"words:{tokenizer}", {})
+    state = sys.modules.setdefault("holdwright_worker_state", types.ModuleType("holdwright_worker_state")).__dict__
+    if tokenizer not in state:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        t = Tokenizer.from_file(tokenizer)
+        state[tokenizer] = _Words(lambda x: t.encode(x, add_special_tokens=False).ids, "H" if t.get_vocab_size() <= 1 << 16 else "I", {})
+    kept = state[tokenizer]
+    if len(kept) > CACHE_WORDS:
+        kept.older = {}
+        state[tokenizer] = kept = _Words(kept.encode, kept.kind, kept)
+    return kept
 
 
 def encoder(tokenizer: str, end_id: int = END_ID) -> Callable[[list[bytes]], list[np.ndarray]]:
     """A function from texts (UTF-8) to their ids with the end id.
 
-    The tokenizer drops white space and never looks across it, nor from a letter to the
-    stop or comma after it; so a word is encoded once, by the library, and its ids are
+    The tokenizer drops white space and never looks across it, nor from a letter to a
+    single stop or comma after it; so a word is encoded once, by the library, and its ids are
     kept. Texts that may spell a special token are encoded whole.
     """
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    t = Tokenizer.from_file(tokenizer)
-    kind = "<u2" if t.get_vocab_size() <= 1 << 16 else "<u4"
-    cache, end = _kept(tokenizer), np.array([end_id], "<u4")
-    stops = b".,;:!?"
-
-    def learn(words: set[bytes]) -> None:
-        if len(cache) + len(words) > CACHE_WORDS:
-            cache.clear()
-        stems = {w: w.rstrip(stops) if w.isascii() and w.rstrip(stops).isalpha() else w for w in words}
-        new = sorted({s for s in stems.values()} | {w[len(s) :] for w, s in stems.items() if len(s) < len(w)})
-        new = [x for x in new if x not in cache]
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            for w, e in zip(some, t.encode_batch_fast([x.decode() for x in some], add_special_tokens=False), strict=True):
-                cache[w] = np.array(e.ids, kind).tobytes()
-        for w, s in stems.items():
-            if w not in cache:
-                cache[w] = cache[s] + cache[w[len(s) :]]
-
+    end = np.array([end_id], "<u4")
     def encode(texts: list[bytes]) -> list[np.ndarray]:
-        split = [None if b"<|" in x else x.lower().split() for x in texts]
         out = []
-        for x, words in zip(texts, split, strict=True):
-            if words is None:
-                ids = np.array(t.encode(x.decode(), add_special_tokens=False).ids, "<u4")
+        for x in texts:
+            cache = _words(tokenizer)
+            if b"<|" in x:
+                ids = np.array(cache.encode(x.decode()), "<u4")
             else:
-                try:
-                    ids = np.frombuffer(b"".join(map(cache.__getitem__, words)), kind).astype("<u4")
-                except KeyError:
-                    every = set(words)
-                    learn(every.difference(cache) if len(cache) + len(every) <= CACHE_WORDS else every)
-                    ids = np.frombuffer(b"".join(map(cache.__getitem__, words)), kind).astype("<u4")
+                ids = np.frombuffer(b"".join(map(cache.__getitem__, x.lower().split())), cache.kind).astype("<u4")
             out.append(np.concatenate((ids, end)))
         return out
 
