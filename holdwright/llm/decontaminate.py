@@ -59,7 +59,9 @@ def _candidates(docs: DataFrame, windows: DataFrame, lengths: list[int], hashes:
         hit = F.filter(starts, lambda i: key(i).isin(hashes)) if hashes is not None else starts
         hit = F.when(F.size("w") >= min(fits), hit).otherwise(F.array().cast("array<int>"))
         for n in fits:
-            pieces.append(F.transform(hit, _gram_of(n)))
+            # Near the end of a text the shorter windows fit where the longer ones don't.
+            inside = hit if n == min(fits) else F.filter(hit, lambda i, n=n: i + n - 1 <= F.size("w"))
+            pieces.append(F.transform(inside, _gram_of(n)))
     return docs.withColumn("found", F.concat(*pieces) if len(pieces) > 1 else pieces[0])
 
 
@@ -90,8 +92,8 @@ def contamination(
     clean = seen.filter(F.size("found") == 0).select("id", "n_words")
     place = seen.filter(F.size("found") > 0).select("row", "id", "n_words", F.explode("found").alias("f"))
     place = place.select("row", "id", "n_words", "f.i", F.col("f.n").alias("n"), "f.gram")
-    grams = found.groupBy("gram").agg(F.collect_set("item_id").alias("items"))
-    met = place.join(F.broadcast(grams) if small else grams, "gram", "left").filter("items is not null")
+    grams = found.groupBy("gram", "n").agg(F.collect_set("item_id").alias("items"))
+    met = place.join(F.broadcast(grams) if small else grams, ["gram", "n"], "left").filter("items is not null")
     per = met.groupBy("row").agg(
         F.array_sort(F.collect_set(F.struct("i", "n"))).alias("hits"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),

@@ -67,3 +67,18 @@ def test_odd(spark, monkeypatch):
     assert sorted(r.doc_id or 0 for r in dropped.collect()) == [0, 1, 2, 3]
     cut = {r.doc_id: r.text for r in remove_spans(docs.filter("doc_id in (7, 8, 2)"), bench).collect()}
     assert cut == {7: "and again", 8: "", 2: ""}
+
+
+def test_short_item_at_the_end_of_a_text(spark, monkeypatch):
+    short = "a b c d e"
+    items = [(1, short), (2, " ".join(f"q{k}" for k in range(13))), (3, "a b c d e f g")]
+    rows = [(1, " ".join(f"w{k}" for k in range(195)) + " " + short), (2, short), (3, "x " + short + " f"), (4, "a b c"), (5, short + " f g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = brute(rows, items)
+    assert want[0][2] == 5 and not want[0][-1]
+    for most in (decontaminate.MAX_BROADCAST, 0):
+        monkeypatch.setattr(decontaminate, "MAX_BROADCAST", most)
+        assert got(contamination(docs, bench)) == want
+        assert all(s.stop <= r.n_words for r in contamination(docs, bench).collect() for s in r.spans)
+    assert sorted(r.doc_id for r in drop_contaminated(docs, bench).collect()) == [1, 4]
