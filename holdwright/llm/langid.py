@@ -4,7 +4,14 @@ A text becomes counts of its hashed character bigrams and trigrams, over lower-c
 letters with anything ASCII else as one space. The vector log(1 + tf) * idf is
 normalised and compared by cosine with the centroids; the language of the nearest is
 the prediction, its cosine the score. A text whose distance 1 - cosine from every
-centroid is above ``max_distance`` is rejected.
+centroid is above ``max_distance`` is rejected, and so is one above the distance learned
+for its length: hashed features collide, so a long text of any script or of random
+letters comes nearer to a centroid than a short one.
+
+The learned distances come from the cosines of all labelled texts to their own language,
+by length class: ``SLACK`` of the cosine that ``QUANTILE`` of the texts of the class lie
+below. A class of under ``ENOUGH`` texts takes its neighbours in; where all labelled texts
+are fewer, ``max_distance`` alone holds.
 
 The document frequencies come from all labelled texts. The centroids come from a
 sample of about ``sample`` labelled texts a language, chosen by a hash of the id.
@@ -33,6 +40,10 @@ DIM = 1 << BITS
 SAMPLE, CENTROIDS = 500, 4
 #: A text of a known language shares some common n-gram with a centroid; below a cosine of 0.03 it shares next to none.
 MAX_DISTANCE = 0.97
+#: New texts lie a little further off than those learned from, hence the slack.
+QUANTILE, SLACK, ENOUGH = 0.005, 2 / 3, 200
+#: Length classes (doublings of the number of n-grams) and steps of the cosine that are counted.
+CLASSES, STEPS = 33, 1000
 UNKNOWN = "und"
 #: Labels, at most, that are broadcast.
 MOST_LANGUAGES = 10_000
@@ -55,23 +66,47 @@ def ngrams(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Model:
-    """langs[k] is the language of centroids[k], a unit row."""
+    """langs[k] is the language of centroids[k], a unit row; least[c] the cosine that a text of length class c needs."""
 
     langs: list[str]
     centroids: np.ndarray
     idf: np.ndarray
+    least: np.ndarray
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def cosines(self, text: str | None) -> tuple[np.ndarray, int] | None:
+        """The cosine with each centroid, and the length class; None without a letter or a centroid."""
         if text is None or not self.langs or not any(map(str.isalpha, text)):
-            return UNKNOWN, 0.0
+            return None
         at, n = ngrams(text)
         v = np.log1p(n) * self.idf[at]
         length = np.sqrt((v * v).sum())
-        if not length:
-            return self.langs[0], 0.0
-        cos = self.centroids[:, at] @ (v / length)
+        cos = self.centroids[:, at] @ (v / length) if length else np.zeros(len(self.langs))
+        return cos, min(int(n.sum()).bit_length(), CLASSES - 1)
+
+    def judge(self, text: str | None, max_distance: float = MAX_DISTANCE) -> tuple[str, float, bool]:
+        """Language, score and whether the text is rejected."""
+        found = self.cosines(text)
+        if found is None:
+            return UNKNOWN, 0.0, True
+        cos, size = found
         k = int(cos.argmax())
-        return self.langs[k], float(min(max(cos[k], 0.0), 1.0))
+        score = float(min(max(cos[k], 0.0), 1.0))
+        return self.langs[k], score, score < max(1 - max_distance, self.least[size])
+
+    def predict(self, text: str | None) -> tuple[str, float]:
+        return self.judge(text)[:2]
+
+
+def least_cosines(count: np.ndarray) -> np.ndarray:
+    """For each length class the cosine below which texts are rejected, from counts by class and step of the cosine."""
+    out = np.zeros(CLASSES)
+    for c in range(CLASSES):
+        for d in range(CLASSES):
+            near = count[max(c - d, 0) : c + d + 1].sum(axis=0)
+            if near.sum() >= ENOUGH:
+                out[c] = SLACK * np.searchsorted(near.cumsum(), QUANTILE * near.sum(), "right") / STEPS
+                break
+    return out
 
 
 def cluster(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
@@ -92,8 +127,8 @@ def cluster(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 def fit(docs: DataFrame, where: Column | None = None, sample: int = SAMPLE, centroids: int = CENTROIDS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """The model of docs' labelled texts, those where ``where`` holds.
 
-    Only what has a fixed size reaches the driver: a number for each feature, and the
-    centroids of each language.
+    Only what has a fixed size reaches the driver: a number for each feature, the
+    centroids of each language, and counts by length class and step of the cosine.
     """
     known = F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()
     taught = docs.filter(known if where is None else known & where)
@@ -134,7 +169,27 @@ def fit(docs: DataFrame, where: Column | None = None, sample: int = SAMPLE, cent
 
     found = sorted(some.groupBy("lang").applyInArrow(learn, "lang string, centroid array<float>").collect(), key=lambda r: r.lang)
     c = np.array([r.centroid for r in found], np.float32).reshape(-1, DIM)
-    return Model([r.lang for r in found], c, idf)
+    model = Model([r.lang for r in found], c, idf, np.zeros(CLASSES))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        of = {lang: np.flatnonzero(np.array(m.langs) == lang) for lang in m.langs}
+        count = np.zeros(CLASSES * (STEPS + 1), np.int64)
+        for b in batches:
+            for text, lang in zip(b.column(0), b.column(1), strict=True):
+                rows, got = of.get(lang.as_py()), m.cosines(text.as_py())
+                if rows is not None and got is not None:
+                    count[got[1] * (STEPS + 1) + int(min(max(got[0][rows].max(), 0.0), 1.0) * STEPS)] += 1
+        at = np.flatnonzero(count)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(count[at])], names=["step", "n"])
+
+    count = np.zeros(CLASSES * (STEPS + 1), np.int64)
+    if model.langs:
+        for r in taught.select("text", "lang").mapInArrow(own, "step long, n long").groupBy("step").agg(F.sum("n").alias("n")).collect():
+            count[r.step] = r.n
+    model.least = least_cosines(count.reshape(CLASSES, STEPS + 1))
+    return model
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", max_distance: float = MAX_DISTANCE) -> DataFrame:
@@ -146,9 +201,9 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", max_distance:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in batches:
-            found = [m.predict(text.as_py()) for text in b.column(at)]
-            lang, score = pa.array([x[0] for x in found], pa.string()), np.array([x[1] for x in found], np.float64)
-            new = [lang, pa.array(score), pa.array((score < 1 - max_distance) | np.array([x[0] == UNKNOWN for x in found], bool))]
+            found = [m.judge(text.as_py(), max_distance) for text in b.column(at)]
+            lang, score, far = ([x[k] for x in found] for k in range(3))
+            new = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(far, pa.bool_())]
             yield pa.RecordBatch.from_arrays([*b.columns, *new], names=[*b.schema.names, "lang_pred", "score", "rejected"])
 
     schema = StructType([*docs.schema.fields]).add("lang_pred", "string").add("score", "double").add("rejected", "boolean")

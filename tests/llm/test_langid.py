@@ -1,7 +1,10 @@
+import base64
+import random
 import zlib
 
 import numpy as np
 from llm.odd import no_documents, odd_documents
+from pyspark.sql import functions as F
 
 from holdwright.llm import langid, queries
 
@@ -39,3 +42,21 @@ def test_odd(spark, sf):
     assert langid.predict(odd, langid.fit(no_documents(spark))).filter("lang_pred <> 'und'").count() == 0
     kept = langid.keep_known(odd)
     assert kept.columns == odd.columns and {1, 2, 3, 8}.isdisjoint({r.doc_id for r in kept.collect()})
+
+
+def test_junk_of_any_length_is_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(docs, ~langid.held_out())
+    r = random.Random(5)
+    script = lambda lo, hi, n: " ".join("".join(chr(r.randint(lo, hi)) for _ in range(r.randint(2, 9))) for _ in range(n))
+    junk = {}
+    for n in (20, 100, 500, 2000, 10_000):
+        junk["base64", n] = " ".join(base64.b64encode(r.randbytes(r.randint(4, 9))).decode() for _ in range(n))
+        junk["letters", n] = script(0x61, 0x7A, n)
+        junk["cyrillic", n] = script(0x430, 0x44F, n)
+        junk["cjk", n] = script(0x4E00, 0x9FFF, n)
+    assert [k for k, t in junk.items() if not model.judge(t)[2]] == []
+    rows = langid.predict(docs.filter(langid.held_out() & (~F.col("lang").isNull())), model).collect()
+    assert sum(x.rejected for x in rows) <= 0.01 * len(rows)
+    known = langid.keep_known(docs.unionByName(docs.limit(1).select(F.lit(-1).cast("long").alias("doc_id"), F.lit(junk["cjk", 2000]).alias("text"), F.lit(None).cast("string").alias("lang")), allowMissingColumns=True))
+    assert known.filter("doc_id = -1").count() == 0
