@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from bisect import bisect
+from collections.abc import Iterator, Sequence
+from math import inf
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -36,26 +38,30 @@ def drop_close(df: DataFrame, keys: Sequence[str], value: str, seq: str, ratio:
     """Greedy: in order of seq, a row goes if smaller / larger of its value and a kept row's
     (of its key and lane) is at least ratio. Nearness isn't transitive, so the order decides.
 
-    Rows are first cut where sorted values are further apart than ratio allows: such runs
-    never meet, and a task holds one run of one key.
+    A key's rows come sorted and stream by; only the current key's kept values are held, which
+    are pairwise further apart than ratio allows, so they grow with the logarithm of the values' range.
     """
     by = [*keys, *([lane] if lane else [])]
-    w = Window.partitionBy(*by).orderBy(value, seq)
-    before = F.lag(value).over(w)
-    far = F.coalesce((before <= 0) | (F.col(value) <= 0) | (before < F.col(value) * ratio), F.lit(True))
-    run = F.sum(far.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    cut = df.withColumn("__run", run)
-
-    def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(seq, kind="stable")
-        x = pdf[value].to_numpy(float)
-        kept = np.empty(0)
-        stay = np.ones(len(x), bool)
-        for i, v in enumerate(x):
-            if v > 0 and len(kept) and (np.minimum(kept, v) / np.maximum(kept, v) >= ratio).any():
-                stay[i] = False
-            elif v > 0:
-                kept = np.append(kept, v)
-        return pdf[stay].drop(columns="__run")
-
-    return cut.groupBy(*by, "__run").applyInPandas(greedy, df.schema)
+    names = df.columns
+    places, at, first = [names.index(c) for c in by], names.index(value), [F.col(c) for c in by]
+    dealt = df.repartition(*first).sortWithinPartitions(*first, F.col(seq).asc_nulls_last(), value)
+
+    def greedy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, kept = None, []
+        for b in batches:
+            stay = np.ones(b.num_rows, bool)
+            here = zip(*[b.column(p).to_pylist() for p in places], strict=True) if places else [()] * b.num_rows
+            for i, (k, v) in enumerate(zip(here, b.column(at).to_pylist(), strict=True)):
+                if k != key:
+                    key, kept = k, []
+                if v is None or not 0 < v < inf:  # two infinite values have no ratio
+                    continue
+                v = float(v)
+                j = bisect(kept, v)
+                if (j and kept[j - 1] / v >= ratio) or (j < len(kept) and v / kept[j] >= ratio):
+                    stay[i] = False
+                else:
+                    kept.insert(j, v)
+            yield b.filter(pa.array(stay))
+
+    return dealt.mapInArrow(greedy, df.schema)

@@ -54,6 +54,26 @@ def test_drop_close_is_greedy(spark):
     assert got == want
 
 
+def test_drop_close_streams_a_long_run(spark):
+    """A key whose values have no gaps is never a group or a window of one task."""
+    r = random.Random(4)
+    rows = [(r.choice(["a", "b", None]), i, r.choice([None, 0.0, -2.0, r.lognormvariate(3, 2)])) for i in range(3000)] + [("c", i, 1.0 + i / 9000) for i in range(3000, 9000)]
+    df = spark.createDataFrame(rows, "k string, seq long, v double")
+    out = dedup.drop_close(df, ["k"], "v", "seq", 0.75)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroups" not in plan and "Window" not in plan
+    want, kept = set(), {}
+    for k, i, v in rows:
+        near = kept.setdefault(k, [])
+        if v and v > 0 and any(min(v, x) / max(v, x) >= 0.75 for x in near):
+            continue
+        want.add(i)
+        if v and v > 0:
+            near.append(v)
+    assert {x.seq for x in out.collect()} == want
+    assert out.columns == df.columns
+
+
 def test_keep_best_and_first_then_latest(spark):
     df = spark.createDataFrame([(1, "a", None, 5), (1, "b", "x", 6), (1, "c", "y", 7), (2, None, None, 8)], "k int, a string, b string, seq int")
     assert sorted(x.seq for x in dedup.keep_richest(df, ["k"], ["a", "b"], F.col("seq")).collect()) == [6, 8]
