@@ -40,18 +40,20 @@ def similar_pairs(names: DataFrame, name: str, block: Column, least: float = 88,
     """(a, b, score), a < b, for distinct names of one block with a score of at least ``least``.
 
     The score bounds the lengths' ratio, so names meet only others of their band of
-    lengths or the next ones; the common letters bound it again before the exact score.
+    lengths or the next ones; the letters in common, each as often as in both, bound it again
+    before the exact score. Neither bound loses a pair.
     """
     n = names.select(F.col(name).alias("name"), block.alias("block")).distinct().withColumn("key", sorted_words(F.col("name")))
     ratio = least / (200 - least)  # the shorter is at least this part of the longer
     band = F.floor(F.log(F.greatest(F.length("key"), F.lit(1))) / F.log(F.lit(1 / ratio))).cast("int")
-    letters = lambda c: F.array_sort(F.split(c, ""))
-    n = n.withColumn("band", band).withColumn("bag", letters(F.col("key")))
+    # The k-th of equal letters is marked with k, so that an intersection counts repeats.
+    n = n.withColumn("band", band).withColumn("sorted", F.array_sort(F.split("key", "")))
+    n = n.withColumn("bag", F.transform("sorted", lambda x, i: F.concat(x, (i - F.array_position("sorted", x)).cast("string"))))
     left = n.select("block", F.col("name").alias("a"), F.col("key").alias("ka"), F.col("bag").alias("ba"), F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
     right = n.select("block", "band", F.col("name").alias("b"), F.col("key").alias("kb"), F.col("bag").alias("bb"))
     p = left.join(right, ["block", "band"]).filter("a < b")
-    together = F.size(F.array_intersect("ba", "bb")) / F.greatest(F.size(F.array_union("ba", "bb")), F.lit(1))
-    p = p.filter((F.least(F.length("ka"), F.length("kb")) >= ratio * F.greatest(F.length("ka"), F.length("kb"))) & (together > 0.3))
+    together = 200 * F.size(F.array_intersect("ba", "bb")) >= least * (F.length("ka") + F.length("kb")) - 1e-6
+    p = p.filter((F.least(F.length("ka"), F.length("kb")) >= ratio * F.greatest(F.length("ka"), F.length("kb")) - 1e-6) & together)
     return p.withColumn("score", similarity("ka", "kb")).filter(F.col("score") >= least).select("a", "b", "score")
 
 

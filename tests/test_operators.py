@@ -39,6 +39,15 @@ def test_similar_pairs_and_clusters(spark):
     assert all(len(found[n]) >= len(n) for n in names)
 
 
+def test_similar_pairs_of_repeated_letters(spark):
+    names = ["0000000000000000012", "0000000000000000034", "aaaaaaaaaaaaaaaaaaaab", "aaaaaaaaaaaaaaaaaaaac", "aaaaaaaaaaaaaaaaaaaa", "bbbbbbbbbbbbbbbbbbbb"]
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    want = {(a, b) for a in names for b in names if a < b and 200 * lcs(a, b) / (len(a) + len(b)) >= 88}
+    got = {(x.a, x.b) for x in cluster.similar_pairs(df, "name", F.lit("x")).collect()}
+    assert ("0000000000000000012", "0000000000000000034") in want
+    assert got == want
+
+
 def test_drop_close_is_greedy(spark):
     r = random.Random(3)
     rows = [(r.choice("ab"), i, r.choice([0.0, None, *[float(x) for x in range(10, 200, 7)]])) for i in range(300)]
