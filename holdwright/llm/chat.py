@@ -5,9 +5,10 @@ others are users with names, system turns stay system turns, and the mask covers
 what the assistant says. Turns are in order of ``turn`` (nulls first), then of role
 and text.
 
-A dialogue comes in parts of at most ``PART`` turn numbers each, with their place in
-the whole, so that one of any length is never gathered into one row; nearly every
-dialogue is one part. Defined results: a null role is the participant ``unknown``; a
+A dialogue comes in parts of ``PART`` turn numbers each, with their place in the whole,
+so that a long one of distinct turn numbers is never gathered into one row; nearly every
+dialogue is one part. All rows of one range are one part, and so are those with a null
+turn: where very many repeat a number, that row grows with them. Defined results: a null role is the participant ``unknown``; a
 null text is empty; a null conversation id is a conversation; the control marks'
 opening ``<|`` is written ``< |`` where a text or a name has it; repeated rows are
 turns of their own; a dialogue of system turns alone has no perspective.
