@@ -1,244 +1,227 @@
-"""Stupid-backoff scores of documents under a bigram model of the corpus itself.
-
-S(w | v) is c(v w) / c(v) where the corpus has the bigram at least ``min_count``
-times, else alpha * c(w) / N; a document's first word has c(w) / N. Words are runs
-of bytes other than space and \\x09-\\x0D with A-Z lower-cased. A document's score
-is the sum of log S over its words.
-
-The corpus is counted whole. Unigrams, and the bigrams of frequent words, come from
-combining aggregates. The most frequent of each (``CODES`` and ``PAIRS`` at most) go to
-every task, which so scores much of a text on the spot; a bigram that a third of all
-documents hold is made of such words, so no hot one is left. The other bigrams are
-exploded as (document, bigram, frequency) rows, one however often it occurs in the
-document, and shuffled once by a hash of the bigram; there they are counted and meet
-their counts. Frequent words travel as small codes, the rest as XXH64 hashes.
-
-Defined results: null and empty texts have no words and score 0; repeated rows each
-get a row and count in the corpus; an empty table gives no rows.
+"""Stupid-backoff scores of documents under an n-gram model of a corpus, by default their own.
+
+S(w | u v) is c(u v w) / c(u v) where the corpus has the n-gram at least ``min_count``
+times, else alpha * S(w | v), down to c(w) / N; a word that the corpus lacks counts as
+one. The first words of a document have the context there is. Words are runs of bytes
+other than space and \\x09-\\x0D with A-Z lower-cased; a score is the sum of log S.
+
+Three steps, as relations. The n-grams of all orders are exploded, combined in blocks of
+documents and dealt by hash: a row is what one block has for one part of the hashes. Each
+part adds its rows up to its piece of the count table and joins it to the same rows, so
+every block gets the counts of its n-grams back. There they are looked up for each word
+and summed per document. An n-gram that every document has is one entry a block, so no
+key is hot; blocks and parts have fixed sizes, so tasks don't grow with the input.
+
+N-grams are told apart by 56 bits of a hash within a part, which another hash chooses: two of
+10^10 in one part of 1000 meet with a chance below one in 10^6 for each. Within a block they are
+told apart by their words.
+
+Defined results: null and empty texts have no words and score 0; rows that repeat an id
+or a text are documents of their own, and each counts in the corpus; an empty table gives
+no rows. A task holds the words of BLOCK_WORDS words, or of one document if it has more.
 """
 
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+import zstandard
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
-
 ALPHA = 0.4
-MIN_COUNT = 2
-#: Words with codes, frequent words whose bigrams are counted beforehand, and the bigrams of
-#: these that go to every task: fixed bounds of what is broadcast, which change no result.
-CODES, FREQUENT, PAIRS = 1 << 18, 1 << 12, 1 << 17
-#: Exploded rows that a task gets, about.
-TASK_ROWS = 4_000_000
-#: Words whose codes a task keeps.
-CACHE_WORDS = 1 << 19
-#: The code before a document's first word, and that of a row with what a task has scored itself.
-START, SCORED = 0, -1
-MIX = np.int64(0x5851F42D4C957F2D)
-
-
-def word_hash(word: bytes) -> int:
-    """63 bits, above all codes."""
-    h = xxhash.xxh64_intdigest(word, 0) >> 1
-    return h if h > 1 << 32 else h + (1 << 40)
-
-
-class _Codes(dict):
-    """word -> code, or hash where it has none."""
-
-    def __init__(self, hashes: np.ndarray):
-        super().__init__()
-        self.sorted = np.argsort(hashes)
-        self.hashes = hashes[self.sorted]
-
-    def __missing__(self, word: bytes) -> int:
-        h = word_hash(word)
-        at = int(np.searchsorted(self.hashes, h))
-        code = int(self.sorted[at]) + 1 if at < len(self.hashes) and self.hashes[at] == h else h
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[word] = code
-        return code
-
-
-def unigrams(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(h, n): the words' hashes and counts."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from collections import Counter
-
-        def out(c: Counter) -> pa.RecordBatch:
-            h = np.fromiter(map(word_hash, c), np.int64, len(c))
-            return pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.fromiter(c.values(), np.int64, len(c)))], names=["h", "n"])
-
-        held: Counter = Counter()
-        for b in batches:
-            for text in b.column(0):
-                held.update(text.as_py().lower().split())
-                if len(held) > CACHE_WORDS:
-                    yield out(held)
-                    held.clear()
-        yield out(held)
-
-    texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    return texts.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-
-
-def most_frequent(counts: DataFrame, key: str, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, counts) of those at least as frequent as the lowest power of two that leaves at most ``most`` of them."""
-    size = {r.b: r.c for r in counts.groupBy(F.floor(F.log2("n")).cast("int").alias("b")).agg(F.count("n").alias("c")).collect()}
-    least, held = None, 0
-    for b in sorted(size, reverse=True):
-        held += size[b]
-        if held > most:
-            break
-        least = b
-    if least is None:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    rows = counts.filter(F.col("n") >= 1 << least).select(key, "n").collect()
-    rows.sort(key=lambda r: (-r.n, r[key]))
-    return np.array([r[key] for r in rows], np.int64), np.array([r.n for r in rows], np.int64)
-
-
-def frequent_pairs(texts: DataFrame, hashes: np.ndarray) -> DataFrame:
-    """(pair, n): counts of the bigrams of the FREQUENT first words of hashes; pair is v * (FREQUENT + 1) + w."""
-    shared = texts.sparkSession.sparkContext.broadcast(hashes[:FREQUENT])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = _Codes(shared.value)
-        keys, counts, fresh = np.empty(0, np.int64), np.empty(0, np.int64), []
-
-        def merged():
-            new, n = np.unique(np.concatenate(fresh), return_counts=True) if fresh else (np.empty(0, np.int64), np.empty(0, np.int64))
-            every, at = np.unique(np.concatenate((keys, new)), return_inverse=True)
-            return every, np.bincount(at, np.concatenate((counts, n)), len(every)).astype(np.int64)
-
-        held = 0
-        for b in batches:
-            for text in b.column(0):
-                words = text.as_py().lower().split()
-                w = np.fromiter(map(codes.__getitem__, words), np.int64, len(words))
-                both = (w[:-1] <= FREQUENT) & (w[1:] <= FREQUENT)
-                fresh.append(w[:-1][both] * (FREQUENT + 1) + w[1:][both])
-                held += len(fresh[-1])
-                if held > 1 << 20:
-                    keys, counts = merged()
-                    fresh, held = [], 0
-                if len(keys) > 1 << 21:
-                    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["pair", "n"])
-                    keys, counts = keys[:0], counts[:0]
-        keys, counts = merged()
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["pair", "n"])
-
-    return texts.mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-
-
-def exploded(keyed: DataFrame, words: tuple[np.ndarray, np.ndarray], pairs: tuple[np.ndarray, np.ndarray], total: int, alpha: float, min_count: int) -> DataFrame:
-    """(key, v, w, tf, part) for the bigrams of keyed (key, text) that a task can't score
-    itself, and for each text a row with v = SCORED, w its words, tf those backed off, part the score so far."""
-    hashes, counts = words
-    order = np.argsort(pairs[0])
-    shared = keyed.sparkSession.sparkContext.broadcast((hashes, np.log(counts), pairs[0][order], pairs[1][order]))
-    log_total, log_alpha = math.log(max(total, 1)), math.log(alpha)
-
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, log_n, known, known_n = shared.value
-        codes, n_codes = _Codes(hashes), len(hashes)
-        for b in batches:
-            parts: list[tuple[np.ndarray, ...]] = []
-            held = 0
-            for key, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                found = text.as_py().lower().split()
-                w = np.fromiter(map(codes.__getitem__, found), np.int64, len(found))
-                v = np.concatenate(([START], w[:-1]))[: len(w)]
-                sure = (v == START) & (w <= n_codes)
-                part, backed = float((log_n[w[sure] - 1] - log_total).sum()), 0
-                if len(known):
-                    both = np.flatnonzero((v > START) & (v <= FREQUENT) & (w <= FREQUENT))
-                    pair = v[both] * (FREQUENT + 1) + w[both]
-                    at = np.minimum(np.searchsorted(known, pair), len(known) - 1)
-                    hit = known[at] == pair
-                    both, n = both[hit], known_n[at[hit]]
-                    seen = n >= min_count
-                    part += float((np.log(n[seen]) - log_n[v[both[seen]] - 1]).sum())
-                    part += float((log_alpha + log_n[w[both[~seen]] - 1] - log_total).sum())
-                    backed = int((~seen).sum())
-                    sure[both] = True
-                v, w = v[~sure], w[~sure]
-                # In order of a hash: equal bigrams come together, and one that a collision splits is only two rows.
-                order = np.argsort(v * MIX + w)
-                v, w = v[order], w[order]
-                first = np.flatnonzero(np.concatenate(([True], (v[1:] != v[:-1]) | (w[1:] != w[:-1])))[: len(v)])
-                tf = np.diff(np.append(first, len(w)))
-                n = len(first) + 1
-                score = np.zeros(n)
-                score[-1] = part
-                parts.append((np.full(n, key), np.append(v[first], SCORED), np.append(w[first], len(found)), np.append(tf, backed), score))
-                held += n
-                if held >= 1 << 18:
-                    yield batch(parts)
-                    parts, held = [], 0
-            if parts:
-                yield batch(parts)
-
-    def batch(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], names=["key", "v", "w", "tf", "part"])
-
-    return keyed.mapInArrow(explode, "key long, v long, w long, tf long, part double")
-
-
-def score(docs: DataFrame, alpha: float = ALPHA, min_count: int = MIN_COUNT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, n_words, n_backoff (words scored by the backoff), score."""
-    spark = docs.sparkSession
-    uni = materialize(unigrams(docs, text_col), "unigrams")
-    total = uni.agg(F.sum("n")).first()[0] or 0
-    words = most_frequent(uni, "h", CODES)
-    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    pairs = most_frequent(materialize(frequent_pairs(docs.select(text.alias("text")), words[0]), "frequent-pairs"), "pair", PAIRS)
-    coded = spark.createDataFrame([(i + 1, math.log(n)) for i, n in enumerate(words[1].tolist())], "code long, log_n double")
-
-    key = F.xxhash64(F.col(id_col).cast("string"), text)
-    occ = exploded(docs.select(key.alias("key"), text.alias("text")), words, pairs, total, alpha, min_count)
-    occ = occ.repartition(max(8, -(-total // TASK_ROWS)), "v", "w")
-    seen = (F.col("v") > START) & (F.col("c2") >= min_count)
-    scored, tf, codes = F.col("v") == SCORED, F.col("tf"), len(words[0])
-    # log S is known but for the log count of one word, x: the context's if the bigram is seen, else the word's own.
-    fixed = F.when(seen, F.log("c2")).otherwise(F.lit(-math.log(max(total, 1))) + F.when(F.col("v") > START, math.log(alpha)).otherwise(0.0))
-
-    def counted(rows: DataFrame) -> DataFrame:
-        return rows.withColumn("c2", F.sum("tf").over(Window.partitionBy("v", "w"))).select(
-            "key",
-            F.when(scored, None).when(seen, F.col("v")).otherwise(F.col("w")).alias("x"),
-            F.when(seen, -tf).otherwise(tf).alias("times"),
-            F.when(scored, F.col("part")).otherwise(fixed * tf).alias("part"),
-            # Words in the upper half, words backed off in the lower.
-            F.when(scored, F.shiftleft("w", 32) + tf).when(~seen & (F.col("v") > START), tf).otherwise(0).alias("words"),
-        )
-
-    near = counted(occ).filter(F.col("x").isNull() | (F.col("x") <= codes))
-    near = near.join(F.broadcast(coded), F.col("x") == F.col("code"), "left")
-    near = near.groupBy("key").agg(F.sum(F.col("part") + F.coalesce(F.col("log_n") * F.col("times"), F.lit(0.0))).alias("part"), F.sum("words").alias("words"))
-    # Only bigrams with a word without a code can need the join. The condition is tied to rand(), which is
-    # 0 or more and below 1, so that it stays above the shuffle and both branches read the same one.
-    rare = (~scored & ((F.col("v") > codes) | (F.col("w") > codes))).cast("int") + F.rand(0) >= 1
-    far = counted(occ.filter(rare)).filter(F.col("x") > codes).join(uni, F.col("x") == F.col("h"))
-    far = far.groupBy("key").agg(F.sum(F.col("part") + F.log("n") * F.col("times")).alias("part"), F.sum("words").alias("words"))
-    per = near.unionByName(far).groupBy("key").agg(F.sum("part").alias("part"), F.sum("words").alias("words"))
-    named = docs.select(F.col(id_col).alias("id"), key.alias("key"))
-    copies = named.groupBy("key").agg(F.count("key").alias("copies"), F.first("id").alias("id"))
-    # Rows alike in id and text share a key, so each has its part of their sum.
-    out = copies.join(per, "key").withColumn("each", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    share = lambda c: F.floor(c / F.col("copies")).cast("long")
-    return out.select(
-        F.col("id").alias(id_col),
-        share(F.shiftrightunsigned("words", 32)).alias("n_words"),
-        share(F.col("words").bitwiseAND(F.lit((1 << 32) - 1))).alias("n_backoff"),
-        F.round(F.col("part") / F.col("copies"), 6).alias("score"),
-    )
+ORDER = 3
+MIN_COUNT = 1
+#: Words in a block of documents, about.
+BLOCK_WORDS = 1 << 21
+#: Exploded n-grams in a part of the count table, about.
+PART_GRAMS = 1 << 22
+#: Bits of an n-gram's hash that are kept beside its part.
+BITS = 56
+#: A word's hashes: for n-grams' keys, and for their part.
+DIGEST = np.dtype([("key", "<u8"), ("deal", "<u4")])
+_A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+
+
+def pack(x: np.ndarray) -> bytes:
+    """Unsigned numbers by byte: how many bytes each needs, all lowest bytes, all next ones."""
+    x = np.ascontiguousarray(x, "<u8")
+    k = max(1, (int(x.max()).bit_length() + 7) // 8) if len(x) else 1
+    return zstandard.compress(bytes([k]) + x.view(np.uint8).reshape(-1, 8)[:, :k].T.tobytes(), 1)
+
+
+def unpack(data: bytes) -> np.ndarray:
+    raw = zstandard.decompress(data)
+    planes = np.frombuffer(raw, np.uint8, offset=1).reshape(raw[0], -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, : raw[0]] = planes.T
+    return out.view("<u8").ravel()
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * _B
+    return x ^ (x >> np.uint64(29))
+
+
+class Block:
+    """The words of some documents: words[i] indexes digests (two hashes a word), sizes has each document's number of words."""
+
+    def __init__(self, words: np.ndarray, sizes: np.ndarray, digests: bytes):
+        self.words, self.sizes = words.astype(np.int64), sizes.astype(np.int64)
+        self.digests = np.frombuffer(digests, DIGEST) if digests else np.empty(0, DIGEST)
+        self.place = np.arange(len(words)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
+
+    def grams(self, order: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+        """For n from 1 to order, the n-gram that each word ends: a number among this block's n-grams of all
+        orders, -1 where the document is too short. Then the n-grams' frequencies and their two hashes."""
+        kinds, base = len(self.digests), 0
+        at, times = [self.words], [np.bincount(self.words, minlength=kinds)]
+        keys, deals = [self.digests["key"]], [self.digests["deal"].astype("<u8")]
+        for n in range(2, order + 1):
+            ends = np.flatnonzero(self.place >= n - 1)
+            pair, of, f = np.unique((at[-1][ends - 1] - base) * kinds + self.words[ends], return_inverse=True, return_counts=True)
+            head, tail = np.divmod(pair, max(kinds, 1))
+            keys.append(_mixed(keys[-1][head] * _A + keys[0][tail]))
+            deals.append(_mixed(deals[-1][head] * _A + deals[0][tail]))
+            base += len(times[-1])
+            here = np.full(len(self.words), -1)
+            here[ends] = base + of
+            at.append(here)
+            times.append(f)
+        return at, np.concatenate(times), np.concatenate(keys), np.concatenate(deals)
+
+
+def dealt(keys: np.ndarray, deals: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The n-grams in order of part and hash, their hashes in that order, and where each part begins."""
+    h = keys >> np.uint64(64 - BITS)
+    order = np.argsort(h)
+    part = ((deals[order] & np.uint64(0xFFFFFFFF)) * np.uint64(parts) >> np.uint64(32)).astype(np.uint16 if parts <= 1 << 16 else np.uint32)
+    by = np.argsort(part, kind="stable")
+    return order[by], h[order[by]], np.searchsorted(part[by], np.arange(parts + 1))
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Array, Block]]:
+    """(number, ids, block) of a task's documents (id, text), in their order, so that each pass over them finds the same blocks."""
+    from pyspark import TaskContext
+
+    number = TaskContext.get().partitionId() << 32
+    index: defaultdict = defaultdict(count().__next__)
+    ids: list[pa.Array] = []
+    words: list[np.ndarray] = []
+
+    def close() -> tuple[int, pa.Array, Block]:
+        digests = b"".join([xxhash.xxh3_128_digest(w)[:12] for w in index])
+        return number, pa.concat_arrays(ids), Block(np.concatenate(words), np.array([len(w) for w in words]), digests)
+
+    held = 0
+    for b in batches:
+        begun = 0
+        for i, text in enumerate(b.column(1)):
+            found = text.as_py().lower().split()
+            words.append(np.fromiter(map(index.__getitem__, found), np.int64, len(found)))
+            held += len(found)
+            if held >= BLOCK_WORDS:
+                ids.append(b.column(0).slice(begun, i + 1 - begun))
+                yield close()
+                index, ids, words, held, begun, number = defaultdict(count().__next__), [], [], 0, i + 1, number + 1
+        ids.append(b.column(0).slice(begun))
+    if words:
+        yield close()
+
+
+def exploded(texts: DataFrame, order: int, parts: int, counted: bool = True) -> DataFrame:
+    """(part, block, hashes, times): each block's n-grams by part, of texts (id, text); times is null if they are only asked for."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, _, block in _blocks(batches):
+            _, times, keys, deals = block.grams(order)
+            by, h, begins = dealt(keys, deals, parts)
+            for p in np.flatnonzero(np.diff(begins)).tolist():
+                at = slice(begins[p], begins[p + 1])
+                row = [[p], [number], [pack(np.diff(h[at], prepend=np.uint64(0)))], [pack(times[by[at]]) if counted else None]]
+                kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds, strict=True)], names=["part", "block", "hashes", "times"])
+
+    return texts.mapInArrow(run, "part int, block long, hashes binary, times binary")
+
+
+def counts(rows: DataFrame) -> DataFrame:
+    """(block, part, counts): the count table of each part, joined to the n-grams that blocks have there."""
+
+    def join(t: pa.Table) -> pa.Table:
+        h = [np.cumsum(unpack(x.as_py()), dtype=np.uint64) for x in t.column("hashes")]
+        times = [unpack(x.as_py()) if x.is_valid else np.zeros(len(y)) for x, y in zip(t.column("times"), h, strict=True)]
+        kinds, of = np.unique(np.concatenate(h), return_inverse=True)
+        total = np.bincount(of, np.concatenate(times).astype(float), len(kinds)).astype(np.uint64)[of]
+        ends = np.cumsum([len(x) for x in h])
+        found = [pack(total[z - len(x) : z]) for x, z in zip(h, ends, strict=True)]
+        return pa.table({"block": t.column("block"), "part": t.column("part"), "counts": pa.array(found, pa.binary())})
+
+    return rows.groupBy("part").applyInArrow(join, "block long, part int, counts binary")
+
+
+def _scored(block: Block, c: list[np.ndarray], total: int, alpha: float, min_count: int) -> list[np.ndarray]:
+    """n_backoff, n_single and score by document. c[n - 1]: the count of the n-gram that each word ends, 0 where there is none."""
+    full = np.minimum(block.place + 1, len(c))
+    scores, backed = np.zeros(len(full)), np.zeros(len(full), bool)
+    single, left = np.zeros(len(full), bool), np.ones(len(full), bool)
+    for n in range(len(c), 0, -1):
+        single |= (full == n) & (c[n - 1] == 1)
+        now = left & (full >= n) & ((c[n - 1] >= min_count) if n > 1 else True)
+        i = np.flatnonzero(now)
+        under = np.log(np.maximum(c[n - 2][i - 1], 1)) if n > 1 else math.log(max(total, 1))
+        scores[i] = np.log(np.maximum(c[n - 1][i], 1)) - under + (full[i] - n) * math.log(alpha)
+        backed[i] = full[i] > n
+        left &= ~now
+    of, n = np.repeat(np.arange(len(block.sizes)), block.sizes), len(block.sizes)
+    return [np.bincount(of, backed, n).astype(np.int64), np.bincount(of, single, n).astype(np.int64), np.bincount(of, scores, n).astype(float)]
+
+
+def score(
+    docs: DataFrame, corpus: DataFrame | None = None, order: int = ORDER, alpha: float = ALPHA, min_count: int = MIN_COUNT, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row per document: id, n_words, n_backoff (words scored by a shorter n-gram than there was
+    room for), n_single (words whose longest n-gram the corpus has once), score.
+
+    corpus: the table that the model is of, with the same text column; None: docs.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    words = lambda d: d.agg(F.sum(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")))).first()[0] or 0
+    total = words(docs if corpus is None else corpus)
+    parts = max(1, -(-order * (total if corpus is None else total + words(docs)) // PART_GRAMS))
+    own = docs.select(F.col(id_col).alias("id"), text.cast("binary").alias("text"))
+    rows = exploded(own, order, parts, corpus is None)
+    if corpus is not None:
+        known = exploded(corpus.select(F.lit(0).alias("id"), text.cast("binary").alias("text")), order, parts)
+        rows = rows.unionByName(known.withColumn("block", F.lit(-1).cast("long")))
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, ids, block in _blocks(batches):
+            packed = [pa.array([x], pa.binary()) for x in (pack(block.words), pack(block.sizes), block.digests.tobytes())]
+            row = [pa.array([number]), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), *packed]
+            yield pa.RecordBatch.from_arrays(row, names=["block", "ids", "words", "sizes", "digests"])
+
+    laid = own.mapInArrow(lay, f"block long, ids array<{kind}>, words binary, sizes binary, digests binary").withColumn("part", F.lit(-1))
+
+    def finish(t: pa.Table) -> pa.Table:
+        part = t.column("part").to_numpy()
+        rows = np.argsort(part).tolist()  # the block itself, then its parts
+        me = {c: t.column(c)[rows[0]] for c in ("ids", "words", "sizes", "digests")}
+        block = Block(unpack(me["words"].as_py()), unpack(me["sizes"].as_py()), me["digests"].as_py())
+        at, _, keys, deals = block.grams(order)
+        n = np.zeros(len(keys) + 1, np.int64)  # the last is for words without an n-gram
+        if len(keys):
+            found = t.column("counts")
+            n[dealt(keys, deals, parts)[0]] = np.concatenate([unpack(found[r].as_py()) for r in rows[1:]])
+        backed, single, sums = _scored(block, [n[x] for x in at], total, alpha, min_count)
+        return pa.table([me["ids"].values, block.sizes, backed, single, np.round(sums, 6)], names=[id_col, "n_words", "n_backoff", "n_single", "score"])
+
+    both = laid.unionByName(counts(rows).filter("block >= 0"), allowMissingColumns=True)
+    return both.groupBy("block").applyInArrow(finish, f"{id_col} {kind}, n_words long, n_backoff long, n_single long, score double")

@@ -12,17 +12,20 @@ alone; repeated rows are documents of their own; an empty table gives no shards.
 
 from __future__ import annotations
 
-import array
 import json
 import os
+import re
 import sys
 import types
 import uuid
 import zlib
+from collections import defaultdict
 from collections.abc import Callable, Iterator
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -35,8 +38,17 @@ END_ID = 1
 SHARD_TOKENS = 1 << 20
 #: Words whose ids a worker keeps in each of two generations; those used since the last change outlive it.
 CACHE_WORDS = 500_000
-#: A single one of these after a letter of ASCII, at a word's end, is a token of its own.
-STOPS = b".,;:!?"
+#: Bytes of text that are encoded together, about.
+ENCODE_BYTES = 1 << 22
+#: Between words that are encoded together: a piece of its own, and one token.
+MARK = b"\x01"
+WORD_END = "</w>"
+#: Words of printable ASCII and of small letters of Latin-1, which normalization leaves alone, in UTF-8.
+PLAIN = re.compile(rb"(?:[\x21-\x7E]|\xC3[\x9F-\xB6\xB8-\xBF])+")
+#: The pieces that the tokenizer cuts such a word into: its own pattern, where these are all letters and digits.
+PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|(?:[a-z]|\xC3[\x9F-\xB6\xB8-\xBF])+|[0-9]|[\x21-\x2F\x3A-\x60\x7B-\x7E]+")
+#: What the tokenizer's settings hold if these pieces are its own.
+BY_WORD = [json.dumps(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"), '"Lowercase"', '"Removed"', '"ByteLevel"', f'"{WORD_END}"']
 BLOCK = 512
 MAGIC = b"WAVELET1"
 
@@ -169,56 +181,104 @@ def read_shard(data: bytes) -> tuple[WaveletMatrix, list[int | None], np.ndarray
     return WaveletMatrix(head["n"], planes, head["zeros"], ranks), docs, np.cumsum(np.frombuffer(raw["starts"], "<i8"))
 
 
-class _Words(dict):
-    """word -> its ids as bytes. What this generation lacks comes from the older one, or from the tokenizer."""
-
-    def __init__(self, encode: Callable[[str], list[int]], kind: str, older: dict[bytes, bytes]):
-        super().__init__()
-        self.encode, self.kind, self.older = encode, kind, older
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.older.get(word)
-        if ids is None and word[-1] in STOPS and word[-2:-1].isalpha():
-            ids = self[word[:-1]] + self[word[-1:]]
-        elif ids is None:
-            ids = array.array(self.kind, self.encode(word.decode())).tobytes()
-        self[word] = ids
-        return ids
+class WordIds:
+    """word -> its ids as bytes, by a tokenizer that drops white space and never looks across it.
 
+    Words that are not known yet are encoded by the library, many at once. Words of plain letters are cut
+    into the tokenizer's pieces beforehand, which leaves the library its merges alone; a piece's ids
+    reach to the next word end of the vocabulary. Other words go through the whole tokenizer with a mark
+    between them. Known words are kept in two generations; those used since the last change outlive it.
+    """
 
-def _words(tokenizer: str) -> _Words:
-    """The words that this worker process has encoded with a tokenizer; they outlast the task."""
+    def __init__(self, tokenizer):
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.full, told = tokenizer, json.loads(tokenizer.to_str())
+        shape = json.dumps([told["normalizer"], told["pre_tokenizer"], told["model"].get("end_of_word_suffix")])
+        self.by_word = told["model"]["type"] == "BPE" and all(x in shape for x in BY_WORD)
+        self.plain = Tokenizer(tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = tokenizer.get_vocab()
+        self.kind = np.dtype(np.uint16 if max(vocabulary.values()) < 1 << 16 else np.uint32)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for w, i in vocabulary.items() if w.endswith(WORD_END)]] = True
+        self.now: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def encoded(self, text: bytes, plain: bool = False) -> np.ndarray:
+        t = self.plain if plain else self.full
+        return np.array(t.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids, self.kind)
+
+    def _keep(self, words: list[bytes], ids: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> None:
+        raw, size = ids.tobytes(), self.kind.itemsize
+        self.now.update(zip(words, [raw[a:z] for a, z in zip((starts * size).tolist(), (stops * size).tolist(), strict=True)], strict=True))
+
+    def learn(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word, which now holds afterwards."""
+        if len(self.now) > CACHE_WORDS:
+            self.now, self.older = {}, self.now
+        now, older = self.now, self.older
+        found = list(map(now.get, words))
+        cut: list[tuple[bytes, list[bytes]]] = []
+        marked, pieces = [], []
+        for w in [w for w, ids in zip(words, found, strict=True) if ids is None]:
+            if (ids := older.get(w)) is not None:
+                now[w] = ids
+            elif w.isalpha():
+                pieces.append(w)
+            elif PLAIN.fullmatch(w):
+                cut.append((w, PIECES.findall(w)))
+            elif MARK in w:
+                now[w] = self.encoded(w).tobytes()
+            else:
+                marked.append(w)
+        if marked:
+            ids, mark = self.encoded((b" " + MARK + b" ").join(marked)), self.encoded(MARK)
+            at = np.flatnonzero(ids == mark[0])
+            self._keep(marked, ids, np.concatenate(([0], at + 1)), np.append(at, len(ids)))
+        pieces = [w for w in dict.fromkeys(chain(pieces, *[p for _, p in cut])) if w not in now]
+        if pieces:
+            ids = self.encoded(b" ".join(pieces), True)
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            self._keep(pieces, ids, np.concatenate(([0], stops[:-1])), stops)
+        now.update([(w, b"".join([now[x] for x in p])) for w, p in cut])
+        return [ids if ids is not None else now[w] for w, ids in zip(words, found, strict=True)]
+
+
+def _known(tokenizer: str) -> WordIds:
+    """What this worker process knows of a tokenizer; it outlasts the task."""
     state = sys.modules.setdefault("holdwright_worker_state", types.ModuleType("holdwright_worker_state")).__dict__
     if tokenizer not in state:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        t = Tokenizer.from_file(tokenizer)
-        state[tokenizer] = _Words(lambda x: t.encode(x, add_special_tokens=False).ids, "H" if t.get_vocab_size() <= 1 << 16 else "I", {})
-    kept = state[tokenizer]
-    if len(kept) > CACHE_WORDS:
-        kept.older = {}
-        state[tokenizer] = kept = _Words(kept.encode, kept.kind, kept)
-    return kept
+        state[tokenizer] = WordIds(Tokenizer.from_file(tokenizer))
+    return state[tokenizer]
 
 
-def encoder(tokenizer: str, end_id: int = END_ID) -> Callable[[list[bytes]], list[np.ndarray]]:
-    """A function from texts (UTF-8) to their ids with the end id.
+def encoder(tokenizer: str, end_id: int = END_ID) -> Callable[[pa.Array], list[np.ndarray]]:
+    """A function from texts to their ids with the end id.
 
-    The tokenizer drops white space and never looks across it, nor from a letter to a
-    single stop or comma after it; so a word is encoded once, by the library, and its ids are
-    kept. Texts that may spell a special token are encoded whole.
+    Where the tokenizer is seen to work by words, a word is encoded once and its ids are kept.
+    Other tokenizers, and texts that may spell a special token, encode whole texts.
     """
-    end = np.array([end_id], "<u4")
-    def encode(texts: list[bytes]) -> list[np.ndarray]:
+
+    def encode(texts: pa.Array) -> list[np.ndarray]:
+        words = _known(tokenizer)
+        whole = pc.match_substring(texts, "<|") if words.by_word else pa.repeat(True, len(texts))
+        split = pc.ascii_split_whitespace(pc.ascii_lower(pc.if_else(whole, "", texts)))
+        index = split.flatten().dictionary_encode()
+        found = index.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        ids = words.learn(found)
+        offsets = np.cumsum([0, *map(len, ids)]) // words.kind.itemsize
+        ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(ids), words.kind)))
+        taken = ids.take(index.indices)
+        flat, ends = taken.flatten().to_numpy(), taken.offsets.to_numpy()
+        ends = (ends - ends[0])[split.offsets.to_numpy() - split.offsets[0].as_py()].tolist()
         out = []
-        for x in texts:
-            cache = _words(tokenizer)
-            if b"<|" in x:
-                ids = np.array(cache.encode(x.decode()), "<u4")
-            else:
-                ids = np.frombuffer(b"".join(map(cache.__getitem__, x.lower().split())), cache.kind).astype("<u4")
-            out.append(np.concatenate((ids, end)))
+        for k, special in enumerate(whole.to_pylist()):
+            got = words.encoded(texts[k].as_py().encode()) if special else flat[ends[k] : ends[k + 1]]
+            out.append(np.append(got.astype("<u4"), np.uint32(end_id)))
         return out
 
     return encode
@@ -226,7 +286,7 @@ def encoder(tokenizer: str, end_id: int = END_ID) -> Callable[[list[bytes]], lis
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, shard_tokens: int = SHARD_TOKENS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Shards under path; returns (part, seq, path, docs, tokens), a row for every complete file, in order of (part, seq)."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,9 +313,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, shard_tokens: int =
             return out
 
         for b in batches:
-            for at in range(0, b.num_rows, 64):
-                some = b.slice(at, 64)
-                for name, x in zip(some.column(0).to_pylist(), encode(some.column(1).to_pylist()), strict=True):
+            step = max(1, ENCODE_BYTES * b.num_rows // max(b.nbytes, 1))
+            for at in range(0, b.num_rows, step):
+                some = b.slice(at, step)
+                for name, x in zip(some.column(0).to_pylist(), encode(some.column(1)), strict=True):
                     ids.append(x)
                     names.append(name)
                     held += len(x)

@@ -2,46 +2,74 @@ import math
 import re
 from collections import Counter
 
+import pytest
 from llm.odd import no_documents, odd_documents
 
 from holdwright.llm import lm_score
 
 
-def brute(rows, alpha=0.4, min_count=2):
-    texts = [[w for w in re.split(rb"[\x20\x09-\x0D]+", (t or "").encode().lower()) if w] for _, t in rows]
-    c1 = Counter(w for t in texts for w in t)
-    c2 = Counter(p for t in texts for p in zip(t, t[1:], strict=False))
-    n = sum(c1.values())
+def words(text):
+    return [w for w in re.split(rb"[\x20\x09-\x0D]+", (text or "").encode().lower()) if w]
+
+
+def brute(rows, corpus=None, order=3, alpha=0.4, min_count=1):
+    c = Counter()
+    for text in [t for _, t in rows] if corpus is None else corpus:
+        w = words(text)
+        c.update(tuple(w[i : i + n]) for n in range(1, order + 1) for i in range(len(w) - n + 1))
+    total = sum(k for g, k in c.items() if len(g) == 1)
     out = []
-    for (i, _), t in zip(rows, texts, strict=True):
-        s, b = (math.log(c1[t[0]] / n) if t else 0.0), 0
-        for v, w in zip(t, t[1:], strict=False):
-            if c2[v, w] >= min_count:
-                s += math.log(c2[v, w] / c1[v])
-            else:
-                s, b = s + math.log(alpha * c1[w] / n), b + 1
-        out.append((i, len(t), b, s))
-    return sorted(out, key=lambda r: (str(r[0]), r[3]))
+    for i, text in rows:
+        w, s, backed, single = words(text), 0.0, 0, 0
+        for z in range(1, len(w) + 1):
+            full = min(z, order)
+            single += c[tuple(w[z - full : z])] == 1
+            for n in range(full, 0, -1):
+                g = tuple(w[z - n : z])
+                if n == 1 or c[g] >= min_count:
+                    s += math.log(max(c[g], 1) / (c[g[:-1]] if n > 1 else max(total, 1))) + (full - n) * math.log(alpha)
+                    backed += n < full
+                    break
+        out.append((i, len(w), backed, single, s))
+    return sorted(out, key=lambda r: (str(r[0]), r[4]))
 
 
 def same(df, want):
-    got = sorted(((r.doc_id, r.n_words, r.n_backoff, r.score) for r in df.collect()), key=lambda r: (str(r[0]), r[3]))
-    assert [g[:3] for g in got] == [w[:3] for w in want]
-    assert all(abs(g[3] - w[3]) < 1e-5 * max(1, abs(w[3])) for g, w in zip(got, want, strict=True))
+    got = sorted(((r.doc_id, r.n_words, r.n_backoff, r.n_single, r.score) for r in df.collect()), key=lambda r: (str(r[0]), r[4]))
+    assert [g[:4] for g in got] == [w[:4] for w in want]
+    assert all(abs(g[4] - w[4]) < 1e-5 * max(1, abs(w[4])) for g, w in zip(got, want, strict=True))
+
+
+def rows_of(df):
+    return [tuple(r) for r in df.select("doc_id", "text").collect()]
+
+
+@pytest.mark.parametrize(("order", "min_count"), [(3, 1), (3, 2), (1, 1), (2, 2), (4, 3)])
+def test_documents(spark, sf, order, min_count):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    same(lm_score.score(docs, order=order, min_count=min_count), brute(rows_of(docs), order=order, min_count=min_count))
+
+
+def test_many_blocks_and_parts(spark, sf, monkeypatch):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").repartition(3, "doc_id")
+    monkeypatch.setattr(lm_score, "BLOCK_WORDS", 3000)
+    monkeypatch.setattr(lm_score, "PART_GRAMS", 20_000)
+    same(lm_score.score(docs), brute(rows_of(docs)))
 
 
-def test_documents(spark, sf, monkeypatch):
+def test_model_of_another_corpus(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
-    same(lm_score.score(docs), brute(rows))
-    monkeypatch.setattr(lm_score, "CODES", 50)
-    monkeypatch.setattr(lm_score, "FREQUENT", 20)
-    monkeypatch.setattr(lm_score, "PAIRS", 30)
-    monkeypatch.setattr(lm_score, "CACHE_WORDS", 500)
-    same(lm_score.score(docs), brute(rows))
+    some, rest = docs.filter("doc_id % 3 = 0"), docs.filter("doc_id % 3 <> 0")
+    want = brute(rows_of(some), [t for _, t in rows_of(rest)])
+    assert sum(w[2] for w in want) > 1000
+    same(lm_score.score(some, rest), want)
+    same(lm_score.score(some, no_documents(spark)), brute(rows_of(some), []))
 
 
 def test_odd(spark):
     docs = odd_documents(spark)
-    same(lm_score.score(docs), brute([tuple(r) for r in docs.select("doc_id", "text").collect()]))
+    same(lm_score.score(docs), brute(rows_of(docs)))
+    two = spark.createDataFrame([(5, "a b c"), (5, "d e"), (5, "a b c"), (2, "a b c")], "doc_id long, text string")
+    same(lm_score.score(two), brute(rows_of(two)))
+    same(lm_score.score(two.selectExpr("cast(doc_id as string) doc_id", "text")), brute([(str(i), t) for i, t in rows_of(two)]))
     assert lm_score.score(no_documents(spark)).count() == 0
