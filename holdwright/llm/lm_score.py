@@ -39,9 +39,9 @@ ALPHA = 0.4
 ORDER = 3
 MIN_COUNT = 1
 #: Words in a block of documents, about.
-BLOCK_WORDS = 1 << 21
+BLOCK_WORDS = 3 << 19
 #: Exploded n-grams in a part of the count table, about.
-PART_GRAMS = 1 << 22
+PART_GRAMS = 1 << 21
 #: Bits of an n-gram's hash that are kept beside its part.
 BITS = 56
 #: A word's hashes: for n-grams' keys, and for their part.
@@ -73,37 +73,38 @@ class Block:
     """The words of some documents: words[i] indexes digests (two hashes a word), sizes has each document's number of words."""
 
     def __init__(self, words: np.ndarray, sizes: np.ndarray, digests: bytes):
-        self.words, self.sizes = words.astype(np.int64), sizes.astype(np.int64)
+        self.words, self.sizes = words.astype(np.int32), sizes.astype(np.int64)
         self.digests = np.frombuffer(digests, DIGEST) if digests else np.empty(0, DIGEST)
-        self.place = np.arange(len(words)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
+        self.place = np.arange(len(words), dtype=np.int32) - np.repeat((np.cumsum(self.sizes) - self.sizes).astype(np.int32), self.sizes)
 
     def grams(self, order: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
         """For n from 1 to order, the n-gram that each word ends: a number among this block's n-grams of all
         orders, -1 where the document is too short. Then the n-grams' frequencies and their two hashes."""
         kinds, base = len(self.digests), 0
-        at, times = [self.words], [np.bincount(self.words, minlength=kinds)]
+        at, times = [self.words], [np.bincount(self.words, minlength=kinds).astype(np.int32)]
         keys, deals = [self.digests["key"]], [self.digests["deal"].astype("<u8")]
         for n in range(2, order + 1):
             ends = np.flatnonzero(self.place >= n - 1)
-            pair, of, f = np.unique((at[-1][ends - 1] - base) * kinds + self.words[ends], return_inverse=True, return_counts=True)
+            pair = (at[-1][ends - 1].astype(np.int64) - base) * kinds + self.words[ends]
+            pair, of, f = np.unique(pair, return_inverse=True, return_counts=True)
             head, tail = np.divmod(pair, max(kinds, 1))
             keys.append(_mixed(keys[-1][head] * _A + keys[0][tail]))
             deals.append(_mixed(deals[-1][head] * _A + deals[0][tail]))
             base += len(times[-1])
-            here = np.full(len(self.words), -1)
+            here = np.full(len(self.words), -1, np.int32)
             here[ends] = base + of
             at.append(here)
-            times.append(f)
-        return at, np.concatenate(times), np.concatenate(keys), np.concatenate(deals)
+            times.append(f.astype(np.int32))
+        return at, np.concatenate(times), np.concatenate(keys), np.concatenate([d.astype("<u4") for d in deals])
 
 
 def dealt(keys: np.ndarray, deals: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The n-grams in order of part and hash, their hashes in that order, and where each part begins."""
     h = keys >> np.uint64(64 - BITS)
-    order = np.argsort(h)
-    part = ((deals[order] & np.uint64(0xFFFFFFFF)) * np.uint64(parts) >> np.uint64(32)).astype(np.uint16 if parts <= 1 << 16 else np.uint32)
-    by = np.argsort(part, kind="stable")
-    return order[by], h[order[by]], np.searchsorted(part[by], np.arange(parts + 1))
+    order = np.argsort(h).astype(np.int32)
+    part = (deals[order] * np.uint64(parts) >> np.uint64(32)).astype(np.uint16 if parts <= 1 << 16 else np.uint32)
+    order = order[np.argsort(part, kind="stable")]
+    return order, h[order], np.concatenate(([0], np.cumsum(np.bincount(part, minlength=parts))))
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Array, Block]]:
@@ -124,7 +125,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Array,
         begun = 0
         for i, text in enumerate(b.column(1)):
             found = text.as_py().lower().split()
-            words.append(np.fromiter(map(index.__getitem__, found), np.int64, len(found)))
+            words.append(np.fromiter(map(index.__getitem__, found), np.int32, len(found)))
             held += len(found)
             if held >= BLOCK_WORDS:
                 ids.append(b.column(0).slice(begun, i + 1 - begun))
