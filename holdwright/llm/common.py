@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,11 +15,13 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new path under the folder that all executors share.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Where it is
-    unset (tests on one machine) a local folder is made and kept in the session.
+    The cluster names that folder in ``spark.checkpoint.dir``. Where it is unset, a session on
+    one machine (a local master, as in tests) gets a local folder, which the session keeps; any other fails.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -36,6 +39,25 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(df: DataFrame) -> None:
+    """Delete what materialize wrote for df, once nothing reads it any more."""
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores before them until no column of df has them."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n = f"_{n}"
+        out.append(n)
+    return out
+
+
 def ascii_lower(c):
     """Lower-case A-Z alone; lower() is the quick test that most words need no change."""
     return F.when(F.lower(c) == c, c).otherwise(F.translate(c, UPPER, UPPER.lower()))
@@ -69,7 +91,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     sign = lambda e: e.agg(F.count("u"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
     before = sign(now)
     while before[0]:
-        now = materialize(_star(_star(now, True), False), "edges")
+        old, now = now, materialize(_star(_star(now, True), False), "edges")
+        forget(old)
         after = sign(now)
         if after == before:
             break

@@ -65,10 +65,15 @@ def _candidates(docs: DataFrame, windows: DataFrame, lengths: list[int], hashes:
     return docs.withColumn("found", F.concat(*pieces) if len(pieces) > 1 else pieces[0])
 
 
+def _told(text_col: str) -> Column:
+    """What tells texts under one id apart."""
+    return F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)
+
+
 def contamination(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, one_in: int = 20, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """One row per document: id, n_words, n_hit, n_items, items_sha256, contaminated, spans.
+    """One row per document: id, told (the SHA-256 of its text), n_words, n_hit, n_items, items_sha256, contaminated, spans.
 
     spans lists the hit words as array<struct<start, stop>> of word positions, from 1,
     stop inclusive, merged and ascending. contaminated: n_hit > 0 and one_in * n_hit >= n_words.
@@ -82,7 +87,7 @@ def contamination(
     found = materialize(item_windows(benchmark, window), "windows")
     lengths = sorted(r.n for r in found.select("n").distinct().collect())
     small = found.count() <= MAX_BROADCAST
-    every = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), words(F.col(text_col)).alias("w"))
+    every = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(F.col(id_col).alias("id"), _told(text_col).alias("told")).alias("id"), words(F.col(text_col)).alias("w"))
     if lengths:
         hashes = [r.anchor for r in found.select("anchor").distinct().collect()] if small else None
         every = _candidates(every, found, lengths, hashes)
@@ -116,7 +121,8 @@ def contamination(
     items = F.coalesce("items", F.array().cast("array<string>"))
     out = both.select("id", F.col("n_words").cast("long").alias("n_words"), n_hit.alias("n_hit"), items.alias("items"), spans.alias("spans"))
     return out.select(
-        F.col("id").alias(id_col),
+        F.col("id.id").alias(id_col),
+        "id.told",
         "n_words",
         "n_hit",
         F.size("items").cast("long").alias("n_items"),
@@ -126,13 +132,18 @@ def contamination(
     )
 
 
+def _with_verdict(docs: DataFrame, found: DataFrame, id_col: str, text_col: str, how: str) -> DataFrame:
+    """docs joined to what was found of rows with their id and text."""
+    return docs.join(found, docs[id_col].eqNullSafe(found["__id"]) & (_told(text_col) == found["__told"]), how)
+
 
 def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, one_in: int = 20, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """docs without those that the rule finds contaminated; rows with a null id stay."""
-    found = contamination(docs, benchmark, window, one_in, id_col, text_col)
-    return docs.join(found.filter("contaminated").select(id_col).distinct(), id_col, "left_anti").select(*docs.columns)
+    """docs without those that the rule finds contaminated. Rows that share an id are judged each by its text."""
+    found = contamination(docs, benchmark, window, one_in, id_col, text_col).filter("contaminated")
+    found = found.select(F.col(id_col).alias("__id"), F.col("told").alias("__told")).distinct()
+    return _with_verdict(docs, found, id_col, text_col, "left_anti").select(*docs.columns)
 
 
 def remove_spans(
@@ -140,10 +151,10 @@ def remove_spans(
 ) -> DataFrame:
     """docs with the hit words of contaminated texts cut out: the words that stay, lower-cased, joined by a space.
 
-    Other texts are unchanged. Rows that share an id must share their text.
+    Other texts are unchanged.
     """
     found = contamination(docs, benchmark, window, one_in, id_col, text_col).filter("contaminated")
-    found = found.select(id_col, F.col("spans").alias("__spans")).dropDuplicates([id_col])
+    found = found.select(F.col(id_col).alias("__id"), F.col("told").alias("__told"), F.col("spans").alias("__spans")).dropDuplicates(["__id", "__told"])
     keep = F.filter(words(F.col(text_col)), lambda x, i: ~F.exists("__spans", lambda s: (i + 1 >= s["start"]) & (i + 1 <= s["stop"])))
     text = F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(F.array_join(keep, " "))
-    return docs.join(found, id_col, "left").withColumn(text_col, text).select(*docs.columns)
+    return _with_verdict(docs, found, id_col, text_col, "left").withColumn(text_col, text).select(*docs.columns)

@@ -12,9 +12,9 @@ every block gets the counts of its n-grams back. There they are looked up for ea
 and summed per document. An n-gram that every document has is one entry a block, so no
 key is hot; blocks and parts have fixed sizes, so tasks don't grow with the input.
 
-N-grams are told apart by 56 bits of a hash within a part, which another hash chooses: two of
-10^10 in one part of 1000 meet with a chance below one in 10^6 for each. Within a block they are
-told apart by their words.
+N-grams are told apart by BITS bits of a hash within a part, which another hash chooses. As parts
+have a fixed size, about one n-gram in 2 * 10^9 shares its count with another, whatever the size of the
+corpus. Within a block they are told apart by their words.
 
 Defined results: null and empty texts have no words and score 0; rows that repeat an id
 or a text are documents of their own, and each counts in the corpus; an empty table gives
@@ -43,7 +43,7 @@ BLOCK_WORDS = 3 << 19
 #: Exploded n-grams in a part of the count table, about.
 PART_GRAMS = 1 << 21
 #: Bits of an n-gram's hash that are kept beside its part.
-BITS = 56
+BITS = 52
 #: A word's hashes: for n-grams' keys, and for their part.
 DIGEST = np.dtype([("key", "<u8"), ("deal", "<u4")])
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)

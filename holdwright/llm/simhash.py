@@ -16,12 +16,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, materialize
+from .common import connected_components, materialize, unused
 
 RADIUS = 4
 SHINGLE = 4
@@ -177,11 +178,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
-    """docs with one document of each group, the one with the smallest id (once, if repeated).
+    """docs with one row of each group: the one with the smallest id (null: last), of rows that share it the first read.
 
-    Rows with a null id can't be told apart by it and stay.
+    Rows are numbered as they are written once with their fingerprints, and the number decides, so
+    rows that share an id but not a text are judged apart.
     """
-    found = near_duplicates(docs, id_col, text_col, radius)
-    keep = found.filter(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    once = docs.join(keep, id_col, "left_semi").dropDuplicates([id_col])
-    return once.select(*docs.columns).unionByName(docs.filter(F.col(id_col).isNull()))
+    row, fp = unused(docs, "row", "fp")
+
+    @F.pandas_udf("long")
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.fromiter((fingerprint(x) for x in texts), np.uint64, len(texts)).view(np.int64), dtype="int64")
+
+    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
+    kept = materialize(docs.withColumns({row: F.monotonically_increasing_id(), fp: of(text)}), "documents-with-fingerprints")
+    first = F.min(F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), F.col(row).alias("row")))
+    types = materialize(kept.groupBy(F.col(fp).alias("fp")).agg(first.alias("first")), "fingerprint-types")
+    roots = connected_components(fingerprint_links(types.select("fp"), radius))
+    rooted = types.join(roots, types.fp == roots.node, "left").select(F.coalesce("root", "fp").alias("root"), "first")
+    stay = rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
+    return kept.join(stay, row, "left_semi").select(*docs.columns)

@@ -4,7 +4,7 @@ import corpus_pipeline
 from llm.test_decontaminate import brute as contaminated
 from llm.test_simhash import brute as near
 
-from holdwright.llm import langid, sharding
+from holdwright.llm import langid, mixing, sharding
 
 
 def test_stages(spark, sf):
@@ -28,8 +28,19 @@ def test_stages(spark, sf):
         elif name == "decontamination":
             assert after == sorted(r[0] for r in contaminated(before, bench) if not r[-1]) and len(after) < len(before)
         elif name == "mixture":
-            assert set(after) <= {i for i, _ in before} and len(after) != len(set(after)) or len(after) < len(before)
+            cut = spark.createDataFrame(before, "doc_id long, text string").join(docs.select("doc_id", "lang", "source"), "doc_id")
+            want = sorted(r.doc_id for r in mixing.mix(cut).select("doc.doc_id").collect())
+            assert after == want and set(after) <= {i for i, _ in before} and after != sorted(i for i, _ in before)
         else:
             table = sharding.fill_table()
             assert all(r.shard == sharding.SHARDS[table[r.slot]] for r in now.collect())
             assert after == sorted(i for i, _ in before)
+
+
+def test_run_is_its_stages(spark, sf):
+    now = spark.read.parquet(f"{sf}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        now = stage(spark, now, sf)
+    rows = lambda df: sorted(map(tuple, df.select("doc_id", "slot", "shard").collect()))
+    found = rows(corpus_pipeline.run(spark, sf))
+    assert found == rows(now) and len(found) > 50

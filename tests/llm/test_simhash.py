@@ -69,3 +69,12 @@ def test_tiles_by_blocks(monkeypatch, spark):
     assert {frozenset(np.flatnonzero(label == k)) for k in set(label)} == {
         frozenset(k for k in range(len(u)) if found.get(int(fps[k]), int(fps[k])) == r) for r in {found.get(int(x), int(x)) for x in fps}
     }
+
+
+def test_two_texts_under_one_id(spark):
+    a, b = " ".join(f"w{k}" for k in range(40)), " ".join(f"other{k}" for k in range(40))
+    rows = [(5, a, 1), (5, b, 2), (2, a, 3), (None, a, 4), (None, None, 5), (5, b, 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row int")
+    kept = simhash.drop_near_duplicates(docs.coalesce(1))
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect()), key=str) == [(2, a, 3), (5, b, 2), (None, None, 5)]
