@@ -13,7 +13,7 @@ NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 def to_double(c: Column) -> Column:
     """``(1,234.5)`` -> -1234.5; drops ``, $ %``; else null."""
     t = F.trim(c)
-    bare = F.trim(F.regexp_replace(t, r"[,$%() ]", ""))
+    bare = F.trim(F.regexp_replace(t, r"[,$%()]", ""))
     x = F.when(bare.rlike(NUMBER), bare).try_cast("double")
     return F.when(t.rlike(r"^\(.*\)$"), -x).otherwise(x)
 
@@ -82,10 +82,28 @@ def annualized(value: Column, days: Column) -> Column:
 
 def quarterly(value: Column, days: Column) -> Column:
     """A fact of 75 to 110 days as it is, others as a quarter of their annual rate."""
-    lo, hi = vocab.DURATIONS["quarter"]
+    lo, hi = vocab.QUARTER_DAYS
     return F.when(days.between(lo, hi), value).otherwise(annualized(value, days) / 4)
 
 
+def half_even(x: Column, places: int) -> Column:
+    """x to so many decimal places, exact halves to the even neighbour.
+
+    A half is judged on the exact binary value, not on its shortest text: the product with the power
+    of ten is taken with its rounding error, by splitting both factors. Values of 2^52 units and more stay.
+    """
+    unit = float(10**places)
+    scaled = x * unit
+    c, u = x * 134217729.0, unit * 134217729.0
+    xh, uh = c - (c - x), u - (u - unit)
+    xl, ul = x - xh, unit - uh
+    error = ((xh * uh - scaled) + xh * ul + xl * uh) + xl * ul
+    near = F.rint(scaled)
+    gap = scaled - near
+    near = F.when((gap == 0.5) & (error > 0), near + 1).when((gap == -0.5) & (error < 0), near - 1).otherwise(near)
+    return F.when(F.abs(scaled) < 2.0**52, near / unit).otherwise(x)
+
+
 def percent_text(c: Column) -> Column:
     """``6.0`` or ``6.0%`` as ``6.0%``, a bare number only within 0..30; else null."""
     x = to_double(c)

@@ -23,12 +23,18 @@ def is_company(name: str = "company_name") -> Column:
     return (_text(name) != "") & ~_text(name).rlike(NOT_A_COMPANY)
 
 
-def is_poor(value: str = "fair_value", details: Sequence[str] = tuple(DETAILS)) -> Column:
-    """A fair value and nothing else: a total."""
+def is_poor(value: str = "fair_value", details: Sequence[str] = tuple(DETAILS), marks: str = "data_quality_flags", mark: str = "dspy") -> Column:
+    """A total that an extractor took for a position: a value, none of the details, and marks that begin with the extractor's."""
     some = F.lit(False)
     for c in details:
         some = some | (_text(c) != "")
-    return (_text(value) != "") & ~some
+    return (_text(value) != "") & ~some & _text(marks).startswith(mark)
+
+
+def is_empty(values: Sequence[str] = ("fair_value", "cost"), rates: Sequence[str] = ("cash_rate", "spread", "reference_rate"), principal: str = "principal_amount") -> Column:
+    """Neither a value nor both a rate and a principal."""
+    some = lambda cols: sum((F.when(_text(c) != "", 1).otherwise(0) for c in cols), F.lit(0)) > 0
+    return ~(some(values) | (some(rates) & (_text(principal) != "")))
 
 
 def is_debt(kind: str = "investment_type") -> Column:

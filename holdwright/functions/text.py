@@ -56,10 +56,9 @@ def clean_spread(c: Column) -> Column:
 
 
 def benchmark(c: Column) -> Column:
-    """A position's benchmark: null where none is given, ``Other`` for an unknown one."""
-    name = reference_rate(c)
-    known = name.isin([x for x in vocab.FLOATING if x != "Other"] + ["Fixed"])
-    return F.when(blank(c) | name.isin("", "N/A"), None).when(known, name).otherwise("Other")
+    """A position's benchmark by what the cell contains: null where none is given, ``Other`` for an unknown one."""
+    up = F.upper(F.trim(F.coalesce(c, F.lit(""))))
+    return F.when(up.isin(vocab.NO_BENCHMARK), None).otherwise(first_match(up, vocab.BENCHMARKS, F.lit("Other")))
 
 
 def rate_type(benchmark_: Column) -> Column:
@@ -67,9 +66,20 @@ def rate_type(benchmark_: Column) -> Column:
 
 
 def sector(c: Column, rules: Iterable[tuple[str, str]] = tuple(vocab.SECTOR_RULES)) -> Column:
-    """The sector of an industry text: junk is blank, an unknown one stays as it is."""
-    low = F.lower(F.trim(c))
-    return F.when(blank(c) | low.isin(vocab.NO_INDUSTRY) | low.rlike(r"^[\d.,$%()\s]+$"), "").otherwise(first_match(low, rules, F.trim(c)))
+    """The sector of an industry cell: what is no industry is blank, an unknown one stays as it is."""
+    bare = F.trim(F.coalesce(c, F.lit("")))
+    low = F.replace(F.lower(bare), F.lit("&amp;"), F.lit("&"))
+    none = (F.length(bare) > vocab.INDUSTRY_LENGTH) | low.isin(["", *vocab.NO_INDUSTRY])
+    for pattern in vocab.NOT_INDUSTRY:
+        none = none | low.rlike(pattern)
+    known = F.coalesce(first_match(low, [(x, p) for p, x in vocab.SECTOR_PREFIXES]), _lookup(low, vocab.SECTOR_NAMES))
+    return F.when(none, "").otherwise(F.coalesce(known, first_match(low, rules, bare)))
+
+
+def standard_sector(c: Column, rules: Iterable[tuple[str, str]] = tuple(vocab.SECTOR_RULES)) -> Column:
+    """sector(), with ``Other`` for a cell that is no industry, blank for a blank one."""
+    found = sector(c, rules)
+    return F.when((found == "") & ~blank(c), "Other").otherwise(found)
 
 
 def clean_industry(c: Column) -> Column:
@@ -130,7 +140,7 @@ def plain_text(html: Column) -> Column:
 
 def spread_bucket(x: Column) -> Column:
     b = vocab.SPREAD_BUCKETS
-    return F.when(x < 4, b[0]).when(x < 5, b[1]).when(x < 6, b[2]).when(x < 7, b[3]).when(x < 8, b[4]).when(x.isNotNull(), b[5])
+    return F.when(x < 3, b[0]).when(x < 4, b[1]).when(x < 5, b[2]).when(x < 6, b[3]).when(x < 7, b[4]).when(x.isNotNull(), b[5])
 
 
 def age_bucket(years: Column) -> Column:

@@ -38,8 +38,9 @@ def nearest(df: DataFrame, id_col: str, focus: str, metrics: Sequence[str], k: i
     """
     spans = [F.max(m).alias(f"hi_{m}") for m in metrics] + [F.min(m).alias(f"lo_{m}") for m in metrics]
     at = [F.max(F.when(F.col(id_col) == focus, F.col(m))).alias(f"at_{m}") for m in metrics]
-    one = df.agg(*spans, *at)
-    d = sum((F.pow(F.coalesce(F.try_divide(F.col(m) - F.col(f"at_{m}"), F.col(f"hi_{m}") - F.col(f"lo_{m}")), F.lit(0.0)), 2) for m in metrics), F.lit(0.0))
+    one = df.agg(*spans, *at).dropna(subset=[f"at_{m}" for m in metrics])  # no focus row, no neighbours
+    apart = [F.coalesce(F.try_divide(F.col(m) - F.col(f"at_{m}"), F.col(f"hi_{m}") - F.col(f"lo_{m}")), F.lit(0.0)) for m in metrics]
+    d = sum((x * x for x in apart), F.lit(0.0))
     near = df.filter(F.col(id_col) != focus).dropna(subset=list(metrics)).join(F.broadcast(one))
     return near.withColumn("distance", F.sqrt(d)).select(*df.columns, "distance").orderBy("distance", id_col).limit(k)
 

@@ -63,7 +63,7 @@ def _case(expr, cuts, labels):
 
 
 _AGE = _case("(period - acquired) / 365.25", [1, 2, 3, 4, 5], vocab.AGE_BUCKETS)
-_SPREAD = _case("spread", [4, 5, 6, 7, 8], vocab.SPREAD_BUCKETS)
+_SPREAD = _case("spread", [3, 4, 5, 6, 7], vocab.SPREAD_BUCKETS)
 
 
 def _labels(values):
@@ -179,24 +179,26 @@ SLICES = {
     "no cash rate": lambda v: (F.col("cash_rate") == 0) == (v == "yes"),
 }
 _PICKS = [("type", "PROMO", "kind = 'PROMO'"), ("sector", "BUILDING", "industry = 'BUILDING'"), ("rate", "SOFR", "rate = 'SOFR'"), ("rate type", "Fixed", "rate = 'Fixed'"),
-          ("spread", "5–6%", f"spread > 0 AND {_SPREAD} = '5–6%'"), ("vintage", "1997", "year(acquired) = 1997"), ("age", "<1y", f"{_AGE} = '<1y'"),
+          ("spread", "5–6%", f"spread > 0 AND {_SPREAD} = '5–6%'"), ("vintage", "1997", "year(acquired) = 1997"), ("age", "0–1 yrs", f"{_AGE} = '0–1 yrs'"),
           ("maturity", "2001", "matures = 2001"), ("company", "customer 000000007", "company = 'Customer#000000007'"), ("no cash rate", "yes", "cash_rate = 0")]
 
 
 @query(HOLDINGS + ", t AS (SELECT CAST(sum(fv) AS DOUBLE) t FROM h) " + " UNION ALL ".join(
     f"SELECT '{k}' AS slice, '{v}' AS \"value\", count(*) n, CAST(coalesce(sum(fv), 0) AS DOUBLE) fv, round(CAST(coalesce(sum(fv), 0) AS DOUBLE) * 100 / (SELECT t FROM t), 4) AS pct, round(sum(CASE WHEN cash_rate > 0 THEN cash_rate * fv END) / sum(CASE WHEN cash_rate > 0 THEN fv END), 6) AS cash_rate FROM h WHERE {w}" for k, v, w in _PICKS))
 def slice_by_kind(spark, sf):
-    """All slices in one pass: a position joins each slice that it meets."""
+    """All slices in one pass: each is a conditional sum, and the one row of sums is turned into a row a slice."""
     h = holdings(spark, sf)
-    total = F.sum("fv").cast("double")
-    marks = F.array(*[F.struct(F.lit(k).alias("slice"), F.lit(v).alias("value"), F.coalesce(SLICES[k](v), F.lit(False)).alias("ok")) for k, v, _ in _PICKS])
-    each = h.select("fv", "cash_rate", F.explode(marks).alias("m")).select("fv", "cash_rate", "m.*")
-    ok = F.col("ok")
-    rate = F.when(ok, F.col("cash_rate"))
-    return each.groupBy("slice", "value").agg(
-        F.count_if(ok).alias("n"), F.coalesce(F.sum(F.when(ok, F.col("fv"))), F.lit(0)).cast("double").alias("fv"), (F.coalesce(F.sum(F.when(ok, F.col("fv"))), F.lit(0)).cast("double") * 100 / total).alias("pct"),
-        F.round(A.weighted_avg(rate, F.col("fv")), 6).alias("cash_rate"),
-    ).withColumn("pct", pct())
+    fv, zero = F.col("fv"), F.lit(0).cast("decimal(18,4)")
+    sums = [F.sum("fv").alias("all")]
+    for k, (kind, value, _) in enumerate(_PICKS):
+        ok = F.coalesce(SLICES[kind](value), F.lit(False))
+        paid = ok & (F.col("cash_rate") > 0)
+        sums += [F.count_if(ok).alias(f"n{k}"), F.sum(F.when(ok, fv).otherwise(zero)).alias(f"fv{k}")]
+        sums += [F.try_divide(F.sum(F.when(paid, F.col("cash_rate") * fv)), F.sum(F.when(paid, fv))).alias(f"rate{k}")]
+    one = h.agg(*sums)
+    rows = [F.struct(F.lit(kind).alias("slice"), F.lit(value).alias("value"), F.col(f"n{k}").alias("n"), F.col(f"fv{k}").cast("double").alias("fv"), F.col(f"rate{k}").alias("cash_rate")) for k, (kind, value, _) in enumerate(_PICKS)]
+    each = one.select(F.col("all").cast("double").alias("all"), F.explode(F.array(*rows)).alias("r")).select("all", "r.*")
+    return each.select("slice", "value", "n", F.coalesce("fv", F.lit(0.0)).alias("fv"), F.round(F.coalesce("fv", F.lit(0.0)) * 100 / F.col("all"), 4).alias("pct"), F.round("cash_rate", 6).alias("cash_rate"))
 
 
 @query(HOLDINGS + "SELECT ticker, kind, CAST(sum(fv) AS DOUBLE) / count(*) AS avg_fv FROM h GROUP BY 1, 2")

@@ -34,50 +34,106 @@ def quarter_ends(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", parse.quarter_end_before(d).alias("quarter_end"), parse.quarter_label(d).alias("label"))
 
 
-_TYPE_CELLS = ["First Lien Term Loan", "Delayed Draw Senior Secured", "Preferred stock", "Common Units", "Warrants", "Subordinated notes", "2nd lien", "Revolver", "", "Member interest", "Ordinary shares", "Gold"]
-_TYPE_WANT = ["First Lien", "Delayed Draw", "Preferred Equity", "Common Equity", "Warrants", "Subordinated Debt", "Second Lien", "Revolver", "", "Partnership Interest", "Other Equity", "Other"]
-
-
 def _pick(key, values):
     return F.element_at(F.array(*[F.lit(v) for v in values]), (key % len(values) + 1).cast("int"))
 
 
-def _sql_list(values):
-    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+def _sql_pick(key, values):
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + f"][CAST(({key}) % {len(values)} + 1 AS INT)]"
+
+
+def _sql_first(cell, rules, otherwise):
+    """CASE over (label, pattern) rules, for DuckDB."""
+    return "CASE " + " ".join(f"WHEN regexp_matches({cell}, '{p}') THEN '{x}'" for x, p in rules) + f" ELSE {otherwise} END"
+
+
+# Cells are made of the tables' own columns: a rank and a form by size and brand around the part's type and name.
+_RANKS = ["First Lien", "2nd lien", "Senior Secured", "Unsecured", "Subordinated", "Preferred", "Common", "Delayed Draw", "Warrants for", "Revolving", "Partnership", "Mezzanine", ""]
+_FORMS = ["Term Loan", "stock", "Units", "notes", "Shares", "", "equity"]
+_BRAND = "CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS INT)"
+_TYPE_CELL = f"trim({_sql_pick('p_size', _RANKS)} || ' ' || p_type || ' ' || {_sql_pick(_BRAND, _FORMS)})"
+
 
+def _plain_type_sql(cell):
+    has = lambda *w: " OR ".join(f"contains({cell}, '{x}')" for x in w)
+    paper = has("equity", "stock", "unit", "share")
+    rules = [
+        (has("delayed draw", "ddtl"), "Delayed Draw"), (has("revolv"), "Revolver"), (has("second lien", "2nd lien"), "Second Lien"), (has("first lien", "1st lien", "senior secured"), "First Lien"),
+        (has("subordinated", "mezzanine"), "Subordinated Debt"), (has("unsecured"), "Unsecured Debt"), (has("warrant"), "Warrants"), (f"{has('preferred')} AND ({paper})", "Preferred Equity"),
+        (f"{has('common')} AND ({paper})", "Common Equity"), (has("partnership", "member interest"), "Partnership Interest"), (has("equity", "stock", "share"), "Other Equity"), (has("debt", "loan", "note", "bond"), "Other Debt"),
+    ]
+    return "CASE " + " ".join(f"WHEN {c} THEN '{x}'" for c, x in rules) + " ELSE 'Other' END"
 
-@query(f"SELECT p_partkey, {_sql_list(_TYPE_WANT)}[CAST(p_partkey % {len(_TYPE_WANT)} + 1 AS INT)] AS kind FROM part")
+
+@query(f"SELECT p_partkey, cell, {_plain_type_sql('lower(cell)')} AS kind FROM (SELECT p_partkey, {_TYPE_CELL} AS cell FROM part)")
 def standardize_type(spark, sf):
-    return table(spark, sf, "part").select("p_partkey", text.instrument_type(_pick(F.col("p_partkey"), _TYPE_CELLS)).alias("kind"))
+    p = table(spark, sf, "part")
+    brand = F.regexp_extract("p_brand", "([0-9]+)", 1).cast("int")
+    cell = F.trim(F.concat_ws(" ", _pick(F.col("p_size"), _RANKS), "p_type", _pick(brand, _FORMS)))
+    return p.select("p_partkey", cell.alias("cell")).withColumn("kind", text.instrument_type(F.col("cell")))
 
 
-_RATE_CELLS = ["SOFR", "S +", "SOFR (Q)", "L+", "Euribor (M)", "base rate", "2024#SoniaMember", "2024#NoMember", "n/a", "", "Federal Funds"]
-_RATE_WANT = ["SOFR", "SOFR", "SOFR", "LIBOR", "Euribor", "base rate", "SONIA", "", "N/A", "", "Federal Funds"]
+# A rate cell: a name and a tenor by the order's key, a sign and figures from its price.
+_RATES = ["SOFR", "S +", "Libor", "L+", "Euribor", "base rate", "2024#SoniaMember", "2024#NoMember", "n/a", "", "Federal Funds", "Prime", "1M Term SOFR", "E + 500", "BBSY", "p"]
+_TENORS = ["", " (Q)", " (M)", ""]
+_RATE_CELL = f"{_sql_pick('o_orderkey', _RATES)} || {_sql_pick('o_custkey', _TENORS)}"
+_NAMES_SQL = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in vocab.RATE_NAMES.items()) + "}"
+_MEMBERS_SQL = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in vocab.RATE_MEMBERS.items()) + "}"
 
 
-@query(f"SELECT p_partkey, {_sql_list(_RATE_WANT)}[CAST(p_partkey % {len(_RATE_WANT)} + 1 AS INT)] AS rate FROM part")
-def standardize_rate(spark, sf):
-    return table(spark, sf, "part").select("p_partkey", text.reference_rate(_pick(F.col("p_partkey"), _RATE_CELLS)).alias("rate"))
+def rate_cells(spark, sf):
+    o = table(spark, sf, "orders")
+    return o.select("o_orderkey", F.concat(_pick(F.col("o_orderkey"), _RATES), _pick(F.col("o_custkey"), _TENORS)).alias("cell"))
 
 
-_SPREAD_CELLS = ["5.00%", "2024-01-31", "5/2022", "SOFR (M)", " n/a", "", "6.25"]
+@query(rf"""WITH c AS (SELECT o_orderkey, {_RATE_CELL} AS cell FROM orders), k AS (SELECT *, replace(replace(lower(trim(cell)), '+', ''), ' ', '') AS bare FROM c)
+  SELECT o_orderkey, cell, CASE WHEN trim(cell) = '' THEN '' WHEN contains(cell, '#') THEN coalesce({_MEMBERS_SQL}[lower(split_part(cell, '#', -1))], '')
+    ELSE coalesce({_NAMES_SQL}[bare], {_NAMES_SQL}[split_part(bare, '(', 1)], CASE WHEN lower(trim(cell)) IN ('n/a', 'na', 'none', '-') THEN 'N/A' END, cell) END AS rate,
+    CASE WHEN upper(trim(cell)) IN ('', 'N/A', 'NA', 'NONE', '-', '—', '0') THEN NULL WHEN contains(upper(cell), 'SOFR') THEN 'SOFR' WHEN contains(upper(cell), 'LIBOR') OR regexp_matches(upper(trim(cell)), '^L\s*[+-]') THEN 'LIBOR'
+      WHEN contains(upper(cell), 'EURIBOR') OR regexp_matches(upper(trim(cell)), '^E\s*\+') THEN 'EURIBOR' WHEN contains(upper(cell), 'PRIME') OR regexp_matches(upper(trim(cell)), '^P\s*\+') THEN 'Prime' WHEN contains(upper(cell), 'SONIA') THEN 'SONIA'
+      WHEN contains(upper(cell), 'CDOR') THEN 'CDOR' WHEN contains(upper(cell), 'BBSY') THEN 'BBSY' WHEN contains(upper(cell), 'CORRA') THEN 'CORRA' WHEN contains(upper(cell), 'FIXED') THEN 'Fixed' WHEN contains(upper(cell), 'BASE RATE') THEN 'Base rate' ELSE 'Other' END AS benchmark FROM k""")
+def standardize_rate(spark, sf):
+    """The rate's standard name, and its benchmark."""
+    return rate_cells(spark, sf).select("o_orderkey", "cell", text.reference_rate(F.col("cell")).alias("rate"), text.benchmark(F.col("cell")).alias("benchmark"))
 
 
-@query(f"SELECT p_partkey, {_sql_list(['5.00%', '', '', '', '', '', '6.25'])}[CAST(p_partkey % 7 + 1 AS INT)] AS spread FROM part")
+@query("""WITH c AS (SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN printf('%.2f%%', o_totalprice / 40000) WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 2 THEN strftime(o_orderdate, '%m/%Y') WHEN 3 THEN upper(split_part(o_orderpriority, '-', 2)) ELSE 'SOFR (M)' END AS cell FROM orders)
+  SELECT o_orderkey, cell, CASE WHEN regexp_matches(cell, '^[0-9]{4}-[0-9]{2}-[0-9]{2}') OR regexp_matches(cell, '^[0-9]{1,2}/[0-9]{4}') OR cell = 'SOFR (M)' THEN '' ELSE cell END AS spread FROM c""")
 def clean_spreads(spark, sf):
-    return table(spark, sf, "part").select("p_partkey", text.clean_spread(_pick(F.col("p_partkey"), _SPREAD_CELLS)).alias("spread"))
+    """Spread cells that hold figures, dates, months, priorities and rate names."""
+    k = F.col("o_orderkey") % 5
+    cell = F.when(k == 0, F.format_string("%.2f%%", F.col("o_totalprice") / 40000)).when(k == 1, F.date_format("o_orderdate", "yyyy-MM-dd")).when(k == 2, F.date_format("o_orderdate", "MM/yyyy"))
+    cell = cell.when(k == 3, F.upper(F.split("o_orderpriority", "-")[1])).otherwise("SOFR (M)")
+    return table(spark, sf, "orders").select("o_orderkey", cell.alias("cell")).withColumn("spread", text.clean_spread(F.col("cell")))
+
+
+# Industry cells: the customer's segment with a second word by nation, and other cells by key.
+_TRADES = [
+    "", "Health Care Providers", "software", "Telecom services", "Agriculture", "Wholesale", "steel works", "legal", "FIRE: Insurance", "FIRE: Banking", "Services: Consumer", "Services Business", "Road",
+    "Communications", "12.5%", "(In thousands)", "first lien", "cash equivalents - 6.6 %", "Cash", "wellness", "pet food", "Diversified holdings", "Oil &amp; Gas", "Basket weaving", "Bidco loan (EUR 2,511 par, due 4/2031)", "Joint venture",
+]
+_SEGMENT_CELL = f"CASE WHEN c_custkey % 3 = 0 THEN {_sql_pick('c_nationkey', _TRADES)} WHEN c_custkey % 3 = 1 THEN lower(c_mktsegment) ELSE trim(c_mktsegment || ' ' || {_sql_pick('c_nationkey + c_custkey', _TRADES)}) END"
 
 
-_SECTOR_CELLS = ["Health Care Providers", "Software", "Cash", "Oil & Gas", "12.5%", "Insurance services", "Basket weaving", ""]
-_SECTOR_WANT = ["Healthcare", "Software & Technology", "", "Energy", "", "Insurance", "Basket weaving", ""]
+def _sector_sql(cell):
+    low = f"replace(lower(trim({cell})), '&amp;', '&')"
+    none = [f"length(trim({cell})) > 80", f"{low} IN ('', " + ", ".join(f"'{x}'" for x in vocab.NO_INDUSTRY) + ")", *[f"regexp_matches({low}, '{p}')" for p in vocab.NOT_INDUSTRY]]
+    words = "CASE " + " ".join("WHEN " + " OR ".join("contains({0}, '{1}')".format(low, w.replace("'", "''")) for w in vocab.words_of(x)) + f" THEN '{x}'" for x in vocab.SECTOR_WORDS) + f" ELSE trim({cell}) END"
+    prefix = " ".join(f"WHEN regexp_matches({low}, '{p}') THEN '{x}'" for p, x in vocab.SECTOR_PREFIXES)
+    names = " ".join(f"WHEN {low} = '{k}' THEN '{x}'" for k, x in vocab.SECTOR_NAMES.items())
+    return f"CASE WHEN {' OR '.join(none)} THEN '' {prefix} {names} ELSE {words} END"
 
 
-@query(f"SELECT p_partkey, {_sql_list(_SECTOR_WANT)}[CAST(p_partkey % 8 + 1 AS INT)] AS sector FROM part")
+@query(f"""WITH c AS (SELECT c_custkey, {_SEGMENT_CELL} AS cell FROM customer), k AS (SELECT cell, {_sector_sql('cell')} AS sector FROM (SELECT DISTINCT cell FROM c))
+  SELECT c_custkey, c.cell, sector, CASE WHEN sector = '' AND trim(c.cell) <> '' THEN 'Other' ELSE sector END AS standard FROM c JOIN k ON c.cell = k.cell""")
 def standardize_sector(spark, sf):
-    """Distinct texts are few, so the cascade runs on them once and the labels are joined back."""
-    p = table(spark, sf, "part").select("p_partkey", _pick(F.col("p_partkey"), _SECTOR_CELLS).alias("cell"))
-    labels = p.select("cell").distinct().withColumn("sector", text.sector(F.col("cell")))
-    return p.join(labels, "cell").select("p_partkey", "sector")
+    """Distinct cells are few, so the cascade runs on them once and the labels are joined back."""
+    c = F.col("c_custkey") % 3
+    cell = F.when(c == 0, _pick(F.col("c_nationkey"), _TRADES)).when(c == 1, F.lower("c_mktsegment"))
+    cell = cell.otherwise(F.trim(F.concat_ws(" ", "c_mktsegment", _pick(F.col("c_nationkey") + F.col("c_custkey"), _TRADES))))
+    p = table(spark, sf, "customer").select("c_custkey", cell.alias("cell"))
+    labels = p.select("cell").distinct().select("cell", text.sector(F.col("cell")).alias("sector"), text.standard_sector(F.col("cell")).alias("standard"))
+    return p.join(labels, "cell").select("c_custkey", "cell", "sector", "standard")
 
 
 @query("""SELECT o_orderkey, array_to_string(list_sort(list_distinct(list_concat(CASE WHEN o_orderstatus = 'O' THEN ['open'] ELSE [] END, list_concat(CASE WHEN o_totalprice > 200000 THEN ['large'] ELSE [] END, CASE WHEN o_orderpriority = '1-URGENT' THEN ['open', 'urgent'] ELSE [] END)))), '|') AS flags FROM orders""")
@@ -169,10 +225,11 @@ def non_canonical(spark, sf):
     return v.groupBy("value").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "value").limit(20)
 
 
-@query("""WITH t AS (SELECT user_id, sum(CAST(round(value, 4) AS DECIMAL(18,4))) s, count(*) n FROM events GROUP BY 1) SELECT user_id, CAST(s AS DOUBLE) AS total, CASE WHEN s > 17500 THEN 100 WHEN s > 15000 THEN 10 ELSE 1 END AS divisor FROM t""")
+@query("""WITH t AS (SELECT user_id, CAST(sum(CAST(round(value, 4) AS DECIMAL(18,4))) AS DOUBLE) / 40 AS s FROM events GROUP BY 1) SELECT user_id, s AS total, CASE WHEN s > 500 THEN 1000.0::DOUBLE WHEN s > 150 THEN 100.0::DOUBLE ELSE 1.0::DOUBLE END AS divisor FROM t""")
 def percent_scale(spark, sf):
-    t = table(spark, sf, "events").groupBy("user_id").agg(F.sum(money(F.col("value"))).alias("s"))
-    return t.select("user_id", F.col("s").cast("double").alias("total"), F.when(F.col("s") > 17500, 100).when(F.col("s") > 15000, 10).otherwise(1).alias("divisor"))
+    """Shares of net assets that add up to far more than all: by how much they are too large."""
+    t = table(spark, sf, "events").groupBy("user_id").agg((F.sum(money(F.col("value"))).cast("double") / 40).alias("total"))
+    return t.withColumn("divisor", reconcile.percent_divisor(F.col("total")))
 
 
 @query("SELECT conv_id, turn, CAST((row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1) // 3 AS BIGINT) AS chunk FROM conversations")

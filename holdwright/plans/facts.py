@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import parse
 from ..operators import aggregate as A
-from ..operators import dedup, joins, order, reconcile
+from ..operators import dedup, joins, order, reconcile, statements
 from .binding import HOLDINGS, holdings, money, query, table
 
 _MONEY = "CAST(round({0}, 4) AS DECIMAL(18,4))"
@@ -30,10 +30,11 @@ WITH s AS (SELECT c_mktsegment AS entity, CAST(date_trunc('quarter', o_orderdate
 """
 
 
-@query(SERIES + """SELECT entity, "end", round(debt / nullif(nav, 0), 6) AS debt_to_equity, round(nav / nullif(debt, 0), 6) AS asset_coverage, round(nav / nullif(shares, 0), 4) AS nav_per_share, round(nii / nullif(shares, 0), 4) AS nii_per_share FROM s""")
+@query(SERIES + """SELECT entity, "end", debt / nullif(nav, 0) AS debt_to_equity, nav / nullif(debt, 0) AS asset_coverage, nav / nullif(shares, 0) AS nav_per_share, nii / nullif(shares, 0) AS nii_per_share FROM s""")
 def derived_metrics(spark, sf):
-    r = lambda a, b, k: F.round(parse.safe_ratio(F.col(a), F.col(b)), k)
-    return series(spark, sf).select("entity", "end", r("debt", "nav", 6).alias("debt_to_equity"), r("nav", "debt", 6).alias("asset_coverage"), r("nav", "shares", 4).alias("nav_per_share"), r("nii", "shares", 4).alias("nii_per_share"))
+    """Ratios of sums, unrounded: one division of equal doubles gives equal doubles."""
+    r = lambda a, b: parse.safe_ratio(F.col(a), F.col(b))
+    return series(spark, sf).select("entity", "end", r("debt", "nav").alias("debt_to_equity"), r("nav", "debt").alias("asset_coverage"), r("nav", "shares").alias("nav_per_share"), r("nii", "shares").alias("nii_per_share"))
 
 
 @query(SERIES + """, p AS (SELECT *, lag("end") OVER w AS pe, lag(nav / shares) OVER w AS pn FROM s WINDOW w AS (PARTITION BY entity ORDER BY "end"))
@@ -86,17 +87,57 @@ def valuation_snapshot(spark, sf):
     return s.select("entity", F.round(ratio, 6).alias("p_nav"), F.round((ratio - 1) * 100, 4).alias("premium_pct"), F.round(yields, 4).alias("yield_pct"), flags.alias("flags"))
 
 
-@query("""WITH f AS (SELECT o_custkey AS entity, o_orderkey AS id, CAST(o_orderdate AS DATE) AS "end", CAST(round(o_totalprice, 4) AS DECIMAL(18,4)) AS val FROM orders),
-  c AS (SELECT a.entity, a.id, a."end", a.val, b.id AS earlier_id, b.val AS earlier, row_number() OVER (PARTITION BY a.id ORDER BY abs(a."end" - b."end" - 91), b.id) rn FROM f a JOIN f b ON a.entity = b.entity AND a."end" - b."end" BETWEEN 70 AND 110)
-  SELECT entity, id, "end", earlier_id, CAST(val - earlier AS DOUBLE) AS quarter_val FROM c WHERE rn = 1""")
-def quarter_derivation(spark, sf):
-    """The value less that of the fact 70 to 110 days earlier, the one nearest to a quarter."""
+DAYS = [90, 181, 272, 364]
+_QUARTERS = f"""WITH f AS (SELECT o_custkey % 500 AS entity, o_orderkey AS id, CAST(date_trunc('quarter', o_orderdate) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE) AS "end", {DAYS}[CAST(o_orderkey % 4 + 1 AS INT)] AS days,
+    CAST(o_orderdate AS DATE) AS filed, CAST(round(o_totalprice, 4) AS DECIMAL(18,4)) AS val FROM orders),
+  c AS (SELECT *, CASE WHEN days BETWEEN 75 AND 100 THEN 0 WHEN days BETWEEN 170 AND 195 THEN 1 WHEN days BETWEEN 255 AND 290 THEN 2 ELSE 3 END AS p FROM f),
+  l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entity, "end", p ORDER BY filed DESC, id DESC) rn FROM c) WHERE rn = 1),
+  b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entity, "end" ORDER BY p) r2 FROM l) WHERE r2 = 1),
+  j AS (SELECT b.*, s.val AS short, row_number() OVER (PARTITION BY b.entity, b."end" ORDER BY b."end" - s."end") r3 FROM b LEFT JOIN l s ON b.entity = s.entity AND s.p = b.p - 1 AND b."end" - s."end" BETWEEN 70 AND 110),
+  q AS (SELECT entity, "end", CAST(CASE WHEN short IS NULL THEN val ELSE val - short END AS DOUBLE) AS val, CAST(CASE WHEN short IS NULL THEN days ELSE 90 END AS INTEGER) AS days, CASE WHEN short IS NOT NULL THEN ['H1-Q1', '9M-H1', 'FY-9M'][p] END AS derived FROM j WHERE r3 = 1) """
+
+
+def quarters(spark, sf):
+    """An order is a fact of 500 entities, over a quarter, half, nine months or year that ends with its quarter."""
     o = table(spark, sf, "orders")
-    f = o.select(F.col("o_custkey").alias("entity"), F.col("o_orderkey").alias("id"), F.col("o_orderdate").cast("date").alias("end"), money(F.col("o_totalprice")).alias("val"))
-    b = f.select("entity", F.col("id").alias("earlier_id"), F.col("end").alias("earlier_end"), F.col("val").alias("earlier"))
-    p = joins.within_days(f, b, ["entity"], "end", "earlier_end", 70, 110)
-    best = p.groupBy("id").agg(F.min(F.struct(F.abs(F.col("gap") - 91), "earlier_id", "entity", "end", "val", "earlier")).alias("b"))
-    return best.select("b.entity", "id", "b.end", "b.earlier_id", (F.col("b.val") - F.col("b.earlier")).cast("double").alias("quarter_val"))
+    days = F.element_at(F.array(*[F.lit(d) for d in DAYS]), (F.col("o_orderkey") % 4 + 1).cast("int"))
+    end = F.date_sub(F.add_months(F.trunc("o_orderdate", "quarter"), 3), 1)
+    f = o.select((F.col("o_custkey") % 500).alias("entity"), F.col("o_orderkey").alias("id"), end.alias("end"), days.alias("days"), F.col("o_orderdate").cast("date").alias("filed"), money(F.col("o_totalprice")).alias("val"))
+    return statements.discrete_quarters(f, ["entity"], "end", "days", "val", "filed", "id").withColumn("val", F.col("val").cast("double"))
+
+
+@query(_QUARTERS + "SELECT * FROM q")
+def quarter_derivation(spark, sf):
+    return quarters(spark, sf).select("entity", "end", "val", "days", "derived")
+
+
+@query(_QUARTERS + """, r AS (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY "end" DESC) k FROM q) SELECT entity, """ + ", ".join(f"max(CASE WHEN k = {k} THEN val END) AS q{k}" for k in range(1, 9)) + " FROM r GROUP BY 1")
+def statement_matrix(spark, sf):
+    return statements.last_periods(quarters(spark, sf), ["entity"], "end", "val", 8)
+
+
+@query("""WITH f AS (SELECT o_custkey % 50 AS entity, CAST(date_trunc('quarter', o_orderdate) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE) AS "end", o_orderpriority AS form, CAST(o_orderdate AS DATE) AS filed, o_orderkey AS id FROM orders)
+  SELECT entity, "end", form, filed FROM (SELECT *, row_number() OVER (PARTITION BY entity, "end" ORDER BY form, id) rn FROM f) WHERE rn = 1""")
+def period_union(spark, sf):
+    """Every period of any series, with form and date from the first series (here by priority) that has it."""
+    end = F.date_sub(F.add_months(F.trunc("o_orderdate", "quarter"), 3), 1)
+    f = table(spark, sf, "orders").select((F.col("o_custkey") % 50).alias("entity"), end.alias("end"), F.col("o_orderpriority").alias("form"), F.col("o_orderdate").cast("date").alias("filed"), "o_orderkey")
+    return dedup.keep_best(f, ["entity", "end"], F.col("form"), F.col("o_orderkey")).select("entity", "end", "form", "filed")
+
+
+@query("""WITH f AS (SELECT c_custkey % 40 AS label, c_custkey AS seq, CASE WHEN c_nationkey % 2 = 0 THEN 'USD/shares' ELSE 'USD' END AS unit, c_acctbal / 100 AS val FROM customer), u AS (SELECT label, arg_min(unit, seq) AS unit FROM f GROUP BY 1)
+  SELECT f.label, seq, val FROM f JOIN u ON f.label = u.label WHERE NOT (u.unit = 'USD/shares' AND abs(val) > 50)""")
+def per_share_guard(spark, sf):
+    unit = F.when(F.col("c_nationkey") % 2 == 0, "USD/shares").otherwise("USD")
+    f = table(spark, sf, "customer").select((F.col("c_custkey") % 40).alias("label"), F.col("c_custkey").alias("seq"), unit.alias("unit"), (F.col("c_acctbal") / 100).alias("val"))
+    return statements.per_share_guard(f, ["label"], "seq", "unit", "val").select("label", "seq", "val")
+
+
+@query("SELECT l_orderkey, l_linenumber, round_even(l_quantity * 0.125, 2) AS rounded, round_even(l_quantity / 16, 1) AS tenths, count(*) n FROM lineitem GROUP BY ALL")
+def half_even_rounding(spark, sf):
+    q = F.col("l_quantity")
+    k = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", parse.half_even(q * 0.125, 2).alias("rounded"), parse.half_even(q / 16, 1).alias("tenths"))
+    return k.groupBy("l_orderkey", "l_linenumber", "rounded", "tenths").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("""WITH f AS (SELECT o_custkey AS entity, o_orderpriority AS label, year(o_orderdate) AS y, CAST(o_orderdate AS DATE) AS filed, o_orderkey AS seq, o_orderstatus AS unit, CAST(round(o_totalprice, 4) AS DECIMAL(18,4)) AS val FROM orders),
@@ -195,11 +236,11 @@ def overview_pivot(spark, sf):
     return e.groupBy("d").pivot("event_type", ["click", "error", "purchase", "view"]).agg(F.sum("v").cast("double"))
 
 
-@query("""SELECT o_orderkey, CAST(round(v, 4) AS DOUBLE) AS quarterly, label FROM (SELECT o_orderkey, CASE WHEN days BETWEEN 75 AND 110 THEN p ELSE p * 365 / days / 4 END AS v, CASE WHEN days <= 100 THEN 'Q' WHEN days <= 195 THEN 'H1' WHEN days <= 290 THEN '9M' ELSE 'FY' END AS label
+@query("""SELECT o_orderkey, v AS quarterly, label FROM (SELECT o_orderkey, CASE WHEN days BETWEEN 75 AND 110 THEN p ELSE p * 365 / days / 4 END AS v, CASE WHEN days <= 100 THEN 'Q' WHEN days <= 195 THEN 'H1' WHEN days <= 290 THEN '9M' ELSE 'FY' END AS label
   FROM (SELECT o_orderkey, o_totalprice AS p, 1 + o_custkey % 366 AS days FROM orders))""")
 def quarterly_values(spark, sf):
     days = 1 + F.col("o_custkey") % 366
-    return table(spark, sf, "orders").select("o_orderkey", F.round(parse.quarterly(F.col("o_totalprice"), days), 4).alias("quarterly"), parse.duration_label(days).alias("label"))
+    return table(spark, sf, "orders").select("o_orderkey", parse.quarterly(F.col("o_totalprice"), days).alias("quarterly"), parse.duration_label(days).alias("label"))
 
 
 @query("""WITH p AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS d FROM events WHERE event_type = 'purchase'), f AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS d FROM events WHERE event_type = 'view') SELECT * FROM p EXCEPT SELECT * FROM f""")

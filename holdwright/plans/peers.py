@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text
@@ -13,6 +14,12 @@ METRICS = ["fv", "cash_rate", "spread", "floating_pct", "young_pct", "top_sector
 FOCUS = "NATION_7"
 
 
+def sector_shares(h):
+    """A fund's sectors with their percentage of its value, as one division of exact sums."""
+    whole = F.sum("s").over(Window.partitionBy("ticker")).cast("double")
+    return h.groupBy("ticker", "industry").agg(F.sum("fv").alias("s")).withColumn("pct", F.col("s").cast("double") * 100 / whole)
+
+
 def peer_rows(spark, sf):
     """A row of metrics for every fund, over its last period."""
     h = A.latest(holdings(spark, sf), ["ticker"], "period")
@@ -24,10 +31,10 @@ def peer_rows(spark, sf):
         part(text.rate_type(text.benchmark(F.col("rate"))) == "Floating").alias("floating_pct"), part(F.datediff("period", "acquired") < 60).alias("young_pct"),
         F.countDistinct(F.year("acquired")).alias("vintages"),
     )
-    sectors = A.breakdown(h, ["ticker"], "industry", {"s": F.sum("fv")}, "s")
+    sectors = sector_shares(h)
     top = A.top_k(sectors, ["ticker"], 3, F.desc("s"), F.asc("industry"))
     top = top.groupBy("ticker").agg(
-        F.round(F.max("pct").cast("double"), 4).alias("top_sector_pct"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rn", "industry"))), lambda x: x["industry"]), "|").alias("top_sectors")
+        F.max("pct").alias("top_sector_pct"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rn", "industry"))), lambda x: x["industry"]), "|").alias("top_sectors")
     )
     return one.join(top, "ticker")
 
@@ -37,7 +44,7 @@ PEERS = HOLDINGS + """, l AS (SELECT h.* FROM h JOIN (SELECT ticker, max(period)
     round(sum(CASE WHEN spread > 0 THEN spread * fv END) / sum(CASE WHEN spread > 0 THEN fv END), 6) spread,
     round(CAST(coalesce(sum(CASE WHEN rate IN ('SOFR', 'LIBOR', 'Prime') THEN fv END), 0) AS DOUBLE) * 100 / CAST(sum(fv) AS DOUBLE), 4) floating_pct,
     round(CAST(coalesce(sum(CASE WHEN period - acquired < 60 THEN fv END), 0) AS DOUBLE) * 100 / CAST(sum(fv) AS DOUBLE), 4) young_pct, count(DISTINCT year(acquired)) vintages FROM l GROUP BY 1),
-  s AS (SELECT ticker, industry, s, row_number() OVER (PARTITION BY ticker ORDER BY s DESC, industry) rn, round(CAST(s AS DOUBLE) * 100 / CAST(sum(s) OVER (PARTITION BY ticker) AS DOUBLE), 4) pct FROM (SELECT ticker, industry, sum(fv) s FROM l GROUP BY 1, 2)),
+  s AS (SELECT ticker, industry, s, row_number() OVER (PARTITION BY ticker ORDER BY s DESC, industry) rn, CAST(s AS DOUBLE) * 100 / CAST(sum(s) OVER (PARTITION BY ticker) AS DOUBLE) pct FROM (SELECT ticker, industry, sum(fv) s FROM l GROUP BY 1, 2)),
   t AS (SELECT ticker, max(pct) top_sector_pct, string_agg(industry, '|' ORDER BY rn) top_sectors FROM s WHERE rn <= 3 GROUP BY 1),
   p AS (SELECT o.*, top_sector_pct, top_sectors FROM o JOIN t ON o.ticker = t.ticker),
   u AS (""" + " UNION ALL ".join(f"SELECT ticker, '{m}' AS metric, CAST({m} AS DOUBLE) AS v FROM p" for m in METRICS) + ") "
@@ -55,15 +62,13 @@ def peer_medians(spark, sf):
 
 @query(PEERS + "SELECT industry AS sector, round(median(pct), 6) AS median, count(*) n FROM s GROUP BY 1 HAVING count(*) >= 3")
 def sector_medians(spark, sf):
-    h = A.latest(holdings(spark, sf), ["ticker"], "period")
-    s = A.breakdown(h, ["ticker"], "industry", {"s": F.sum("fv")}, "s").withColumn("pct", F.round(F.col("pct").cast("double"), 4))
+    s = sector_shares(A.latest(holdings(spark, sf), ["ticker"], "period"))
     return s.groupBy(F.col("industry").alias("sector")).agg(F.round(F.median("pct"), 6).alias("median"), F.count(F.lit(1)).alias("n")).filter("n >= 3")
 
 
 @query(PEERS + f"""SELECT s.industry AS sector, s.pct, m.median, round(s.pct - m.median, 6) AS tilt FROM s JOIN (SELECT industry, round(median(pct), 6) AS median FROM s GROUP BY 1 HAVING count(*) >= 3) m ON s.industry = m.industry WHERE ticker = '{FOCUS}'""")
 def sector_tilt(spark, sf):
-    h = A.latest(holdings(spark, sf), ["ticker"], "period")
-    s = A.breakdown(h, ["ticker"], "industry", {"s": F.sum("fv")}, "s").withColumn("pct", F.round(F.col("pct").cast("double"), 4))
+    s = sector_shares(A.latest(holdings(spark, sf), ["ticker"], "period"))
     return s.filter(F.col("ticker") == FOCUS).select(F.col("industry").alias("sector"), "pct").join(sector_medians(spark, sf).drop("n"), "sector").withColumn("tilt", F.round(F.col("pct") - F.col("median"), 6))
 
 
@@ -87,9 +92,9 @@ def heat_cells(spark, sf):
 
 
 @query(PEERS + f""", r AS (SELECT max(fv) - min(fv) rf, max(cash_rate) - min(cash_rate) rc FROM p), f AS (SELECT fv ff, cash_rate fc FROM p WHERE ticker = '{FOCUS}')
-  SELECT ticker, round(sqrt(pow((fv - ff) / rf, 2) + pow((cash_rate - fc) / rc, 2)), 6) AS distance FROM p, r, f WHERE ticker <> '{FOCUS}' ORDER BY distance, ticker LIMIT 6""")
+  SELECT ticker, sqrt((fv - ff) / rf * ((fv - ff) / rf) + (cash_rate - fc) / rc * ((cash_rate - fc) / rc)) AS distance FROM p, r, f WHERE ticker <> '{FOCUS}' ORDER BY distance, ticker LIMIT 6""")
 def nearest_peers(spark, sf):
-    return rank.nearest(peer_rows(spark, sf).select("ticker", "fv", "cash_rate"), "ticker", FOCUS, ["fv", "cash_rate"], 6).select("ticker", F.round("distance", 6).alias("distance"))
+    return rank.nearest(peer_rows(spark, sf).select("ticker", "fv", "cash_rate"), "ticker", FOCUS, ["fv", "cash_rate"], 6).select("ticker", "distance")
 
 
 @query(PEERS + f", r AS (SELECT ticker, fv, rank() OVER (ORDER BY fv DESC) AS rank, row_number() OVER (ORDER BY fv DESC, ticker) rn FROM p) SELECT ticker, fv, rank FROM r WHERE rn <= 5 OR ticker = '{FOCUS}'")

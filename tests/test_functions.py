@@ -50,7 +50,7 @@ def test_standards(spark):
 
 
 def test_buckets(spark):
-    each(spark, text.spread_bucket, [(3.9, "<4%"), (4.0, "4–5%"), (8.0, "8%+"), (None, None)], "double")
-    each(spark, text.age_bucket, [(0.5, "<1y"), (5.0, "5y+")], "double")
+    each(spark, text.spread_bucket, [(2.9, "<3%"), (3.0, "3–4%"), (7.0, "7%+"), (None, None)], "double")
+    each(spark, text.age_bucket, [(0.5, "0–1 yrs"), (5.0, "5+ yrs")], "double")
     each(spark, lambda c: text.wall_bucket(c, 2026, 2036), [(2020, "≤2026"), (2030, "2030"), (2036, "2036+"), (None, None)], "int")
     each(spark, lambda c: text.maturity_bucket(c, 2028), [(2027, "2027"), (2030, "2029–2030"), (2035, "2031+"), (2045, "2045")], "int")
