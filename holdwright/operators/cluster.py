@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from .shared import connected_components
+
 
 def lcs(a: str, b: str) -> int:
     """Length of the longest common subsequence, by bit-parallel rows."""
@@ -57,34 +59,13 @@ def similar_pairs(names: DataFrame, name: str, block: Column, least: float = 88,
     return p.withColumn("score", similarity("ka", "kb")).filter(F.col("score") >= least).select("a", "b", "score")
 
 
-def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
-    """(node, root) of the undirected edges (a, b): each round every node takes the least root
-    around it, then that root's root. Checkpoints cut the lineage."""
-    spark = edges.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
-    roots = both.groupBy(F.col("a").alias("node")).agg(F.least("a", F.min("b")).alias("root")).checkpoint()
-    for _ in range(rounds):
-        around = both.join(roots.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
-        new = roots.join(around, "node").select("node", F.least("root", "near").alias("root"))
-        up = new.select(F.col("node").alias("root"), F.col("root").alias("top"))
-        new = new.join(up, "root", "left").select("node", F.least("root", F.coalesce("top", "root")).alias("root")).checkpoint()
-        if not new.join(roots.withColumnRenamed("root", "old"), "node").filter("root <> old").limit(1).count():
-            return new
-        roots = new
-    return roots
-
-
 def clusters(names: DataFrame, name: str, block: Column, base: Column, least: float = 88) -> DataFrame:
     """(name, canonical): names with one base (without the legal form) are one company, then
     similar ones of a block; the canonical name is the longest, then the least."""
     n = names.select(F.col(name).alias("name"), block.alias("block"), base.alias("base")).distinct()
     same = n.withColumn("least", F.min("name").over(_by("base"))).filter("name <> least").select(F.col("least").alias("a"), F.col("name").alias("b"))
     edges = same.unionByName(similar_pairs(names, name, block, least).select("a", "b"))
-    roots = components(edges)
+    roots = connected_components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
     rooted = n.select("name").join(roots.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name"))
     best = rooted.groupBy("root").agg(F.min(F.struct(-F.length("name"), "name")).alias("b")).select("root", F.col("b.name").alias("canonical"))
     return rooted.join(best, "root").select("name", "canonical")
