@@ -1,6 +1,6 @@
 """Credit quality as filings tell it: shares on non-accrual, risk rating, how many borrowers.
 
-The text is cut into sentences, and each sentence that names the thing is read on its own,
+The text is cut into sentences, and each sentence that names the thing is read as a row of tokens,
 so a figure of another sentence or period is never taken.
 """
 
@@ -9,38 +9,41 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_PCT = r"(\d{1,2}(?:\.\d+)?)\s*%"
-_LABEL = {"cost": r"(?:amortized\s+)?cost", "fv": r"fair\s+value"}
+#: What is read of a sentence: percentages, and the measures that they are of.
+TOKEN = r"(\d{1,2}(?:\.\d+)?\s*%|\bcost\b|\bfair value\b)"
+#: No share on non-accrual is above this.
+MOST = 40
 # Numbers that are written out.
 WORDS = {w: n for n, w in enumerate(["one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten", "eleven", "twelve"], 1)}
 
 
-def _first(sentences: Column, pattern: str, group: int = 1) -> Column:
-    """The group in the first sentence that has the pattern, else null."""
-    hit = F.filter(F.transform(sentences, lambda s: F.regexp_extract(s, pattern, group)), lambda x: x != "")
-    return F.try_element_at(hit, F.lit(1))
+def _shares(sentence: Column) -> Column:
+    """array<struct<measure, pct>>: two percentages before two measures go with them in order; else a percentage goes with the measure after it, or before it."""
+    t = F.transform(F.regexp_extract_all(F.lower(sentence), F.lit(TOKEN), 1), lambda x: F.regexp_replace(x, r"[\s%]+$", ""))
+    at = lambda i: F.coalesce(F.get(t, i), F.lit(""))
+    figure = lambda x: x.rlike(r"^\d")
+    measure = lambda x: x.isin("cost", "fair value")
+    # The first of four tokens in a row that are two figures and two measures.
+    row = F.get(F.filter(F.transform(t, lambda _, i: i), lambda i: figure(at(i)) & figure(at(i + 1)) & measure(at(i + 2)) & measure(at(i + 3))), F.lit(0))
+    pair = lambda m, x: F.struct(m.alias("measure"), x.try_cast("double").alias("pct"))
+    alone = F.transform(F.filter(F.transform(t, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda p: figure(p["x"])), lambda p: pair(F.when(measure(at(p["i"] + 1)), at(p["i"] + 1)).when(measure(at(p["i"] - 1)), at(p["i"] - 1)), p["x"]))
+    return F.when(row.isNotNull(), F.array(pair(at(row + 2), at(row)), pair(at(row + 3), at(row + 1)))).otherwise(alone)
 
 
 def extract(text: Column) -> Column:
     """struct(cost_pct, fv_pct, count, risk_rating, confidence). A cost share below that of fair value is dropped as a misreading."""
     sentences = F.split(F.regexp_replace(text, r"\s+", " "), r"(?<=[a-z0-9%)][.;])\s+(?=[A-Z])")
-    about = F.filter(sentences, lambda s: s.rlike(r"(?i)non-accrual") & ~s.rlike(r"(?i)(other than|exclud(es?|ing))\s+(income from\s+)?non-accrual"))
-
-    def both(first: str, second: str, group: int) -> Column:
-        return _first(about, rf"(?i){_PCT}\s*(?:and|,)\s*(?:approximately\s+)?{_PCT}[^.]{{0,120}}?at\s+{_LABEL[first]}\s+and\s+(?:at\s+)?{_LABEL[second]}", group)
-
-    def labelled(kind: str) -> Column:
-        other = _LABEL["fv" if kind == "cost" else "cost"]
-        return F.coalesce(_first(about, rf"(?i){_PCT}(?:(?!{other}|%).){{0,90}}?(?:at|of)\s+(?:total\s+)?(?:\w+\s+){{0,3}}?{_LABEL[kind]}"), _first(about, rf"(?i){_LABEL[kind]}(?:(?!{other}|%).){{0,60}}?{_PCT}"))
-
-    number = lambda c: F.when(c.try_cast("double") <= 40, c.try_cast("double"))
-    fv = number(F.coalesce(both("fv", "cost", 1), both("cost", "fv", 2), labelled("fv")))
-    cost = number(F.coalesce(both("fv", "cost", 2), both("cost", "fv", 1), labelled("cost")))
+    low = F.transform(sentences, lambda s: F.lower(s))
+    about = F.filter(low, lambda s: s.contains("non-accrual") & ~s.rlike(r"(other than|excluding|excludes) (income from )?non-accrual"))
+    known = F.filter(F.flatten(F.transform(about, _shares)), lambda p: p["measure"].isNotNull() & (p["pct"] <= MOST))
+    first = lambda m: F.get(F.filter(known, lambda p: p["measure"] == m), F.lit(0))["pct"]
+    fv, cost = first("fair value"), first("cost")
     cost = F.when(fv.isNull() | (cost >= fv), cost)
-    said = F.lower(_first(about, r"(?i)\b(\d{1,3}|" + "|".join(WORDS) + r")\b[^.,\d]{0,60}?(?:compan|issuer|investment|loan)[^.]{0,60}?\b(?:were|are)\s+(?:on\s+)?non-accrual"))
+    counted = F.filter(about, lambda s: s.rlike(r"\b(compan|issuer|investment|loan)\w* (was|were|are|is) (placed )?(on )?non-accrual"))
+    number = F.regexp_extract(F.get(counted, F.lit(0)), r"\b(\d{1,3}|" + "|".join(WORDS) + r")\b(?! *%)[a-z -]*\b(?:compan|issuer|investment|loan)", 1)
     pairs = [F.lit(x) for kv in WORDS.items() for x in kv]
-    count = F.coalesce(F.try_element_at(F.create_map(*pairs), said), said.try_cast("int"))
-    rated = F.filter(sentences, lambda s: s.rlike(r"(?i)risk rating|weighted average grade"))
-    risk = _first(rated, r"(?i)average\s+(?:internal\s+)?(?:grade|risk\s+rating)[^.;]{0,170}?(?:was|is|of|at)\s*([1-5](?:\.\d+)?)\b").try_cast("double")
+    count = F.coalesce(F.try_element_at(F.create_map(*pairs), number), number.try_cast("int"))
+    rated = F.filter(low, lambda s: s.contains("average") & s.rlike(r"risk rating|grade"))
+    risk = F.regexp_extract(F.get(rated, F.lit(0)), r"(?:rating|grade)\D*\b([1-5](?:\.\d+)?)\b", 1).try_cast("double")
     sure = F.when(cost.isNotNull() & fv.isNotNull(), "high").when(cost.isNotNull() | fv.isNotNull(), "medium").when(risk.isNotNull(), "low").otherwise("none")
     return F.struct(cost.alias("cost_pct"), fv.alias("fv_pct"), count.alias("count"), risk.alias("risk_rating"), sure.alias("confidence"))

@@ -1,4 +1,4 @@
-"""Combined rate cells, such as ``SOFR + 5.00% / 3.5% PIK, 1.00% floor`` or ``S+ 575``."""
+"""Combined rate cells, such as ``SOFR + 4.25% / 2% PIK`` or ``E+ 650, 0.75% floor``, read token by token."""
 
 from __future__ import annotations
 
@@ -7,37 +7,47 @@ from pyspark.sql import functions as F
 
 from .text import reference_rate
 
-_REF = r"(?i)((?:\d{1,2}[- ]?(?:m|month)s?\.? )?(?:sofr|sf|s|libor|l|euribor|e|prime|p|sonia|cdor|corra|bbsy|base rate))"
+# Words that name a rate before a sign.
+NAMES = ["sofr", "sf", "s", "libor", "l", "euribor", "e", "prime", "p", "sonia", "cdor", "corra", "bbsy", "rate"]
+# Words beside a number that say what it is.
+LOWEST, IN_KIND = ["floor", "minimum"], "pik"
+#: A figure, with its sign of per cent; a sign; or a word.
+TOKEN = r"(\d+(?:\.\d+)?(?:\s*%)?|[+-]|[a-z]+)"
 
 
-def _number(t: Column, pattern: str) -> Column:
-    found = F.regexp_extract(t, pattern, 1)
-    return F.when(found != "", found).try_cast("double")
+def _tokens(cell: Column) -> Column:
+    plain = F.regexp_replace(F.lower(F.coalesce(cell, F.lit(""))), r"\(\s*[a-z]\s*\)", " ")
+    return F.regexp_extract_all(F.regexp_replace(plain, r"(\d)-(?=[a-z])", "$1 "), F.lit(TOKEN), 1)
 
 
 def parse(cell: Column) -> Column:
     """struct(reference, spread, floor, pik, fixed), rates in per cent, null where not told.
 
-    A number after the name's sign is the spread: per cent if it says so, basis points if
-    it is whole and over 20. A floor is the percentage beside the word, either side; PIK the
-    one before it. A lone percentage without a name is a fixed rate.
+    Each figure has the role that its neighbours give it: after a name and a sign it is the spread (per cent if it says
+    so or is under 20, else basis points); beside floor or minimum, with a name or ``of`` or ``rate`` between at most, the
+    floor; before PIK the part paid in kind. A percentage at the head that has none of these roles is a fixed rate.
     """
-    t = F.regexp_replace(cell, r"\s+", " ")
-    base = _REF + r"\s*(?:\([A-Za-z]\))?\s*"
-    name = F.regexp_extract(t, base + r"[+-]\s*\d", 1)
-    sign = F.regexp_extract(t, base + r"([+-])\s*\d", 2)
-    size = _number(t, base.replace("((?:", "(?:(?:", 1) + r"[+-]\s*(\d+(?:\.\d+)?)")
-    percent = F.regexp_extract(t, base + r"[+-]\s*\d+(?:\.\d+)?\s*%", 0) != ""
-    spread = F.when(percent | (size < 20), size).otherwise(size / 100)
-    spread = F.when(sign == "-", -spread).otherwise(spread)
-    floor = F.coalesce(_number(t, r"(?i)floor\s*(?:rate)?\s*(?:of\s*)?(\d+(?:\.\d+)?)\s*%"), _number(t, r"(?i)(\d+(?:\.\d+)?)\s*%\s*(?:[A-Za-z]+\s+)?(?:floor|minimum)"))
-    pik = _number(t, r"(?i)(\d+(?:\.\d+)?)\s*%\s*pik")
-    fixed = F.when(name == "", _number(t, r"^\s*(\d+(?:\.\d+)?)\s*%"))
-    month = F.regexp_replace(F.lower(name), r"^\d{1,2}[- ]?(m|month)s?\.? ", "")
+    t = _tokens(cell)
+    at = lambda i: F.coalesce(F.get(t, i), F.lit(""))
+
+    def role(x: Column, i: Column) -> Column:
+        before, after = at(i - 1), at(i + 1)
+        spread = before.isin("+", "-") & at(i - 2).isin(NAMES)
+        floor = after.isin(LOWEST) | (after.isin(NAMES) & at(i + 2).isin(LOWEST)) | before.isin(LOWEST) | (before.isin("of", "rate") & (at(i - 2).isin(LOWEST) | at(i - 3).isin(LOWEST)))
+        return F.when(spread, "spread").when(after == IN_KIND, "pik").when(floor, "floor").when((i == 0) & x.endswith("%"), "fixed").otherwise("")
+
+    marked = F.transform(t, lambda x, i: F.struct(x.alias("x"), i.alias("i"), F.when(x.rlike(r"^\d"), role(x, i)).otherwise("").alias("role")))
+    one = lambda name: F.get(F.filter(marked, lambda m: m["role"] == name), F.lit(0))
+    value = lambda m: F.regexp_replace(m["x"], r"[\s%]", "").try_cast("double")
+    s = one("spread")
+    size = F.when(s["x"].endswith("%") | (value(s) < 20), value(s)).otherwise(value(s) / 100)
+    named = F.when(at(s["i"] - 2) == "rate", F.concat_ws(" ", at(s["i"] - 3), at(s["i"] - 2))).otherwise(at(s["i"] - 2))
+    named = F.when(named == "e", "euribor").otherwise(named)
+    pik = value(one("pik"))
     return F.struct(
-        F.when(name != "", reference_rate(month)).alias("reference"),
-        spread.alias("spread"),
-        floor.alias("floor"),
+        F.when(s.isNotNull(), reference_rate(named)).alias("reference"),
+        F.when(at(s["i"] - 1) == "-", -size).otherwise(size).alias("spread"),
+        value(one("floor")).alias("floor"),
         F.when(pik != 0, pik).alias("pik"),
-        F.when(pik.isNull() | (fixed != pik), fixed).alias("fixed"),
+        F.when(s.isNull(), value(one("fixed"))).alias("fixed"),
     )

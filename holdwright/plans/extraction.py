@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import names
+from ..functions import credit, names, rates
 from ..operators import aggregate as A
 from ..operators import filings, reconcile
 from .binding import query, table
@@ -194,3 +194,30 @@ def standardized_rows(spark, sf):
         _pick(F.col("p_size"), [s.strip(" -,") for s in _SUFFIXES]).alias("investment_type"), F.lit("S +").alias("reference_rate"), F.when(k == 0, "2024-01-31").otherwise("5.00%").alias("spread"),
     )
     return filings.standardize(rows)
+
+
+_X = "round((o_custkey % 900) / 100.0, 2)::DOUBLE"
+
+
+@query(f"""SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 3 THEN NULL WHEN o_orderkey % 5 = 4 THEN NULL ELSE ['SOFR', 'LIBOR', 'Prime'][o_orderkey % 5 + 1] END AS reference, CASE o_orderkey % 5 WHEN 0 THEN {_X} WHEN 1 THEN -{_X} WHEN 2 THEN 20 + o_custkey % 900 END::DOUBLE / CASE WHEN o_orderkey % 5 = 2 THEN 100 ELSE 1 END AS spread,
+  CASE o_orderkey % 5 WHEN 0 THEN 0.75 WHEN 2 THEN 1.25 END::DOUBLE AS floor, CASE WHEN o_orderkey % 5 = 1 THEN 2.5 END::DOUBLE AS pik, CASE WHEN o_orderkey % 5 = 3 THEN {_X} END AS fixed FROM orders""")
+def rate_cells_read(spark, sf):
+    """Combined cells of rates: per cent with a floor, a negative spread with PIK, basis points with a named floor, a fixed rate, words alone."""
+    k, x = F.col("o_orderkey") % 5, F.format_string("%.2f", F.round((F.col("o_custkey") % 900) / 100.0, 2))
+    cell = F.when(k == 0, F.concat(F.lit("SOFR + "), x, F.lit("%, Floor 0.75%"))).when(k == 1, F.concat(F.lit("3-month LIBOR - "), x, F.lit("% / 2.5% PIK")))
+    cell = cell.when(k == 2, F.concat(F.lit("P+ "), (F.col("o_custkey") % 900 + 20).cast("string"), F.lit(", 1.25% PRIME floor"))).when(k == 3, F.concat(x, F.lit("%"))).otherwise(F.lit("see note"))
+    return table(spark, sf, "orders").select("o_orderkey", rates.parse(cell).alias("r")).select("o_orderkey", "r.*")
+
+
+@query("""SELECT c_custkey, CASE WHEN k = 0 THEN a + 1 WHEN k = 1 THEN a END::DOUBLE AS cost_pct, CASE WHEN k IN (0, 2) THEN a END::DOUBLE AS fv_pct, CASE WHEN k = 0 THEN (1 + c_custkey % 12)::INTEGER END AS count, CASE WHEN k = 3 THEN 2.5 END::DOUBLE AS risk_rating,
+  CASE k WHEN 0 THEN 'high' WHEN 3 THEN 'low' ELSE 'medium' END AS confidence FROM (SELECT c_custkey, c_custkey % 4 AS k, (c_custkey % 30) / 2.0 AS a FROM customer)""")
+def credit_texts(spark, sf):
+    """Sentences on non-accrual: two figures in order, one at cost, one excluded beside one at fair value, a rating alone."""
+    k, a = F.col("c_custkey") % 4, (F.col("c_custkey") % 30) / 2.0
+    low, high = F.format_string("%.1f", a), F.format_string("%.1f", a + 1)
+    word = _pick(F.col("c_custkey"), list(credit.WORDS))
+    said = F.when(k == 0, F.concat(F.lit("In 2024, "), word, F.lit(" companies were on non-accrual. Non-accrual loans were "), low, F.lit("% and "), high, F.lit("% at fair value and cost. Nothing else.")))
+    said = said.when(k == 1, F.concat(F.lit("Our non-accrual loans came to "), low, F.lit("% at amortized cost. Other loans were 9% at fair value.")))
+    said = said.when(k == 2, F.concat(F.lit("Income excluding non-accrual loans was 5% at cost. The non-accrual loans were "), low, F.lit("% of all at fair value.")))
+    said = said.otherwise(F.lit("Nothing is on hold. The average risk rating of loans was 2.5."))
+    return table(spark, sf, "customer").select("c_custkey", credit.extract(said).alias("c")).select("c_custkey", "c.*")

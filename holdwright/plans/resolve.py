@@ -109,7 +109,7 @@ def similar_names(spark, sf):
 @query()
 def company_index(spark, sf):
     name = F.col("name")
-    found = cluster.clusters(part_names(spark, sf), "name", text.block_key(name), text.without_legal_form(name), 95)
+    found = cluster.clusters(part_names(spark, sf), "name", text.block_key(name), text.without_legal_form(name))
     return cluster.index(found, text.stable_id(F.col("canonical"))).withColumn("variants", F.array_join("variants", "|"))
 
 

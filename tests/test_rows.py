@@ -25,8 +25,9 @@ def test_row_kinds(spark):
 
 def test_rate_cells(spark):
     cases = [
-        ("SOFR + 5.00% / 3.5% PIK", ("SOFR", 5.0, None, 3.5, None)), ("3-month SOFR + 8.01%, Floor 1.00%", ("SOFR", 8.01, 1.0, None, None)), ("S+ 1200 , 1.00 % SOFR Floor", ("SOFR", 12.0, 1.0, None, None)),
-        ("Prime - 0.55%", ("Prime", -0.55, None, None, None)), ("12.5%", (None, None, None, None, 12.5)), ("none", (None, None, None, None, None)), ("L + 5.75%", ("LIBOR", 5.75, None, None, None)),
+        ("SOFR + 4.25% / 2% PIK", ("SOFR", 4.25, None, 2.0, None)), ("6-month LIBOR + 7.5%, Floor 1.25%", ("LIBOR", 7.5, 1.25, None, None)), ("E+ 650, 0.75% EURIBOR floor", ("Euribor", 6.5, 0.75, None, None)),
+        ("Prime - 0.4%", ("Prime", -0.4, None, None, None)), ("11.25%", (None, None, None, None, 11.25)), ("variable", (None, None, None, None, None)), ("L (Q) + 6%", ("LIBOR", 6.0, None, None, None)),
+        ("9% PIK", (None, None, None, 9.0, None)), ("10.5% / 3% PIK", (None, None, None, 3.0, 10.5)), ("SOFR + 6% (floor of 2%)", ("SOFR", 6.0, 2.0, None, None)), (None, (None, None, None, None, None)),
     ]
     df = spark.createDataFrame([(i, c) for i, (c, _) in enumerate(cases)], "i int, c string")
     for r, (c, want) in zip(df.orderBy("i").select(rates.parse(F.col("c")).alias("r")).collect(), cases, strict=True):
@@ -35,10 +36,11 @@ def test_rate_cells(spark):
 
 def test_credit(spark):
     cases = [
-        ("As of March 31, 2024, two portfolio companies were on non-accrual status. Loans on non-accrual represented 1.1% and 4.0% of total debt investments at fair value and cost, respectively. The weighted average risk rating was 2.1 at year end.", (4.0, 1.1, 2, 2.1, "high")),
-        ("Investments on non-accrual were 2.5% of the portfolio at amortized cost. Nothing else.", (2.5, None, None, None, "medium")),
-        ("Income other than non-accrual loans was 5.0% at cost.", (None, None, None, None, "none")),
-        ("Non-accrual loans were 1.0% at cost and 2.0% at fair value.", (None, 2.0, None, None, "medium")),
+        ("At 30 June 2025, five issuers were on non-accrual. Non-accrual assets stood at 2.2% and 3.1% of all loans at fair value and amortized cost. The average risk rating was 1.9.", (3.1, 2.2, 5, 1.9, "high")),
+        ("Non-accrual loans made up 6.5% of the book at cost. Nothing else, 9% fair value.", (6.5, None, None, None, "medium")),
+        ("Fees other than non-accrual loans were 5.5% at cost.", (None, None, None, None, "none")),
+        ("On non-accrual: 1.5% at cost and 2.5% at fair value.", (None, 2.5, None, None, "medium")),
+        ("Non-accrual loans were 55% at cost. 12 companies were on non-accrual.", (None, None, 12, None, "none")),
         (None, (None, None, None, None, "none")),
     ]
     df = spark.createDataFrame([(i, c) for i, (c, _) in enumerate(cases)], "i int, c string")
