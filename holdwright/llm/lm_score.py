@@ -222,7 +222,7 @@ def score(
             found = t.column("counts")
             n[dealt(keys, deals, parts)[0]] = np.concatenate([unpack(found[r].as_py()) for r in rows[1:]])
         backed, single, sums = _scored(block, [n[x] for x in at], total, alpha, min_count)
-        return pa.table([me["ids"].values, block.sizes, backed, single, np.round(sums, 6)], names=[id_col, "n_words", "n_backoff", "n_single", "score"])
+        return pa.table([me["ids"].values, block.sizes, backed, single, sums], names=[id_col, "n_words", "n_backoff", "n_single", "score"])
 
     both = laid.unionByName(counts(rows).filter("block >= 0"), allowMissingColumns=True)
     return both.groupBy("block").applyInArrow(finish, f"{id_col} {kind}, n_words long, n_backoff long, n_single long, score double")

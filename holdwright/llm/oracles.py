@@ -101,10 +101,10 @@ WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array({_LOWER}, '[\\x09-\\
   p AS (SELECT doc_id, w[i] AS w, CASE WHEN i > 1 THEN w[i - 1] END AS v, CASE WHEN i > 2 THEN w[i - 2] END AS u FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
   c1 AS (SELECT w, count(*) AS n FROM p GROUP BY 1), c2 AS (SELECT v, w, count(*) AS n FROM p WHERE v IS NOT NULL GROUP BY 1, 2), c3 AS (SELECT u, v, w, count(*) AS n FROM p WHERE u IS NOT NULL GROUP BY 1, 2, 3),
   t AS (SELECT count(*) AS n FROM p),
-  k AS (SELECT doc_id, p.u, p.v, t.n AS total, w1.n AS w, v1.n AS v, vw.n AS vw, uv.n AS uv, uvw.n AS uvw FROM p CROSS JOIN t JOIN c1 w1 ON p.w = w1.w LEFT JOIN c1 v1 ON p.v = v1.w
+  k AS (SELECT doc_id, p.u, p.v, t.n AS total, w1.n AS n_w, v1.n AS n_v, vw.n AS n_vw, uv.n AS n_uv, uvw.n AS n_uvw FROM p CROSS JOIN t JOIN c1 w1 ON p.w = w1.w LEFT JOIN c1 v1 ON p.v = v1.w
     LEFT JOIN c2 vw ON p.v = vw.v AND p.w = vw.w LEFT JOIN c2 uv ON p.u = uv.v AND p.v = uv.w LEFT JOIN c3 uvw ON p.u = uvw.u AND p.v = uvw.v AND p.w = uvw.w),
-  s AS (SELECT doc_id, CASE WHEN k.u IS NOT NULL AND uvw >= 1 THEN ln(uvw / uv) WHEN k.v IS NOT NULL AND vw >= 1 THEN ln(vw / v) ELSE ln(w / total) END AS s,
-    coalesce(CASE WHEN k.u IS NOT NULL THEN uvw < 1 WHEN k.v IS NOT NULL THEN vw < 1 END, false) AS backed, coalesce(uvw, vw, w) = 1 AS single FROM k)
+  s AS (SELECT doc_id, CASE WHEN u IS NOT NULL THEN ln(n_uvw / n_uv) WHEN v IS NOT NULL THEN ln(n_vw / n_v) ELSE ln(n_w / total) END AS s,
+    coalesce(CASE WHEN u IS NOT NULL THEN n_uvw < 1 WHEN v IS NOT NULL THEN n_vw < 1 END, false) AS backed, coalesce(n_uvw, n_vw, n_w) = 1 AS single FROM k)
 SELECT d.doc_id, CAST(count(s) AS BIGINT) AS n_words, CAST(coalesce(sum(CAST(backed AS BIGINT)), 0) AS BIGINT) AS n_backoff, CAST(coalesce(sum(CAST(single AS BIGINT)), 0) AS BIGINT) AS n_single,
   round(coalesce(sum(s), 0), 3) AS score FROM d LEFT JOIN s ON d.doc_id = s.doc_id GROUP BY 1
 """
