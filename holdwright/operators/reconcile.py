@@ -7,13 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import parse
+
 
 def band(delta_pct: Column, match: float = 5, near: float = 10) -> Column:
     return F.when(delta_pct.isNull(), "missing").when(F.abs(delta_pct) <= match, "match").when(F.abs(delta_pct) <= near, "near").otherwise("mismatch")
 
 
-def trust(match_pct: Column, high: float = 80, medium: float = 50) -> Column:
-    return F.when(match_pct.isNull(), "unknown").when(match_pct >= high, "high").when(match_pct >= medium, "medium").otherwise("low")
+def trust(match: Column, near: Column, mismatch: Column) -> Column:
+    """good without a mismatch and with 80 per cent matched; warn from 50 per cent on; else bad; unknown where nothing was checked."""
+    checked = match + near + mismatch
+    share = parse.safe_ratio(match * 100.0, checked)
+    return F.when(checked == 0, "unknown").when((mismatch == 0) & (share >= 80), "good").when(share >= 50, "warn").otherwise("bad")
 
 
 def balanced(assets: Column, others: Column, share: float = 0.03) -> Column:

@@ -179,15 +179,16 @@ def reconcile_periods(spark, sf):
 
 
 _TRUST = _RECON + """, t AS (SELECT ticker, count(*) n, count(*) FILTER (WHERE status = 'match') n_match, count(*) FILTER (WHERE status = 'near') n_near, count(*) FILTER (WHERE status = 'mismatch') n_mismatch FROM c GROUP BY 1),
-  g AS (SELECT *, round(n_match * 100.0::DOUBLE / n, 4) AS match_pct, CASE WHEN n_match * 100.0::DOUBLE / n >= 80 THEN 'high' WHEN n_match * 100.0::DOUBLE / n >= 50 THEN 'medium' ELSE 'low' END AS trust FROM t) """
+  k AS (SELECT *, n_match * 100.0::DOUBLE / nullif(n_match + n_near + n_mismatch, 0) AS share FROM t),
+  g AS (SELECT * EXCLUDE (share), round(share, 4) AS match_pct, CASE WHEN share IS NULL THEN 'unknown' WHEN n_mismatch = 0 AND share >= 80 THEN 'good' WHEN share >= 50 THEN 'warn' ELSE 'bad' END AS trust FROM k) """
 
 
 @query(_TRUST + "SELECT * FROM g")
 def reconcile_trust(spark, sf):
     n = lambda s: F.count_if(F.col("status") == s)
     t = recon(spark, sf).groupBy("ticker").agg(F.count(F.lit(1)).alias("n"), n("match").alias("n_match"), n("near").alias("n_near"), n("mismatch").alias("n_mismatch"))
-    share = F.col("n_match") * 100.0 / F.col("n")
-    return t.withColumn("match_pct", F.round(share, 4)).withColumn("trust", reconcile.trust(share))
+    m, near, off = F.col("n_match"), F.col("n_near"), F.col("n_mismatch")
+    return t.withColumn("match_pct", F.round(parse.safe_ratio(m * 100.0, m + near + off), 4)).withColumn("trust", reconcile.trust(m, near, off))
 
 
 @query(_TRUST + "SELECT trust, count(*) tickers, sum(n)::BIGINT periods, sum(n_match)::BIGINT n_match FROM g GROUP BY ROLLUP (trust)")
