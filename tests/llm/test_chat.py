@@ -44,3 +44,20 @@ def test_odd(spark, monkeypatch):
     df = spark.createDataFrame([(*r, "x", 1) for r in rows], "conv_id long, turn long, role string, text string, part string, start int")
     assert got(chat.rotate(df)) == brute(rows, 4)
     assert chat.rotate(df.limit(0)).count() == 0
+
+
+def test_many_rows_of_one_range(spark, monkeypatch):
+    """Null and repeated turn numbers, equal rows and a null conversation come in rows of at most MOST turns that join to the whole."""
+    some = [(c, t, f"p{k % 2}", f"text {k % 7}") for c, t, n in ((1, None, 40), (1, 3, 25), (None, 0, 30), (2, 9, 3)) for k in range(n)]
+    df = spark.createDataFrame([(*r, "x") for r in some], "conv_id long, turn long, role string, text string, piece string").repartition(5)
+    whole = brute(some, chat.PART)
+    monkeypatch.setattr(chat, "MOST", 8)
+    rows = sorted(got(chat.rotate(df)), key=lambda r: r[4])
+    joined = defaultdict(lambda: [0, None, "", []])
+    for c, who, part, n, at, text, mask in rows:
+        assert 0 < n <= 8
+        j = joined[c, who, part]
+        j[1] = at if j[1] is None else j[1]
+        assert at == j[1] + len(j[2])
+        j[0], j[2], j[3] = j[0] + n, j[2] + text, j[3] + mask
+    assert sorted(((*k, *v) for k, v in joined.items()), key=str) == whole
