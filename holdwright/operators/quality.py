@@ -137,12 +137,13 @@ def without_spacers(grid: Column) -> Column:
     empty = lambda c: F.size(F.filter(data, lambda r: cell(r, c) == ""))
     kept = F.filter(places, lambda c: F.lower(cell(F.get(grid, F.lit(0)), c)).rlike("|".join(RATE_HEADS)) | (empty(c) * 10 <= n * 8))
     signs = lambda c: F.size(F.filter(data, lambda r: cell(r, c).isin("%", "$")))
-    units = F.filter(kept, lambda c: signs(c) * 2 > n - empty(c))
+    # A lambda's variable is evaluated once, an expression inside a lambda for every element.
+    once = lambda x, f: F.get(F.transform(F.array(x), f), F.lit(0))
 
     def sign_on(value, sign):
         return F.when(value == "", "").when(sign == "$", F.concat(F.lit("$"), value)).when(sign == "%", F.concat(value, F.lit("%"))).otherwise(value)
 
-    def row(r):
+    def row(r, kept, units):
         none = F.struct(F.array().cast("array<string>").alias("out"), F.lit(False).alias("skip"))
 
         def step(acc, k):
@@ -159,7 +160,9 @@ def without_spacers(grid: Column) -> Column:
         steps = F.when(F.size(kept) > 0, F.sequence(F.lit(0), F.greatest(F.size(kept) - 1, F.lit(0)))).otherwise(F.array().cast("array<int>"))
         return F.aggregate(steps, none, step, lambda acc: acc["out"])
 
-    return F.when(F.size(grid) < 2, grid).otherwise(F.transform(grid, row))
+    rows = lambda k, u: F.transform(grid, lambda r: row(r, k, u))
+    whole = once(kept, lambda k: once(F.filter(k, lambda c: signs(c) * 2 > n - empty(c)), lambda u: rows(k, u)))
+    return F.when(F.size(grid) < 2, grid).otherwise(whole)
 
 
 def leading_companies(exposures: DataFrame, limit: int = 10, least_funds: int = 2) -> DataFrame:
