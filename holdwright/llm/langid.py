@@ -14,7 +14,8 @@ below. A class of under ``ENOUGH`` texts takes its neighbours in; where all labe
 are fewer, ``max_distance`` alone holds.
 
 The document frequencies come from all labelled texts. The centroids come from a
-sample of about ``sample`` labelled texts a language, chosen by a hash of the id.
+sample of about ``sample`` labelled texts a language, chosen by a hash of id and text, so
+that rows without an id, or that share one, are sampled like any others.
 
 Defined results: a null text and one without a letter are ``und``, score 0, rejected;
 a null label teaches nothing; with no labelled text at all every text is ``und``;
@@ -154,7 +155,7 @@ def fit(docs: DataFrame, where: Column | None = None, sample: int = SAMPLE, cent
     # they are read, so those of a frequent language never come together.
     share = materialize(share, "languages")
     few = share.count() <= MOST_LANGUAGES
-    some = taught.join(F.broadcast(share) if few else share, "lang").filter(F.pmod(F.xxhash64(F.coalesce("id", F.lit(""))), F.lit(1 << 30)) < F.col("below")).select("lang", "id", "text")
+    some = taught.join(F.broadcast(share) if few else share, "lang").filter(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) < F.col("below")).select("lang", "id", "text")
 
     def learn(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
         t = t.sort_by([("id", "ascending"), ("text", "ascending")])  # whatever order the rows came in

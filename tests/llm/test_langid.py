@@ -33,6 +33,23 @@ def test_model_against_all_centroids(spark, sf):
         assert model.predict(r.text) == (model.langs[int(cos.argmax())], float(np.clip(cos.max(), 0, 1))) or abs(cos.max() - model.predict(r.text)[1]) < 1e-6
 
 
+def test_frequencies_against_all_texts(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = langid.fit(docs, ~langid.held_out())
+    taught = [r.text for r in docs.collect() if r.text is not None and r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 5]
+    df = np.zeros(langid.DIM)
+    for text in taught:
+        df[langid.ngrams(text)[0]] += 1
+    assert np.allclose(model.idf, np.log((1 + len(taught)) / (1 + df)) + 1e-3)
+    assert sorted(set(model.langs)) == sorted({r.lang for r in docs.collect() if r.lang is not None})
+
+
+def test_one_id_for_all_rows_is_sampled(spark):
+    same = spark.range(3000, numPartitions=4).select(F.lit(7).alias("doc_id"), F.concat(F.lit("text number "), F.format_string("%x", F.xxhash64("id"))).alias("text"), F.lit("en").alias("lang"))
+    model = langid.fit(same, sample=50)
+    assert set(model.langs) == {"en"} and len(model.langs) == langid.CENTROIDS
+
+
 def test_odd(spark, sf):
     model = langid.fit(spark.read.parquet(f"{sf}/documents.parquet"))
     odd = odd_documents(spark)
