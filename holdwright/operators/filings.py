@@ -106,6 +106,29 @@ def money_cells(cells: Column) -> Column:
     return F.struct(back(3).alias("principal"), back(2).alias("cost"), back(1).alias("fair_value"))
 
 
+# Spellings of a maturity that fill a cell.
+MATURITY = r"(?i)^(\d{1,2}/\d{1,2}/\d{4}|\d{1,2}[/-]\d{4}|\d{4}-\d{2}-\d{2}|n/?a|(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*[\s-]\d{4})$"
+
+
+def around_maturity(cells: Column) -> Column:
+    """struct(rate, maturity, principal, cost, fair_value) of a row of cells behind its name: what stands before the first
+    cell that is a maturity tells the rate (filled cells, in order), what stands behind it is money.
+
+    ``n/a`` is a maturity without a date, and a month is its first day. Without any maturity all cells are of the rate and there is no money.
+    """
+    plain = F.transform(cells, lambda c: F.trim(F.coalesce(c, F.lit(""))))
+    places = F.filter(F.transform(plain, lambda c, i: F.when(c.rlike(MATURITY), i + 1)), lambda i: i.isNotNull())
+    at = F.try_element_at(places, F.lit(1))
+    told = F.try_element_at(plain, at)
+    month = F.regexp_extract(told, r"^([A-Za-z]{3})[A-Za-z]*[\s-](\d{4})$", 0)
+    month = F.when(month != "", F.concat(F.initcap(F.substring(month, 1, 3)), F.lit(" "), F.right(month, F.lit(4)), F.lit(" 01")))
+    maturity = F.when(told.rlike("(?i)^n/?a$"), None).otherwise(F.coalesce(F.date_format(F.try_to_date(month, "MMM yyyy dd"), "yyyy-MM-dd"), parse.normalize_date(told)))
+    before = F.slice(plain, 1, F.coalesce(at - 1, F.size(plain)))
+    behind = F.when(at.isNotNull() & (at < F.size(plain)), F.slice(plain, at + 1, F.greatest(F.size(plain) - at, F.lit(0)))).otherwise(F.array().cast("array<string>"))
+    money = money_cells(behind)
+    return F.struct(F.filter(before, lambda c: c != "").alias("rate"), maturity.alias("maturity"), *[money[n].alias(n) for n in ("principal", "cost", "fair_value")])
+
+
 def drop_sparse_twins(df: DataFrame, keys: Sequence[str], fields: Sequence[str], seq: str, sparse: int = 5) -> DataFrame:
     """Rows of one key (company and value): those with at most ``sparse`` fields go where a richer row, or an equal one before them, is there."""
     w = Window.partitionBy(*keys)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from ..functions import credit, names, rates
 from ..operators import aggregate as A
 from ..operators import filings, reconcile
+from ..sources import documents
+from ..sources import facts as sources_facts
 from .binding import query, table
 from .cleaning import _pick, _sql_pick
 
@@ -221,3 +223,49 @@ def credit_texts(spark, sf):
     said = said.when(k == 2, F.concat(F.lit("Income excluding non-accrual loans was 5% at cost. The non-accrual loans were "), low, F.lit("% of all at fair value.")))
     said = said.otherwise(F.lit("Nothing is on hold. The average risk rating of loans was 2.5."))
     return table(spark, sf, "customer").select("c_custkey", credit.extract(said).alias("c")).select("c_custkey", "c.*")
+
+
+@query("""WITH l AS (SELECT *, l_orderkey % 6 AS k FROM lineitem)
+  SELECT l_orderkey, l_linenumber, 'S + 5.75%|1.00%' || CASE WHEN k = 5 THEN '|USD|' || CAST(CAST(l_linenumber AS BIGINT) AS VARCHAR) ELSE '' END AS rate,
+    CASE WHEN k IN (0, 2) THEN strftime(l_shipdate, '%Y-%m-%d') WHEN k IN (1, 3) THEN strftime(l_shipdate, '%Y-%m') || '-01' END AS maturity,
+    CASE WHEN k < 5 THEN CAST(l_quantity AS DOUBLE) END AS principal, CASE WHEN k < 5 THEN CAST(l_linenumber AS DOUBLE) END AS cost, CASE WHEN k < 5 THEN -CAST(l_quantity AS DOUBLE) END AS fair_value FROM l""")
+def rows_around_maturity(spark, sf):
+    """Lines as rows of cells: rate, maturity in five spellings or none, money with signs of currency and blanks between."""
+    k = F.col("l_orderkey") % 6
+    spelled = F.when(k == 0, F.date_format("l_shipdate", "M/d/yyyy")).when(k == 1, F.date_format("l_shipdate", "MM/yyyy")).when(k == 2, F.date_format("l_shipdate", "yyyy-MM-dd"))
+    spelled = spelled.when(k == 3, F.date_format("l_shipdate", "MMMM yyyy")).when(k == 4, "N/A").otherwise("USD")
+    text = lambda c: F.col(c).cast("double").cast("string")
+    number = F.col("l_linenumber").cast("long").cast("string")
+    cells = F.when(k == 5, F.array(F.lit("S + 5.75%"), F.lit(""), F.lit("1.00%"), spelled, number))
+    cells = cells.otherwise(F.array(F.lit("S + 5.75%"), F.lit(""), F.lit("1.00%"), spelled, F.lit("$"), text("l_quantity"), F.lit(" "), number, F.concat(F.lit("("), text("l_quantity"), F.lit(")"))))
+    r = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", filings.around_maturity(cells).alias("r"))
+    return r.select("l_orderkey", "l_linenumber", F.array_join("r.rate", "|").alias("rate"), "r.maturity", "r.principal", "r.cost", "r.fair_value")
+
+
+@query("""WITH e AS (SELECT o_custkey, o_orderkey, CASE WHEN o_totalprice < 60000 THEN 'h' WHEN o_totalprice > 250000 THEN 's' ELSE 't' END AS kind, o_orderpriority = '1-URGENT' AS prior, o_orderpriority = '2-HIGH' AS other FROM orders),
+  m AS (SELECT *, max(CASE WHEN kind <> 't' THEN o_orderkey END) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS at FROM e),
+  p AS (SELECT m.*, h.kind = 'h' AS opened, coalesce(max(CASE WHEN m.kind = 't' AND m.prior THEN 1 ELSE 0 END) OVER (PARTITION BY m.o_custkey, m.at ORDER BY m.o_orderkey), 0) AS past FROM m LEFT JOIN e h ON h.o_orderkey = m.at),
+  i AS (SELECT *, kind = 't' AND coalesce(opened, false) AND past = 0 AS inside FROM p), a AS (SELECT *, max(inside::INT) OVER (PARTITION BY o_custkey) AS n_inside FROM i)
+  SELECT o_custkey, o_orderkey FROM a WHERE inside OR (n_inside = 0 AND kind = 't' AND other)""")
+def tables_under_headings(spark, sf):
+    """Orders as elements of a customer's filing: cheap ones head a schedule, dear ones end it, the others are tables."""
+    kind = F.when(F.col("o_totalprice") < 60000, "h").when(F.col("o_totalprice") > 250000, "s").otherwise("t")
+    e = table(spark, sf, "orders").select("o_custkey", "o_orderkey", kind.alias("kind"), "o_orderpriority")
+    is_, of = lambda k: F.col("kind") == k, lambda p: F.col("o_orderpriority") == p
+    return documents.under_headings(e, "o_custkey", "o_orderkey", is_("h"), is_("s"), is_("t"), of("1-URGENT"), of("2-HIGH")).select("o_custkey", "o_orderkey")
+
+
+@query("""WITH c AS (SELECT *, 'T' || c_custkey AS ticker, c_custkey % 5 AS k FROM customer)
+  SELECT ticker, CASE WHEN k IN (0, 1) THEN c_name WHEN k IN (2, 3) THEN 'Short ' || c_custkey ELSE ticker END AS name, CASE WHEN k = 0 THEN 'EUR' ELSE 'USD' END AS currency,
+    CASE WHEN k < 4 THEN CAST(CASE WHEN k = 1 AND c_nationkey <> 0 THEN c_nationkey ELSE c_acctbal END AS DOUBLE) END AS current_price, CASE WHEN k < 4 THEN CAST(c_acctbal AS DOUBLE) END AS market_price, CASE WHEN k < 4 THEN CAST(c_nationkey AS DOUBLE) * 10 END AS book FROM c""")
+def quotes_of_json(spark, sf):
+    """Customers as market quotes in JSON; every fifth can't be read."""
+    k = F.col("c_custkey") % 5
+    name = F.concat(F.lit("Short "), F.col("c_custkey").cast("string"))
+    body = F.struct(
+        F.when(k < 2, F.col("c_name")).when(k == 2, "").alias("longName"), F.when(k > 0, name).alias("shortName"), F.when(k == 0, "EUR").alias("currency"), F.col("c_acctbal").cast("double").alias("regularMarketPrice"),
+        F.when(k == 1, F.col("c_nationkey").cast("double")).alias("currentPrice"), (F.col("c_nationkey").cast("double") * 10).alias("bookValue"), F.array(F.lit(1)).alias("unknown"),
+    )
+    raw = table(spark, sf, "customer").select(F.concat(F.lit("T"), F.col("c_custkey").cast("string")).alias("ticker"), F.when(k == 4, "{not json").otherwise(F.to_json(body)).alias("payload"))
+    q = sources_facts.market_quotes(raw)
+    return q.select("ticker", "name", "currency", "current_price", F.col("price.regularMarketPrice").alias("market_price"), F.col("summary.bookValue").alias("book"))

@@ -111,6 +111,22 @@ def before_prior_year(tables: DataFrame, prior: Column) -> DataFrame:
     return d.filter((F.col("__past") == 0) | (F.col("__kept") == 0)).drop("__past", "__kept")
 
 
+def under_headings(elements: DataFrame, doc: str, pos: str, heading: Column, stop: Column, wanted: Column, prior: Column, other: Column) -> DataFrame:
+    """Of a filing's elements in order: those wanted under a heading, up to the next stop or the heading's first of the prior year.
+
+    A filing where no heading leads to any has those that ``other`` finds by their content. Conditions that are null don't hold.
+    """
+    so = lambda c: F.coalesce(c, F.lit(False))
+    run = Window.partitionBy(doc).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
+    mark = F.when(so(heading), F.struct(F.col(pos).alias("at"), F.lit(True).alias("open"))).when(so(stop), F.struct(F.col(pos).alias("at"), F.lit(False).alias("open")))
+    d = elements.withColumn("__m", F.last(mark, ignorenulls=True).over(run))
+    part = Window.partitionBy(doc, "__m.at").orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumn("__past", F.max(so(wanted & prior)).over(part))
+    d = d.withColumn("__in", so(wanted) & so(F.col("__m.open")) & ~F.col("__past"))
+    d = d.withColumn("__any", F.max("__in").over(Window.partitionBy(doc)))
+    return d.filter(F.col("__in") | (~F.col("__any") & so(wanted) & so(other))).select(*elements.columns)
+
+
 CONTEXTS = "doc string, id string, instant string, start string, end string, dimensions map<string,string>"
 FACTS = "doc string, context string, concept string, unit string, decimals string, value string"
 

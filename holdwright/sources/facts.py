@@ -54,6 +54,33 @@ def read_filings(spark: SparkSession, path: str, forms: list[str] = FORMS) -> Da
     return rows.filter(F.col("form").isin(forms)).withColumns({c: F.try_to_date(F.col(c), "yyyy-MM-dd") for c in ("filed", "report_date")})
 
 
+# Fields of a market quote by part, as the feed names them.
+QUOTE = {
+    "price": "regularMarketPrice regularMarketChange regularMarketChangePercent regularMarketPreviousClose regularMarketOpen regularMarketDayHigh regularMarketDayLow regularMarketVolume fiftyTwoWeekHigh fiftyTwoWeekLow averageVolume bid ask",
+    "summary": "marketCap enterpriseValue trailingPE forwardPE dividendYield dividendRate payoutRatio beta bookValue priceToBook",
+    "financial": "totalRevenue revenuePerShare totalCash totalCashPerShare totalDebt currentRatio quickRatio debtToEquity freeCashflow operatingCashflow",
+    "shares": "sharesOutstanding sharesShort shortRatio shortPercentOfFloat heldPercentInsiders heldPercentInstitutions",
+}
+
+
+def market_quotes(raw: DataFrame, ticker: str = "ticker", payload: str = "payload") -> DataFrame:
+    """(ticker, name, currency, current_price, price, summary, financial, shares) of each quote's JSON; what it lacks, or can't be read, is null.
+
+    The name is the long one, else the short one, else the ticker; the current price is the quote's, else the market's.
+    """
+    numbers = sorted({n for some in QUOTE.values() for n in some.split()} | {"currentPrice"})
+    schema = ",".join(["longName string", "shortName string", "currency string", *[f"{n} double" for n in numbers]])
+    q = raw.select(F.col(ticker).alias("ticker"), F.from_json(payload, schema).alias("q"))
+    full = lambda c: F.when(F.col(f"q.{c}") != "", F.col(f"q.{c}"))
+    return q.select(
+        "ticker",
+        F.coalesce(full("longName"), full("shortName"), "ticker").alias("name"),
+        F.coalesce("q.currency", F.lit("USD")).alias("currency"),
+        F.coalesce(F.when(F.col("q.currentPrice") != 0, F.col("q.currentPrice")), "q.regularMarketPrice").alias("current_price"),
+        *[F.struct(*[F.col(f"q.{n}") for n in some.split()]).alias(part) for part, some in QUOTE.items()],
+    )
+
+
 def zero_padded_ids(pairs: DataFrame, overrides: DataFrame) -> DataFrame:
     """(ticker, cik) with ten digits; overrides win."""
     pad = lambda d: d.select(F.upper("ticker").alias("ticker"), F.lpad(F.col("cik").cast("string"), 10, "0").alias("cik"))

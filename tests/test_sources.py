@@ -82,3 +82,31 @@ def test_xbrl(spark):
     assert contexts.count() == 2 and found.count() == 2
     p = documents.positions(contexts, found, "2024-03-31").collect()
     assert [(r.concept, r.value, r.dimensions) for r in p] == [("FairValue", "5000", {"axis": "Acme Member"})]
+
+
+def test_under_headings(spark):
+    kinds = [("a", "tTthtpts tht"), ("b", "ttoo"), ("c", "hp"), (None, "ht")]
+    rows = [(d, i, k) for d, ks in kinds for i, k in enumerate(ks)] + [("d", 0, None)]
+    e = spark.createDataFrame(rows, "doc string, pos long, kind string")
+    k = F.col("kind")
+    got = documents.under_headings(e, "doc", "pos", k == "h", k == "s", k.isin("t", "p", "o", "T"), k == "p", k == "o")
+    assert got.columns == e.columns
+    assert sorted((r.doc or "", r.pos) for r in got.collect()) == [("", 1), ("a", 4), ("a", 11), ("b", 2), ("b", 3)]
+    assert documents.under_headings(e.limit(0), "doc", "pos", k == "h", k == "s", k == "t", k == "p", k == "o").count() == 0
+
+
+def test_quotes(spark):
+    bodies = ['{"longName": "", "shortName": null, "currentPrice": 0, "regularMarketPrice": 3.5, "bid": "x"}', None, "", "[]"]
+    got = facts.market_quotes(spark.createDataFrame([(str(i), b) for i, b in enumerate(bodies)], "ticker string, payload string")).orderBy("ticker").collect()
+    assert [(r.name, r.currency, r.current_price) for r in got] == [("0", "USD", 3.5), ("1", "USD", None), ("2", "USD", None), ("3", "USD", None)]
+
+
+def test_around_maturity(spark):
+    from holdwright.operators import filings
+
+    rows = [["S + 5%", "3/31/2027", "1", "2", "3"], ["a", "Sept 2027", "7"], ["n/a"], [None, "", "10-2027", "-"], [], None, ["x", "1"]]
+    got = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, cells array<string>").select("i", filings.around_maturity(F.col("cells")).alias("r")).orderBy("i").select("r.*").collect()
+    assert [(r.rate, r.maturity, r.principal, r.cost, r.fair_value) for r in got[:5]] == [
+        (["S + 5%"], "2027-03-31", 1, 2, 3), (["a"], "2027-09-01", None, None, 7), ([], None, None, None, None), ([], "2027-10-01", None, None, 0), ([], None, None, None, None),
+    ]
+    assert got[5].maturity is None and got[5].fair_value is None and got[6].rate == ["x", "1"]
