@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ..operators.shared import connected_components, forget, materialize, shared_dir  # noqa: F401
 
@@ -24,3 +26,8 @@ def unused(df: DataFrame, *names: str) -> list[str]:
 def ascii_lower(c):
     """Lower-case A-Z alone; lower() is the quick test that most words need no change."""
     return F.when(F.lower(c) == c, c).otherwise(F.translate(c, UPPER, UPPER.lower()))
+
+
+def arrow_schema(ddl: str):
+    """The Arrow schema of a DDL one, for tasks, which have no session to read DDL with."""
+    return to_arrow_schema(StructType.fromDDL(ddl))

@@ -109,4 +109,17 @@ SELECT d.doc_id, CAST(count(s) AS BIGINT) AS n_words, CAST(coalesce(sum(CAST(bac
   round(coalesce(sum(s), 0), 3) AS score FROM d LEFT JOIN s ON d.doc_id = s.doc_id GROUP BY 1
 """
 
-SQL = {"op1_sharding": OP1, "op3_warc": OP3, "op5_embedding_dedup": OP5, "op6_mixing": OP6, "op8_chat": OP8, "op9_decontamination": OP9, "op10_lm_score": OP10}
+_TERMS = r"regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+OP13 = f"""
+WITH t AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+  d AS (SELECT r, doc_id, len(w) AS n FROM t WHERE len(w) > 0), s AS (SELECT count(*) AS n_docs, sum(n) AS n_terms FROM d),
+  i AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+  f AS MATERIALIZED (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM t) WHERE term IN (SELECT term FROM i) GROUP BY 1, 2),
+  k AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM f, s GROUP BY term, n_docs),
+  v AS (SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))) AS v FROM f JOIN k USING (term) JOIN d USING (r) CROSS JOIN s),
+  c AS (SELECT item_id, r, doc_id, CAST(sum(v) AS BIGINT) AS score FROM v JOIN i USING (term) GROUP BY 1, 2, 3 HAVING sum(v) > 0)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM c
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
+"""
+
+SQL = {"op1_sharding": OP1, "op3_warc": OP3, "op5_embedding_dedup": OP5, "op6_mixing": OP6, "op8_chat": OP8, "op9_decontamination": OP9, "op10_lm_score": OP10, "op13_search": OP13}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, embed_dedup, langid, lm_score, mixing, oracles, sharding, simhash, warc, wavelet
+from . import align, chat, decontaminate, embed_dedup, langid, lm_score, mixing, oracles, search, secrets, sharding, simhash, warc, wavelet
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -48,10 +48,10 @@ def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.round_trip(_read(spark, sf_dir, "documents"), _tokenizer())
 
 
-def _tokenizer() -> str:
+def _tokenizer(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +70,18 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("score", F.round("score", 3))
 
 
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(_read(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(_read(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model"))
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
