@@ -118,7 +118,7 @@ _SEGMENT_CELL = f"CASE WHEN c_custkey % 3 = 0 THEN {_sql_pick('c_nationkey', _TR
 def _sector_sql(cell):
     low = f"replace(lower(trim({cell})), '&amp;', '&')"
     none = [f"length(trim({cell})) > 80", f"{low} IN ('', " + ", ".join(f"'{x}'" for x in vocab.NO_INDUSTRY) + ")", *[f"regexp_matches({low}, '{p}')" for p in vocab.NOT_INDUSTRY]]
-    words = "CASE " + " ".join("WHEN " + " OR ".join("contains({0}, '{1}')".format(low, w.replace("'", "''")) for w in vocab.words_of(x)) + f" THEN '{x}'" for x in vocab.SECTOR_WORDS) + f" ELSE trim({cell}) END"
+    words = "CASE " + " ".join("WHEN " + " OR ".join("contains({0}, '{1}')".format(low, w.replace("'", "''")) for w in vocab.SECTOR_WORDS[x]) + f" THEN '{x}'" for x in vocab.SECTOR_WORDS) + f" ELSE trim({cell}) END"
     prefix = " ".join(f"WHEN regexp_matches({low}, '{p}') THEN '{x}'" for p, x in vocab.SECTOR_PREFIXES)
     names = " ".join(f"WHEN {low} = '{k}' THEN '{x}'" for k, x in vocab.SECTOR_NAMES.items())
     return f"CASE WHEN {' OR '.join(none)} THEN '' {prefix} {names} ELSE {words} END"
