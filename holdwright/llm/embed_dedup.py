@@ -93,6 +93,7 @@ def tile_links(a: np.ndarray, b: np.ndarray, same: bool, cosine: float = COSINE,
 def _unit_rows(t: pa.Table, name: str) -> np.ndarray:
     flat = t.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False)
     x = flat.reshape(t.num_rows, -1).astype(np.float64)
+    x = x / np.abs(x).max(axis=1, keepdims=True)  # squares of very large or small components would not hold
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 

@@ -11,6 +11,7 @@ def brute(rows, cosine=0.98):
     for _, e, _l in rows:
         x = None if not e or any(v is None for v in e) else np.array(e, np.float64)
         ok = x is not None and np.isfinite(x).all() and (x != 0).any()
+        x = x / np.abs(x).max() if ok else None
         unit.append(x / np.sqrt((x * x).sum()) if ok else None)
     link = np.zeros((n, n), bool)
     for a in range(n):
@@ -57,6 +58,12 @@ def test_odd(spark, monkeypatch):
     assert embed_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_extreme_components(spark):
+    rows = [(k, [s * x for x in v], 1) for k, (s, v) in enumerate([(1e160, [1, 2, 3, 4])] * 3 + [(1e-170, [1, 2, 3, 4]), (1e-170, [4, 3, 2, 1]), (1e-310, [4, 3, 2, 1]), (1e300, [4.0, -3, 2, 1])])]
+    out = got(embed_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")))
+    assert out == brute(rows) and [x[1] for x in out] == [3, 3, 3, 3, 1, 1, 0]
+
+
 def test_no_pair_is_lost():
     rng = np.random.default_rng(5)
     a = rng.standard_normal((300, 64))
