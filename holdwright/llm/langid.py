@@ -10,12 +10,11 @@ letters comes nearer to a centroid than a short one.
 
 The learned distances come from the cosines of all labelled texts to their own language,
 by length class: ``SLACK`` of the cosine that ``QUANTILE`` of the texts of the class lie
-below. A class of under ``ENOUGH`` texts takes its neighbours in; where all labelled texts
-are fewer, ``max_distance`` alone holds.
+below. A class of under ``ENOUGH`` texts takes its neighbours in, until it has enough or all there are.
 
 The document frequencies come from all labelled texts. The centroids come from a
-sample of about ``sample`` labelled texts a language, chosen by a hash of id and text, so
-that rows without an id, or that share one, are sampled like any others.
+sample of about ``sample`` different labelled texts a language, chosen by a hash of id and text: equal rows
+count once, rows that share an id are sampled like any others, and a language has one text at least.
 
 Defined results: a null text and one without a letter are ``und``, score 0, rejected;
 a null label teaches nothing; with no labelled text at all every text is ``und``;
@@ -46,8 +45,8 @@ QUANTILE, SLACK, ENOUGH = 0.005, 2 / 3, 200
 #: Length classes (doublings of the number of n-grams) and steps of the cosine that are counted.
 CLASSES, STEPS = 33, 1000
 UNKNOWN = "und"
-#: Labels, at most, that are broadcast.
-MOST_LANGUAGES = 10_000
+#: Labels, at most: a model has CENTROIDS rows of DIM numbers for each, which every task gets.
+MOST_LANGUAGES = 1000
 
 
 def ngrams(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -101,10 +100,11 @@ class Model:
 def least_cosines(count: np.ndarray) -> np.ndarray:
     """For each length class the cosine below which texts are rejected, from counts by class and step of the cosine."""
     out = np.zeros(CLASSES)
-    for c in range(CLASSES):
+    enough = min(ENOUGH, count.sum())
+    for c in range(CLASSES if enough else 0):
         for d in range(CLASSES):
             near = count[max(c - d, 0) : c + d + 1].sum(axis=0)
-            if near.sum() >= ENOUGH:
+            if near.sum() >= enough:
                 out[c] = SLACK * np.searchsorted(near.cumsum(), QUANTILE * near.sum(), "right") / STEPS
                 break
     return out
@@ -150,12 +150,14 @@ def fit(docs: DataFrame, where: Column | None = None, sample: int = SAMPLE, cent
         df[r.feature] = r.n
     idf = np.log((1 + df[DIM]) / (1 + df[:DIM])) + 1e-3
 
-    share = taught.groupBy("lang").agg((F.lit(float(sample) * (1 << 30)) / F.count("text")).alias("below"))
-    # A row for each language: few, but counted before they are sent to every task. Texts are sampled where
-    # they are read, so those of a frequent language never come together.
-    share = materialize(share, "languages")
-    few = share.count() <= MOST_LANGUAGES
-    some = taught.join(F.broadcast(share) if few else share, "lang").filter(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) < F.col("below")).select("lang", "id", "text")
+    taught = taught.withColumn("place", F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)))
+    # A language's sample are the places below a bound, or its first place; equal rows have one place, so they count once.
+    share = taught.select("lang", "place").distinct().groupBy("lang").agg((F.lit(float(sample) * (1 << 30)) / F.count("place")).alias("share"), F.min("place").alias("first"))
+    share = materialize(share.select("lang", F.greatest("share", F.col("first") + 1).alias("below")), "languages")
+    if share.count() > MOST_LANGUAGES:
+        raise ValueError(f"over {MOST_LANGUAGES} labels: these are not languages")
+    # Texts are sampled where they are read, so those of a frequent language never come together.
+    some = taught.join(F.broadcast(share), "lang").filter(F.col("place") < F.col("below")).select("lang", "id", "text").distinct()
 
     def learn(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
         t = t.sort_by([("id", "ascending"), ("text", "ascending")])  # whatever order the rows came in

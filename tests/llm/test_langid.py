@@ -50,6 +50,58 @@ def test_one_id_for_all_rows_is_sampled(spark):
     assert set(model.langs) == {"en"} and len(model.langs) == langid.CENTROIDS
 
 
+def test_a_language_of_one_repeated_row_is_learned(spark):
+    one = spark.range(20_000, numPartitions=4).select(F.lit(7).alias("doc_id"), F.lit("the same line of text again").alias("text"), F.lit("en").alias("lang"))
+    other = spark.range(5000, numPartitions=4).select(F.col("id").alias("doc_id"), F.format_string("zwölf böse füchse %x", F.xxhash64("id")).alias("text"), F.lit("de").alias("lang"))
+    model = langid.fit(one.unionByName(other), sample=50)
+    assert set(model.langs) == {"en", "de"} and model.langs.count("en") == 1
+    assert model.predict("the same line")[0] == "en" and model.predict("böse füchse")[0] == "de"
+    assert langid.fit(one).langs == ["en"]
+
+
+def test_sample_and_centroids_against_plain_loops(spark, sf):
+    """The sampled texts by their places, then the furthest-first choice and rounds of means, row by row."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = langid.fit(docs, sample=20)
+    rows = docs.filter("lang is not null and text is not null").select("lang", F.col("doc_id").cast("string").alias("id"), "text", F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "text"), F.lit(1 << 30)).alias("place")).distinct().collect()
+    for lang in sorted({r.lang for r in rows}):
+        mine = [r for r in rows if r.lang == lang]
+        below = max(20 * (1 << 30) / len({r.place for r in mine}), min(r.place for r in mine) + 1)
+        x = []
+        for r in sorted((r for r in mine if r.place < below), key=lambda r: (r.id, r.text)):
+            at, n = langid.ngrams(r.text)
+            v = np.zeros(langid.DIM, np.float32)
+            v[at] = np.log1p(n) * model.idf[at]
+            x.append(v / np.linalg.norm(v))
+        chosen = [0]
+        while len(chosen) < langid.CENTROIDS and min(max(float(v @ x[c]) for c in chosen) for v in x) < 1 - 1e-6:
+            chosen.append(int(np.argmin([max(float(v @ x[c]) for c in chosen) for v in x])))
+        c = [x[k] for k in chosen]
+        for _ in range(12):
+            of = [int(np.argmax([float(v @ w) for w in c])) for v in x]
+            sums = [sum(v for v, o in zip(x, of, strict=True) if o == k) if k in of else c[k] for k in range(len(c))]
+            c = [s / np.linalg.norm(s) for s in sums]
+        got = model.centroids[[k for k, m in enumerate(model.langs) if m == lang]]
+        assert np.allclose(got, np.array(c), atol=1e-4)
+
+
+def test_learned_rejection_against_plain_loops(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = langid.fit(docs)
+    seen = []
+    for r in docs.filter("lang is not null and text is not null").collect():
+        found = model.cosines(r.text)
+        if found is not None:
+            own = max(c for c, m in zip(found[0], model.langs, strict=True) if m == r.lang)
+            seen.append((found[1], int(min(max(own, 0.0), 1.0) * langid.STEPS)))
+    for size in range(langid.CLASSES):
+        for d in range(langid.CLASSES):
+            near = sorted(s for k, s in seen if abs(k - size) <= d)
+            if len(near) >= min(langid.ENOUGH, len(seen)):
+                assert abs(model.least[size] - langid.SLACK * near[int(langid.QUANTILE * len(near))] / langid.STEPS) < 1e-9
+                break
+
+
 def test_odd(spark, sf):
     model = langid.fit(spark.read.parquet(f"{sf}/documents.parquet"))
     odd = odd_documents(spark)
