@@ -77,11 +77,12 @@ UNION ALL SELECT doc_id, whole, tokens, domain, lang, source FROM y WHERE upto <
 OP8 = """
 WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, replace(coalesce(text, ''), '<|', '< |') AS text FROM conversations),
   s AS (SELECT DISTINCT conv_id, role AS perspective FROM t WHERE role <> 'system'),
-  p AS (SELECT t.conv_id, perspective, turn, role, text, turn // 256 AS part, CASE WHEN role = perspective THEN '<|assistant|>' || chr(10) WHEN role = 'system' THEN '<|system|>' || chr(10) ELSE '<|user ' || role || '|>' || chr(10) END AS head,
-    text || '<|end|>' || chr(10) AS body FROM t JOIN s ON t.conv_id = s.conv_id),
-  o AS (SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, perspective ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS stop FROM p)
-SELECT conv_id, perspective, CAST(part AS BIGINT) AS part, count(*) AS n_turns, CAST(min(stop - length(head) - length(body)) AS BIGINT) AS start, string_agg(head || body, '' ORDER BY turn, role, text) AS text,
-  coalesce(string_agg(CASE WHEN role = perspective THEN (stop - length(body)) || '-' || stop END, ',' ORDER BY turn, role, text), '') AS mask FROM o GROUP BY 1, 2, 3
+  r AS (SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1) // 256 AS part FROM t),
+  p AS (SELECT t.conv_id, perspective, turn, role, text, part, CASE WHEN role = perspective THEN '<|assistant|>' || chr(10) WHEN role = 'system' THEN '<|system|>' || chr(10) ELSE '<|user ' || role || '|>' || chr(10) END AS head,
+    text || '<|end|>' || chr(10) AS body FROM r t JOIN s ON t.conv_id = s.conv_id),
+  o AS (SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING) AS stop FROM p)
+SELECT conv_id, perspective, CAST(part AS BIGINT) AS part, count(*) AS n_turns, CAST(min(stop - length(head) - length(body)) AS BIGINT) AS start, string_agg(head || body, '' ORDER BY turn NULLS FIRST, role, text) AS text,
+  coalesce(string_agg(CASE WHEN role = perspective THEN (stop - length(body)) || '-' || stop END, ',' ORDER BY turn NULLS FIRST, role, text), '') AS mask FROM o GROUP BY 1, 2, 3
 """
 
 _WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"

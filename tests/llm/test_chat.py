@@ -13,8 +13,8 @@ def brute(rows, size):
     for c, turns in convs.items():
         for who in {r for _, r, _ in turns if r != "system"}:
             at = 0
-            for part in sorted({t // size for t, _, _ in turns}):
-                some = sorted(x for x in turns if x[0] // size == part)
+            for part in range(-(-len(turns) // size)):
+                some = sorted(turns)[part * size : (part + 1) * size]
                 text, mask = "", []
                 for _, r, x in some:
                     text += "<|assistant|>\n" if r == who else "<|system|>\n" if r == "system" else f"<|user {r.replace('<|', '< |')}|>\n"
@@ -46,18 +46,10 @@ def test_odd(spark, monkeypatch):
     assert chat.rotate(df.limit(0)).count() == 0
 
 
-def test_many_rows_of_one_range(spark, monkeypatch):
-    """Null and repeated turn numbers, equal rows and a null conversation come in rows of at most MOST turns that join to the whole."""
+def test_many_rows_of_one_turn(spark, monkeypatch):
+    """Null and repeated turn numbers, equal rows, a null conversation, and a text of a million characters."""
     some = [(c, t, f"p{k % 2}", f"text {k % 7}") for c, t, n in ((1, None, 40), (1, 3, 25), (None, 0, 30), (2, 9, 3)) for k in range(n)]
-    df = spark.createDataFrame([(*r, "x") for r in some], "conv_id long, turn long, role string, text string, piece string").repartition(5)
-    whole = brute(some, chat.PART)
-    monkeypatch.setattr(chat, "MOST", 8)
-    rows = sorted(got(chat.rotate(df)), key=lambda r: r[4])
-    joined = defaultdict(lambda: [0, None, "", []])
-    for c, who, part, n, at, text, mask in rows:
-        assert 0 < n <= 8
-        j = joined[c, who, part]
-        j[1] = at if j[1] is None else j[1]
-        assert at == j[1] + len(j[2])
-        j[0], j[2], j[3] = j[0] + n, j[2] + text, j[3] + mask
-    assert sorted(((*k, *v) for k, v in joined.items()), key=str) == whole
+    some.append((2, 10, "p0", "long é " * 150_000))
+    df = spark.createDataFrame([(*r, "x") for r in some], "conv_id long, turn long, role string, text string, lot string").repartition(5)
+    monkeypatch.setattr(chat, "PART", 8)
+    assert got(chat.rotate(df)) == brute(some, 8)
