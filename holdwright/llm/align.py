@@ -2,7 +2,7 @@
 
 Both encode the whole text. Where an end that both share stands before a token that starts
 with a space in both, the text is cut into windows; a window is its two tuples of ids. Equal windows
-have equal alignments, which a task keeps (``MEMO`` of them, in each of two generations). Every shared end
+have equal alignments, which a task keeps (about ``MEMO`` of them, in each of two generations). Every shared end
 closes a group of ids, and links the two tokens that end there. The bytes of all windows, joined, must
 be the text's own, or it has no tokens.
 
@@ -49,6 +49,8 @@ BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(
 #: Below U+3000 the two libraries' classes of letters, numbers and spaces agree, which a test holds.
 COMMON = re.compile("[^\u0000-\u2fff]")
 SPACE_MARK = "▁"
+#: Between a window's two sides (its lower half where both vocabularies are small).
+END = 0xFFFFFFFF
 
 
 class Tokens:
@@ -116,43 +118,66 @@ class PieceTokens(Tokens):
         return self.array(self.model.encode(texts, num_threads=1))
 
 
-def windows(a: Tokens, b: Tokens, ids_a: np.ndarray, ids_b: np.ndarray, starts: np.ndarray) -> tuple[list[bytes], list[bytes], np.ndarray]:
-    """The windows of texts whose ids are joined: their ids in a and in b, as bytes, and how many windows begin
+def windows(a: Tokens, b: Tokens, ids_a: np.ndarray, ids_b: np.ndarray, starts: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """The windows of texts whose ids are joined, each as its ids in a, END and its ids in b, and how many windows begin
     before each of the texts' starts (in bytes). Both sides have the same bytes of each text."""
     at_a, at_b = np.cumsum(a.size[ids_a]) - a.size[ids_a], np.cumsum(b.size[ids_b]) - b.size[ids_b]
-    end = int(at_a[-1] + a.size[ids_a[-1]])
-    mark = np.zeros(end, np.uint8)
+    mark = np.zeros(int(at_a[-1] + a.size[ids_a[-1]]), np.uint8)
     mark[at_a[a.spaced[ids_a]]] = 1
     mark[at_b[b.spaced[ids_b]]] |= 2
     mark[starts] = 3
-    cut = []
-    for t, ids, at in ((a, ids_a, at_a), (b, ids_b, at_b)):
-        raw, first = ids.tobytes(), (np.flatnonzero(mark[at] == 3) * t.kind.itemsize).tolist()
-        cut.append([raw[i:j] for i, j in zip(first, [*first[1:], len(raw)], strict=True)])
-    return *cut, np.searchsorted(np.flatnonzero(mark == 3), starts)
-
-
-class Aligned:
-    """A window: the pairs of ids that end together, the groups as text, and its bytes (None if the two sides differ)."""
-
-    __slots__ = ("pairs", "groups", "raw", "n")
-
-    def __init__(self, a: Tokens, b: Tokens, ids_a: bytes, ids_b: bytes):
-        xs, ys = np.frombuffer(ids_a, a.kind).tolist(), np.frombuffer(ids_b, b.kind).tolist()
-        left, right = b"".join([a.raw[x] for x in xs]), b"".join([b.raw[y] for y in ys])
-        self.raw, self.pairs, told = left if left == right else None, [], []
-        i = j = here = there = 0
-        from_i = from_j = 0
-        while i < len(xs) or j < len(ys):
-            if j == len(ys) or (i < len(xs) and here <= there):
-                here, i = here + len(a.raw[xs[i]]), i + 1
-            else:
-                there, j = there + len(b.raw[ys[j]]), j + 1
-            if here == there and i > from_i and j > from_j:
-                self.pairs.append((xs[i - 1] << 32) | ys[j - 1])
-                told.append(",".join(map(str, xs[from_i:i])) + "|" + ",".join(map(str, ys[from_j:j])))
-                from_i, from_j = i, j
-        self.groups, self.n = ";".join(told), len(told)
+    begins = [np.flatnonzero(mark[at] == 3) for at in (at_a, at_b)]
+    n_a, n_b = (np.diff(x, append=len(ids)) for x, ids in zip(begins, (ids_a, ids_b), strict=True))
+    ends = np.cumsum(n_a + 1 + n_b)
+    first = ends - (n_a + 1 + n_b)
+    out = np.full(len(ids_a) + len(ids_b) + len(ends), END, np.uint32)
+    out[np.arange(len(ids_a)) + np.repeat(first - begins[0], n_a)] = ids_a
+    out[np.arange(len(ids_b)) + np.repeat(first + n_a + 1 - begins[1], n_b)] = ids_b
+    small = max(len(a.raw), len(b.raw)) < 1 << 16
+    raw, width = (out.astype(np.uint16), 2) if small else (out, 4)
+    raw, cuts = raw.tobytes(), (ends * width).tolist()
+    return [raw[i:j] for i, j in zip([0, *cuts[:-1]], cuts, strict=True)], np.searchsorted(np.flatnonzero(mark == 3), starts)
+
+
+#: A window's bytes (None if its two sides differ), its groups as text, their number, and its pairs of ids that end together.
+Aligned = tuple[bytes | None, str, int, bytes]
+
+
+def aligned(a: Tokens, b: Tokens, keys: list[bytes]) -> list[Aligned]:
+    """The alignments of windows, all at once: as both sides of each have the same number of bytes, ends are
+    shared along the joined windows where they are within them."""
+    small = max(len(a.raw), len(b.raw)) < 1 << 16
+    ids = np.frombuffer(b"".join(keys), np.uint16 if small else np.uint32)
+    many = np.array([len(k) for k in keys]) // ids.itemsize
+    middle = np.flatnonzero(ids == ids.dtype.type(END & (0xFFFF if small else END)))
+    before = np.cumsum(many) - many
+    place = np.arange(len(ids)) - np.repeat(middle, many)
+    side = []
+    for t, x, n in ((a, ids[place < 0], middle - before), (b, ids[place > 0], many - (middle - before) - 1)):
+        side.append((t, x, np.cumsum(t.size[x]), np.cumsum(n) - 1, b"".join(map(t.raw.__getitem__, x.tolist()))))
+    mark = np.zeros(len(side[0][4]) + 1, np.uint8)
+    for bit, (_, _, ends, _, _) in enumerate(side):
+        mark[ends] |= bit + 1
+    told, group, pairs = [], [], []
+    for (t, ids, ends, _, _), stop in zip(side, "|;", strict=True):
+        shared = mark[ends] == 3
+        pairs.append(ids[shared].astype(np.int64))
+        group.append(np.cumsum(shared) - shared)
+        told.append([w + (stop if s else ",") for w, s in zip(map(str, ids.tolist()), shared.tolist(), strict=True)])
+    # Tokens in the order of the text form: by group, a's before b's.
+    order = np.argsort(np.concatenate([group[0] * 2, group[1] * 2 + 1]), kind="stable").tolist()
+    words = [*told[0], *told[1]]
+    words = [words[k] for k in order]
+    (_, _, ends, last, left), (_, _, _, last_b, right) = side
+    groups = np.cumsum(mark[ends] == 3)[last].tolist()
+    bytes_, tokens = ends[last].tolist(), (last + last_b + 2).tolist()
+    packed, out = (pairs[0] << 32 | pairs[1]).tobytes(), []
+    at = byte = token = 0
+    for z, y, w in zip(groups, bytes_, tokens, strict=True):
+        raw = left[byte:y]
+        out.append((raw if raw == right[byte:y] else None, "".join(words[token:w])[:-1], z - at, packed[8 * at : 8 * z]))
+        at, byte, token = z, y, w
+    return out
 
 
 DOC = "n_a long, n_b long, n_groups long, groups_sha256 string, windows array<int>, times array<int>"
@@ -169,9 +194,9 @@ class Block:
         self.links = self.bytes = 0
 
     def rows(self, a: Tokens, b: Tokens, memo: Memo) -> Iterator[dict]:
-        known = [memo.aligned(k) for k in self.index]
-        groups, raws = [x.groups for x in known], [x.raw for x in known]
-        sizes = np.array([x.n for x in known], np.int64)
+        known = memo.of(list(self.index))
+        raws, groups, sizes, pairs = ([x[k] for x in known] for k in range(4))
+        sizes = np.array(sizes, np.int64)
         used = np.zeros(len(known), np.int64)
         for i, n_a, n_b, w, raw in self.docs:
             row = {"block": self.number, "id": i, "n_a": 0, "n_b": 0, "n_groups": 0, "groups_sha256": "", "windows": [], "times": []}
@@ -184,28 +209,33 @@ class Block:
                     sha = hashlib.sha256(";".join([groups[k] for k in at]).encode()).hexdigest()
                     row |= {"n_a": n_a, "n_b": n_b, "n_groups": int(sizes[w].sum()), "groups_sha256": sha, "windows": kinds, "times": times}
             yield row
-        pairs = np.fromiter((p for x in known for p in x.pairs), np.int64, int(sizes.sum()))
-        kinds, of = np.unique(pairs, return_inverse=True)
+        kinds, of = np.unique(np.frombuffer(b"".join(pairs), np.int64), return_inverse=True)
         times = np.zeros(len(kinds), np.int64)
         np.add.at(times, of, np.repeat(used, sizes))
         yield {"block": self.number, "a": kinds >> 32, "b": kinds & 0xFFFFFFFF, "n": times, "sizes": sizes, "pairs": of}
 
 
 class Memo:
-    """Alignments by the two tuples of ids; those used since the last change of generation outlive it."""
+    """Alignments by windows (the two tuples of ids); those used since the last change of generation outlive it."""
 
     def __init__(self, a: Tokens, b: Tokens):
         self.a, self.b = a, b
-        self.now: dict[tuple[bytes, bytes], Aligned] = {}
-        self.older: dict[tuple[bytes, bytes], Aligned] = {}
-
-    def aligned(self, key: tuple[bytes, bytes]) -> Aligned:
-        found = self.now.get(key)
-        if found is None:
-            if len(self.now) >= MEMO:
-                self.now, self.older = {}, self.now
-            found = self.now[key] = self.older.get(key) or Aligned(self.a, self.b, *key)
-        return found
+        self.now: dict[bytes, Aligned] = {}
+        self.older: dict[bytes, Aligned] = {}
+
+    def of(self, keys: list[bytes]) -> list[Aligned]:
+        if len(self.now) > MEMO:
+            self.now, self.older = {}, self.now
+        out = list(map(self.now.get, keys))
+        lack = [k for k, x in enumerate(out) if x is None]
+        for k in lack:
+            out[k] = self.older.get(keys[k])
+        lack, older = [k for k in lack if out[k] is None], [k for k in lack if out[k] is not None]
+        if lack:
+            for k, x in zip(lack, aligned(self.a, self.b, [keys[k] for k in lack]), strict=True):
+                out[k] = x
+        self.now.update((keys[k], out[k]) for k in (*older, *lack))
+        return out
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
@@ -228,16 +258,17 @@ def _blocks(batches: Iterator[pa.RecordBatch], a: Tokens, b: Tokens, first: int)
         raws = [f" {t}".encode() if t else b"" for t in texts]
         full = [k for k, t in enumerate(texts) if t]
         of_a, of_b = a.encode([texts[k] for k in full]), b.encode([texts[k] for k in full])
-        same = [k for k in range(len(full)) if a.size[of_a[k]].sum() == b.size[of_b[k]].sum() == len(raws[full[k]])]
+        exact = lambda t, ids, n: (sizes := t.size[ids]).sum() == n and sizes.all()
+        same = [k for k in range(len(full)) if all(exact(t, ids[k], len(raws[full[k]])) for t, ids in ((a, of_a), (b, of_b)))]
         laid: dict[int, tuple] = {}
         if same:
             starts = np.cumsum([0, *[len(raws[full[k]]) for k in same]])[:-1]
-            left, right, at = windows(a, b, np.concatenate([of_a[k] for k in same]), np.concatenate([of_b[k] for k in same]), starts)
-            for k, lo, hi in zip(same, at.tolist(), [*at[1:].tolist(), len(left)], strict=True):
-                laid[full[k]] = (len(of_a[k]), len(of_b[k]), left[lo:hi], right[lo:hi])
+            found, at = windows(a, b, np.concatenate([of_a[k] for k in same]), np.concatenate([of_b[k] for k in same]), starts)
+            for k, lo, hi in zip(same, at.tolist(), [*at[1:].tolist(), len(found)], strict=True):
+                laid[full[k]] = (len(of_a[k]), len(of_b[k]), found[lo:hi])
         for k, i in enumerate(ids):
-            n_a, n_b, left, right = laid.get(k, (0, 0, None, None))
-            w = None if left is None else np.fromiter(map(block.index.__getitem__, zip(left, right, strict=True)), np.int32, len(left))
+            n_a, n_b, keys = laid.get(k, (0, 0, None))
+            w = None if keys is None else np.fromiter(map(block.index.__getitem__, keys), np.int32, len(keys))
             block.docs.append((i, n_a, n_b, w, raws[k]))
             block.links += min(n_a, n_b)
             block.bytes += len(raws[k])
