@@ -37,13 +37,13 @@ from pyspark.sql import functions as F
 from .common import arrow_schema, materialize
 
 #: Links, bytes and documents at which a block closes.
-BLOCK_LINKS = 1 << 20
-BLOCK_BYTES = 1 << 23
+BLOCK_LINKS = 1 << 19
+BLOCK_BYTES = 1 << 22
 BLOCK_DOCS = 1 << 13
 #: Windows whose alignment a task keeps in each of two generations.
-MEMO = 1 << 18
+MEMO = 1 << 16
 #: Bytes of text that are encoded together, about.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 #: Fixed value: how byte-level tokenizers cut a text before merging.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Below U+3000 the two libraries' classes of letters, numbers and spaces agree, which a test holds.
