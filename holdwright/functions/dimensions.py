@@ -92,11 +92,6 @@ SHAPES = [
 ]
 
 
-def let(value: Column, f):
-    """f of a value that is worked out once."""
-    return F.get(F.transform(F.array(value), f), 0)
-
-
 def _trim(c: Column) -> Column:
     return F.trim(c)  # transform would give F.trim an item's place as well
 
@@ -121,7 +116,7 @@ def segments(c: Column, mark: str) -> Column:
         return F.when(opened(last) != 0, longer).otherwise(F.concat(done, F.array(piece)))
 
     done = F.aggregate(F.split(c, rf"\Q{mark}\E"), F.array().cast("array<string>"), step)
-    return F.transform(let(done, lambda s: F.slice(s, 1, F.size(s) - F.when(F.try_element_at(s, F.lit(-1)) == "", 1).otherwise(0))), _trim)
+    return F.transform(text.let(done, lambda s: F.slice(s, 1, F.size(s) - F.when(F.try_element_at(s, F.lit(-1)) == "", 1).otherwise(0))), _trim)
 
 
 def _places(items: Column, keep) -> Column:
@@ -176,7 +171,7 @@ def _country(c: Column) -> Column:
         alone = F.when(~rest.rlike(r"(?i)\b(Inc|LLC|Ltd|Corp|LP)\b"), rest)
         return _head(company=company, industry=F.coalesce(industry, alone), kind=_debt_or(found(c, lead), "(?i)equity"))
 
-    return let(rest, read)
+    return text.let(rest, read)
 
 
 def _issuer(c: Column, industries: Sequence[str]) -> Column:
@@ -192,7 +187,7 @@ def _issuer(c: Column, industries: Sequence[str]) -> Column:
             sector = (n >= 2) & (marked(last) | last.isin(*industries))
             two = (n >= 3) & ~marked(F.try_element_at(rest, F.lit(-2)))
             behind = F.when(sector & two, 2).when(sector | last.isin(*SHORT_INSTRUMENTS), 1).otherwise(0)
-            return let(F.coalesce(legal, n - behind), lambda at: F.struct(_joined(rest, F.lit(1), at).alias("company"), _joined(rest, at + 1, n - at).alias("tail")))
+            return text.let(F.coalesce(legal, n - behind), lambda at: F.struct(_joined(rest, F.lit(1), at).alias("company"), _joined(rest, at + 1, n - at).alias("tail")))
 
         def told(r):
             short = F.lower(r["tail"]).isin(*SHORT_INSTRUMENTS)
@@ -201,9 +196,9 @@ def _issuer(c: Column, industries: Sequence[str]) -> Column:
                 kind=F.when(kind.isNotNull(), _debt_or(kind, "(?i)equity|warrant|preferred")), affiliation=_affiliation(c),
             )
 
-        return let(let(F.slice(s, 4, F.greatest(F.size(s) - 3, F.lit(0))), of_rest), told)
+        return text.let(text.let(F.slice(s, 4, F.greatest(F.size(s) - 3, F.lit(0))), of_rest), told)
 
-    return let(segments(c, ","), read)
+    return text.let(segments(c, ","), read)
 
 
 def _affiliation(c: Column) -> Column:
@@ -213,7 +208,7 @@ def _affiliation(c: Column) -> Column:
 
 def _issuer_piped(c: Column) -> Column:
     """The same with pipes; the company at the fourth place, the industry with its part behind it."""
-    return let(
+    return text.let(
         F.transform(F.split(c, r"\|"), _trim),
         lambda p: _head(
             company=F.get(p, 3), industry=F.trim(F.substring_index(F.get(p, 4), ":", 1)), affiliation=_affiliation(c),
@@ -234,7 +229,7 @@ def _joined_by_and(c: Column) -> Column:
             industry=F.trim(F.regexp_replace(F.get(s, 0), r"(?i)^(?:debt|equity) investments?", "")), kind=F.upper(found(c, "(?i)^(debt|equity)")),
         )
 
-    return let(F.transform(F.split(c, " and "), _trim), read)
+    return text.let(F.transform(F.split(c, " and "), _trim), read)
 
 
 def _blob(c: Column, industries: Sequence[str]) -> Column:
@@ -265,9 +260,9 @@ def _blob(c: Column, industries: Sequence[str]) -> Column:
                 industry=F.substring(n, at, F.length(sector)), description=found(head, kind), kind=F.upper(told),
             )
 
-        return let(F.try_element_at(F.filter(longest, lambda x: F.contains(F.lower(n), x)), F.lit(1)), split)
+        return text.let(F.try_element_at(F.filter(longest, lambda x: F.contains(F.lower(n), x)), F.lit(1)), split)
 
-    return F.when(c.rlike(commit), committed).otherwise(let(named, read))
+    return F.when(c.rlike(commit), committed).otherwise(text.let(named, read))
 
 
 def _piped(c: Column) -> Column:
@@ -282,7 +277,7 @@ def _piped(c: Column) -> Column:
             description=F.when(place.isNull(), said).when(full & (place == 3), F.get(p, 1)), kind=F.when(place.isNull(), _kind(said)).when(full, kind),
         )
 
-    return let(F.transform(F.split(c, r"\|"), _trim), read)
+    return text.let(F.transform(F.split(c, r"\|"), _trim), read)
 
 
 def _commas(c: Column, industries: Sequence[str]) -> Column:
@@ -305,9 +300,9 @@ def _commas(c: Column, industries: Sequence[str]) -> Column:
             instrument = F.lower(last).rlike(words)
             return _head(company=F.coalesce(_joined(s, F.lit(1), at), F.trim(c)), industry=F.when(~instrument, last), description=F.coalesce(F.when(instrument, last), told))
 
-        return let(F.try_element_at(F.filter(_places(s, tells), lambda i: i > 0), F.lit(-1)), split)
+        return text.let(F.try_element_at(F.filter(_places(s, tells), lambda i: i > 0), F.lit(-1)), split)
 
-    return let(segments(c, ","), lambda s: F.when(c.rlike(lead), rich(s)).otherwise(plain(s)))
+    return text.let(segments(c, ","), lambda s: F.when(c.rlike(lead), rich(s)).otherwise(plain(s)))
 
 
 def _date(c: Column) -> Column:
@@ -350,7 +345,7 @@ def read(c: Column, industries: Sequence[str] = tuple(vocab.INDUSTRY_NAMES)) ->
     for name, head in heads.items():
         told = F.when(shape == name, head) if told is None else told.when(shape == name, head)
     rest = details(c)
-    return let(told, lambda h: F.struct(shape.alias("shape"), *[h[f].alias(f) for f in HEAD], *[rest[f].alias(f) for f in FIELDS[len(HEAD) :]]))
+    return text.let(told, lambda h: F.struct(shape.alias("shape"), *[h[f].alias(f) for f in HEAD], *[rest[f].alias(f) for f in FIELDS[len(HEAD) :]]))
 
 
 # What stands before a name with a hyphen and perhaps a percentage.
@@ -390,7 +385,7 @@ def recovered_name(c: Column) -> Column:
         best = F.array_max(F.array_compact(F.flatten(F.transform(ends, from_end))))
         return F.regexp_replace(F.regexp_replace(best["name"], r"\s+", " "), r"\s+\d+\s*$", "")
 
-    return let(F.filter(segments(c, ","), lambda x: x != ""), windows)
+    return text.let(F.filter(segments(c, ","), lambda x: x != ""), windows)
 
 
 def sane_company(name: Column, raw: Column, total: Column | None = None) -> Column:

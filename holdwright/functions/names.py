@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -39,11 +40,11 @@ FIGURES = r"(?i)\s+(?:(?:sofr|libor|prime|s|l|p|e)\s*\+\s*[\d.]+%?|[\d.]+\s*%(?:
 
 
 def instrument_suffix(name: Column) -> Column:
-    """struct(name, type) of ``Name - Instrument`` or ``Name, Instrument``; type is null where there is none."""
-    tail = F.regexp_extract(name, rf"(?i)\s*(?:[-–—,])\s*({ANY_INSTRUMENT})\s*$", 1)
-    bare = F.regexp_replace(name, rf"(?i)\s*[-–—,]\s*(?:{ANY_INSTRUMENT})\s*$", "")
+    """struct(name, type) of ``Name - Instrument``, ``Name, Instrument`` or ``Name (Instrument)``; type is null where there is none."""
+    behind = rf"(?i)\s*(?:[-–—,]\s*(?:{ANY_INSTRUMENT})|\(\s*(?:{ANY_INSTRUMENT})\s*\))\s*$"
+    tail = F.regexp_replace(F.regexp_extract(name, behind, 0), r"^[\s,(–—-]+|[\s)]+$", "")
     kind = text.first_match(F.lower(tail), [(label, f"^({p})$") for p, label in INSTRUMENTS])
-    return F.struct(F.when(tail != "", bare).otherwise(name).alias("name"), F.when(tail != "", kind).alias("type"))
+    return F.struct(F.regexp_replace(name, behind, "").alias("name"), F.when(tail != "", kind).alias("type"))
 
 
 def clean_company(name: Column, rounds: int = 3) -> Column:
@@ -52,28 +53,39 @@ def clean_company(name: Column, rounds: int = 3) -> Column:
 
     Suffixes may stand in a row; each round takes one figure and one instrument away.
     """
-    t = F.trim(F.regexp_replace(F.coalesce(name, F.lit("")), r"\s+", " "))
-    warrant = F.regexp_extract(t, r"^Warrant Investments and .+? and (.+)$", 1)
-    t = F.when(t.startswith("Warrant Investments and "), warrant).otherwise(t)
-    t = F.regexp_replace(t, rf"(?i)^Investments in (?:Non-)?(?:Controll?ed|Affiliated)[,/\w\s-]*?(?:Companies|Investments|Company)\s*(?:(?:{ANY_INSTRUMENT})\s+)?", "")
-    none = t.rlike(rows.NOT_A_COMPANY)
-    t = F.regexp_replace(t, rf"(?i)^(?:{ANY_INSTRUMENT})\s*[-–—]\s*", "")
-    for _ in range(rounds):
-        t = instrument_suffix(F.regexp_replace(t, FIGURES, ""))["name"]
-    t = F.regexp_replace(F.regexp_replace(t, r"\s*[-–—]\s*$", ""), r"(\s*\(\d+\))+\s*$", "")
-    t = F.trim(F.regexp_replace(t, r"\s*\([^)]+\)\s*$", ""))
-    t = reduce(lambda c, f: F.regexp_replace(c, f[0], f[1]), FORMS, t)
-    t = F.trim(F.regexp_replace(F.regexp_replace(t, AFTER_FORM, "$1"), r"\s+", " "))
-    return F.struct(F.when(none, "").otherwise(t).alias("name"), F.when(F.lower(t).contains("aircrew"), "Aerospace & Defense").alias("industry"))
+
+    def bare(t: Column) -> Column:
+        warrant = F.regexp_extract(t, r"^Warrant Investments and .+? and (.+)$", 1)
+        t = F.when(t.startswith("Warrant Investments and "), warrant).otherwise(t)
+        return F.regexp_replace(t, rf"(?i)^Investments in (?:Non-)?(?:Controll?ed|Affiliated)[,/\w\s-]*?(?:Companies|Investments|Company)\s*(?:(?:{ANY_INSTRUMENT})\s+)?", "")
+
+    def cleaned(t: Column) -> Column:
+        t = F.regexp_replace(t, rf"(?i)^(?:{ANY_INSTRUMENT})\s*[-–—]\s*", "")
+        for _ in range(rounds):
+            t = instrument_suffix(F.regexp_replace(t, FIGURES, ""))["name"]
+        t = F.regexp_replace(F.regexp_replace(t, r"\s*[-–—]\s*$", ""), r"(\s*\(\d+\))+\s*$", "")
+        t = F.trim(F.regexp_replace(t, r"\s*\([^)]+\)\s*$", ""))
+        t = reduce(lambda c, f: F.regexp_replace(c, f[0], f[1]), FORMS, t)
+        return F.trim(F.regexp_replace(F.regexp_replace(t, AFTER_FORM, "$1"), r"\s+", " "))
+
+    def told(t: Column) -> Column:
+        plain = lambda x: F.struct(F.when(t.rlike(rows.NOT_A_COMPANY), "").otherwise(x).alias("name"), F.when(F.lower(x).contains("aircrew"), "Aerospace & Defense").alias("industry"))
+        return text.let(cleaned(t), plain)
+
+    # Each step is worked out once; written out, a name's rules would stand in the plan many times over.
+    return text.let(text.let(F.trim(F.regexp_replace(F.coalesce(name, F.lit("")), r"\s+", " ")), bare), told)
 
 
 def industry_of(own: Column, of_name: Column, name: Column) -> Column:
     """A row's sector: its own; else the one its name was found to tell; else by words of the name, if these are a sector's."""
-    own = text.standard_sector(own)
-    by_word = text.sector(name)
     labels = list(vocab.SECTOR_WORDS)
-    told = F.when(of_name.isNotNull(), text.standard_sector(of_name)).when(by_word.isin(labels), by_word)
-    return F.when(own.isin("", "Other"), F.coalesce(F.when(told != "", told), own)).otherwise(own)
+    once = F.struct(text.standard_sector(own).alias("own"), text.sector(name).alias("by_word"), text.standard_sector(of_name).alias("of_name"))
+
+    def choose(x: Column) -> Column:
+        told = F.when(of_name.isNotNull(), x["of_name"]).when(x["by_word"].isin(labels), x["by_word"])
+        return F.when(x["own"].isin("", "Other"), F.coalesce(F.when(told != "", told), x["own"])).otherwise(x["own"])
+
+    return text.let(once, choose)
 
 
 def cross_source_key(name: Column) -> Column:
@@ -83,24 +95,14 @@ def cross_source_key(name: Column) -> Column:
     return F.trim(F.regexp_replace(t, r"\s+", " "))
 
 
-def rate_of_terms(c: Column) -> Column:
-    """A rate told in words, as ``19%``: a fixed rate, else a cash rate, else a lone percentage under 50 where no benchmark or sum is told; else blank."""
-    t = F.trim(F.coalesce(c, F.lit("")))
-    fixed = F.regexp_extract(t, r"[Ff]ixed\s+(?:interest\s+)?rate[:\s]+(\d+\.?\d*)", 1)
-    cash = F.regexp_extract(t, r"(?i)(\d+\.?\d*)%?\s+cash", 1)
-    lone = F.when(~F.lower(t).rlike(r"sofr|libor|\+"), F.regexp_extract(t, r"(\d+\.?\d*)%", 1)).otherwise("")
-    lone = F.when((lone.try_cast("double") > 0) & (lone.try_cast("double") < 50), lone).otherwise("")
-    x = F.coalesce(*[F.when(p != "", p) for p in (fixed, cash, lone)]).try_cast("double")
-    shown = F.regexp_replace(F.format_string("%.2f", x), r"\.?0+$", "")
-    return F.when(x.isNull(), "").otherwise(F.concat(shown, F.lit("%")))
-
-
 def rate_token(c: Column) -> Column:
     """A rate's name for comparison: ``3-month SOFR`` and ``3 month sofr rate`` are ``3m sofr``."""
     t = F.regexp_replace(F.lower(F.trim(c)), r"(\d+)[\s-]month\s+", "$1m ")
     return F.trim(F.regexp_replace(t, r"\s+(rate|index|benchmark|floor)$", ""))
 
 
-def is_rate_token(c: Column, names: tuple[str, ...] = ("sofr", "sf", "s", "libor", "l", "euribor", "e", "prime", "p", "sonia", "cdor", "corra", "bbsy", "bbsw", "bkbm", "nibor", "base rate")) -> Column:
-    t = rate_token(c)
-    return F.coalesce(t.isin(*names) | t.rlike(r"^\d+m?\s*(sofr|libor|l)$"), F.lit(False))
+def is_rate_token(c: Column, names: Sequence[str] = tuple(vocab.RATE_TOKENS)) -> Column:
+    """Whether a cell is a rate's name, as it stands or for comparison, or a tenor before one of the commonest."""
+    t, short = F.lower(F.trim(c)), rate_token(c)
+    tenor = r"^\d+m?\s*(sofr|libor|l)$"
+    return F.coalesce(t.isin(*names) | short.isin(*names) | t.rlike(tenor) | short.rlike(tenor), F.lit(False))

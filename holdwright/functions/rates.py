@@ -51,3 +51,23 @@ def parse(cell: Column) -> Column:
         F.when(pik != 0, pik).alias("pik"),
         F.when(s.isNull(), value(one("fixed"))).alias("fixed"),
     )
+
+
+def of_terms(cell: Column) -> Column:
+    """A rate told in words, in per cent as ``7.5%``: a figure with the role fixed (behind fixed rate, interest or not between),
+    else one before cash, else the first percentage between 0 and 50 where neither a benchmark nor a sum is told; else blank."""
+    t = _tokens(cell)
+    at = lambda i: F.coalesce(F.get(t, i), F.lit(""))
+
+    def role(x: Column, i: Column) -> Column:
+        fixed = (at(i - 1) == "rate") & ((at(i - 2) == "fixed") | ((at(i - 2) == "interest") & (at(i - 3) == "fixed")))
+        return F.when(fixed, "fixed").when(at(i + 1) == "cash", "cash").when(x.endswith("%"), "alone")
+
+    marked = F.transform(t, lambda x, i: F.struct(x.alias("x"), F.when(x.rlike(r"^\d"), role(x, i)).alias("role")))
+    value = lambda m: F.regexp_replace(m["x"], r"[\s%]", "").try_cast("double")
+    one = lambda *names: value(F.get(F.filter(marked, lambda m: m["role"].isin(*names)), F.lit(0)))
+    summed = F.exists(t, lambda x: x.isin("+", "sofr", "libor"))
+    alone = F.when(~summed, one("fixed", "cash", "alone"))
+    x = F.coalesce(one("fixed"), one("cash"), F.when((alone > 0) & (alone < 50), alone))
+    shown = F.regexp_replace(F.format_string("%.2f", x), r"\.?0+$", "")
+    return F.when(x.isNull(), "").otherwise(F.concat(shown, F.lit("%")))

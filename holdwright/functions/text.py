@@ -20,6 +20,25 @@ def first_match(c: Column, rules: Iterable[tuple[str, str]], otherwise: Column |
     return out.otherwise(otherwise)
 
 
+def let(value: Column, f):
+    """f of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
+def holds(c: Column, lines: Iterable[Iterable[Iterable[str]]]) -> Column:
+    """Whether c holds, for one of the lines, a phrase of every group in it."""
+    out = F.lit(False)
+    for groups in lines:
+        every = F.lit(True)
+        for phrases in groups:
+            some = F.lit(False)
+            for p in phrases:
+                some = some | F.contains(c, F.lit(p))
+            every = every & some
+        out = out | every
+    return out
+
+
 def blank(c: Column) -> Column:
     return F.trim(F.coalesce(c, F.lit(""))) == ""
 
@@ -114,8 +133,12 @@ def camel_words(c: Column) -> Column:
 
 
 def rate_of_url(c: Column) -> Column:
-    """The rate name of an enumeration's address: its last segment, by taxonomy member."""
-    return _lookup(F.lower(F.element_at(F.split(F.regexp_replace(c, r"#", "/"), "/"), -1)), vocab.RATE_MEMBERS)
+    """The rate name of an enumeration's address or plain text: of what stands behind the last slash, in capitals, the first
+    known name that it holds, else the taxonomy's name of the member, else itself; null for a blank one."""
+    last = F.upper(F.trim(F.substring_index(F.trim(c), "/", -1)))
+    named = first_match(last, [(n, n) for n in vocab.RATES_IN_URLS])
+    member = _lookup(F.lower(F.substring_index(last, "#", -1)), vocab.RATE_MEMBERS)
+    return F.coalesce(named, member, F.nullif(last, F.lit("")))
 
 
 def tidy(c: Column) -> Column:

@@ -10,24 +10,18 @@ from pyspark.sql import functions as F
 from ..functions import names, parse, text
 from . import dedup
 
-# Heads of columns by field, the first that matches: (field, pattern over the lower-cased head).
-HEADS = [
-    ("company_name", r"portfolio\s+company|company\s+name|issuer"),
-    ("footnotes", r"foot\s?note"),
-    ("industry", r"industry|sector|gics"),
-    ("company_name", r"^investments?\s*(\(\d+\)\s*)*$"),
-    ("investment_type", r"investment(?!\s+company)"),
-    ("rate", r"rate|interest"),
-    ("floor", r"floor"),
-    ("maturity", r"maturity"),
-    ("principal", r"principal|par\s*/?\s*unit|par\s+amount"),
-    ("amortized_cost", r"amortized\s+cost"),
-    ("fair_value", r"fair\s+value"),
-    ("pct_net_assets", r"%\s+of\s+net|percent.*net\s+asset"),
-    ("shares", r"shares?|units?"),
-    ("company_name", r"\bcompany\b|\bissuer\b"),
-    ("fair_value", r"^\s*value\s*(\(|$)"),
-    ("amortized_cost", r"^\s*cost\s*(\(|$)"),
+# Phrases of tables that are no schedule. A table is one if of every group of a line it holds one.
+OTHER_TABLES = [
+    [["cash flows from operating activities"], ["net cash provided by"]],
+    [["net cash provided by (used for) operating activities"]],
+    [
+        ["net change in unrealized appreciation", "net change in unrealized depreciation"],
+        ["for the three months ended"],
+        ["for the nine months ended"],
+        ["($ in millions)", "portfolio company"],
+    ],
+    [["level 1"], ["level 2"], ["level 3"]],
+    [["purchases"], ["sales or payoffs", "pay-offs"], ["beginning of period", "end of period"]],
 ]
 
 
@@ -50,15 +44,7 @@ def standardize(df: DataFrame, company: str = "company_name", kind: str = "inves
 
 def is_other_table(t: Column) -> Column:
     """Tables that name investments but are no schedule: cash flows, changes in unrealized value, levels, roll-forwards."""
-    low = F.lower(t)
-    has = lambda *w: [low.contains(x) for x in w]
-    both = lambda cs: cs[0] if len(cs) == 1 else cs[0] & both(cs[1:])
-    one = lambda cs: cs[0] if len(cs) == 1 else cs[0] | one(cs[1:])
-    flows = both(has("cash flows from operating activities", "net cash provided by")) | low.contains("net cash provided by (used for) operating activities")
-    change = one(has("net change in unrealized appreciation", "net change in unrealized depreciation")) & both(has("for the three months ended", "for the nine months ended")) & one(has("($ in millions)", "portfolio company"))
-    levels = both(has("level 1", "level 2", "level 3"))
-    rolled = low.contains("purchases") & one(has("sales or payoffs", "pay-offs")) & one(has("beginning of period", "end of period"))
-    return F.coalesce(flows | change | levels | rolled, F.lit(False))
+    return F.coalesce(text.holds(F.lower(t), OTHER_TABLES), F.lit(False))
 
 
 def is_prior_year_table(t: Column, period: Column) -> Column:
@@ -81,19 +67,6 @@ def is_prior_year_table(t: Column, period: Column) -> Column:
     return ~F.coalesce(current, F.lit(False)) & (earlier(r"(?:december|dec\.?)\s+31[,\s]+(\d{4})") | earlier(r"\b12[/-]31[/-](\d{4})\b"))
 
 
-def merged_heads(first: Column, second: Column) -> Column:
-    """One head of each column out of two rows of heads."""
-    both = F.arrays_zip(first.alias("a"), second.alias("b"))
-    return F.transform(both, lambda x: F.trim(F.concat_ws(" ", F.coalesce(x["a"], F.lit("")), F.coalesce(x["b"], F.lit("")))))
-
-
-def fields_of_heads(heads: Column) -> Column:
-    """array<struct<place, field>>: each column's field by its head; a field goes to its first column alone."""
-    known = F.transform(heads, lambda h, i: F.struct(i.alias("place"), text.first_match(F.lower(h), HEADS).alias("field")))
-    known = F.filter(known, lambda x: x["field"].isNotNull())
-    return F.filter(known, lambda x: F.array_position(known["field"], x["field"]) == F.array_position(known["place"], x["place"]))
-
-
 def money_cells(cells: Column) -> Column:
     """struct(principal, cost, fair_value): the last three numbers of a row of cells; with two there is no principal, one is a value.
 
@@ -130,11 +103,18 @@ def around_maturity(cells: Column) -> Column:
 
 
 def drop_sparse_twins(df: DataFrame, keys: Sequence[str], fields: Sequence[str], seq: str, sparse: int = 5) -> DataFrame:
-    """Rows of one key (company and value): those with at most ``sparse`` fields go where a richer row, or an equal one before them, is there."""
-    w = Window.partitionBy(*keys)
+    """Rows of one key (company and value): those with at most ``sparse`` fields go where a richer row, or an equal one before them, is there.
+
+    A key's best row is a struct minimum, which combines before the shuffle; only sparse rows meet it, in a join that Spark can split.
+    """
     d = df.withColumn("__n", dedup.populated(fields))
-    d = d.withColumn("__best", F.min(F.struct(-F.col("__n"), F.col(seq))).over(w))
-    return d.filter((F.col("__n") > sparse) | (F.col(seq) == F.col(f"__best.{seq}"))).drop("__n", "__best")
+    best = d.groupBy(*keys).agg(F.min(F.struct(-F.col("__n"), F.col(seq)))[seq].alias("__best"))
+    best = best.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__best")
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    kept = d.filter(F.col("__n") <= sparse).join(best, same & (F.col(seq) == F.col("__best")), "left_semi")
+    return d.filter(F.col("__n") > sparse).unionByName(kept).drop("__n")
 
 
 def drop_repeated_schedules(df: DataFrame, filing: Sequence[str], table: str, place: str, name: str, first: int = 5, least: int = 3) -> DataFrame:
@@ -150,7 +130,11 @@ def drop_repeated_schedules(df: DataFrame, filing: Sequence[str], table: str, pl
 
 
 def with_company_id(rows: DataFrame, name: str, index: DataFrame) -> DataFrame:
-    """company_id of each row: that of its name in index (name, company_id), else of its cleaned name, else of a hash of the cleaned name; blank names have none."""
+    """company_id of each row: that of its name in index (name, company_id), else of its cleaned name, else of a hash of the cleaned name; blank names have none.
+
+    A name that the index has under several ids has the least of them.
+    """
+    index = index.groupBy("name").agg(F.min("company_id").alias("company_id"))
     raw = index.select(F.col("name").alias("__raw"), F.col("company_id").alias("__by_raw"))
     clean = index.select(F.col("name").alias("__clean"), F.col("company_id").alias("__by_clean"))
     d = rows.withColumn("__raw", F.trim(name)).withColumn("__clean", names.clean_company(F.col(name))["name"])

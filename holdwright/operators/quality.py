@@ -2,41 +2,52 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import names, parse, text
+from ..functions import parse, rates, text
 from . import dedup
 from .aggregate import ranked
 
-# Concepts (lower-cased) by the column that they fill, the first rule that matches. A column with ``?`` is
-# filled only where nothing else fills it.
-FACTS = [
-    ("fair_value", "(?=.*fairvalue).*investment"),
-    ("amortized_cost", "amortizedcost"),
-    ("cost", "^investment(owned)?atcost$"),
-    ("principal_amount", "principalamount|balanceprincipal"),
-    ("pik_rate", "(?=.*(pik|paidinkind)).*rate"),
-    ("cash_rate", "^investmentinterestrate(cash|contractual|effective|paidincash|duringperiod)?$"),
-    ("cash_rate?", "^(investmentowneddividendrate|investmentestimatedyield|investmentcompanyreturnrate|investmentinterestrateterms)$"),
-    ("floor_rate", "interestratefloor"),
-    ("spread", "basisspread|spreadovervariable|^investmentinterestratespread$"),
-    ("reference_rate", "^investmentvariableinterestratetypeextensibleenumeration$"),
-    ("reference_rate?", "^investmentvariableinterestratetype$"),
-    ("rate_cap", "^investmentinterestratecap$"),
-    ("shares", "^investmentownedbalanceshares$"),
-    ("percent_of_net_assets", "percent(age)?ofnetassets"),
-    ("acquisition_date", "^investmentacquisitiondate$"),
-    ("maturity_date", "^investmentmaturitydate$"),
-    ("undrawn_commitment", "(?=.*unfunded).*commitment"),
-    ("commitment_limit", "commitment"),
+# Concepts (lower-cased) by the column that they fill.
+FACT_NAMES = {
+    "cost": ["investmentatcost", "investmentownedatcost"],
+    "cash_rate": [
+        "investmentinterestrate", "investmentinterestratecash", "investmentinterestratecontractual", "investmentinterestrateeffective",
+        "investmentinterestratepaidincash", "investmentinterestrateduringperiod",
+    ],
+    "spread": ["investmentinterestratespread"],
+    "reference_rate": ["investmentvariableinterestratetypeextensibleenumeration"],
+    "rate_cap": ["investmentinterestratecap"],
+    "shares": ["investmentownedbalanceshares"],
+    "acquisition_date": ["investmentacquisitiondate"],
+    "maturity_date": ["investmentmaturitydate"],
+}
+# Concepts that fill a column which nothing else fills; the first of them counts.
+FALLBACK_NAMES = {
+    "cash_rate": ["investmentowneddividendrate", "investmentestimatedyield", "investmentcompanyreturnrate", "investmentinterestrateterms"],
+    "reference_rate": ["investmentvariableinterestratetype"],
+}
+# Parts of other concepts by column, in order; of every group a concept has one.
+FACT_PARTS = [
+    ("fair_value", [["fairvalue"], ["investment"]]),
+    ("amortized_cost", [["amortizedcost"]]),
+    ("principal_amount", [["principalamount", "balanceprincipal"]]),
+    ("pik_rate", [["pik", "paidinkind"], ["rate"]]),
+    ("floor_rate", [["interestratefloor"]]),
+    ("spread", [["basisspread", "spreadovervariable"]]),
+    ("percent_of_net_assets", [["percentofnetassets", "percentageofnetassets"]]),
+    ("undrawn_commitment", [["unfunded"], ["commitment"]]),
+    ("commitment_limit", [["commitment"]]),
 ]
+FACT_COLUMNS = [
+    "fair_value", "amortized_cost", "cost", "principal_amount", "pik_rate", "cash_rate", "floor_rate", "spread", "reference_rate", "rate_cap", "shares",
+    "percent_of_net_assets", "acquisition_date", "maturity_date", "undrawn_commitment", "commitment_limit",
+]
 MONEY = ["fair_value", "amortized_cost", "cost", "principal_amount", "undrawn_commitment", "commitment_limit"]
 RATES = ["pik_rate", "cash_rate", "floor_rate", "spread", "rate_cap", "percent_of_net_assets"]
-# Words of heads whose columns stay though mostly empty.
-RATE_HEADS = ["rate", "spread", "pik", "interest", "reference", "margin", "coupon", "index"]
 # Parts of names that are no company's.
 NO_COMPANIES = [
     "sub total", "subtotal", "total investments", "total portfolio", "investment non-affiliated issuer", "non-affiliate", "non-control", "senior secured loans", "equity interests",
@@ -98,73 +109,40 @@ def drop_sparse_dimensions(facts: DataFrame, keys: Sequence[str], dim: str, conc
     return facts.join(gone, [*keys, dim], "left_anti")
 
 
+def _column_of(concept: Column, names: Mapping[str, Sequence[str]]) -> Column:
+    pairs = [F.lit(x) for column, some in names.items() for name in some for x in (name, column)]
+    return F.try_element_at(F.create_map(*pairs), concept)
+
+
 def fact_columns(facts: DataFrame, keys: Sequence[str], concept: str, value: str, seq: str, divisor: Column | None = None) -> DataFrame:
-    """A row per key (a position's dimension) with a text column for each field of FACTS; of several facts of a column the last by seq counts.
+    """A row per key (a position's dimension) with a text column for each of FACT_COLUMNS; of several facts of a column the last by seq counts.
 
     Money is divided by divisor, rates become percentages, a missing cost is the other cost, a spread without a
     rate's name is over SOFR, and the type tells debt (principal or spread) from shares. Absent facts are null.
     """
     low = F.lower(F.col(concept))
     x = parse.to_double(F.col(value))
-    field = text.first_match(low, FACTS)
+    parts = None
+    for column, groups in FACT_PARTS:
+        parts = F.when(text.holds(low, [groups]), column) if parts is None else parts.when(text.holds(low, [groups]), column)
+    late = _column_of(low, FALLBACK_NAMES)
+    field = F.coalesce(_column_of(low, FACT_NAMES), late, parts)
     zero = (low == "investmentinterestrateduringperiod") & (F.coalesce(x, F.lit(0.0)) == 0)
     money = parse.number_text(x / (F.lit(1.0) if divisor is None else divisor))
     shown = F.when(field.isin(MONEY), money)
-    shown = shown.when(low == "investmentinterestrateterms", names.rate_of_terms(F.col(value)))
-    shown = shown.when(F.regexp_replace(field, r"\?", "").isin(RATES), parse.number_text(parse.fraction_to_percent(x)))
+    shown = shown.when(low == "investmentinterestrateterms", rates.of_terms(F.col(value)))
+    shown = shown.when(field.isin(RATES), parse.number_text(parse.fraction_to_percent(x)))
     shown = shown.when(low == "investmentvariableinterestratetypeextensibleenumeration", text.rate_of_url(F.col(value))).otherwise(F.trim(value))
-    d = facts.select(*keys, F.col(seq).alias("__seq"), field.alias("__f"), F.when(~zero & (shown != ""), shown).alias("__v")).filter("__f is not null and __v is not null")
-    columns = list(dict.fromkeys(c.rstrip("?") for c, _ in FACTS))
-    last = lambda c: F.max_by("__v", F.when(F.col("__f") == c, F.col("__seq")))
-    first = lambda c: F.min_by("__v", F.when(F.col("__f") == f"{c}?", F.col("__seq")))
-    wide = d.groupBy(*keys).agg(*[(F.coalesce(last(c), first(c)) if (f"{c}?" in dict(FACTS)) else last(c)).alias(c) for c in columns])
+    d = facts.select(*keys, F.col(seq).alias("__seq"), field.alias("__f"), late.isNotNull().alias("__late"), F.when(~zero & (shown != ""), shown).alias("__v")).filter("__f is not null and __v is not null")
+    of = lambda c, late: F.when((F.col("__f") == c) & (F.col("__late") == late), F.col("__seq"))
+    known = lambda c: F.max_by("__v", of(c, False))
+    wide = d.groupBy(*keys).agg(*[(F.coalesce(known(c), F.min_by("__v", of(c, True))) if c in FALLBACK_NAMES else known(c)).alias(c) for c in FACT_COLUMNS])
     both = {"cost": F.coalesce("cost", "amortized_cost"), "amortized_cost": F.coalesce("amortized_cost", "cost")}
     wide = wide.withColumns({**both, "reference_rate": F.coalesce("reference_rate", F.when(F.col("spread").isNotNull(), "SOFR"))})
     kind = F.when(F.col("principal_amount").isNotNull() | F.col("spread").isNotNull(), "First Lien").when(F.col("shares").isNotNull(), "Other Equity").otherwise("Other")
     return wide.withColumn("investment_type", kind)
 
 
-def without_spacers(grid: Column) -> Column:
-    """A table (array of rows, its head first, all of one length) without columns that are empty in over 80 per cent of its rows, with signs joined to their figures.
-
-    Columns of rates stay. A column more than half of whose cells are ``%`` or ``$`` is joined to the one before
-    it. Tables of under two rows stay as they are.
-    """
-    data = F.slice(grid, 2, F.greatest(F.size(grid) - 1, F.lit(0)))
-    n = F.size(data)
-    cell = lambda row, c: F.trim(F.coalesce(F.get(row, c), F.lit("")))
-    places = F.sequence(F.lit(0), F.greatest(F.size(F.get(grid, F.lit(0))) - 1, F.lit(0)))
-    empty = lambda c: F.size(F.filter(data, lambda r: cell(r, c) == ""))
-    kept = F.filter(places, lambda c: F.lower(cell(F.get(grid, F.lit(0)), c)).rlike("|".join(RATE_HEADS)) | (empty(c) * 10 <= n * 8))
-    signs = lambda c: F.size(F.filter(data, lambda r: cell(r, c).isin("%", "$")))
-    # A lambda's variable is evaluated once, an expression inside a lambda for every element.
-    once = lambda x, f: F.get(F.transform(F.array(x), f), F.lit(0))
-
-    def sign_on(value, sign):
-        return F.when(value == "", "").when(sign == "$", F.concat(F.lit("$"), value)).when(sign == "%", F.concat(value, F.lit("%"))).otherwise(value)
-
-    def row(r, kept, units):
-        none = F.struct(F.array().cast("array<string>").alias("out"), F.lit(False).alias("skip"))
-
-        def step(acc, k):
-            c, after = F.get(kept, k), F.get(kept, k + 1)
-            own = cell(r, c)
-            last = F.try_element_at(acc["out"], F.lit(-1))
-            behind = F.array_contains(units, c) & (F.size(acc["out"]) > 0) & own.isin("%", "$")
-            joined = F.concat(F.slice(acc["out"], 1, F.greatest(F.size(acc["out"]) - 1, F.lit(0))), F.array(sign_on(F.coalesce(last, F.lit("")), own)))
-            ahead = F.coalesce(F.array_contains(units, after), F.lit(False))
-            out = F.when(acc["skip"], acc["out"]).when(ahead, F.concat(acc["out"], F.array(sign_on(own, cell(r, after))))).when(behind, joined).otherwise(F.concat(acc["out"], F.array(own)))
-            return F.struct(out.alias("out"), (~acc["skip"] & ahead).alias("skip"))
-
-        # An empty kept would make a sequence that counts down.
-        steps = F.when(F.size(kept) > 0, F.sequence(F.lit(0), F.greatest(F.size(kept) - 1, F.lit(0)))).otherwise(F.array().cast("array<int>"))
-        return F.aggregate(steps, none, step, lambda acc: acc["out"])
-
-    rows = lambda k, u: F.transform(grid, lambda r: row(r, k, u))
-    whole = once(kept, lambda k: once(F.filter(k, lambda c: signs(c) * 2 > n - empty(c)), lambda u: rows(k, u)))
-    return F.when(F.size(grid) < 2, grid).otherwise(whole)
-
-
 def leading_companies(exposures: DataFrame, limit: int = 10, least_funds: int = 2) -> DataFrame:
     """(company_id, canonical_name) of the largest exposures of enough funds, without headings and subtotals; ties by id."""
     name = F.coalesce(F.when(~text.blank(F.col("company_name")), F.trim("company_name")), F.col("company_id"))

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import credit, names, rates
+from ..functions import credit, names, rates, vocab
 from ..operators import aggregate as A
-from ..operators import filings, reconcile
+from ..operators import filings, grids, reconcile
 from ..sources import documents
 from ..sources import facts as sources_facts
 from .binding import query, table
@@ -52,23 +52,40 @@ def instrument_suffixes(spark, sf):
     return p.select("p_partkey", s.alias("s")).select("p_partkey", "s.name", "s.type")
 
 
-@query("""WITH o AS (SELECT o_orderkey, o_orderkey % 4 AS k, regexp_replace(printf('%.2f', (o_custkey % 600) / 8.0), '\\.?0+$', '') AS x, (o_custkey % 600) / 8.0 AS v FROM orders)
-  SELECT o_orderkey, CASE WHEN k = 0 THEN x || '%' WHEN k = 1 THEN x || '%' WHEN k = 2 THEN '' WHEN round(v, 2) > 0 AND round(v, 2) < 50 THEN x || '%' ELSE '' END AS rate FROM o""".replace("(o_custkey % 600) / 8.0", "(o_custkey % 600) / 4.0"))
+# A rate told in words: what is said before and behind a figure of the order's customer and clerk.
+_SAID = ["a fixed rate of about ", "fixed rate ", "pays ", "SOFR plus a margin, now ", "coupon ", "LIBOR + ", "fixed interest rate: ", "in all "]
+_BEHIND = ["%", "% cash", "", "% PIK and 1.5% cash", "% a year"]
+_TERMS_CELL = f"{_sql_pick('o_orderkey', _SAID)} || printf('%.2f', (o_custkey % 600) / 4.0) || {_sql_pick('o_custkey', _BEHIND)}"
+
+
+@query(rf"""WITH c AS (SELECT o_orderkey, lower({_TERMS_CELL}) AS cell FROM orders),
+  r AS (SELECT o_orderkey, cell, coalesce(nullif(regexp_extract(cell, 'fixed (?:interest )?rate:? ([0-9.]+)', 1), ''), nullif(regexp_extract(cell, '([0-9.]+)%? cash', 1), '')) AS told,
+    CASE WHEN NOT regexp_matches(cell, 'sofr|libor|[+]') THEN regexp_extract(cell, '([0-9.]+)%', 1) END AS alone FROM c),
+  x AS (SELECT o_orderkey, coalesce(CAST(told AS DOUBLE), CASE WHEN TRY_CAST(alone AS DOUBLE) > 0 AND TRY_CAST(alone AS DOUBLE) < 50 THEN CAST(alone AS DOUBLE) END) AS x FROM r)
+  SELECT o_orderkey, CASE WHEN x IS NULL THEN '' ELSE regexp_replace(printf('%.2f', x), '\.?0+$', '') || '%' END AS rate FROM x""")
 def rates_of_terms(spark, sf):
-    """Rates told in words: fixed, cash, a sum with a benchmark (which is no rate), a lone percentage."""
-    k, v = F.col("o_orderkey") % 4, F.format_string("%.2f", (F.col("o_custkey") % 600) / 4.0)
-    cell = F.when(k == 0, F.concat(F.lit("Fixed interest rate "), v, F.lit("%; EOT 0.0%"))).when(k == 1, F.concat(F.lit("S + "), v, F.lit("% cash, 2.00% PIK")))
-    cell = cell.when(k == 2, F.concat(F.lit("SOFR + "), v, F.lit("%"))).otherwise(F.concat(F.lit("Rate of "), v, F.lit("%")))
-    return table(spark, sf, "orders").select("o_orderkey", names.rate_of_terms(cell).alias("rate"))
+    """Rates told in words: fixed, cash, a margin over a benchmark (which is no rate), a lone percentage."""
+    o = table(spark, sf, "orders")
+    cell = F.concat(_pick(F.col("o_orderkey"), _SAID), F.format_string("%.2f", (F.col("o_custkey") % 600) / 4.0), _pick(F.col("o_custkey"), _BEHIND))
+    return o.select("o_orderkey", rates.of_terms(cell).alias("rate"))
 
 
-_TOKENS = ["SOFR", "3-month SOFR", "6 month LIBOR rate", "Prime rate", "1M L", "Gilt", "EURIBOR", "12-month treasury"]
-_TOKENS_WANT = ["sofr", "3m sofr", "6m libor", "prime", "1m l", "gilt", "euribor", "12m treasury"]
+# A rate's cell: a tenor and a unit by the order's customer, a name by its key, a word behind by its status.
+_UNITS = ["", "{0}-month ", "{0} month ", "{0}M ", "{0}m"]
+_NAMED = [*vocab.RATE_TOKENS, "gilt", "treasury", "Wibor", "swap"]
+_AFTER = ["", " rate", " index", " floor", " note"]
+_TENOR = "CAST(o_custkey % 12 + 1 AS VARCHAR)"
+_TOKEN_CELL = f"replace({_sql_pick('o_custkey', _UNITS)}, '{{0}}', {_TENOR}) || {_sql_pick('o_orderkey', _NAMED)} || {_sql_pick('o_orderkey + o_custkey', _AFTER)}"
 
 
-@query(f"SELECT o_orderkey, cell, {_sql_pick('o_custkey', _TOKENS_WANT)} AS token, o_custkey % 8 NOT IN (5, 7) AS known FROM (SELECT o_orderkey, o_custkey, {_sql_pick('o_custkey', _TOKENS)} AS cell FROM orders)")
+@query(rf"""WITH c AS (SELECT o_orderkey, {_TOKEN_CELL} AS cell FROM orders),
+  t AS (SELECT *, trim(regexp_replace(regexp_replace(lower(trim(cell)), '(\d+)[\s-]month\s+', '\1m '), '\s+(rate|index|benchmark|floor)$', '')) AS token FROM c)
+  SELECT o_orderkey, cell, token, list_contains([{", ".join(f"'{x}'" for x in vocab.RATE_TOKENS)}], lower(trim(cell))) OR list_contains([{", ".join(f"'{x}'" for x in vocab.RATE_TOKENS)}], token)
+    OR regexp_matches(lower(trim(cell)), '^\d+m?\s*(sofr|libor|l)$') OR regexp_matches(token, '^\d+m?\s*(sofr|libor|l)$') AS known FROM t""")
 def rate_tokens(spark, sf):
-    cell = _pick(F.col("o_custkey"), _TOKENS)
+    """Tenors, names and words of rates joined: their form for comparison, and whether they are known."""
+    unit = F.replace(_pick(F.col("o_custkey"), _UNITS), F.lit("{0}"), (F.col("o_custkey") % 12 + 1).cast("string"))
+    cell = F.concat(unit, _pick(F.col("o_orderkey"), _NAMED), _pick(F.col("o_orderkey") + F.col("o_custkey"), _AFTER))
     return table(spark, sf, "orders").select("o_orderkey", cell.alias("cell")).select("o_orderkey", "cell", names.rate_token(F.col("cell")).alias("token"), names.is_rate_token(F.col("cell")).alias("known"))
 
 
@@ -83,31 +100,69 @@ def other_tables(spark, sf):
     return table(spark, sf, "pages").select("page_id", filings.is_other_table(t).alias("other"))
 
 
-@query("""WITH o AS (SELECT o_orderkey, o_orderkey % 5 AS k FROM orders)
-  SELECT o_orderkey, k IN (1, 3) AS prior FROM o""")
-def prior_year_tables(spark, sf):
-    """Heads of tables: as of the period; last year's end; the period bare beside last year's end; numbers; no date."""
-    end = F.date_sub(F.add_months(F.trunc("o_orderdate", "quarter"), 3), 1)
-    k, last = F.col("o_orderkey") % 5, (F.year(end) - 1).cast("string")
-    words = F.date_format(end, "MMMM d, yyyy")
-    cell = F.when(k == 0, F.concat(F.lit("Schedule as of "), words, F.lit(" and December 31, "), last)).when(k == 1, F.concat(F.lit("December 31, "), last, F.lit(" (audited)")))
-    cell = cell.when(k == 2, F.concat(words, F.lit("; December 31, "), last)).when(k == 3, F.concat(F.lit("12/31/"), last)).otherwise(F.lit("no date here"))
-    return table(spark, sf, "orders").select("o_orderkey", filings.is_prior_year_table(cell, end).alias("prior"))
-
-
-_HEADS = [["Portfolio", "Industry", "Interest", "Maturity", "Principal", "Fair"], ["Issuer", "Sector", "Rate", "Floor", "Par", "Cost"], ["Investments (1)", "Investment", "Spread", "Maturity", "Shares", "Value"]]
-_UNDER = [["Company", "", "Rate", "Date", "Amount", "Value"], ["", "", "", "", "Amount", ""], ["", "Type", "", "", "", ""]]
-_FIELDS = ["company_name,industry,rate,maturity,principal,fair_value", "company_name,industry,rate,floor,principal,amortized_cost", "company_name,investment_type,maturity,shares,fair_value"]
+# Heads of tables: a date in one of several spellings, of the period or of a year's end before or behind it, with words before it.
+_BEFORE = ["Schedule as of ", "", "Balances at ", "for the year ended "]
+_SPELLED = ["%B %d, %Y", "%b. %d, %Y", "%m/%d/%Y", "%Y-%m-%d"]
+_SPELLED_SPARK = ["MMMM dd, yyyy", "MMM. dd, yyyy", "MM/dd/yyyy", "yyyy-MM-dd"]
+_SHOWN = lambda d: "CASE CAST(o_custkey % 4 AS INT) " + " ".join(f"WHEN {k} THEN strftime({d}, '{f}')" for k, f in enumerate(_SPELLED)) + " END"
+_PERIOD = "CAST(date_trunc('quarter', o_orderdate) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE)"
+_YEAR_END = f"make_date(CAST(year({_PERIOD}) - o_orderkey % 3 AS INT), 12, 31)"
+_DATED = f"CASE CAST(o_orderkey % 5 AS INT) WHEN 0 THEN {_SHOWN(_PERIOD)} || ' and ' || {_SHOWN(_YEAR_END)} WHEN 1 THEN {_SHOWN(_PERIOD)} WHEN 4 THEN 'no date' ELSE {_SHOWN(_YEAR_END)} END"
 
 
-@query(f"SELECT p_partkey, {_sql_pick('p_partkey', _FIELDS)} AS fields FROM part")
+@query(rf"""WITH c AS (SELECT o_orderkey, {_PERIOD} AS p, lower({_sql_pick("o_orderkey", _BEFORE)} || {_DATED}) AS t FROM orders),
+  x AS (SELECT *, regexp_matches(t, '(as\s+of|at)\s+' || lower(monthname(p)) || '\s+0?' || day(p) || '[,\s]+' || year(p)) AS as_of,
+    regexp_matches(t, lower(monthname(p)) || '\s+0?' || day(p) || '[,\s]+' || year(p) || '|' || lower(left(monthname(p), 3)) || '\.?\s+0?' || day(p) || '[,\s]+' || year(p) || '|\b0?' || month(p) || '/0?' || day(p) || '/' || year(p) || '\b|\b' || strftime(p, '%Y-%m-%d') || '\b') AS bare,
+    coalesce(TRY_CAST(nullif(regexp_extract(t, '(?:december|dec\.?)\s+31[,\s]+(\d{{4}})', 1), '') AS INT) < year(p), false) OR coalesce(TRY_CAST(nullif(regexp_extract(t, '\b12[/-]31[/-](\d{{4}})\b', 1), '') AS INT) < year(p), false) AS earlier FROM c)
+  SELECT o_orderkey, NOT (as_of OR (bare AND NOT (month(p) = 12 AND day(p) = 31))) AND earlier AS prior FROM x""")
+def prior_year_tables(spark, sf):
+    """Heads of tables: the period's end, year's ends, both, or none, as words, abbreviated, as numbers and as ISO text."""
+    o = table(spark, sf, "orders").withColumn("end", F.date_sub(F.add_months(F.trunc("o_orderdate", "quarter"), 3), 1))
+    year_end = F.make_date((F.year("end") - F.col("o_orderkey") % 3).cast("int"), F.lit(12), F.lit(31))
+
+    def shown(d):
+        out = None
+        for k, f in enumerate(_SPELLED_SPARK):
+            c = (F.col("o_custkey") % 4) == k
+            out = F.when(c, F.date_format(d, f)) if out is None else out.when(c, F.date_format(d, f))
+        return out
+
+    k = F.col("o_orderkey") % 5
+    dated = F.when(k == 0, F.concat(shown(F.col("end")), F.lit(" and "), shown(year_end))).when(k == 1, shown(F.col("end"))).when(k == 4, "no date").otherwise(shown(year_end))
+    return o.select("o_orderkey", filings.is_prior_year_table(F.concat(_pick(F.col("o_orderkey"), _BEFORE), dated), F.col("end")).alias("prior"))
+
+
+# Heads by the part's key and size: eleven columns, each with a phrase of its own place; the second row fills the blanks of the first.
+_HEADS = ["Portfolio Company (1)", "", "Issuer", "Type of Investment", "Business Description", "Total Rate", "Interest", "PIK", "Spread Above Index", "Acquisition", "Due Date", "Par", "Cost", "Fair Value", "% of Net Assets",
+          "Notes", "Unfunded", "Principal", "Amortized Cost", "Sector", "Name", "Footnotes", "A title of the schedule that is much longer than fifty characters"]
+_WIDE = 11
+_HEAD_AT = lambda i, shift: f"{_sql_pick(f'p_partkey * {i + 3} + p_size * {i * i + 1 + shift}', _HEADS)}"
+
+
+def _able(h):
+    """SQL: the fields that a head may have, in order."""
+    cases = []
+    for f, words in grids.HEAD_PHRASES.items():
+        some = " OR ".join(f"contains({h}, '{w}') OR contains('{w}', {h})" for w in words)
+        cases.append(f"CASE WHEN {some} THEN '{f}' END")
+    return f"CASE WHEN {h} = '' THEN []::VARCHAR[] ELSE list_filter([{', '.join(cases)}], lambda f: f IS NOT NULL) END"
+
+
+@query(f"""WITH p AS (SELECT p_partkey, [{", ".join(_HEAD_AT(i, 0) for i in range(_WIDE))}] AS a, [{", ".join(_HEAD_AT(i, 5) for i in range(_WIDE))}] AS b FROM part),
+  h AS (SELECT p_partkey, list_transform(range(1, {_WIDE + 1}), lambda i: lower(CASE WHEN a[i] = '' OR (b[i] <> '' AND length(a[i]) > 50 AND length(b[i]) <= 50) THEN b[i] ELSE a[i] END)) AS h FROM p),
+  c AS (SELECT p_partkey, list_transform(h, lambda x: {_able("x")}) AS able FROM h),
+  f AS (SELECT p_partkey, list_reduce(list_prepend([]::VARCHAR[], able), lambda done, x: list_append(done, coalesce(list_filter(x, lambda f: NOT list_contains(done, f))[1], ''))) AS f FROM c),
+  m AS (SELECT p_partkey, f, list_contains(f, 'company_name') AS wide FROM f),
+  g AS (SELECT p_partkey, list_transform(range(1, {_WIDE + 1}), lambda i: CASE WHEN wide AND f[i] = '' AND i = 7 AND NOT list_contains(f, 'principal_amount') THEN 'principal_amount' WHEN wide AND f[i] = '' AND i = 8 AND NOT list_contains(f, 'amortized_cost') THEN 'amortized_cost'
+    WHEN wide AND f[i] = '' AND i = 9 AND NOT list_contains(f, 'fair_value') THEN 'fair_value' ELSE f[i] END) AS g FROM m)
+  SELECT p_partkey, array_to_string(g, ',') AS fields FROM g""")
 def header_fields(spark, sf):
-    """Two rows of heads merged and read as fields."""
-    arrays = lambda some: [F.array(*[F.lit(x) for x in row]) for row in some]
-    pick = lambda some: F.element_at(F.array(*arrays(some)), (F.col("p_partkey") % len(some) + 1).cast("int"))
-    heads = filings.merged_heads(pick(_HEADS), pick(_UNDER))
-    found = F.transform(filings.fields_of_heads(heads), lambda x: x["field"])
-    return table(spark, sf, "part").select("p_partkey", F.array_join(found, ",").alias("fields"))
+    """Two rows of heads merged and read as fields, column by column."""
+    row = lambda shift: F.array(*[_pick(F.col("p_partkey") * (i + 3) + F.col("p_size") * (i * i + 1 + shift), _HEADS) for i in range(_WIDE)])
+    p = table(spark, sf, "part").select("p_partkey", grids.fields_of_heads(grids.merged_heads(row(0), row(5))).alias("m"))
+    by_place = F.map_from_arrays(F.map_values("m"), F.map_keys("m"))
+    shown = F.transform(F.sequence(F.lit(0), F.lit(_WIDE - 1)), lambda i: F.coalesce(F.try_element_at(by_place, i), F.lit("")))
+    return p.select("p_partkey", F.array_join(shown, ",").alias("fields"))
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_linenumber % 2 = 0 THEN round(l_extendedprice, 2) END AS principal, CASE WHEN l_linenumber % 3 = 0 THEN -round(l_quantity, 2) ELSE round(l_quantity, 2) END AS cost,

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import vocab
 from ..operators import aggregate as A
-from ..operators import quality, schedules
+from ..operators import grids, quality, schedules
 from .binding import query, table
 from .cleaning import _pick, _sector_sql, _sql_pick
 from .facts import SERIES, series
@@ -89,18 +90,23 @@ def sparse_dimensions(spark, sf):
 
 _CONCEPTS = [
     "InvestmentOwnedAtFairValue", "InvestmentOwnedAtCost", "InvestmentOwnedBalancePrincipalAmount", "InvestmentInterestRatePaidInKind", "InvestmentInterestRate", "InvestmentEstimatedYield",
-    "InvestmentBasisSpreadVariableRate", "InvestmentVariableInterestRateType", "InvestmentOwnedBalanceShares", "InvestmentMaturityDate", "Goodwill",
+    "InvestmentBasisSpreadVariableRate", "InvestmentVariableInterestRateType", "InvestmentOwnedBalanceShares", "InvestmentMaturityDate", "Goodwill", "InvestmentVariableInterestRateTypeExtensibleEnumeration",
 ]
+# Addresses of rates: a path, then a name.
+_ADDRESSES = ["http://example.org/2024/InvestmentVariableRateType/SOFR", "http://example.org/2024#SoniaMember", "prime", "http://example.org/2024/OneMonthLIBORMember", "http://example.org/Rates/Wibor", "http://example.org/2024#BankBillSwapRateMember"]
+_NAMED_RATE = "CASE " + " ".join(f"WHEN contains(a, '{n}') THEN '{n}'" for n in vocab.RATES_IN_URLS) + " ELSE coalesce(MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in vocab.RATE_MEMBERS.items()) + "}[lower(regexp_extract(a, '[^#]*$'))], a) END"
 
 
-@query("""WITH f AS (SELECT user_id, event_id, event_id % 11 AS k, CAST(CAST(floor(abs(value)) AS BIGINT) % 90 + 1 AS VARCHAR) AS v FROM events WHERE event_id % 11 <> 10),
-  g AS (SELECT user_id, """ + ", ".join(f"max_by(v, event_id) FILTER (WHERE k = {k}) AS c{k}" for k in range(10)) + """, min_by(v, event_id) FILTER (WHERE k = 5) AS yield, min_by(v, event_id) FILTER (WHERE k = 7) AS rate FROM f GROUP BY 1)
-  SELECT user_id, c0 AS fair_value, c1 AS amortized_cost, c1 AS cost, c2 AS principal_amount, c3 AS pik_rate, coalesce(c4, yield) AS cash_rate, CAST(NULL AS VARCHAR) AS floor_rate, c6 AS spread, coalesce(rate, CASE WHEN c6 IS NOT NULL THEN 'SOFR' END) AS reference_rate,
+@query(f"""WITH e AS (SELECT user_id, event_id, event_id % 12 AS k, CAST(CAST(floor(abs(value)) AS BIGINT) % 90 + 1 AS VARCHAR) AS x, upper(regexp_extract({_sql_pick("user_id", _ADDRESSES)}, '[^/]*$')) AS a FROM events WHERE event_id % 12 <> 10),
+  f AS (SELECT user_id, event_id, k, CASE WHEN k = 11 THEN {_NAMED_RATE} ELSE x END AS v FROM e),
+  g AS (SELECT user_id, """ + ", ".join(f"max_by(v, event_id) FILTER (WHERE k = {k}) AS c{k}" for k in range(12)) + """, min_by(v, event_id) FILTER (WHERE k = 5) AS yield, min_by(v, event_id) FILTER (WHERE k = 7) AS rate FROM f GROUP BY 1)
+  SELECT user_id, c0 AS fair_value, c1 AS amortized_cost, c1 AS cost, c2 AS principal_amount, c3 AS pik_rate, coalesce(c4, yield) AS cash_rate, CAST(NULL AS VARCHAR) AS floor_rate, c6 AS spread, coalesce(c11, rate, CASE WHEN c6 IS NOT NULL THEN 'SOFR' END) AS reference_rate,
     CAST(NULL AS VARCHAR) AS rate_cap, c8 AS shares, CAST(NULL AS VARCHAR) AS percent_of_net_assets, CAST(NULL AS VARCHAR) AS acquisition_date, c9 AS maturity_date, CAST(NULL AS VARCHAR) AS undrawn_commitment, CAST(NULL AS VARCHAR) AS commitment_limit,
     CASE WHEN c2 IS NOT NULL OR c6 IS NOT NULL THEN 'First Lien' WHEN c8 IS NOT NULL THEN 'Other Equity' ELSE 'Other' END AS investment_type FROM g""")
 def fact_columns(spark, sf):
-    """An event is a fact of its user's position: the concept by its number, the value in whole figures."""
+    """An event is a fact of its user's position: the concept by its number, the value in whole figures or as a rate's address."""
     v = (F.floor(F.abs("value")) % 90 + 1).cast("string")
+    v = F.when(F.col("event_id") % 12 == 11, _pick(F.col("user_id"), _ADDRESSES)).otherwise(v)
     f = table(spark, sf, "events").select("user_id", "event_id", _pick(F.col("event_id"), _CONCEPTS).alias("concept"), v.alias("v"))
     return quality.fact_columns(f, ["user_id"], "concept", "v", "event_id")
 
@@ -110,13 +116,20 @@ def fact_columns(spark, sf):
 def spacer_columns(spark, sf):
     """An order is a table with two empty columns, one of rates that is mostly empty and one of signs."""
     odd = F.col("l_linenumber") % 2 == 1
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("long").alias("q"), F.when(odd, "%").otherwise("").alias("u"))
-    t = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "q", "u"))).alias("t"))
-    head = F.array(F.array(*[F.lit(x) for x in ("Company", "", "Rate", "", "Amount", "")]))
-    row = lambda x: F.array(F.concat(F.lit("part "), x["l_partkey"].cast("string")), F.lit(""), F.when(x["l_linenumber"] == 1, "5").otherwise(""), F.lit(""), x["q"].cast("string"), x["u"])
-    g = t.select("l_orderkey", quality.without_spacers(F.concat(head, F.transform("t", row))).alias("g"))
-    lines = F.transform(F.slice("g", 2, F.size("g") - 1), lambda x: F.array_join(x, "|"))
-    return g.select("l_orderkey", F.array_join(F.get("g", F.lit(0)), "|").alias("head"), F.array_join(lines, ";").alias("data"))
+    q = F.col("l_quantity").cast("long")
+    r = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", q))
+    li = table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("doc"), F.lit(0).alias("idx"), "l_linenumber", "l_partkey", q.alias("q"), F.when(odd, "%").otherwise("").alias("u"), r.alias("r"))
+    row = F.array(F.concat(F.lit("part "), F.col("l_partkey").cast("string")), F.lit(""), F.when(F.col("l_linenumber") == 1, "5").otherwise(""), F.lit(""), F.col("q").cast("string"), F.col("u"))
+    heads = F.array(*[F.lit(x) for x in ("Company", "", "Rate", "", "Amount", "")])
+    sizes = li.groupBy("doc", "idx").agg((F.count(F.lit(1)) + 1).alias("n_rows"))
+    rows = li.select("doc", "idx", "r", row.alias("row")).unionByName(sizes.select("doc", "idx", F.lit(0).alias("r"), heads.alias("row")))
+    cells = rows.select("doc", "idx", "r", F.posexplode("row").alias("c", "text"))
+    kept = grids.drop_spacers(cells, sizes)
+    line = F.map_from_entries(F.collect_list(F.struct("c", "text")))
+    lines = kept.groupBy("doc", "r").agg(line.alias("m")).select("doc", "r", F.concat_ws("|", *[F.coalesce(F.try_element_at("m", F.lit(c)), F.lit("")) for c in range(3)]).alias("t"))
+    below = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("r") > 0, F.struct("r", "t")))), lambda x: x["t"]), ";")
+    out = lines.groupBy("doc").agg(F.max(F.when(F.col("r") == 0, F.col("t"))).alias("head"), below.alias("data"))
+    return out.select(F.col("doc").cast("long").alias("l_orderkey"), "head", "data")
 
 
 @query("""WITH e AS (SELECT o_custkey, count(DISTINCT o_orderpriority) AS funds, CAST(sum(CAST(round(o_totalprice, 4) AS DECIMAL(18,4))) AS DOUBLE) AS x FROM orders GROUP BY 1)
@@ -177,12 +190,18 @@ def statement_files(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", quality.statement_file(path).alias("f")).select("o_orderkey", "f.*")
 
 
-_FILES = ["report.htm", "ab-2024_cal.xml", "ab_htm.xml", "Schema.xml", "xbrl.html", "ab.xsd"]
+# Names of files: the customer, a word and an ending by the order's key and customer.
+_WORDS_OF_FILES = ["-2024", "_htm", "_cal", "-schema", "_lab", "_def", "_pre", "presentation", "xbrl", "R1"]
+_ENDINGS = [".xml", ".htm", ".html", ".XML", ".xsd", "_xbrl.htm", "Xbrl.html", ".jpg"]
 
 
-@query("SELECT o_custkey, min(o_orderkey) AS seq FROM orders WHERE o_orderkey % 6 IN (2, 4) GROUP BY 1")
+@query(f"""WITH f AS (SELECT o_custkey, o_orderkey, lower('c' || o_custkey || {_sql_pick("o_orderkey", _WORDS_OF_FILES)} || {_sql_pick("o_orderkey * 3 + o_custkey", _ENDINGS)}) AS f FROM orders)
+  SELECT o_custkey, min(o_orderkey) AS seq FROM f WHERE (contains(f, '.xml') OR contains(f, 'xbrl.htm')) AND NOT contains(f, 'schema') AND NOT contains(f, 'calculation') AND NOT contains(f, 'definition') AND NOT contains(f, 'label') AND NOT contains(f, 'presentation')
+    AND NOT contains(f, 'cal.xml') AND NOT contains(f, 'def.xml') AND NOT contains(f, 'lab.xml') AND NOT contains(f, 'pre.xml') GROUP BY 1""")
 def instance_documents(spark, sf):
-    d = table(spark, sf, "orders").select("o_custkey", F.col("o_orderkey").alias("seq"), _pick(F.col("o_orderkey"), _FILES).alias("file"))
+    """A customer's orders are the files of a filing."""
+    name = F.concat(F.lit("c"), F.col("o_custkey").cast("string"), _pick(F.col("o_orderkey"), _WORDS_OF_FILES), _pick(F.col("o_orderkey") * 3 + F.col("o_custkey"), _ENDINGS))
+    d = table(spark, sf, "orders").select("o_custkey", F.col("o_orderkey").alias("seq"), name.alias("file"))
     return quality.instance_documents(d, ["o_custkey"], "file", "seq").select("o_custkey", "seq")
 
 

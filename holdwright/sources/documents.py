@@ -9,6 +9,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import vocab
+from ..functions.text import holds
+
 TABLES = "doc string, idx long, pos long, text string, grid array<array<string>>"
 
 
@@ -97,11 +100,11 @@ def cells(tables: DataFrame) -> DataFrame:
 
 
 def is_investment_table(text: Column) -> Column:
-    """A schedule of investments by its words: a heading's words, or two secondary ones with money and a legal form."""
+    """A schedule of investments by its phrases: one of the first, or two words of the second beside money and a legal form."""
     low = F.lower(text)
-    primary = low.rlike("schedule of investments|portfolio compan|principal amount.*fair value")
-    second = sum((low.contains(w).cast("int") for w in ("fair value", "amortized cost", "maturity", "interest rate", "principal", "industry")), F.lit(0))
-    return primary | ((second >= 2) & low.rlike(r"\$|\d{1,3},\d{3}") & low.rlike(r"\b(inc|llc|l\.p|corp|ltd)\b"))
+    has = lambda words: holds(low, [[words]])
+    second = sum((F.contains(low, F.lit(w)).cast("int") for w in vocab.SCHEDULE_WORDS), F.lit(0))
+    return has(vocab.SCHEDULE_PHRASES) | ((second >= 2) & has(vocab.SCHEDULE_MONEY) & has(vocab.SCHEDULE_FORMS))
 
 
 def before_prior_year(tables: DataFrame, prior: Column) -> DataFrame:

@@ -3,7 +3,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from holdwright.functions import parse, text
+from holdwright.functions import names, parse, rates, text
 
 
 def each(spark, f, cases, kind="string"):
@@ -45,7 +45,10 @@ def test_standards(spark):
     each(spark, text.benchmark, [("SOFR", "SOFR"), ("", None), ("Gilt", "Other"), ("Fixed", "Fixed")])
     each(spark, text.sector, [("Oil and Gas", "Energy"), ("Cash", ""), ("Other", ""), ("Zebra", "Zebra")])
     each(spark, text.clean_industry, [("", "Not Reported"), ("Software", "Software")])
-    each(spark, text.rate_of_url, [("http://x/y/2024#SoniaMember", "SONIA"), ("nothing", None)])
+    each(spark, text.rate_of_url, [("http://x/y/2024#SoniaMember", "SONIA"), ("nothing", "NOTHING"), ("http://example.org/2024/InvestmentVariableRateType/SOFR", "SOFR"), ("SOFR", "SOFR"), ("x/oneMonthLiborMember", "LIBOR"), ("x#BankBillSwapRateMember", "BBSW"), ("", None), (None, None)])
+    each(spark, names.is_rate_token, [("Fed Funds", True), ("ameribor rate", True), ("3-month SARON", False), ("SARON", True), ("gilt", False), ("6 month L", True), (None, False)])
+    each(spark, names.instrument_suffix, [("Oak LLC (Revolver)", ("Oak LLC", "Revolver")), ("Oak - Warrants", ("Oak", "Warrants")), ("Oak LLC", ("Oak LLC", None)), (None, (None, None))])
+    each(spark, rates.of_terms, [("Fixed rate 7.50%", "7.5%"), ("a fixed interest rate: 8", "8%"), ("SOFR + 3% cash", "3%"), ("S + 4%", ""), ("12% or so", "12%"), ("77%", ""), ("", ""), (None, "")])
     each(spark, text.plain_text, [("<p>5 <b>.</b> 25 <i>%</i> &amp; x</p><script>no</script>", "5.25% & x")])
 
 

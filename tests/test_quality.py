@@ -4,7 +4,7 @@ import re
 import statistics
 from collections import defaultdict
 
-from holdwright.operators import quality, schedules
+from holdwright.operators import grids, quality, schedules
 from holdwright.plans import quality as plans
 from pyspark.sql import functions as F
 
@@ -105,15 +105,21 @@ def test_spaced(spark):
     assert sorted(tuple(r) for r in schedules.spaced(df, ["k"], "p", 50).collect()) == [(k, p) for k in range(2) for p in (3, 54, 105, 200)]
 
 
-def test_without_spacers(spark):
+def test_drop_spacers(spark):
+    """Tables as grids, without their empty columns and with signs on their figures."""
     cases = [
         ([["Name", "", "Coupon", "x"], ["A", "", "", "1"], ["B", None, "", "2"]], [["Name", "Coupon", "x"], ["A", "", "1"], ["B", "", "2"]]),
         ([["n", "v", ""], ["A", "1", "%"], ["B", "", "%"], ["C", "3", "$"]], [["n", "v"], ["A", "1%"], ["B", ""], ["C", "$3"]]),
-        ([["only"]], [["only"]]), ([], []), ([["", ""], ["", ""]], [[], []]),
+        ([["%", "n", "$", "%"], ["%", "A", "$", "%"]], [["%", "n"], ["%", "A%"]]),
+        ([["", ""], ["", ""]], []),
     ]
-    df = spark.createDataFrame([(k, g) for k, (g, _) in enumerate(cases)] + [(9, None)], "k int, g array<array<string>>")
-    got = {r.k: r.g for r in df.select("k", quality.without_spacers(F.col("g")).alias("g")).collect()}
-    assert [got[k] for k in range(len(cases))] == [w for _, w in cases] and got[9] is None
+    cells = [("d", k, r, c, t) for k, (g, _) in enumerate(cases) for r, row in enumerate(g) for c, t in enumerate(row)]
+    sizes = [("d", k, len(g)) for k, (g, _) in enumerate(cases)]
+    out = grids.drop_spacers(spark.createDataFrame(cells, "doc string, idx int, r int, c int, text string"), spark.createDataFrame(sizes, "doc string, idx int, n_rows int")).collect()
+    got = {(x.idx, x.r, x.c): x.text for x in out}
+    want = {(k, r, c): t for k, (_, g) in enumerate(cases) for r, row in enumerate(g) for c, t in enumerate(row) if t}
+    want[2, 0, 1] = "n%"  # the signs of a head are on the head before them
+    assert got == want
 
 
 def test_facts_of_a_position(spark):

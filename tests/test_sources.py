@@ -67,6 +67,9 @@ def test_html_tables(spark):
     t = documents.html_tables(pages, "doc", "html", least=20)
     assert documents.cells(t).filter("doc = 'd' and r = 0").count() == 3
     assert t.filter(documents.is_investment_table(F.col("text"))).count() == 1
+    texts = [("A Borrower of ours", True), ("the OBLIGOR", True), ("spread and SOFR, 5 percent, Oak Holdings", True), ("spread and SOFR, 5 percent", False), ("maturity of $5 at Oak LLC", False), ("", False)]
+    df = spark.createDataFrame([(t,) for t, _ in texts], "t string")
+    assert [r[0] for r in df.select(documents.is_investment_table(F.col("t"))).collect()] == [w for _, w in texts]
     seq = spark.createDataFrame([("d", i, p) for i, p in enumerate([False, True, False])] + [("e", 0, True)], "doc string, idx long, prior boolean")
     assert documents.before_prior_year(seq, F.col("prior")).count() == 2
 
