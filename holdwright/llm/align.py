@@ -21,6 +21,7 @@ documents of their own and all count; an empty table gives no rows; other column
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
@@ -62,9 +63,8 @@ class Tokens:
         self.size = np.array([len(x) for x in self.raw], np.int64)
         self.spaced = np.array([x[:1] == b" " for x in self.raw])
         self.kind = np.dtype(np.uint16 if n <= 1 << 16 else np.uint32)
-
-    def array(self, ids: list[list[int]]) -> list[np.ndarray]:
-        return [np.array(x, self.kind) for x in ids]
+        # An id as text with a comma behind it, then all once more with the mark that ends its side of a group.
+        self.told = {stop: [f"{i}," for i in range(n)] + [f"{i}{stop}" for i in range(n)] for stop in "|;"}
 
 
 class ByteTokens(Tokens):
@@ -115,7 +115,7 @@ class PieceTokens(Tokens):
         super().__init__({i: bytes([int(p[3:5], 16)]) if m.is_byte(i) else p.replace(SPACE_MARK, " ").encode() for i, p in pieces.items()})
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return self.array(self.model.encode(texts, num_threads=1))
+        return [np.array(x, self.kind) for x in self.model.encode(texts, num_threads=1)] if texts else []
 
 
 def windows(a: Tokens, b: Tokens, ids_a: np.ndarray, ids_b: np.ndarray, starts: np.ndarray) -> tuple[list[bytes], np.ndarray]:
@@ -158,16 +158,16 @@ def aligned(a: Tokens, b: Tokens, keys: list[bytes]) -> list[Aligned]:
     mark = np.zeros(len(side[0][4]) + 1, np.uint8)
     for bit, (_, _, ends, _, _) in enumerate(side):
         mark[ends] |= bit + 1
-    told, group, pairs = [], [], []
-    for (t, ids, ends, _, _), stop in zip(side, "|;", strict=True):
+    told, group, pairs, texts = [], [], [], []
+    for (t, x, ends, _, _), stop in zip(side, "|;", strict=True):
         shared = mark[ends] == 3
-        pairs.append(ids[shared].astype(np.int64))
+        pairs.append(x[shared].astype(np.int64))
         group.append(np.cumsum(shared) - shared)
-        told.append([w + (stop if s else ",") for w, s in zip(map(str, ids.tolist()), shared.tolist(), strict=True)])
+        told.append(x.astype(np.int64) + shared * len(t.raw) + len(texts))
+        texts += t.told[stop]
     # Tokens in the order of the text form: by group, a's before b's.
-    order = np.argsort(np.concatenate([group[0] * 2, group[1] * 2 + 1]), kind="stable").tolist()
-    words = [*told[0], *told[1]]
-    words = [words[k] for k in order]
+    order = np.argsort(np.concatenate([group[0] * 2, group[1] * 2 + 1]), kind="stable")
+    words = list(map(texts.__getitem__, np.concatenate(told)[order].tolist()))
     (_, _, ends, last, left), (_, _, _, last_b, right) = side
     groups = np.cumsum(mark[ends] == 3)[last].tolist()
     bytes_, tokens = ends[last].tolist(), (last + last_b + 2).tolist()
@@ -257,7 +257,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], a: Tokens, b: Tokens, first: int)
     for ids, texts in _chunks(batches):
         raws = [f" {t}".encode() if t else b"" for t in texts]
         full = [k for k, t in enumerate(texts) if t]
-        of_a, of_b = a.encode([texts[k] for k in full]), b.encode([texts[k] for k in full])
+        of_a, of_b = (t.encode([texts[k] for k in full]) for t in (a, b))
         exact = lambda t, ids, n: (sizes := t.size[ids]).sum() == n and sizes.all()
         same = [k for k in range(len(full)) if all(exact(t, ids[k], len(raws[full[k]])) for t, ids in ((a, of_a), (b, of_b)))]
         laid: dict[int, tuple] = {}
@@ -290,9 +290,13 @@ def lay(docs: DataFrame, byte_path: str, piece_path: str, id_col: str, text_col:
 
         a, b = ByteTokens(byte_path), PieceTokens(piece_path)
         memo = Memo(a, b)
-        for block in _blocks(batches, a, b, TaskContext.get().partitionId() << 32):
-            rows = list(block.rows(a, b, memo))
-            yield pa.RecordBatch.from_arrays([pa.array([r.get(f.name) for r in rows], f.type) for f in arrow], schema=arrow)
+        gc.disable()  # nothing here refers to itself, and the collector would walk all kept windows again and again
+        try:
+            for block in _blocks(batches, a, b, TaskContext.get().partitionId() << 32):
+                rows = list(block.rows(a, b, memo))
+                yield pa.RecordBatch.from_arrays([pa.array([r.get(f.name) for r in rows], f.type) for f in arrow], schema=arrow)
+        finally:
+            gc.enable()
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
 
