@@ -10,15 +10,19 @@ documents and dealt by hash: a row is what one block has for one part of the has
 part adds its rows up to its piece of the count table and joins it to the same rows, so
 every block gets the counts of its n-grams back. There they are looked up for each word
 and summed per document. An n-gram that every document has is one entry a block, so no
-key is hot; blocks and parts have fixed sizes, so tasks don't grow with the input.
+key is hot. A block closes by words and by documents, so its size is fixed; a part's rows have
+one entry of a common n-gram from every block.
 
-N-grams are told apart by BITS bits of a hash within a part, which another hash chooses. As parts
+Texts are read once: a block comes with its n-grams out of one pass, travels beside them and meets their
+counts, so that a task that is run again, on rows in another order, brings a block and n-grams that belong together.
+
+N-grams are told apart by BITS bits of a hash within a part, which another hash chooses, and words by 64 bits. As parts
 have a fixed size, about one n-gram in 2 * 10^9 shares its count with another, whatever the size of the
 corpus. Within a block they are told apart by their words.
 
 Defined results: null and empty texts have no words and score 0; rows that repeat an id
 or a text are documents of their own, and each counts in the corpus; an empty table gives
-no rows. A task holds the words of BLOCK_WORDS words, or of one document if it has more.
+no rows. A task holds the words of BLOCK_WORDS words or BLOCK_DOCS documents, or of one document if it has more.
 """
 
 from __future__ import annotations
@@ -35,17 +39,20 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import arrow_schema
+
 ALPHA = 0.4
 ORDER = 3
 MIN_COUNT = 1
-#: Words in a block of documents, about.
+#: Words at which a block of documents closes, and documents.
 BLOCK_WORDS = 3 << 19
+BLOCK_DOCS = 1 << 16
 #: Exploded n-grams in a part of the count table, about.
 PART_GRAMS = 1 << 21
 #: Bits of an n-gram's hash that are kept beside its part.
 BITS = 52
-#: A word's hashes: for n-grams' keys, and for their part.
-DIGEST = np.dtype([("key", "<u8"), ("deal", "<u4")])
+#: A word's hash.
+DIGEST = np.dtype("<u8")
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -70,11 +77,11 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Block:
-    """The words of some documents: words[i] indexes digests (two hashes a word), sizes has each document's number of words."""
+    """The words of some documents: words[i] indexes digests (a hash each), sizes has each document's number of words."""
 
     def __init__(self, words: np.ndarray, sizes: np.ndarray, digests: bytes):
         self.words, self.sizes = words.astype(np.int32), sizes.astype(np.int64)
-        self.digests = np.frombuffer(digests, DIGEST) if digests else np.empty(0, DIGEST)
+        self.digests = np.frombuffer(digests, DIGEST)
         self.place = np.arange(len(words), dtype=np.int32) - np.repeat((np.cumsum(self.sizes) - self.sizes).astype(np.int32), self.sizes)
 
     def grams(self, order: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
@@ -82,20 +89,20 @@ class Block:
         orders, -1 where the document is too short. Then the n-grams' frequencies and their two hashes."""
         kinds, base = len(self.digests), 0
         at, times = [self.words], [np.bincount(self.words, minlength=kinds).astype(np.int32)]
-        keys, deals = [self.digests["key"]], [self.digests["deal"].astype("<u8")]
+        keys, deals = [self.digests], [_mixed(self.digests * _A)]
         for n in range(2, order + 1):
             ends = np.flatnonzero(self.place >= n - 1)
             pair = (at[-1][ends - 1].astype(np.int64) - base) * kinds + self.words[ends]
             pair, of, f = np.unique(pair, return_inverse=True, return_counts=True)
             head, tail = np.divmod(pair, max(kinds, 1))
             keys.append(_mixed(keys[-1][head] * _A + keys[0][tail]))
-            deals.append(_mixed(deals[-1][head] * _A + deals[0][tail]))
+            deals.append(_mixed(deals[-1][head] * _B + deals[0][tail]))
             base += len(times[-1])
             here = np.full(len(self.words), -1, np.int32)
             here[ends] = base + of
             at.append(here)
             times.append(f.astype(np.int32))
-        return at, np.concatenate(times), np.concatenate(keys), np.concatenate([d.astype("<u4") for d in deals])
+        return at, np.concatenate(times), np.concatenate(keys), np.concatenate([d >> np.uint64(32) for d in deals])
 
 
 def dealt(keys: np.ndarray, deals: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -117,7 +124,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Array,
     words: list[np.ndarray] = []
 
     def close() -> tuple[int, pa.Array, Block]:
-        digests = b"".join([xxhash.xxh3_128_digest(w)[:12] for w in index])
+        digests = np.fromiter(map(xxhash.xxh3_64_intdigest, index), DIGEST, len(index)).tobytes()
         return number, pa.concat_arrays(ids), Block(np.concatenate(words), np.array([len(w) for w in words]), digests)
 
     held = 0
@@ -127,7 +134,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Array,
             found = text.as_py().lower().split()
             words.append(np.fromiter(map(index.__getitem__, found), np.int32, len(found)))
             held += len(found)
-            if held >= BLOCK_WORDS:
+            if held >= BLOCK_WORDS or len(words) >= BLOCK_DOCS:
                 ids.append(b.column(0).slice(begun, i + 1 - begun))
                 yield close()
                 index, ids, words, held, begun, number = defaultdict(count().__next__), [], [], 0, i + 1, number + 1
@@ -136,35 +143,53 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Array,
         yield close()
 
 
-def exploded(texts: DataFrame, order: int, parts: int, counted: bool = True) -> DataFrame:
-    """(part, block, hashes, times): each block's n-grams by part, of texts (id, text); times is null if they are only asked for."""
+#: Of a block's own row; null in those of its n-grams.
+LAID = ("ids", "words", "sizes", "digests")
+
+
+def exploded(texts: DataFrame, order: int, parts: int, counted: bool = True, laid: bool = True) -> DataFrame:
+    """(part, block, hashes, times): each block's n-grams by part, of texts (id, text); times is null if they are only asked for.
+
+    laid: with a row of its own for each block, its number below zero as the part: the ids, words, sizes and digests.
+    """
+    arrow = arrow_schema(_schema(texts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, _, block in _blocks(batches):
+        row = lambda **x: pa.RecordBatch.from_arrays([pa.array([x.get(f.name)], f.type) for f in arrow], schema=arrow)
+        for number, ids, block in _blocks(batches):
             _, times, keys, deals = block.grams(order)
             by, h, begins = dealt(keys, deals, parts)
+            if laid:
+                yield row(part=-1 - number, block=number, ids=ids.to_pylist(), words=pack(block.words), sizes=pack(block.sizes), digests=block.digests.tobytes())
             for p in np.flatnonzero(np.diff(begins)).tolist():
                 at = slice(begins[p], begins[p + 1])
-                row = [[p], [number], [pack(np.diff(h[at], prepend=np.uint64(0)))], [pack(times[by[at]]) if counted else None]]
-                kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds, strict=True)], names=["part", "block", "hashes", "times"])
+                yield row(part=p, block=number, hashes=pack(np.diff(h[at], prepend=np.uint64(0))), times=pack(times[by[at]]) if counted else None)
+
+    return texts.mapInArrow(run, _schema(texts))
+
 
-    return texts.mapInArrow(run, "part int, block long, hashes binary, times binary")
+def _schema(texts: DataFrame) -> str:
+    kind = texts.schema["id"].dataType.simpleString()
+    return f"part long, block long, hashes binary, times binary, ids array<{kind}>, words binary, sizes binary, digests binary"
 
 
 def counts(rows: DataFrame) -> DataFrame:
-    """(block, part, counts): the count table of each part, joined to the n-grams that blocks have there."""
+    """rows with the counts of their n-grams for hashes and times: the count table of each part, joined to what blocks have there. Blocks' own rows stay."""
 
     def join(t: pa.Table) -> pa.Table:
+        kept = t.select(["block", "part", *LAID])
+        if t.column("part")[0].as_py() < 0:
+            return kept.append_column("counts", pa.nulls(len(t), pa.binary()))
         h = [np.cumsum(unpack(x.as_py()), dtype=np.uint64) for x in t.column("hashes")]
         times = [unpack(x.as_py()) if x.is_valid else np.zeros(len(y)) for x, y in zip(t.column("times"), h, strict=True)]
         kinds, of = np.unique(np.concatenate(h), return_inverse=True)
         total = np.bincount(of, np.concatenate(times).astype(float), len(kinds)).astype(np.uint64)[of]
         ends = np.cumsum([len(x) for x in h])
         found = [pack(total[z - len(x) : z]) for x, z in zip(h, ends, strict=True)]
-        return pa.table({"block": t.column("block"), "part": t.column("part"), "counts": pa.array(found, pa.binary())})
+        return kept.append_column("counts", pa.array(found, pa.binary()))
 
-    return rows.groupBy("part").applyInArrow(join, "block long, part int, counts binary")
+    kind = rows.schema["ids"].dataType.simpleString()
+    return rows.groupBy("part").applyInArrow(join, f"block long, part long, ids {kind}, words binary, sizes binary, digests binary, counts binary")
 
 
 def _scored(block: Block, c: list[np.ndarray], total: int, alpha: float, min_count: int) -> list[np.ndarray]:
@@ -199,22 +224,14 @@ def score(
     own = docs.select(F.col(id_col).alias("id"), text.cast("binary").alias("text"))
     rows = exploded(own, order, parts, corpus is None)
     if corpus is not None:
-        known = exploded(corpus.select(F.lit(0).alias("id"), text.cast("binary").alias("text")), order, parts)
+        known = exploded(corpus.select(F.lit(None).cast(docs.schema[id_col].dataType).alias("id"), text.cast("binary").alias("text")), order, parts, laid=False)
         rows = rows.unionByName(known.withColumn("block", F.lit(-1).cast("long")))
     kind = docs.schema[id_col].dataType.simpleString()
 
-    def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, ids, block in _blocks(batches):
-            packed = [pa.array([x], pa.binary()) for x in (pack(block.words), pack(block.sizes), block.digests.tobytes())]
-            row = [pa.array([number]), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), *packed]
-            yield pa.RecordBatch.from_arrays(row, names=["block", "ids", "words", "sizes", "digests"])
-
-    laid = own.mapInArrow(lay, f"block long, ids array<{kind}>, words binary, sizes binary, digests binary").withColumn("part", F.lit(-1))
-
     def finish(t: pa.Table) -> pa.Table:
         part = t.column("part").to_numpy()
         rows = np.argsort(part).tolist()  # the block itself, then its parts
-        me = {c: t.column(c)[rows[0]] for c in ("ids", "words", "sizes", "digests")}
+        me = {c: t.column(c)[rows[0]] for c in LAID}
         block = Block(unpack(me["words"].as_py()), unpack(me["sizes"].as_py()), me["digests"].as_py())
         at, _, keys, deals = block.grams(order)
         n = np.zeros(len(keys) + 1, np.int64)  # the last is for words without an n-gram
@@ -224,5 +241,5 @@ def score(
         backed, single, sums = _scored(block, [n[x] for x in at], total, alpha, min_count)
         return pa.table([me["ids"].values, block.sizes, backed, single, sums], names=[id_col, "n_words", "n_backoff", "n_single", "score"])
 
-    both = laid.unionByName(counts(rows).filter("block >= 0"), allowMissingColumns=True)
-    return both.groupBy("block").applyInArrow(finish, f"{id_col} {kind}, n_words long, n_backoff long, n_single long, score double")
+    back = counts(rows).filter("block >= 0")
+    return back.groupBy("block").applyInArrow(finish, f"{id_col} {kind}, n_words long, n_backoff long, n_single long, score double")

@@ -73,3 +73,22 @@ def test_odd(spark):
     same(lm_score.score(two), brute(rows_of(two)))
     same(lm_score.score(two.selectExpr("cast(doc_id as string) doc_id", "text")), brute([(str(i), t) for i, t in rows_of(two)]))
     assert lm_score.score(no_documents(spark)).count() == 0
+
+
+def test_many_empty_texts(spark, monkeypatch):
+    """Blocks close by documents, and null, empty and blank texts score 0 in blocks of their own or beside others."""
+    monkeypatch.setattr(lm_score, "BLOCK_DOCS", 16)
+    rows = [(k, [None, "", "  \n"][k % 3]) for k in range(300)] + [(k, "a b a b c") for k in range(300, 310)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    same(lm_score.score(docs), brute(rows_of(docs)))
+
+
+def test_blocks_close_by_documents(monkeypatch):
+    import pyarrow as pa
+    from pyspark import TaskContext
+
+    monkeypatch.setattr(lm_score, "BLOCK_DOCS", 16)
+    monkeypatch.setattr(TaskContext, "get", lambda: type("T", (), {"partitionId": lambda self: 2})())
+    batch = pa.RecordBatch.from_pydict({"id": list(range(100)), "text": [b""] * 100})
+    found = list(lm_score._blocks(iter([batch])))
+    assert [len(ids) for _, ids, _ in found] == [16] * 6 + [4] and [n - (2 << 32) for n, _, _ in found] == list(range(7))
