@@ -159,7 +159,8 @@ def with_heads(tables: DataFrame) -> DataFrame:
         return F.when(known, m).when((F.size(m) >= 3) & (F.size(free) > 0), F.map_concat(m, company))
 
     # Only rows that hold a phrase are read as heads.
-    some = F.exists("__head", lambda h: (F.trim(h) != "") & (has_any(plain(h), sorted({w for ws in HEAD_PHRASES.values() for w in ws})) | (F.length(plain(h)) <= 12)))
+    every = sorted({w for words in HEAD_PHRASES.values() for w in words})
+    some = F.exists("__head", lambda h: let(plain(h), lambda x: (x != "") & (has_any(x, every) | F.exists(F.array(*map(F.lit, every)), lambda w: F.contains(w, x)))))
     rows = rows.withColumn("__at", F.when(some, let(fields_of_heads(F.col("__head")), whole)))
     # A second row of heads adds the fields that the first lacks, if the industry is among them.
     more = F.when(F.col("__at").isNotNull() & ~sparse & ~F.map_contains_key("__at", "industry") & F.col("__next").isNotNull(), fields_of_heads(F.col("__next")))
@@ -258,7 +259,7 @@ def records(tables: DataFrame) -> DataFrame:
     full = lambda c: F.nullif(F.col(c), F.lit(""))
     words = lambda c: F.nullif(F.trim(F.replace(F.col(c), F.lit(","), F.lit(" "))), F.lit(""))
     rate = reference_and_spread(F.col("reference_rate"))
-    told = F.coalesce(F.col("__company.type"), words("investment_type"), F.col("__section"), F.lit("First Lien"))
+    told = F.coalesce(F.when(F.col("__kind") == "data", F.col("__bare.type")), words("investment_type"), F.col("__section"), F.lit("First Lien"))
     cost = F.when(F.col("__cost"), F.col("cost")).otherwise(F.col("amortized_cost"))
     out = {
         "company_name": F.col("__company.name"), "investment_type": record_kind(told), "industry": F.coalesce(words("industry"), F.col("__industry")),

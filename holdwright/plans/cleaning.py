@@ -181,6 +181,18 @@ def drop_close_values(spark, sf):
     return dedup.drop_close(e, ["user_id", "event_type"], "value", "event_id", 0.75)
 
 
+@query()
+def later_positions(spark, sf):
+    """Rows only: lines are positions of a supplier's schedule, held against loops over pairs in the tests."""
+    n = F.col("l_linenumber")
+    li = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", F.concat(F.lit("Supplier "), (F.col("l_suppkey") % 50).cast("string"), F.when(n % 2 == 0, " (1)").otherwise("")).alias("company"), F.concat("l_returnflag", "l_linestatus").alias("kind"),
+        F.when(n % 5 != 0, F.format_number("l_extendedprice", 2)).alias("principal"), F.when(n % 3 != 0, F.date_format("l_shipdate", "M/d/yyyy")).alias("maturity"),
+        F.when(n % 7 != 0, F.col("l_quantity").cast("string")).otherwise("-").alias("cost"), F.when(F.col("l_tax") > 0.04, "x").alias("note"), (F.col("l_orderkey") % 9).alias("size"),
+    )
+    return dedup.drop_worse_positions(li, "company", "kind", "principal", "maturity", ["principal", "cost"], ["principal", "maturity", "cost", "note"], "size")
+
+
 @query("""WITH e AS (SELECT *, event_id % 4 <> 0 AS has FROM events), f AS (SELECT DISTINCT user_id, event_type FROM e WHERE has) SELECT event_id FROM e LEFT JOIN f USING (user_id, event_type) WHERE has OR f.user_id IS NULL""")
 def drop_shadows(spark, sf):
     e = table(spark, sf, "events")
