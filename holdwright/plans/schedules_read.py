@@ -32,7 +32,7 @@ def _html(rows, heads):
 
 
 @query(rf"""
-WITH l AS (SELECT l_orderkey, dense_rank() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber > 3) - 1 AS idx, 1 + row_number() OVER (PARTITION BY l_orderkey, l_linenumber > 3 ORDER BY l_linenumber, l_partkey) AS r,
+WITH l AS (SELECT l_orderkey, dense_rank() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber > 3) - 1 AS idx, 1 + row_number() OVER (PARTITION BY l_orderkey, l_linenumber > 3 ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity) AS r,
     replace({_sql_pick("l_partkey", _FIRST)}, '{{0}}', CAST(l_partkey AS VARCHAR)) AS first, {_sql_pick("l_suppkey", _KINDS)} AS told, l_shipdate, l_quantity FROM lineitem),
   c AS (SELECT *, first = '' OR regexp_matches(lower(first), '{_FORMS}') AS filled, trim(regexp_replace(regexp_replace(first, '(\s*\(\d{{1,2}}\))+$', ''), '\s*\(Revolver\)$', '')) AS bare,
     CASE WHEN contains(first, '(Revolver)') THEN 'Revolver' END AS inferred, trim(regexp_replace(lower(first), '-\s*\d+\.?\d*\s*%?\s*$', '')) AS section FROM l),
@@ -58,8 +58,10 @@ def schedule_records(spark, sf):
     cell = lambda c: F.when(filled, c).otherwise("")
     q = F.format_number("l_quantity", 2)
     row = F.array(first, cell(_pick(F.col("l_suppkey"), _KINDS)), cell(F.date_format("l_shipdate", "MM/dd/yyyy")), cell(F.concat(F.lit("$ "), F.format_number(F.col("l_quantity") * 1000, 2))), cell(q), cell(F.concat(F.lit("("), q, F.lit(")"))))
-    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey"))
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity"))
     lines = table(spark, sf, "lineitem").select("l_orderkey", F.struct(place.alias("place"), (n > 3).alias("second"), row.alias("row")).alias("x"))
+    # Pages are parsed in Python, so small tables too are dealt to all cores.
+    lines = lines.repartition(spark.sparkContext.defaultParallelism, "l_orderkey")
     pages = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("x")).alias("x"))
     rows = lambda second: F.transform(F.filter("x", lambda x: x["second"] == second), lambda x: x["row"])
     tr = lambda cells: "<tr>" + "".join(f"<th>{c}</th>" for c in cells) + "</tr>"

@@ -138,26 +138,37 @@ def _local(tag: str) -> str:
     return tag.rpartition("}")[2]
 
 
-def _instances(frames: Iterator[pd.DataFrame], contexts: bool) -> Iterator[pd.DataFrame]:
+def _instance(xml: str | None) -> tuple[list[tuple], list[tuple]]:
+    """Contexts and facts of one instance, read as a stream; none of a document that breaks off or is no XML."""
     import io
     from xml.etree import ElementTree
 
+    contexts, facts, depth = [], [], 0
+    try:
+        for event, e in ElementTree.iterparse(io.BytesIO((xml or "<x/>").encode()), events=("start", "end")):
+            depth += 1 if event == "start" else -1
+            if event == "start" or depth != 1:
+                continue
+            if _local(e.tag) == "context":
+                named = {_local(x.tag): (x.text or "").strip() for x in e.iter()}
+                dims = {}
+                for x in e.iter():
+                    if x.get("dimension"):
+                        parts = [t for t in map(str.strip, x.itertext()) if t]
+                        dims[x.get("dimension")] = " | ".join(parts)  # a typed member that is split over elements
+                contexts.append((e.get("id"), named.get("instant"), named.get("startDate"), named.get("endDate"), dims))
+            elif e.get("contextRef"):
+                facts.append((e.get("contextRef"), _local(e.tag), e.get("unitRef"), e.get("decimals"), (e.text or "").strip()))
+            e.clear()
+    except ElementTree.ParseError:
+        return [], []
+    return contexts, facts
+
+
+def _instances(frames: Iterator[pd.DataFrame], contexts: bool) -> Iterator[pd.DataFrame]:
+    names = ["doc", "id", "instant", "start", "end", "dimensions"] if contexts else ["doc", "context", "concept", "unit", "decimals", "value"]
     for pdf in frames:
-        out: list[tuple] = []
-        for doc, xml in zip(pdf["doc"], pdf["xml"], strict=True):
-            depth = 0
-            for event, e in ElementTree.iterparse(io.BytesIO((xml or "<x/>").encode()), events=("start", "end")):
-                depth += 1 if event == "start" else -1
-                if event == "start" or depth != 1:
-                    continue
-                if contexts and _local(e.tag) == "context":
-                    named = {_local(x.tag): (x.text or "").strip() for x in e.iter()}
-                    dims = {x.get("dimension"): "".join(x.itertext()).strip() for x in e.iter() if x.get("dimension")}
-                    out.append((doc, e.get("id"), named.get("instant"), named.get("startDate"), named.get("endDate"), dims))
-                elif not contexts and e.get("contextRef"):
-                    out.append((doc, e.get("contextRef"), _local(e.tag), e.get("unitRef"), e.get("decimals"), (e.text or "").strip()))
-                e.clear()
-        names = ["doc", "id", "instant", "start", "end", "dimensions"] if contexts else ["doc", "context", "concept", "unit", "decimals", "value"]
+        out = [(doc, *row) for doc, xml in zip(pdf["doc"], pdf["xml"], strict=True) for row in _instance(xml)[0 if contexts else 1]]
         yield pd.DataFrame(out, columns=names)
 
 

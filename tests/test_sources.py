@@ -113,3 +113,13 @@ def test_around_maturity(spark):
         (["S + 5%"], "2027-03-31", 1, 2, 3), (["a"], "2027-09-01", None, None, 7), ([], None, None, None, None), ([], "2027-10-01", None, None, 0), ([], None, None, None, None),
     ]
     assert got[5].maturity is None and got[5].fair_value is None and got[6].rate == ["x", "1"]
+
+
+def test_broken_instance_has_no_rows(spark):
+    split = XML.replace("Acme Member", "<d:a>Category</d:a> <d:b>Acme LLC</d:b>")
+    df = spark.createDataFrame([("good", XML), ("cut", XML[: len(XML) // 2]), ("text", "no xml at all"), ("null", None), ("empty", ""), ("split", split)], "doc string, xml string")
+    whole = lambda f: {r["doc"] for r in f(df, "doc", "xml").collect()}
+    assert whole(documents.xbrl_contexts) == {"good", "split"}
+    assert whole(documents.xbrl_facts) <= {"good", "split"}
+    dims = documents.xbrl_contexts(df, "doc", "xml").filter("doc = 'split' and size(dimensions) > 0").first()["dimensions"]
+    assert list(dims.values()) == ["Category | Acme LLC"]
