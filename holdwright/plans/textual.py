@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..operators import needles as needles_
 from .binding import query, table
 
 
@@ -20,6 +21,15 @@ def text_search(spark, sf):
     return table(spark, sf, "pages").filter(F.lower("html").contains("charset") & F.lower("url").contains("en")).select("page_id", "url")
 
 
+@query("""WITH n AS (SELECT DISTINCT substr(text, CAST(item_id % 40 + 1 AS INT), CAST(item_id % 17 + 1 AS INT)) AS needle FROM benchmark)
+  SELECT needle, n_chars AS "order", doc_id AS id FROM n JOIN documents ON contains(text, needle) WHERE needle <> '' QUALIFY row_number() OVER (PARTITION BY needle ORDER BY n_chars, doc_id) = 1""")
+def first_hits(spark, sf):
+    """Pieces of the benchmark's items, one to seventeen characters long, and the shortest document that holds each."""
+    i = F.col("item_id")
+    needles = table(spark, sf, "benchmark").select(F.substring("text", (i % 40 + 1).cast("int"), (i % 17 + 1).cast("int")).alias("needle"))
+    return needles_.first_hits(table(spark, sf, "documents"), needles, "doc_id", "text", "n_chars", "needle")
+
+
 @query("""SELECT doc_id, contains(lower(text), 'license') AS "primary", (contains(lower(text), 'the'))::INT + (contains(lower(text), 'and'))::INT + (contains(lower(text), 'token'))::INT AS secondary FROM documents WHERE contains(lower(text), 'license') OR (contains(lower(text), 'the'))::INT + (contains(lower(text), 'and'))::INT + (contains(lower(text), 'token'))::INT >= 2""")
 def classify_texts(spark, sf):
     low = F.lower("text")
