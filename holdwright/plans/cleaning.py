@@ -97,10 +97,12 @@ def standardize_rate(spark, sf):
     return rate_cells(spark, sf).select("o_orderkey", "cell", text.reference_rate(F.col("cell")).alias("rate"), text.benchmark(F.col("cell")).alias("benchmark"))
 
 
-@query("""WITH c AS (SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN printf('%.2f%%', o_totalprice / 40000) WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 2 THEN strftime(o_orderdate, '%m/%Y') WHEN 3 THEN upper(split_part(o_orderpriority, '-', 2)) ELSE 'SOFR (M)' END AS cell FROM orders)
+# Figures to two places, exact halves up: counted in whole hundredths, as printf would round the binary value.
+@query("""WITH o AS (SELECT *, (CAST(round(o_totalprice * 100) AS BIGINT) + 20000) // 40000 AS h FROM orders),
+  c AS (SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN printf('%d.%02d%%', h // 100, h % 100) WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 2 THEN strftime(o_orderdate, '%m/%Y') WHEN 3 THEN upper(split_part(o_orderpriority, '-', 2)) ELSE 'SOFR (M)' END AS cell FROM o)
   SELECT o_orderkey, cell, CASE WHEN regexp_matches(cell, '^[0-9]{4}-[0-9]{2}-[0-9]{2}') OR regexp_matches(cell, '^[0-9]{1,2}/[0-9]{4}') OR cell = 'SOFR (M)' THEN '' ELSE cell END AS spread FROM c""")
 def clean_spreads(spark, sf):
-    """Spread cells that hold figures, dates, months, priorities and rate names."""
+    """Spread cells that hold figures (two places, halves up), dates, months, priorities and rate names."""
     k = F.col("o_orderkey") % 5
     cell = F.when(k == 0, F.format_string("%.2f%%", F.col("o_totalprice") / 40000)).when(k == 1, F.date_format("o_orderdate", "yyyy-MM-dd")).when(k == 2, F.date_format("o_orderdate", "MM/yyyy"))
     cell = cell.when(k == 3, F.upper(F.split("o_orderpriority", "-")[1])).otherwise("SOFR (M)")
