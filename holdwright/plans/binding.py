@@ -37,6 +37,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table dealt to all cores by its key, for rows that take long: a narrow table is few files, and so few tasks, at any size."""
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return table(spark, sf_dir, name).repartition(n, key)
+
+
 def money(c):
     """Exact to four places, so that sums don't depend on their order."""
     return F.round(c, 4).cast("decimal(18,4)")
@@ -45,31 +51,26 @@ def money(c):
 def holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positions: a line is a position of a borrower (customer) in a fund (the supplier's nation) at a quarter's end.
 
-    The dimensions are joined without hints: Spark broadcasts those whose size allows it.
+    The dimensions are joined without hints: Spark broadcasts those whose size allows it. A line's own columns are worked out
+    first, so a query's shuffles carry those that it names; orders, the widest side, have their customer and come last.
     """
     t = lambda n: table(spark, sf_dir, n)
-    j = t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    j = j.join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
-    j = j.join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey")).join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     price = F.col("l_extendedprice")
+    lines = t("lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey",
+        F.date_sub(F.add_months(F.trunc("l_shipdate", "quarter"), 3), 1).alias("period"),
+        money(price * (1 - F.col("l_discount"))).alias("fv"), money(price * (1 - F.col("l_tax"))).alias("cost"), money(price).alias("principal"),
+        (F.col("l_tax") * 100).alias("cash_rate"), (F.col("l_discount") * 100).alias("spread"), (F.year("l_shipdate") + F.col("l_linenumber")).alias("matures"),
+    )
+    funds = t("supplier").join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.col("n_name").alias("ticker"))
+    parts = t("part").select("p_partkey", F.col("p_type").alias("kind"), F.col("p_brand").alias("brand"))
     rate = F.when(F.col("o_orderpriority") == "1-URGENT", "SOFR").when(F.col("o_orderpriority") == "2-HIGH", "LIBOR")
     rate = rate.when(F.col("o_orderpriority") == "3-MEDIUM", "Prime").when(F.col("o_orderpriority") == "5-LOW", "Fixed")
-    return j.select(
-        F.col("n_name").alias("ticker"),
-        F.date_sub(F.add_months(F.trunc("l_shipdate", "quarter"), 3), 1).alias("period"),
-        F.col("c_name").alias("company"),
-        F.col("p_type").alias("kind"),
-        F.col("c_mktsegment").alias("industry"),
-        F.col("p_brand").alias("brand"),
-        money(price * (1 - F.col("l_discount"))).alias("fv"),
-        money(price * (1 - F.col("l_tax"))).alias("cost"),
-        money(price).alias("principal"),
-        (F.col("l_tax") * 100).alias("cash_rate"),
-        (F.col("l_discount") * 100).alias("spread"),
-        rate.alias("rate"),
-        F.col("o_orderdate").cast("date").alias("acquired"),
-        (F.year("l_shipdate") + F.col("l_linenumber")).alias("matures"),
-    )
+    orders = t("orders").select("o_orderkey", "o_custkey", rate.alias("rate"), F.col("o_orderdate").cast("date").alias("acquired"))
+    borrowers = t("customer").select("c_custkey", F.col("c_name").alias("company"), F.col("c_mktsegment").alias("industry"))
+    orders = orders.join(borrowers, F.col("o_custkey") == F.col("c_custkey"))
+    j = lines.join(funds, F.col("l_suppkey") == F.col("s_suppkey")).join(parts, F.col("l_partkey") == F.col("p_partkey")).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return j.select("ticker", "period", "company", "kind", "industry", "brand", "fv", "cost", "principal", "cash_rate", "spread", "rate", "acquired", "matures")
 
 
 HOLDINGS = """
