@@ -75,8 +75,7 @@ def money_cells(cells: Column) -> Column:
     plain = F.transform(cells, lambda c: F.trim(F.coalesce(c, F.lit(""))))
     kept = F.filter(plain, lambda c: ~c.rlike(r"(?i)^(|\$|€|£|usd|eur|gbp|cad|aud|chf|sek|nok|dkk|jpy|%)$") & ~c.endswith("%"))
     numbers = F.filter(F.transform(kept, lambda c: F.when(c.rlike("^[-–—]$"), 0.0).otherwise(parse.to_double(c))), lambda x: x.isNotNull())
-    back = lambda k: F.try_element_at(numbers, F.lit(-k))
-    return F.struct(back(3).alias("principal"), back(2).alias("cost"), back(1).alias("fair_value"))
+    return text.let(numbers, lambda n: F.struct(*[F.try_element_at(n, F.lit(-k)).alias(name) for k, name in ((3, "principal"), (2, "cost"), (1, "fair_value"))]))
 
 
 # Spellings of a maturity that fill a cell.
@@ -90,16 +89,21 @@ def around_maturity(cells: Column) -> Column:
     ``n/a`` is a maturity without a date, and a month is its first day. Without any maturity all cells are of the rate and there is no money.
     """
     plain = F.transform(cells, lambda c: F.trim(F.coalesce(c, F.lit(""))))
-    places = F.filter(F.transform(plain, lambda c, i: F.when(c.rlike(MATURITY), i + 1)), lambda i: i.isNotNull())
-    at = F.try_element_at(places, F.lit(1))
-    told = F.try_element_at(plain, at)
-    month = F.regexp_extract(told, r"^([A-Za-z]{3})[A-Za-z]*[\s-](\d{4})$", 0)
-    month = F.when(month != "", F.concat(F.initcap(F.substring(month, 1, 3)), F.lit(" "), F.right(month, F.lit(4)), F.lit(" 01")))
-    maturity = F.when(told.rlike("(?i)^n/?a$"), None).otherwise(F.coalesce(F.date_format(F.try_to_date(month, "MMM yyyy dd"), "yyyy-MM-dd"), parse.normalize_date(told)))
+    place = lambda p: F.try_element_at(F.filter(F.transform(p, lambda c, i: F.when(c.rlike(MATURITY), i + 1)), lambda i: i.isNotNull()), F.lit(1))
+    return text.let(plain, lambda p: text.let(place(p), lambda at: _around(p, at)))
+
+
+def _around(plain: Column, at: Column) -> Column:
+    def date(told: Column) -> Column:
+        month = F.regexp_extract(told, r"^([A-Za-z]{3})[A-Za-z]*[\s-](\d{4})$", 0)
+        first = lambda m: F.when(m != "", F.concat(F.initcap(F.substring(m, 1, 3)), F.lit(" "), F.right(m, F.lit(4)), F.lit(" 01")))
+        named = F.date_format(F.try_to_date(text.let(month, first), "MMM yyyy dd"), "yyyy-MM-dd")
+        return F.when(told.rlike("(?i)^n/?a$"), None).otherwise(F.coalesce(named, parse.normalize_date(told)))
+
     before = F.slice(plain, 1, F.coalesce(at - 1, F.size(plain)))
     behind = F.when(at.isNotNull() & (at < F.size(plain)), F.slice(plain, at + 1, F.greatest(F.size(plain) - at, F.lit(0)))).otherwise(F.array().cast("array<string>"))
-    money = money_cells(behind)
-    return F.struct(F.filter(before, lambda c: c != "").alias("rate"), maturity.alias("maturity"), *[money[n].alias(n) for n in ("principal", "cost", "fair_value")])
+    one = lambda r: F.struct(F.filter(before, lambda c: c != "").alias("rate"), text.let(F.try_element_at(plain, at), date).alias("maturity"), *[r[n].alias(n) for n in ("principal", "cost", "fair_value")])
+    return text.let(money_cells(behind), one)
 
 
 def drop_sparse_twins(df: DataFrame, keys: Sequence[str], fields: Sequence[str], seq: str, sparse: int = 5) -> DataFrame:
