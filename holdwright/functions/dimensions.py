@@ -341,11 +341,15 @@ def read(c: Column, industries: Sequence[str] = tuple(vocab.INDUSTRY_NAMES)) ->
         "spaced": _spaced(c), "country": _country(c), "issuer": _issuer(c, industries), "issuer_piped": _issuer_piped(c),
         "joined": _joined_by_and(c), "blob": _blob(c, industries), "piped": _piped(c), "commas": _commas(c, industries),
     }
-    shape, told = shape_of(c), None
-    for name, head in heads.items():
-        told = F.when(shape == name, head) if told is None else told.when(shape == name, head)
     rest = details(c)
-    return text.let(told, lambda h: F.struct(shape.alias("shape"), *[h[f].alias(f) for f in HEAD], *[rest[f].alias(f) for f in FIELDS[len(HEAD) :]]))
+
+    def of_shape(shape: Column) -> Column:
+        told = None
+        for name, head in heads.items():
+            told = F.when(shape == name, head) if told is None else told.when(shape == name, head)
+        return text.let(told, lambda h: F.struct(shape.alias("shape"), *[h[f].alias(f) for f in HEAD], *[rest[f].alias(f) for f in FIELDS[len(HEAD) :]]))
+
+    return text.let(shape_of(c), of_shape)
 
 
 # What stands before a name with a hyphen and perhaps a percentage.

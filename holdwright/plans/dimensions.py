@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import dimensions, vocab
-from .binding import query, table
+from .binding import dealt, query
 
 _FORMS = ["LLC", "Inc.", "Corp.", "LP", "Ltd.", "Company", "L.L.C.", "Limited"]
 _RATES = ["SOFR", "LIBOR", "Prime", "Euribor", "SONIA", "Base Rate"]
@@ -44,7 +44,7 @@ def _cells(spark, sf):
     cell = F.when(k % 8 == 0, shapes[0])
     for i, s in enumerate(shapes[1:], 1):
         cell = cell.when(k % 8 == i, s)
-    return table(spark, sf, "part").select("p_partkey", "p_size", name.alias("name"), form.alias("form"), industry.alias("industry"), cell.alias("cell"))
+    return dealt(spark, sf, "part", "p_partkey").select("p_partkey", "p_size", name.alias("name"), form.alias("form"), industry.alias("industry"), cell.alias("cell"))
 
 
 def _list(items):
