@@ -119,24 +119,34 @@ def fields_of_heads(heads: Column, phrases: Mapping[str, Sequence[str]] = HEAD_P
     In tables of nine columns or more with a company, MONEY_PLACES hold for columns and fields that are still free.
     """
     fits = lambda h, words: has_any(h, words) | F.exists(F.array(*map(F.lit, words)), lambda w: F.contains(w, h))
-    able = F.transform(heads, lambda h: let(plain(h), lambda x: F.when(x == "", F.array().cast("array<string>")).otherwise(F.array_compact(F.array(*[F.when(fits(x, w), F.lit(f)) for f, w in phrases.items()])))))
+    able = lambda heads: F.transform(heads, lambda h: let(plain(h), lambda x: F.when(x == "", F.array().cast("array<string>")).otherwise(F.array_compact(F.array(*[F.when(fits(x, w), F.lit(f)) for f, w in phrases.items()])))))
     one = lambda f, i: F.map_from_arrays(F.array(f), F.array(i))
 
     def step(done, x):
         free = F.filter(x["able"], lambda f: ~F.map_contains_key(done, f))
-        return F.when(F.size(free) > 0, F.map_concat(done, one(F.get(free, 0), x["i"]))).otherwise(done)
+        return let(F.get(free, 0), lambda f: F.when(f.isNotNull(), F.map_concat(done, one(f, x["i"]))).otherwise(done))
 
     none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<int>"))
-    found = F.aggregate(F.transform(able, lambda a, i: F.struct(a.alias("able"), i.alias("i"))), none, step)
+    found = lambda heads: F.aggregate(F.transform(able(heads), lambda a, i: F.struct(a.alias("able"), i.alias("i"))), none, step)
 
-    def placed(m):
-        wide = (F.size(heads) >= 9) & F.map_contains_key(m, "company_name")
-        for place, field in MONEY_PLACES.items():
+    def placed(m, place, field):
+        def add(m):
             free = ~F.map_contains_key(m, field) & ~F.array_contains(F.map_values(m), place)
-            m = F.when(wide & free, F.map_concat(m, one(F.lit(field), F.lit(place)))).otherwise(m)
-        return m
+            return F.when(free, F.map_concat(m, one(F.lit(field), F.lit(place)))).otherwise(m)
 
-    return let(found, placed)
+        return let(m, add)
+
+    def read(heads):
+        def whole(m):
+            more = m
+            for place, field in MONEY_PLACES.items():
+                more = placed(more, place, field)
+            return F.when((F.size(heads) >= 9) & F.map_contains_key(m, "company_name"), more).otherwise(m)
+
+        return let(found(heads), whole)
+
+    # Heads, and what is found of them, are worked out once.
+    return let(heads, read)
 
 
 def with_heads(tables: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from ..operators import aggregate as A
 from ..operators import filings, grids, reconcile
 from ..sources import documents
 from ..sources import facts as sources_facts
-from .binding import query, table
+from .binding import dealt, query, table
 from .cleaning import _pick, _sql_pick
 
 _FORMS = ["L.L.C.", "Incorporated", "Inc", "Corporation", "Corp.", "L.P.", "Ltd", "llc"]
@@ -21,7 +21,7 @@ _BASE = "array_to_string(list_transform(string_split(p_name, ' '), lambda w: upp
 
 def company_cells(spark, sf):
     base = F.concat(F.initcap("p_name"), F.lit(" "), _pick(F.col("p_partkey"), _FORMS))
-    return table(spark, sf, "part").select("p_partkey", F.concat(_pick(F.col("p_partkey") + F.col("p_size"), _LEADS), base, _pick(F.col("p_size"), _TAILS)).alias("cell"))
+    return dealt(spark, sf, "part", "p_partkey").select("p_partkey", F.concat(_pick(F.col("p_partkey") + F.col("p_size"), _LEADS), base, _pick(F.col("p_size"), _TAILS)).alias("cell"))
 
 
 @query(f"SELECT p_partkey, {_BASE} || ' ' || {_sql_pick('p_partkey', _FORMS_WANT)} AS name, sha256(lower({_BASE} || ' ' || {_sql_pick('p_partkey', _FORMS_WANT)})) AS id FROM part")
@@ -159,7 +159,7 @@ def _able(h):
 def header_fields(spark, sf):
     """Two rows of heads merged and read as fields, column by column."""
     row = lambda shift: F.array(*[_pick(F.col("p_partkey") * (i + 3) + F.col("p_size") * (i * i + 1 + shift), _HEADS) for i in range(_WIDE)])
-    p = table(spark, sf, "part").select("p_partkey", grids.fields_of_heads(grids.merged_heads(row(0), row(5))).alias("m"))
+    p = dealt(spark, sf, "part", "p_partkey").select("p_partkey", grids.fields_of_heads(grids.merged_heads(row(0), row(5))).alias("m"))
     by_place = F.map_from_arrays(F.map_values("m"), F.map_keys("m"))
     shown = F.transform(F.sequence(F.lit(0), F.lit(_WIDE - 1)), lambda i: F.coalesce(F.try_element_at(by_place, i), F.lit("")))
     return p.select("p_partkey", F.array_join(shown, ",").alias("fields"))
@@ -245,7 +245,7 @@ _SUFFIX_KINDS = ["First Lien", "Preferred Equity", "Warrants", "Revolver", "Othe
 def standardized_rows(spark, sf):
     """The cleaning projection over whole rows: company, sector, instrument, rate and spread."""
     k = F.col("p_size") % 4
-    p = table(spark, sf, "part").join(company_cells(spark, sf), "p_partkey")
+    p = dealt(spark, sf, "part", "p_partkey").join(company_cells(spark, sf), "p_partkey")
     rows = p.select(
         "p_partkey", F.col("cell").alias("company_name"), F.when(k == 0, "Energy").when(k == 1, "12.5%").when(k == 2, "").otherwise("Hospital services").alias("industry"),
         _pick(F.col("p_size"), [s.strip(" -,") for s in _SUFFIXES]).alias("investment_type"), F.lit("S +").alias("reference_rate"), F.when(k == 0, "2024-01-31").otherwise("5.00%").alias("spread"),
@@ -263,7 +263,7 @@ def rate_cells_read(spark, sf):
     k, x = F.col("o_orderkey") % 5, F.format_string("%.2f", F.round((F.col("o_custkey") % 900) / 100.0, 2))
     cell = F.when(k == 0, F.concat(F.lit("SOFR + "), x, F.lit("%, Floor 0.75%"))).when(k == 1, F.concat(F.lit("3-month LIBOR - "), x, F.lit("% / 2.5% PIK")))
     cell = cell.when(k == 2, F.concat(F.lit("P+ "), (F.col("o_custkey") % 900 + 20).cast("string"), F.lit(", 1.25% PRIME floor"))).when(k == 3, F.concat(x, F.lit("%"))).otherwise(F.lit("see note"))
-    return table(spark, sf, "orders").select("o_orderkey", rates.parse(cell).alias("r")).select("o_orderkey", "r.*")
+    return dealt(spark, sf, "orders", "o_orderkey").select("o_orderkey", rates.parse(cell).alias("r")).select("o_orderkey", "r.*")
 
 
 @query("""SELECT c_custkey, CASE WHEN k = 0 THEN a + 1 WHEN k = 1 THEN a END::DOUBLE AS cost_pct, CASE WHEN k IN (0, 2) THEN a END::DOUBLE AS fv_pct, CASE WHEN k = 0 THEN (1 + c_custkey % 12)::INTEGER END AS count, CASE WHEN k = 3 THEN 2.5 END::DOUBLE AS risk_rating,
@@ -277,7 +277,7 @@ def credit_texts(spark, sf):
     said = said.when(k == 1, F.concat(F.lit("Our non-accrual loans came to "), low, F.lit("% at amortized cost. Other loans were 9% at fair value.")))
     said = said.when(k == 2, F.concat(F.lit("Income excluding non-accrual loans was 5% at cost. The non-accrual loans were "), low, F.lit("% of all at fair value.")))
     said = said.otherwise(F.lit("Nothing is on hold. The average risk rating of loans was 2.5."))
-    return table(spark, sf, "customer").select("c_custkey", credit.extract(said).alias("c")).select("c_custkey", "c.*")
+    return dealt(spark, sf, "customer", "c_custkey").select("c_custkey", credit.extract(said).alias("c")).select("c_custkey", "c.*")
 
 
 @query("""WITH l AS (SELECT *, l_orderkey % 6 AS k FROM lineitem)
