@@ -155,29 +155,38 @@ def with_heads(tables: DataFrame) -> DataFrame:
     Every row is tried: heads name the company, or three other fields beside a filled column without one, which then is
     the company's. A row of up to three filled cells is read together with the next; so is one without an industry, if the next has it.
     """
-    rows = tables.select("doc", "idx", F.posexplode("grid").alias("r", "row"))
-    order = Window.partitionBy("doc", "idx").orderBy("r")
-    rows = rows.withColumn("__next", F.lead("row").over(order))
     filled = lambda a: F.size(F.filter(a, lambda x: F.trim(x) != ""))
-    sparse = (filled(F.col("row")) <= 3) & F.col("__next").isNotNull()
-    rows = rows.withColumn("__head", F.when(sparse, merged_heads(F.col("row"), F.col("__next"))).otherwise(F.col("row")))
+    every = sorted({w for words in HEAD_PHRASES.values() for w in words})
+    some = lambda head: F.exists(head, lambda h: let(plain(h), lambda x: (x != "") & (has_any(x, every) | F.exists(F.array(*map(F.lit, every)), lambda w: F.contains(w, x)))))
 
-    def whole(m):
-        free = F.filter(F.transform("__head", lambda h, i: F.when((F.trim(h) != "") & ~F.array_contains(F.map_values(m), i), i)), lambda i: i.isNotNull())
+    def whole(head, m):
+        free = F.filter(F.transform(head, lambda h, i: F.when((F.trim(h) != "") & ~F.array_contains(F.map_values(m), i), i)), lambda i: i.isNotNull())
         company = F.map_from_arrays(F.array(F.lit("company_name")), F.array(F.get(free, 0)))
         known = F.map_contains_key(m, "company_name")
         return F.when(known, m).when((F.size(m) >= 3) & (F.size(free) > 0), F.map_concat(m, company))
 
-    # Only rows that hold a phrase are read as heads.
-    every = sorted({w for words in HEAD_PHRASES.values() for w in words})
-    some = F.exists("__head", lambda h: let(plain(h), lambda x: (x != "") & (has_any(x, every) | F.exists(F.array(*map(F.lit, every)), lambda w: F.contains(w, x)))))
-    rows = rows.withColumn("__at", F.when(some, let(fields_of_heads(F.col("__head")), whole)))
-    # A second row of heads adds the fields that the first lacks, if the industry is among them.
-    more = F.when(F.col("__at").isNotNull() & ~sparse & ~F.map_contains_key("__at", "industry") & F.col("__next").isNotNull(), fields_of_heads(F.col("__next")))
-    rows = rows.withColumn("__more", F.when(F.map_contains_key(more, "industry"), more))
-    joined = F.when(F.col("__more").isNull(), F.col("__at")).otherwise(F.map_concat("__at", F.map_filter("__more", lambda k, v: ~F.map_contains_key(F.col("__at"), k))))
-    first = F.when(F.col("__at").isNotNull(), F.struct("r", joined.alias("at"), (sparse | F.col("__more").isNotNull()).cast("int").alias("two")))
-    rows = rows.withColumn("__first", F.first(first, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    def read(row, after, r):
+        """The heads of a row: its place, the columns of fields, and whether the next row is one of heads too; null if it has none."""
+        sparse = (filled(row) <= 3) & after.isNotNull()
+        # Only rows that hold a phrase are read as heads.
+        at = lambda head: F.when(some(head), let(fields_of_heads(head), lambda m: whole(head, m)))
+
+        def with_more(at):
+            # A second row of heads adds the fields that the first lacks, if the industry is among them.
+            more = F.when(~sparse & ~F.map_contains_key(at, "industry") & after.isNotNull(), fields_of_heads(after))
+            both = lambda m: F.when(F.map_contains_key(m, "industry"), F.map_concat(at, F.map_filter(m, lambda k, v: ~F.map_contains_key(at, k))))
+            found = lambda m: F.struct(r.alias("r"), F.coalesce(m, at).alias("at"), (sparse | m.isNotNull()).cast("int").alias("two"))
+            return F.when(at.isNotNull(), let(let(more, both), found))
+
+        return let(let(F.when(sparse, merged_heads(row, after)).otherwise(row), at), with_more)
+
+    # The rows below the first with heads are not tried.
+    none = F.lit(None).cast("struct<r:int,at:map<string,int>,two:int>")
+    places = F.transform("grid", lambda _, i: i)
+    first = F.aggregate(places, none, lambda done, r: F.when(done.isNotNull(), done).otherwise(let(F.get("grid", r), lambda row: let(F.get("grid", r + 1), lambda after: read(row, after, r)))))
+    # Dealt by document once, before rows are parted, so that all windows in records find their rows together.
+    found = tables.select("doc", "idx", "grid", first.alias("__first")).filter("__first IS NOT NULL").repartition("doc")
+    rows = found.select("doc", "idx", "__first", F.posexplode("grid").alias("r", "row"))
     return rows.filter(F.col("r") > F.col("__first.r") + F.col("__first.two")).select("doc", "idx", "r", "row", F.col("__first.at").alias("at"))
 
 

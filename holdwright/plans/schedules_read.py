@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import grids
 from ..sources import documents
-from .binding import query, table
+from .binding import dealt, query
 from .cleaning import _pick, _sql_pick
 
 # First cells of rows: sections, industries, sums, pieces of names, blanks and companies, by the part's key.
@@ -59,10 +59,9 @@ def schedule_records(spark, sf):
     q = F.format_number("l_quantity", 2)
     row = F.array(first, cell(_pick(F.col("l_suppkey"), _KINDS)), cell(F.date_format("l_shipdate", "MM/dd/yyyy")), cell(F.concat(F.lit("$ "), F.format_number(F.col("l_quantity") * 1000, 2))), cell(q), cell(F.concat(F.lit("("), q, F.lit(")"))))
     place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity"))
-    lines = table(spark, sf, "lineitem").select("l_orderkey", F.struct(place.alias("place"), (n > 3).alias("second"), row.alias("row")).alias("x"))
-    # Pages are parsed in Python, so small tables too are dealt to all cores.
-    lines = lines.repartition(spark.sparkContext.defaultParallelism, "l_orderkey")
-    pages = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("x")).alias("x"))
+    # Pages are parsed in Python, so small tables too are dealt to all cores; lines go there once, before their cells are written.
+    lines = dealt(spark, sf, "lineitem", "l_orderkey").select("l_orderkey", F.struct(place.alias("place"), (n > 3).alias("second"), row.alias("row")).alias("x"))
+    pages = lines.groupBy("l_orderkey").agg(F.sort_array(F.collect_list("x")).alias("x"))
     rows = lambda second: F.transform(F.filter("x", lambda x: x["second"] == second), lambda x: x["row"])
     tr = lambda cells: "<tr>" + "".join(f"<th>{c}</th>" for c in cells) + "</tr>"
     title = "<tr><th colspan='6'>Consolidated schedule, in thousands</th></tr>"

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from html import unescape
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +16,11 @@ from ..functions import vocab
 from ..functions.text import holds
 
 TABLES = "doc string, idx long, pos long, text string, grid array<array<string>>"
+_TYPES = {"doc": pa.string(), "idx": pa.int64(), "pos": pa.int64(), "text": pa.string(), "grid": pa.list_(pa.list_(pa.string()))}
+# A start tag with quoted attributes that need no reading, or an end tag; and tags whose content is no markup.
+_ATTRIBUTE = r"""[ \t\n\r\f]+([a-zA-Z][a-zA-Z0-9-]*)=(?:"([^"<>&]*)"|'([^'<>&]*)')"""
+_TAG = re.compile(r"<(?:/([a-zA-Z][a-zA-Z0-9]*)|([a-zA-Z][a-zA-Z0-9]*)((?:%s)*))[ \t\n\r\f]*>" % re.sub(r"\((?!\?)", "(?:", _ATTRIBUTE))
+_NO_MARKUP = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "noscript", "plaintext"}
 
 
 class _Tables(HTMLParser):
@@ -22,16 +30,34 @@ class _Tables(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.found: list[tuple[int, list[list[tuple[str, int]]]]] = []
         self.depth, self.cell, self.span = 0, None, 1
-        self.line = [0]
+        self.line, self.at = [0], None
 
     def read(self, html: str) -> list[tuple[int, list[list[tuple[str, int]]]]]:
-        for part in html.split("\n")[:-1]:
-            self.line.append(self.line[-1] + len(part) + 1)
-        self.feed(html)
-        self.close()
+        tags = list(_TAG.finditer(html))
+        if len(tags) == html.count("<") and _NO_MARKUP.isdisjoint((m[1] or m[2]).lower() for m in tags):
+            self._read_plain(html, tags)
+        else:
+            for part in html.split("\n")[:-1]:
+                self.line.append(self.line[-1] + len(part) + 1)
+            self.feed(html)
+            self.close()
         self._end_cell()
         return self.found
 
+    def _read_plain(self, html: str, tags: list[re.Match]) -> None:
+        """The parser's events for a page of plain tags alone, which is most of the time of such a page."""
+        done = 0
+        for m in tags:
+            self.at = m.start()
+            if self.cell is not None:
+                self.handle_data(unescape(html[done : self.at]))
+            done = m.end()
+            if m[1]:
+                self.handle_endtag(m[1].lower())
+            else:
+                self.handle_starttag(m[2].lower(), [(k.lower(), v or w) for k, v, w in re.findall(_ATTRIBUTE, m[3])] if m[3] else [])
+        self.handle_data(unescape(html[done:]))
+
     def _end_cell(self) -> None:
         if self.cell is not None:
             self.found[-1][1][-1].append((" ".join("".join(self.cell).split()), self.span))
@@ -42,7 +68,7 @@ class _Tables(HTMLParser):
             self.depth += 1
             if self.depth == 1:
                 row, col = self.getpos()
-                self.found.append((self.line[row - 1] + col, []))
+                self.found.append((self.line[row - 1] + col if self.at is None else self.at, []))
         elif self.depth == 1 and tag == "tr":
             self._end_cell()
             self.found[-1][1].append([])
@@ -75,10 +101,10 @@ def html_tables(pages: DataFrame, doc: str, html: str, repeat: bool = True, leas
     blanks), short rows are padded.
     """
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            out = []
-            for name, page in zip(pdf["doc"], pdf["html"], strict=True):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = {c: [] for c in _TYPES}
+            for name, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 n = 0
                 for pos, rows in _Tables().read(page) if page else []:
                     grid = [[t if repeat or k == 0 else "" for t, span in row for k in range(span)] for row in rows]
@@ -86,11 +112,12 @@ def html_tables(pages: DataFrame, doc: str, html: str, repeat: bool = True, leas
                     if len(text) < least:
                         continue
                     width = max(map(len, grid), default=0)
-                    out.append((name, n, pos, text, [r + [""] * (width - len(r)) for r in grid]))
+                    for c, v in zip(out.values(), (name, n, pos, text, [r + [""] * (width - len(r)) for r in grid]), strict=True):
+                        c.append(v)
                     n += 1
-            yield pd.DataFrame(out, columns=["doc", "idx", "pos", "text", "grid"])
+            yield pa.RecordBatch.from_arrays([pa.array(out[c], k) for c, k in _TYPES.items()], list(_TYPES))
 
-    return pages.select(F.col(doc).cast("string").alias("doc"), F.col(html).alias("html")).mapInPandas(run, TABLES)
+    return pages.select(F.col(doc).cast("string").alias("doc"), F.col(html).alias("html")).mapInArrow(run, TABLES)
 
 
 def cells(tables: DataFrame) -> DataFrame:
