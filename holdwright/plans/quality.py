@@ -125,8 +125,9 @@ def spacer_columns(spark, sf):
     rows = li.select("doc", "idx", "r", row.alias("row")).unionByName(sizes.select("doc", "idx", F.lit(0).alias("r"), heads.alias("row")))
     cells = rows.select("doc", "idx", "r", F.posexplode("row").alias("c", "text"))
     kept = grids.drop_spacers(cells, sizes)
-    line = F.map_from_entries(F.collect_list(F.struct("c", "text")))
-    lines = kept.groupBy("doc", "r").agg(line.alias("m")).select("doc", "r", F.concat_ws("|", *[F.coalesce(F.try_element_at("m", F.lit(c)), F.lit("")) for c in range(3)]).alias("t"))
+    # A table's cells go to one place, where its lines and then the table are put together.
+    three = [F.max(F.when(F.col("c") == c, F.col("text"))).alias(f"c{c}") for c in range(3)]
+    lines = kept.repartition("doc").groupBy("doc", "r").agg(*three).select("doc", "r", F.concat_ws("|", *[F.coalesce(f"c{c}", F.lit("")) for c in range(3)]).alias("t"))
     below = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("r") > 0, F.struct("r", "t")))), lambda x: x["t"]), ";")
     out = lines.groupBy("doc").agg(F.max(F.when(F.col("r") == 0, F.col("t"))).alias("head"), below.alias("data"))
     return out.select(F.col("doc").cast("long").alias("l_orderkey"), "head", "data")
