@@ -57,17 +57,19 @@ _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def pack(x: np.ndarray) -> bytes:
-    """Unsigned numbers by byte: how many bytes each needs, all lowest bytes, all next ones."""
+    """Unsigned numbers by byte: how many bytes each needs and how long each plane is, then the planes of all lowest bytes, all
+    next ones. Each is compressed alone, as those of one hash's high and low bytes have nothing in common."""
     x = np.ascontiguousarray(x, "<u8")
     k = max(1, (int(x.max()).bit_length() + 7) // 8) if len(x) else 1
-    return zstandard.compress(bytes([k]) + x.view(np.uint8).reshape(-1, 8)[:, :k].T.tobytes(), 1)
+    planes = [zstandard.compress(p.tobytes(), 1) for p in x.view(np.uint8).reshape(-1, 8)[:, :k].T]
+    return bytes([k]) + np.array([len(p) for p in planes], "<u4").tobytes() + b"".join(planes)
 
 
 def unpack(data: bytes) -> np.ndarray:
-    raw = zstandard.decompress(data)
-    planes = np.frombuffer(raw, np.uint8, offset=1).reshape(raw[0], -1)
-    out = np.zeros((planes.shape[1], 8), np.uint8)
-    out[:, : raw[0]] = planes.T
+    ends = 1 + 4 * data[0] + np.cumsum(np.frombuffer(data, "<u4", data[0], 1))
+    planes = [np.frombuffer(zstandard.decompress(data[i:j]), np.uint8) for i, j in zip([1 + 4 * data[0], *ends[:-1].tolist()], ends.tolist(), strict=True)]
+    out = np.zeros((len(planes[0]), 8), np.uint8)
+    out[:, : len(planes)] = np.stack(planes, axis=1)
     return out.view("<u8").ravel()
 
 
@@ -77,13 +79,26 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Block:
-    """The words of some documents: words[i] indexes digests (a hash each), sizes has each document's number of words."""
+    """The words of some documents: words[i] indexes kinds, numbered as they come up first, sizes has each document's number of words."""
 
-    def __init__(self, words: np.ndarray, sizes: np.ndarray, digests: bytes):
-        self.words, self.sizes = words.astype(np.int32), sizes.astype(np.int64)
-        self.digests = np.frombuffer(digests, DIGEST)
+    def __init__(self, words: np.ndarray, sizes: np.ndarray, kinds: list[bytes]):
+        self.words, self.sizes, self.kinds = words.astype(np.int32), sizes.astype(np.int64), kinds
+        self.digests = np.fromiter(map(xxhash.xxh3_64_intdigest, kinds), DIGEST, len(kinds))
         self.place = np.arange(len(words), dtype=np.int32) - np.repeat((np.cumsum(self.sizes) - self.sizes).astype(np.int32), self.sizes)
 
+    def laid(self) -> dict[str, bytes]:
+        """The block in little room: a word that comes up first is 0, as its number is the next one, and the kinds are text,
+        which takes half the room of their hashes."""
+        new = np.diff(np.maximum.accumulate(self.words), prepend=-1) > 0
+        return {"words": pack(np.where(new, 0, self.words + 1)), "sizes": pack(self.sizes), "kinds": zstandard.compress(b"\n".join(self.kinds), 3)}
+
+    @classmethod
+    def read(cls, words: bytes, sizes: bytes, kinds: bytes) -> Block:
+        w = unpack(words).astype(np.int64) - 1
+        new = w < 0
+        w[new] = np.arange(new.sum())
+        return cls(w, unpack(sizes), zstandard.decompress(kinds).split())
+
     def grams(self, order: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
         """For n from 1 to order, the n-gram that each word ends: a number among this block's n-grams of all
         orders, -1 where the document is too short. Then the n-grams' frequencies and their two hashes."""
@@ -124,8 +139,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Array,
     words: list[np.ndarray] = []
 
     def close() -> tuple[int, pa.Array, Block]:
-        digests = np.fromiter(map(xxhash.xxh3_64_intdigest, index), DIGEST, len(index)).tobytes()
-        return number, pa.concat_arrays(ids), Block(np.concatenate(words), np.array([len(w) for w in words]), digests)
+        return number, pa.concat_arrays(ids), Block(np.concatenate(words), np.array([len(w) for w in words]), list(index))
 
     held = 0
     for b in batches:
@@ -144,13 +158,13 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Array,
 
 
 #: Of a block's own row; null in those of its n-grams.
-LAID = ("ids", "words", "sizes", "digests")
+LAID = ("ids", "words", "sizes", "kinds")
 
 
 def exploded(texts: DataFrame, order: int, parts: int, counted: bool = True, laid: bool = True) -> DataFrame:
     """(part, block, hashes, times): each block's n-grams by part, of texts (id, text); times is null if they are only asked for.
 
-    laid: with a row of its own for each block, its number below zero as the part: the ids, words, sizes and digests.
+    laid: with a row of its own for each block, its number below zero as the part: the ids, words, sizes and kinds of words.
     """
     arrow = arrow_schema(_schema(texts))
 
@@ -160,7 +174,7 @@ def exploded(texts: DataFrame, order: int, parts: int, counted: bool = True, lai
             _, times, keys, deals = block.grams(order)
             by, h, begins = dealt(keys, deals, parts)
             if laid:
-                yield row(part=-1 - number, block=number, ids=ids.to_pylist(), words=pack(block.words), sizes=pack(block.sizes), digests=block.digests.tobytes())
+                yield row(part=-1 - number, block=number, ids=ids.to_pylist(), **block.laid())
             for p in np.flatnonzero(np.diff(begins)).tolist():
                 at = slice(begins[p], begins[p + 1])
                 yield row(part=p, block=number, hashes=pack(np.diff(h[at], prepend=np.uint64(0))), times=pack(times[by[at]]) if counted else None)
@@ -170,7 +184,7 @@ def exploded(texts: DataFrame, order: int, parts: int, counted: bool = True, lai
 
 def _schema(texts: DataFrame) -> str:
     kind = texts.schema["id"].dataType.simpleString()
-    return f"part long, block long, hashes binary, times binary, ids array<{kind}>, words binary, sizes binary, digests binary"
+    return f"part long, block long, hashes binary, times binary, ids array<{kind}>, words binary, sizes binary, kinds binary"
 
 
 def counts(rows: DataFrame) -> DataFrame:
@@ -189,7 +203,7 @@ def counts(rows: DataFrame) -> DataFrame:
         return kept.append_column("counts", pa.array(found, pa.binary()))
 
     kind = rows.schema["ids"].dataType.simpleString()
-    return rows.groupBy("part").applyInArrow(join, f"block long, part long, ids {kind}, words binary, sizes binary, digests binary, counts binary")
+    return rows.groupBy("part").applyInArrow(join, f"block long, part long, ids {kind}, words binary, sizes binary, kinds binary, counts binary")
 
 
 def _scored(block: Block, c: list[np.ndarray], total: int, alpha: float, min_count: int) -> list[np.ndarray]:
@@ -232,7 +246,7 @@ def score(
         part = t.column("part").to_numpy()
         rows = np.argsort(part).tolist()  # the block itself, then its parts
         me = {c: t.column(c)[rows[0]] for c in LAID}
-        block = Block(unpack(me["words"].as_py()), unpack(me["sizes"].as_py()), me["digests"].as_py())
+        block = Block.read(*[me[c].as_py() for c in LAID[1:]])
         at, _, keys, deals = block.grams(order)
         n = np.zeros(len(keys) + 1, np.int64)  # the last is for words without an n-gram
         if len(keys):

@@ -92,3 +92,25 @@ def test_blocks_close_by_documents(monkeypatch):
     batch = pa.RecordBatch.from_pydict({"id": list(range(100)), "text": [b""] * 100})
     found = list(lm_score._blocks(iter([batch])))
     assert [len(ids) for _, ids, _ in found] == [16] * 6 + [4] and [n - (2 << 32) for n, _, _ in found] == list(range(7))
+
+
+def test_a_block_takes_little_room(sf):
+    """What travels of a block beside its n-grams is less than half of 4 bytes a word and 8 a kind, and reads back as it was."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    text = pq.read_table(f"{sf}/documents.parquet", columns=["text"]).column(0)
+    index, words = {}, []
+    for t in [*text.to_pylist(), "", None, " \n "]:
+        found = (t or "").encode().lower().split()
+        words.append(np.array([index.setdefault(w, len(index)) for w in found], np.int32))
+    block = lm_score.Block(np.concatenate(words), np.array([len(w) for w in words]), list(index))
+    laid = block.laid()
+    assert sum(map(len, laid.values())) < (4 * len(block.words) + 8 * len(index)) / 2
+    again = lm_score.Block.read(**laid)
+    assert all((getattr(block, c) == getattr(again, c)).all() for c in ("words", "sizes", "digests", "place")) and block.kinds == again.kinds
+    none = lm_score.Block.read(**lm_score.Block(np.array([], np.int32), np.array([0, 0]), []).laid())
+    assert len(none.words) == 0 and none.sizes.tolist() == [0, 0] and isinstance(pa.array(none.sizes), pa.Int64Array)
+    for x in ([], [0], [255, 256], list(range(70_000)), [2**63, 1, 2**52 - 1]):
+        assert lm_score.unpack(lm_score.pack(np.array(x, np.uint64))).tolist() == x
