@@ -1,9 +1,7 @@
 """Two tokenizers' ids of the same text, aligned where both end a token.
 
-Both encode the whole text. Where an end that both share stands before a token that starts
-with a space in both, the text is cut into windows; a window is its two tuples of ids. Equal windows
-have equal alignments, which a task keeps (about ``MEMO`` of them, in each of two generations). Every shared end
-closes a group of ids, and links the two tokens that end there. The bytes of all windows, joined, must
+Both encode the whole text. Every end that both share closes a group of ids, and links the two tokens that end there;
+ends are compared in numpy over many texts at once. The bytes of each side's tokens, joined, must
 be the text's own, or it has no tokens.
 
 How often the corpus links a pair of ids is counted by Spark: documents are laid in blocks, a
@@ -24,9 +22,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +36,7 @@ from .common import arrow_schema, materialize
 BLOCK_LINKS = 1 << 19
 BLOCK_BYTES = 1 << 22
 BLOCK_DOCS = 1 << 13
-#: Windows whose alignment a task keeps in each of two generations.
+#: Tokens whose text form is made at once, about; a document's are not parted.
 MEMO = 1 << 16
 #: Bytes of text that are encoded together, about.
 CHUNK = 1 << 20
@@ -49,18 +45,15 @@ BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(
 #: Below U+3000 the two libraries' classes of letters, numbers and spaces agree, which a test holds.
 COMMON = re.compile("[^\u0000-\u2fff]")
 SPACE_MARK = "▁"
-#: Between a window's two sides (its lower half where both vocabularies are small).
-END = 0xFFFFFFFF
 
 
 class Tokens:
-    """What is known of a vocabulary: each id's bytes, their number, and whether they start with a space."""
+    """What is known of a vocabulary: each id's bytes and their number."""
 
     def __init__(self, of: dict[int, bytes]):
         n = max(of, default=0) + 1
         self.raw = [of.get(i, b"") for i in range(n)]
         self.size = np.array([len(x) for x in self.raw], np.int64)
-        self.spaced = np.array([x[:1] == b" " for x in self.raw])
         self.kind = np.dtype(np.uint16 if n <= 1 << 16 else np.uint32)
         # An id as text with a comma behind it, then all once more with the mark that ends its side of a group.
         self.told = {stop: [f"{i}," for i in range(n)] + [f"{i}{stop}" for i in range(n)] for stop in "|;"}
@@ -117,124 +110,80 @@ class PieceTokens(Tokens):
         return [np.array(x, self.kind) for x in self.model.encode(texts, num_threads=1)] if texts else []
 
 
-def windows(a: Tokens, b: Tokens, ids_a: np.ndarray, ids_b: np.ndarray, starts: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-    """The windows of texts whose ids are joined, each as its ids in a, END and its ids in b, and how many windows begin
-    before each of the texts' starts (in bytes). Both sides have the same bytes of each text."""
-    at_a, at_b = np.cumsum(a.size[ids_a]) - a.size[ids_a], np.cumsum(b.size[ids_b]) - b.size[ids_b]
-    mark = np.zeros(int(at_a[-1] + a.size[ids_a[-1]]), np.uint8)
-    mark[at_a[a.spaced[ids_a]]] = 1
-    mark[at_b[b.spaced[ids_b]]] |= 2
-    mark[starts] = 3
-    begins = [np.flatnonzero(mark[at] == 3) for at in (at_a, at_b)]
-    n_a, n_b = (np.diff(x, append=len(ids)) for x, ids in zip(begins, (ids_a, ids_b), strict=True))
-    ends = np.cumsum(n_a + 1 + n_b)
-    first = ends - (n_a + 1 + n_b)
-    out = np.full(len(ids_a) + len(ids_b) + len(ends), END, np.uint32)
-    out[np.arange(len(ids_a)) + np.repeat(first - begins[0], n_a)] = ids_a
-    out[np.arange(len(ids_b)) + np.repeat(first + n_a + 1 - begins[1], n_b)] = ids_b
-    small = max(len(a.raw), len(b.raw)) < 1 << 16
-    raw, width = (out.astype(np.uint16), 2) if small else (out, 4)
-    raw, cuts = raw.tobytes(), (ends * width).tolist()
-    return [raw[i:j] for i, j in zip([0, *cuts[:-1]], cuts, strict=True)], np.searchsorted(np.flatnonzero(mark == 3), starts)
-
-
-#: A window's bytes (None if its two sides differ), its groups as text, their number, and its pairs of ids that end together.
-Aligned = tuple[bytes | None, str, int, bytes]
-
-
-def aligned(a: Tokens, b: Tokens, keys: list[bytes]) -> list[Aligned]:
-    """The alignments of windows, all at once: as both sides of each have the same number of bytes, ends are
-    shared along the joined windows where they are within them."""
-    small = max(len(a.raw), len(b.raw)) < 1 << 16
-    ids = np.frombuffer(b"".join(keys), np.uint16 if small else np.uint32)
-    many = np.array([len(k) for k in keys]) // ids.itemsize
-    middle = np.flatnonzero(ids == ids.dtype.type(END & (0xFFFF if small else END)))
-    before = np.cumsum(many) - many
-    place = np.arange(len(ids)) - np.repeat(middle, many)
-    side = []
-    for t, x, n in ((a, ids[place < 0], middle - before), (b, ids[place > 0], many - (middle - before) - 1)):
-        side.append((t, x, np.cumsum(t.size[x]), np.cumsum(n) - 1, b"".join(map(t.raw.__getitem__, x.tolist()))))
-    mark = np.zeros(len(side[0][4]) + 1, np.uint8)
-    for bit, (_, _, ends, _, _) in enumerate(side):
-        mark[ends] |= bit + 1
-    told, group, pairs, texts = [], [], [], []
-    for (t, x, ends, _, _), stop in zip(side, "|;", strict=True):
-        shared = mark[ends] == 3
-        pairs.append(x[shared].astype(np.int64))
-        group.append(np.cumsum(shared) - shared)
-        told.append(x.astype(np.int64) + shared * len(t.raw) + len(texts))
-        texts += t.told[stop]
-    # Tokens in the order of the text form: by group, a's before b's.
-    order = np.argsort(np.concatenate([group[0] * 2, group[1] * 2 + 1]), kind="stable")
-    words = list(map(texts.__getitem__, np.concatenate(told)[order].tolist()))
-    (_, _, ends, last, left), (_, _, _, last_b, right) = side
-    groups = np.cumsum(mark[ends] == 3)[last].tolist()
-    bytes_, tokens = ends[last].tolist(), (last + last_b + 2).tolist()
-    packed, out = (pairs[0] << 32 | pairs[1]).tobytes(), []
-    at = byte = token = 0
-    for z, y, w in zip(groups, bytes_, tokens, strict=True):
-        raw = left[byte:y]
-        out.append((raw if raw == right[byte:y] else None, "".join(words[token:w])[:-1], z - at, packed[8 * at : 8 * z]))
-        at, byte, token = z, y, w
-    return out
-
-
-DOC = "n_a long, n_b long, n_groups long, groups_sha256 string, windows array<int>, times array<int>"
-#: Of a block: its pairs of ids and how often it links them; the number of pairs of each window, and those pairs.
-PAIRS = "a array<int>, b array<int>, n array<long>, sizes array<int>, pairs array<int>"
+def spelled(t: Tokens, ids: np.ndarray, raw: bytes) -> bool:
+    """Whether the tokens' bytes are the text's; one without bytes is none of a text's."""
+    return bool(t.size[ids].all()) and b"".join(map(t.raw.__getitem__, ids.tolist())) == raw
+
+
+class Memo:
+    """What a task keeps of both vocabularies: each id's text forms, first's, then second's."""
+
+    def __init__(self, a: Tokens, b: Tokens):
+        self.told, self.second = a.told["|"] + b.told[";"], len(a.told["|"])
+
+
+def aligned(a: Tokens, b: Tokens, memo: Memo, docs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Of texts, each its ids in a and in b with the same bytes: the digests of their groups, the groups' numbers, and the
+    pairs of ids that end together (a's in the upper half), text by text."""
+    ids = [np.concatenate(x) for x in zip(*docs, strict=True)]
+    ends = [np.cumsum(t.size[x]) for t, x in zip((a, b), ids, strict=True)]
+    mark = np.zeros(int(ends[0][-1]) + 1, np.uint8)
+    mark[ends[0]] = 1
+    mark[ends[1]] |= 2
+    shared = [mark[x] == 3 for x in ends]
+    last_a, last_b = (np.flatnonzero(x) for x in shared)
+    pairs = ids[0][last_a].astype(np.int64) << 32 | ids[1][last_b].astype(np.int64)
+    # Tokens in the order of the text form: by group, a's before b's. A token's place is its own and that of the other side's before it.
+    group_a, group_b = (np.cumsum(x) - x for x in shared)
+    told = np.empty(len(ids[0]) + len(ids[1]), np.int64)
+    told[np.arange(len(ids[0])) + np.concatenate(([0], last_b + 1))[group_a]] = ids[0].astype(np.int64) + shared[0] * len(a.raw)
+    told[np.arange(len(ids[1])) + (last_a + 1)[group_b]] = ids[1].astype(np.int64) + shared[1] * len(b.raw) + memo.second
+    words = list(map(memo.told.__getitem__, told.tolist()))
+    stops = np.cumsum([len(x) + len(y) for x, y in docs]).tolist()
+    sha = [hashlib.sha256("".join(words[i:j])[:-1].encode()).hexdigest() for i, j in zip([0, *stops[:-1]], stops, strict=True)]
+    groups = np.diff(np.cumsum(shared[0])[np.cumsum([len(x) for x, _ in docs]) - 1], prepend=0)
+    return sha, groups, pairs
+
+
+DOC = "n_a long, n_b long, n_groups long, groups_sha256 string, links array<int>, times array<int>"
+#: Of a block: its pairs of ids and how often it links them; a document's links are their numbers.
+PAIRS = "a array<int>, b array<int>, n array<long>"
 
 
 class Block:
-    """Documents that are laid together; windows are numbered within it."""
+    """Documents that are laid together: their id, and their ids in both vocabularies (None: no tokens)."""
 
     def __init__(self, number: int):
-        self.number, self.index = number, defaultdict(count().__next__)
+        self.number = number
         self.docs: list[tuple] = []
         self.links = self.bytes = 0
 
     def rows(self, a: Tokens, b: Tokens, memo: Memo) -> Iterator[dict]:
-        known = memo.of(list(self.index))
-        raws, groups, sizes, pairs = ([x[k] for x in known] for k in range(4))
-        sizes = np.array(sizes, np.int64)
-        used = np.zeros(len(known), np.int64)
-        for i, n_a, n_b, w, raw in self.docs:
-            row = {"block": self.number, "id": i, "n_a": 0, "n_b": 0, "n_groups": 0, "groups_sha256": "", "windows": [], "times": []}
-            if w is not None:
-                at = w.tolist()
-                found = [raws[k] for k in at]
-                if None not in found and b"".join(found) == raw:
-                    kinds, times = np.unique(w, return_counts=True)
-                    used[kinds] += times
-                    sha = hashlib.sha256(";".join([groups[k] for k in at]).encode()).hexdigest()
-                    row |= {"n_a": n_a, "n_b": n_b, "n_groups": int(sizes[w].sum()), "groups_sha256": sha, "windows": kinds, "times": times}
+        some, held, sha, groups, pairs = [], 0, [], [], []
+        full = [(x, y) for _, x, y in self.docs if x is not None]
+        for k, (x, y) in enumerate(full):
+            some.append((x, y))
+            held += len(x) + len(y)
+            if held >= MEMO or k == len(full) - 1:
+                for out, more in zip((sha, groups, pairs), aligned(a, b, memo, some), strict=True):
+                    out.append(more)
+                some, held = [], 0
+        sha = [x for xs in sha for x in xs]
+        many = np.concatenate([np.zeros(0, np.int64), *groups])
+        kinds, of = np.unique(np.concatenate([np.zeros(0, np.int64), *pairs]), return_inverse=True)
+        # Each document's different links, all documents at once.
+        keys, times = np.unique(np.repeat(np.arange(len(many)), many) * len(kinds) + of, return_counts=True)
+        doc, links = np.divmod(keys, max(len(kinds), 1))
+        begins = np.searchsorted(doc, np.arange(len(many) + 1)).tolist()
+        k = 0
+        for i, x, y in self.docs:
+            row = {"block": self.number, "id": i, "n_a": 0, "n_b": 0, "n_groups": 0, "groups_sha256": "", "links": [], "times": []}
+            if x is not None:
+                at = slice(begins[k], begins[k + 1])
+                row |= {"n_a": len(x), "n_b": len(y), "n_groups": int(many[k]), "groups_sha256": sha[k], "links": links[at], "times": times[at]}
+                k += 1
             yield row
-        kinds, of = np.unique(np.frombuffer(b"".join(pairs), np.int64), return_inverse=True)
-        times = np.zeros(len(kinds), np.int64)
-        np.add.at(times, of, np.repeat(used, sizes))
-        yield {"block": self.number, "a": kinds >> 32, "b": kinds & 0xFFFFFFFF, "n": times, "sizes": sizes, "pairs": of}
-
-
-class Memo:
-    """Alignments by windows (the two tuples of ids); those used since the last change of generation outlive it."""
-
-    def __init__(self, a: Tokens, b: Tokens):
-        self.a, self.b = a, b
-        self.now: dict[bytes, Aligned] = {}
-        self.older: dict[bytes, Aligned] = {}
-
-    def of(self, keys: list[bytes]) -> list[Aligned]:
-        if len(self.now) > MEMO:
-            self.now, self.older = {}, self.now
-        out = list(map(self.now.get, keys))
-        lack = [k for k, x in enumerate(out) if x is None]
-        for k in lack:
-            out[k] = self.older.get(keys[k])
-        lack, older = [k for k in lack if out[k] is None], [k for k in lack if out[k] is not None]
-        if lack:
-            for k, x in zip(lack, aligned(self.a, self.b, [keys[k] for k in lack]), strict=True):
-                out[k] = x
-        self.now.update((keys[k], out[k]) for k in (*older, *lack))
-        return out
+        yield {"block": self.number, "a": kinds >> 32, "b": kinds & 0xFFFFFFFF, "n": np.bincount(of, minlength=len(kinds))}
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
@@ -256,20 +205,13 @@ def _blocks(batches: Iterator[pa.RecordBatch], a: Tokens, b: Tokens, first: int)
     for ids, texts in _chunks(batches):
         raws = [f" {t}".encode() if t else b"" for t in texts]
         full = [k for k, t in enumerate(texts) if t]
-        of_a, of_b = (t.encode([texts[k] for k in full]) for t in (a, b))
-        exact = lambda t, ids, n: (sizes := t.size[ids]).sum() == n and sizes.all()
-        same = [k for k in range(len(full)) if all(exact(t, ids[k], len(raws[full[k]])) for t, ids in ((a, of_a), (b, of_b)))]
-        laid: dict[int, tuple] = {}
-        if same:
-            starts = np.cumsum([0, *[len(raws[full[k]]) for k in same]])[:-1]
-            found, at = windows(a, b, np.concatenate([of_a[k] for k in same]), np.concatenate([of_b[k] for k in same]), starts)
-            for k, lo, hi in zip(same, at.tolist(), [*at[1:].tolist(), len(found)], strict=True):
-                laid[full[k]] = (len(of_a[k]), len(of_b[k]), found[lo:hi])
+        of_a, of_b = (dict(zip(full, t.encode([texts[k] for k in full]), strict=True)) for t in (a, b))
         for k, i in enumerate(ids):
-            n_a, n_b, keys = laid.get(k, (0, 0, None))
-            w = None if keys is None else np.fromiter(map(block.index.__getitem__, keys), np.int32, len(keys))
-            block.docs.append((i, n_a, n_b, w, raws[k]))
-            block.links += min(n_a, n_b)
+            x, y = of_a.get(k), of_b.get(k)
+            if x is None or not (spelled(a, x, raws[k]) and spelled(b, y, raws[k])):
+                x = y = None
+            block.docs.append((i, x, y))
+            block.links += 0 if x is None else min(len(x), len(y))
             block.bytes += len(raws[k])
             if block.links >= BLOCK_LINKS or block.bytes >= BLOCK_BYTES or len(block.docs) >= BLOCK_DOCS:
                 yield block
@@ -310,22 +252,13 @@ def align(docs: DataFrame, byte_path: str, piece_path: str, id_col: str = "doc_i
     found = pairs.select("of", "k", "a", "b").join(counts, ["a", "b"]).select("of", "k", "linked", "best")
 
     def finish(rows: pa.Table, found: pa.Table) -> pa.Table:
-        block = rows.filter(pc.is_valid(rows.column("a")))
-        rows = rows.filter(pc.is_null(rows.column("a")))
         linked, best = np.zeros(len(found), np.int64), np.zeros(len(found), np.int64)
         k = found.column("k").to_numpy()
         linked[k], best[k] = found.column("linked").to_numpy(), found.column("best").to_numpy(zero_copy_only=False)
-        sizes, of = (block.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("sizes", "pairs"))
-        window = np.repeat(np.arange(len(sizes)), sizes)
-        per = []
-        for x in (linked, best):
-            total = np.zeros(len(sizes), np.int64)
-            np.add.at(total, window, x[of])
-            per.append(total)
-        w, times = (rows.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("windows", "times"))
-        doc = np.repeat(np.arange(len(rows)), pc.list_value_length(rows.column("windows")).to_numpy())
+        w, times = (rows.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("links", "times"))
+        doc = np.repeat(np.arange(len(rows)), pc.list_value_length(rows.column("links")).to_numpy())
         sums = []
-        for x in per:
+        for x in (linked, best):
             total = np.zeros(len(rows), np.int64)
             np.add.at(total, doc, x[w] * times)
             sums.append(total)
@@ -334,5 +267,5 @@ def align(docs: DataFrame, byte_path: str, piece_path: str, id_col: str = "doc_i
         return pa.table(out, names=[id_col, "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
 
     out = f"{id_col} {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
-    rows = laid.select("block", "id", "n_a", "n_b", "n_groups", "groups_sha256", "windows", "times", "a", "sizes", "pairs")
+    rows = laid.filter("a IS NULL").select("block", "id", "n_a", "n_b", "n_groups", "groups_sha256", "links", "times")
     return rows.groupBy("block").cogroup(found.groupBy("of")).applyInArrow(finish, out)

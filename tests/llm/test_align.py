@@ -110,3 +110,22 @@ def test_quick_encoder():
     texts = ["".join(f"a{chr(c)}b {chr(c)}{chr(c)} 1{chr(c)}1 .{chr(c)}. {chr(c)}\n  {chr(c)}x" for c in range(k, k + 64)) for k in range(0, 0x3000, 64)]
     texts += [" " * 5000, "\n" * 999, "a" * 9999, " x" * 3000, "<|endoftext|>"]
     assert all(x.tolist() == y.tolist() for x, y in zip(quick.encode(texts), full.encode(texts), strict=True))
+
+
+def test_texts_are_aligned_together(sf):
+    """Many texts at once, in slices of any size, give what each gives alone; a block's row has its pairs and nothing for each window."""
+    import pyarrow.parquet as pq
+
+    a, b = align.ByteTokens(BYTES), align.PieceTokens(PIECES)
+    memo, texts = align.Memo(a, b), [*STRANGE[1:3], "a", *pq.read_table(f"{sf}/documents.parquet", columns=["text"]).column(0).to_pylist()[:30]]
+    docs = [(x, y) for t, x, y in zip(texts, a.encode(texts), b.encode(texts), strict=True) if align.spelled(a, x, f" {t}".encode()) and align.spelled(b, y, f" {t}".encode())]
+    assert len(docs) > 20
+    sha, groups, pairs = align.aligned(a, b, memo, docs)
+    alone = [align.aligned(a, b, memo, [d]) for d in docs]
+    assert sha == [x[0][0] for x in alone] and groups.tolist() == [x[1][0] for x in alone] and pairs.tolist() == [p for x in alone for p in x[2].tolist()]
+    block = align.Block(3)
+    block.docs = [(k, *d) for k, d in enumerate(docs)] + [(99, None, None)]
+    *told, last = block.rows(a, b, memo)
+    assert [int(r["times"].sum()) for r in told[:-1]] == groups.tolist() and told[-1]["n_groups"] == 0
+    assert set(last) == {"block", "a", "b", "n"} and last["n"].sum() == groups.sum()
+    assert [r for r in align.Block(4).rows(a, b, memo)][0]["a"].tolist() == []
