@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import materialize
+
 
 def weighted_avg(value: Column, weight: Column, positive: bool = True) -> Column:
     """sum(value * weight) / sum(weight) where both are given, over positive values alone by default."""
@@ -32,6 +34,20 @@ def ranked(df: DataFrame, keys: Sequence[str], *order: Column, name: str = "rn")
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
 
 
+def ranked_by_spans(df: DataFrame, keys: Sequence[str], span: Column, *order: Column, name: str = "rn", of: str = "n") -> DataFrame:
+    """As ``ranked``, with the key's rows in ``of``, for keys of very many rows. span must ascend with the order, nulls first: rows are
+    numbered within their span, and those of the spans before are added, so a span is one task's and a key is not."""
+    d = df.withColumn("__span", span)
+    n = d.groupBy(*keys, "__span").agg(F.count(F.lit(1)).alias("__k"))
+    w = Window.partitionBy(*keys)
+    n = n.withColumns({of: F.sum("__k").over(w), "__before": F.coalesce(F.sum("__k").over(w.orderBy("__span").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
+    n = materialize(n, "spans").select(*[F.col(k).alias(f"{k}__r") for k in (*keys, "__span")], of, "__before")
+    same = F.lit(True)
+    for k in (*keys, "__span"):
+        same = same & F.col(k).eqNullSafe(F.col(f"{k}__r"))
+    return ranked(d, ["__span", *keys], *order, name=name).join(n, same).withColumn(name, F.col(name) + F.col("__before")).select(*df.columns, name, of)
+
+
 def top_k(df: DataFrame, keys: Sequence[str], k: int, *order: Column, name: str = "rn") -> DataFrame:
     """The first k rows of each key; order must break all ties."""
     return ranked(df, keys, *order, name=name).filter(F.col(name) <= k)

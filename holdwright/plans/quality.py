@@ -19,11 +19,13 @@ _DOUBLED = """WITH RECURSIVE b AS (SELECT l_suppkey % 5 AS fund, year(l_shipdate
 
 def doubled(spark, sf):
     """Lines as positions of five funds a year; every third year's file holds the schedule twice, a little lower the second time."""
-    li = table(spark, sf, "lineitem").select((F.col("l_suppkey") % 5).alias("fund"), F.year("l_shipdate").alias("period"), F.concat(F.lit("Order "), F.col("l_orderkey").cast("string")).alias("name"), F.col("l_quantity").alias("value"), "l_orderkey", "l_linenumber")
-    b = A.ranked(li, ["fund", "period"], F.asc("l_orderkey"), F.asc("l_linenumber"), F.asc("value"), name="place").withColumn("place", F.col("place").cast("long") - 1).drop("l_orderkey", "l_linenumber")
-    n = b.groupBy("fund", "period").agg(F.count(F.lit(1)).alias("n"))
-    again = b.filter("period % 3 = 0").join(n, ["fund", "period"]).withColumns({"place": F.col("place") + F.col("n"), "value": F.col("value") * 0.97}).drop("n")
-    return b.unionByName(again)
+    li = table(spark, sf, "lineitem").select((F.col("l_suppkey") % 5).alias("fund"), F.year("l_shipdate").alias("period"), "l_orderkey", "l_linenumber", F.col("l_quantity").alias("value"))
+    b = A.ranked_by_spans(li, ["fund", "period"], F.floor(F.col("l_orderkey") / 16384), F.asc("l_orderkey"), F.asc("l_linenumber"), F.asc("value"), name="place")
+    place, twice = F.col("place") - 1, F.col("fund").isNotNull() & F.coalesce(F.col("period") % 3 == 0, F.lit(False))
+    again = F.when(twice, F.array(F.struct(place.alias("place"), F.col("value").alias("value")), F.struct((place + F.col("n")).alias("place"), (F.col("value") * 0.97).alias("value"))))
+    once = F.array(F.struct(place.alias("place"), F.col("value").alias("value")))
+    d = b.select("fund", "period", F.concat(F.lit("Order "), F.col("l_orderkey").cast("string")).alias("name"), F.explode(F.coalesce(again, once)).alias("x"))
+    return d.select("fund", "period", "name", "x.value", "x.place")
 
 
 @query(_DOUBLED + """, m AS (SELECT fund, period, count(*) AS n FROM r GROUP BY 1, 2), e AS (SELECT DISTINCT fund, period, name FROM r JOIN m USING (fund, period) WHERE place < greatest(40, n // 10)),
