@@ -110,19 +110,22 @@ def choose_blocks(rows: DataFrame, twice: DataFrame, files: DataFrame, keys: Seq
     r = _live(bare, twice.select(*file, *size), file, place, key, F.coalesce(F.col(value).cast("double"), F.lit(0.0)).cast("decimal(38,6)").alias("__v"))
     beside = twice.select(*keys, F.col(period).alias("__of"), F.col("next").alias(period)).join(files.select(*file, "__start", "__end"), file)
     theirs = _live(bare, beside, file, place, F.col("__of"), key).select(*keys, F.col("__of").alias(period), F.lit(None).cast("long").alias("__p"), "__name", F.lit(1).cast("long").alias("__in"))
-    names = r.select(*file, "__p", "__name", F.lit(0).cast("long").alias("__in")).unionByName(theirs).filter("__name <> ''")
+    names = r.select(*file, "__p", "__name", F.lit(0).cast("long").alias("__in")).unionByName(theirs)
     names = names.groupBy(*file, "__name").agg(F.min("__p").alias("__f"), F.max("__p").alias("__l"), F.max("__in").alias("__in"))
 
-    kinds = {"__v": "decimal(38,6)", "__rows": "long", "__a": "long", "__ai": "long", "__z": "long", "__zi": "long", "__theirs": "long"}
-    at = lambda p, **has: [F.coalesce(p, F.lit(0).cast("long")).alias("__p"), *[has.get(x, F.lit(0)).cast(t).alias(x) for x, t in kinds.items()]]
-    own = F.col("__f").isNotNull().cast("long")
-    first, last = at(F.col("__f"), __a=own, __ai=own * F.col("__in"), __theirs=F.col("__in")), at(F.col("__l"), __z=own, __zi=own * F.col("__in"))
-    d = r.select(*file, *at(F.col("__p"), __v=F.col("__v"), __rows=F.lit(1))).unionByName(names.select(*file, F.inline(F.array(F.struct(*first), F.struct(*last)))))
+    # Blank names count as none here: a filter would be moved to the rows, and each of all files' names be cleaned for it.
+    there = (F.col("__name") != "").cast("long")
+    own, theirs_in = F.col("__f").isNotNull().cast("long") * there, F.col("__in") * there
+    counts, zero = ("__a", "__ai", "__z", "__zi", "__theirs"), F.lit(0).cast("long")
+    mark = lambda p, **has: F.struct(F.coalesce(p, zero).alias("__p"), *[has.get(x, zero).alias(x) for x in counts])
+    marks = F.array(mark(F.col("__f"), __a=own, __ai=own * F.col("__in"), __theirs=theirs_in), mark(F.col("__l"), __z=own, __zi=own * F.col("__in")))
     bucket = F.floor(F.col("__p") / BUCKET).alias("__b")
     bounds = cuts.select(*file, F.col("cut").alias("__p")).groupBy(*file, bucket).agg(F.collect_list("__p").alias("__cuts"))
     behind = F.when(F.col("__cuts").isNull(), 0).otherwise(F.size(F.filter("__cuts", lambda c: c <= F.col("__p")))).alias("__s")
-    d = d.select("*", bucket).join(bounds, [*file, "__b"], "left").select("*", behind)
-    s = d.groupBy(*file, "__b", "__s").agg(*[F.sum(x).alias(x) for x in kinds], F.min(F.when(F.col("__rows") > 0, F.col("__p"))).alias("cut"))
+    part = lambda d: d.select("*", bucket).join(bounds, [*file, "__b"], "left").select("*", behind).groupBy(*file, "__b", "__s")
+    sums = part(r.select(*file, "__p", "__v")).agg(F.sum("__v").alias("__v"), F.count(F.lit(1)).alias("__rows"), F.min("__p").alias("cut"))
+    s = sums.unionByName(part(names.select(*file, F.inline(marks))).agg(*[F.sum(x).alias(x) for x in counts]), allowMissingColumns=True)
+    s = s.groupBy(*file, "__b", "__s").agg(*[F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in ("__v", "__rows", *counts)], F.min("cut").alias("cut"))
     whole = Window.partitionBy(*file)
     before = whole.orderBy("__b", "__s").rowsBetween(Window.unboundedPreceding, -1)
     upto = {f"{x}_b": F.coalesce(F.sum(x).over(before), F.lit(0)) for x in ("__v", "__rows", "__a", "__ai", "__z", "__zi")}
