@@ -300,6 +300,47 @@ RATE_HEADS = ["rate", "spread", "pik", "interest", "reference", "margin", "coupo
 SIGNS = ["%", "$"]
 
 
+def without_spacers(grid: Column) -> Column:
+    """A table (array of rows, the first of heads) by the rules of ``drop_spacers``, for tables that are one value each: blanks are '', rows
+    are as wide as the columns that stay. Nothing is shuffled, and no cell becomes a row."""
+    blank = F.lit("")
+    shorter = lambda a: F.transform(a, lambda x: F.trim(F.coalesce(x, blank)))
+
+    def facts(cells):
+        """Of a column's cells, what decides on it: whether it stays, and whether it is of signs."""
+        below, n = F.slice(cells, 2, F.greatest(F.size(cells), F.lit(1))), F.size(cells) - 1
+        rate = F.lower(F.get(cells, 0)).rlike("|".join(RATE_HEADS))
+
+        def judged(some):
+            full, signs = F.size(some), F.size(F.filter(some, lambda x: x.isin(*SIGNS)))
+            stays = ((F.get(cells, 0) != "") | (full > 0)) & (rate | ((n - full) * 10 <= n * 8))
+            return F.struct(cells.alias("cells"), stays.alias("stays"), (signs * 2 > full).alias("sign"))
+
+        return let(F.filter(below, lambda x: x != ""), judged)
+
+    def joined(done, x):
+        """Every column of signs belongs to the nearest column before it that is none; of several the largest sign counts."""
+
+        def signed(last):
+            marks = F.when(last["marks"].isNull(), x["cells"]).otherwise(F.zip_with(last["marks"], x["cells"], lambda a, b: F.greatest(a, b)))
+            return F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(last["cells"].alias("cells"), marks.alias("marks"))))
+
+        one = F.struct(x["cells"].alias("cells"), F.lit(None).cast("array<string>").alias("marks"))
+        return F.when(x["sign"] & (F.size(done) > 0), let(F.element_at(done, -1), signed)).otherwise(F.concat(done, F.array(one)))
+
+    def read(rows):
+        width = F.array_max(F.transform(rows, lambda row: F.size(row)))
+        places = F.when(width > 0, F.sequence(F.lit(0), width - 1)).otherwise(F.array().cast("array<int>"))
+        columns = F.transform(places, lambda c: let(F.transform(rows, lambda row: F.coalesce(F.get(row, c), blank)), facts))
+        none = F.array().cast("array<struct<cells:array<string>,marks:array<string>>>")
+        kept = F.aggregate(F.filter(columns, lambda x: x["stays"]), none, joined)
+        shown = lambda v, m: F.when(v == "", v).when(m == "$", F.concat(m, v)).when(m == "%", F.concat(v, m)).otherwise(v)
+        cells = F.transform(kept, lambda x: F.when(x["marks"].isNull(), x["cells"]).otherwise(F.zip_with(x["cells"], x["marks"], shown)))
+        return let(cells, lambda cells: F.transform(rows, lambda _, r: F.transform(cells, lambda column: F.get(column, r))))
+
+    return let(F.transform(grid, shorter), read)
+
+
 def drop_spacers(cells: DataFrame, sizes: DataFrame) -> DataFrame:
     """Cells (doc, idx, r, c, text; row 0 has the heads, blank cells may be absent) without the columns that are blank in over 80 per
     cent of a table's rows, with columns of signs joined to the column before them; c counts the columns that stay.

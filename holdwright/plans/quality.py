@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import vocab
 from ..operators import aggregate as A
 from ..operators import grids, quality, schedules
-from .binding import query, table
+from .binding import dealt, query, table
 from .cleaning import _pick, _sector_sql, _sql_pick
 from .facts import SERIES, series
 
@@ -117,22 +117,19 @@ def fact_columns(spark, sf):
   SELECT l_orderkey, string_agg('part ' || l_partkey || '|' || CASE WHEN l_linenumber = 1 THEN '5' ELSE '' END || '|' || q || CASE WHEN u AND (n - m) * 10 <= n * 8 THEN '%' ELSE '' END, ';' ORDER BY l_linenumber, l_partkey, q) AS data, 'Company|Rate|Amount' AS head FROM r GROUP BY 1""")
 def spacer_columns(spark, sf):
     """An order is a table with two empty columns, one of rates that is mostly empty and one of signs."""
-    odd = F.col("l_linenumber") % 2 == 1
-    q = F.col("l_quantity").cast("long")
-    r = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", q))
-    li = table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("doc"), F.lit(0).alias("idx"), "l_linenumber", "l_partkey", q.alias("q"), F.when(odd, "%").otherwise("").alias("u"), r.alias("r"))
-    row = F.array(F.concat(F.lit("part "), F.col("l_partkey").cast("string")), F.lit(""), F.when(F.col("l_linenumber") == 1, "5").otherwise(""), F.lit(""), F.col("q").cast("string"), F.col("u"))
+    # Lines go to one place once, where a table is put together as a grid; all that follows is within its row.
+    line = F.struct("l_linenumber", "l_partkey", F.col("l_quantity").cast("long").alias("q"))
+    li = dealt(spark, sf, "lineitem", "l_orderkey").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(line)).alias("x"))
+    blank = F.lit("")
+
+    def row(x):
+        rate, sign = F.when(x["l_linenumber"] == 1, "5").otherwise(blank), F.when(x["l_linenumber"] % 2 == 1, "%").otherwise(blank)
+        return F.array(F.concat(F.lit("part "), x["l_partkey"].cast("string")), blank, rate, blank, x["q"].cast("string"), sign)
+
     heads = F.array(*[F.lit(x) for x in ("Company", "", "Rate", "", "Amount", "")])
-    sizes = li.groupBy("doc", "idx").agg((F.count(F.lit(1)) + 1).alias("n_rows"))
-    rows = li.select("doc", "idx", "r", row.alias("row")).unionByName(sizes.select("doc", "idx", F.lit(0).alias("r"), heads.alias("row")))
-    cells = rows.select("doc", "idx", "r", F.posexplode("row").alias("c", "text"))
-    kept = grids.drop_spacers(cells, sizes)
-    # A table's cells go to one place, where its lines and then the table are put together.
-    three = [F.max(F.when(F.col("c") == c, F.col("text"))).alias(f"c{c}") for c in range(3)]
-    lines = kept.repartition("doc").groupBy("doc", "r").agg(*three).select("doc", "r", F.concat_ws("|", *[F.coalesce(f"c{c}", F.lit("")) for c in range(3)]).alias("t"))
-    below = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("r") > 0, F.struct("r", "t")))), lambda x: x["t"]), ";")
-    out = lines.groupBy("doc").agg(F.max(F.when(F.col("r") == 0, F.col("t"))).alias("head"), below.alias("data"))
-    return out.select(F.col("doc").cast("long").alias("l_orderkey"), "head", "data")
+    kept = li.select("l_orderkey", grids.without_spacers(F.concat(F.array(heads), F.transform("x", row))).alias("grid"))
+    lines = kept.select("l_orderkey", F.transform("grid", lambda r: F.array_join(r, "|")).alias("t"))
+    return lines.select("l_orderkey", F.get("t", 0).alias("head"), F.array_join(F.slice("t", 2, F.size("t")), ";").alias("data"))
 
 
 @query("""WITH e AS (SELECT o_custkey, count(DISTINCT o_orderpriority) AS funds, CAST(sum(CAST(round(o_totalprice, 4) AS DECIMAL(18,4))) AS DOUBLE) AS x FROM orders GROUP BY 1)
