@@ -42,9 +42,14 @@ FIGURES = r"(?i)\s+(?:(?:sofr|libor|prime|s|l|p|e)\s*\+\s*[\d.]+%?|[\d.]+\s*%(?:
 def instrument_suffix(name: Column) -> Column:
     """struct(name, type) of ``Name - Instrument``, ``Name, Instrument`` or ``Name (Instrument)``; type is null where there is none."""
     behind = rf"(?i)\s*(?:[-–—,]\s*(?:{ANY_INSTRUMENT})|\(\s*(?:{ANY_INSTRUMENT})\s*\))\s*$"
-    tail = F.regexp_replace(F.regexp_extract(name, behind, 0), r"^[\s,(–—-]+|[\s)]+$", "")
-    kind = text.first_match(F.lower(tail), [(label, f"^({p})$") for p, label in INSTRUMENTS])
-    return F.struct(F.regexp_replace(name, behind, "").alias("name"), F.when(tail != "", kind).alias("type"))
+
+    def read(found):
+        tail = F.regexp_replace(found, r"^[\s,(–—-]+|[\s)]+$", "")
+        kind = lambda t: F.when(t != "", text.first_match(F.lower(t), [(label, f"^({p})$") for p, label in INSTRUMENTS]))
+        # Most names have none.
+        return F.struct(F.when(found == "", name).otherwise(F.regexp_replace(name, behind, "")).alias("name"), F.when(found != "", text.let(tail, kind)).alias("type"))
+
+    return text.let(F.regexp_extract(name, behind, 0), read)
 
 
 def clean_company(name: Column, rounds: int = 3) -> Column:

@@ -98,6 +98,16 @@ def has_any(c: Column, phrases: Sequence[str]) -> Column:
     return out
 
 
+def least(phrases: Sequence[str]) -> list[str]:
+    """The phrases that hold no other: text that holds any holds one of these."""
+    return [p for p in dict.fromkeys(phrases) if not any(q != p and q in p for q in phrases)]
+
+
+def part_of_any(c: Column, phrases: Sequence[str]) -> Column:
+    """Whether a phrase holds c, which has no line breaks."""
+    return F.contains(F.lit("\n".join(dict.fromkeys(phrases))), c)
+
+
 def plain(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"\s+", " "))
 
@@ -118,8 +128,12 @@ def fields_of_heads(heads: Column, phrases: Mapping[str, Sequence[str]] = HEAD_P
 
     In tables of nine columns or more with a company, MONEY_PLACES hold for columns and fields that are still free.
     """
-    fits = lambda h, words: has_any(h, words) | F.exists(F.array(*map(F.lit, words)), lambda w: F.contains(w, h))
-    able = lambda heads: F.transform(heads, lambda h: let(plain(h), lambda x: F.when(x == "", F.array().cast("array<string>")).otherwise(F.array_compact(F.array(*[F.when(fits(x, w), F.lit(f)) for f, w in phrases.items()])))))
+    # A head that is a phrase itself, as most are, is looked up.
+    fields = lambda p: [f for f, words in phrases.items() if any(w in p or p in w for w in words)]
+    known = F.create_map(*[c for p in dict.fromkeys(p for words in phrases.values() for p in words) for c in (F.lit(p), F.array(*map(F.lit, fields(p))))])
+    fits = lambda h, words: part_of_any(h, words) | has_any(h, least(words))
+    found = lambda x: F.array_compact(F.array(*[F.when(fits(x, w), F.lit(f)) for f, w in phrases.items()]))
+    able = lambda heads: F.transform(heads, lambda h: let(plain(h), lambda x: F.when(x == "", F.array().cast("array<string>")).otherwise(F.coalesce(F.try_element_at(known, x), found(x)))))
     one = lambda f, i: F.map_from_arrays(F.array(f), F.array(i))
 
     def step(done, x):
@@ -127,7 +141,7 @@ def fields_of_heads(heads: Column, phrases: Mapping[str, Sequence[str]] = HEAD_P
         return let(F.get(free, 0), lambda f: F.when(f.isNotNull(), F.map_concat(done, one(f, x["i"]))).otherwise(done))
 
     none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<int>"))
-    found = lambda heads: F.aggregate(F.transform(able(heads), lambda a, i: F.struct(a.alias("able"), i.alias("i"))), none, step)
+    taken = lambda heads: F.aggregate(F.transform(able(heads), lambda a, i: F.struct(a.alias("able"), i.alias("i"))), none, step)
 
     def placed(m, place, field):
         def add(m):
@@ -143,7 +157,7 @@ def fields_of_heads(heads: Column, phrases: Mapping[str, Sequence[str]] = HEAD_P
                 more = placed(more, place, field)
             return F.when((F.size(heads) >= 9) & F.map_contains_key(m, "company_name"), more).otherwise(m)
 
-        return let(found(heads), whole)
+        return let(taken(heads), whole)
 
     # Heads, and what is found of them, are worked out once.
     return let(heads, read)
@@ -157,7 +171,7 @@ def with_heads(tables: DataFrame) -> DataFrame:
     """
     filled = lambda a: F.size(F.filter(a, lambda x: F.trim(x) != ""))
     every = sorted({w for words in HEAD_PHRASES.values() for w in words})
-    some = lambda head: F.exists(head, lambda h: let(plain(h), lambda x: (x != "") & (has_any(x, every) | F.exists(F.array(*map(F.lit, every)), lambda w: F.contains(w, x)))))
+    some = lambda head: F.exists(head, lambda h: let(plain(h), lambda x: (x != "") & (part_of_any(x, every) | has_any(x, least(every)))))
 
     def whole(head, m):
         free = F.filter(F.transform(head, lambda h, i: F.when((F.trim(h) != "") & ~F.array_contains(F.map_values(m), i), i)), lambda i: i.isNotNull())
@@ -184,20 +198,24 @@ def with_heads(tables: DataFrame) -> DataFrame:
     none = F.lit(None).cast("struct<r:int,at:map<string,int>,two:int>")
     places = F.transform("grid", lambda _, i: i)
     first = F.aggregate(places, none, lambda done, r: F.when(done.isNotNull(), done).otherwise(let(F.get("grid", r), lambda row: let(F.get("grid", r + 1), lambda after: read(row, after, r)))))
-    # Dealt by document once, before rows are parted, so that all windows in records find their rows together.
-    found = tables.select("doc", "idx", "grid", first.alias("__first")).filter("__first IS NOT NULL").repartition("doc")
-    rows = found.select("doc", "idx", "__first", F.posexplode("grid").alias("r", "row"))
-    return rows.filter(F.col("r") > F.col("__first.r") + F.col("__first.two")).select("doc", "idx", "r", "row", F.col("__first.at").alias("at"))
+    # Heads are worked out once a table: a filter on them, or on what is exploded, would be moved below and work them out again.
+    found = tables.select("doc", "idx", "grid", first.alias("__first"))
+    found = found.select("doc", "idx", "__first", F.when(F.col("__first").isNotNull(), F.col("grid")).alias("grid"))
+    rows = found.select("doc", "idx", "__first", F.posexplode_outer("grid").alias("r", "row"))
+    return rows.filter(F.coalesce(F.col("r") > F.col("__first.r") + F.col("__first.two"), F.lit(False))).select("doc", "idx", "r", "row", F.col("__first.at").alias("at"))
 
 
 def section_kind(cell: Column) -> Column:
     """The kind that a section's head tells (``Kind - 12.5%``, without a legal form); null for other cells."""
-    low = plain(cell)
-    kind = F.when(low.rlike(r"(^|[^a-z])equity\s*$"), "Common Equity")
-    out = None
-    for label, words in SECTIONS:
-        out = F.when(has_any(low, words), label) if out is None else out.when(has_any(low, words), label)
-    return F.when((F.length(cell) >= 5) & low.rlike(r"-\s*\d+\.?\d*\s*%") & ~has_any(low, FORMS), out.otherwise(kind))
+
+    def told(low):
+        kind = F.when(low.rlike(r"(^|[^a-z])equity\s*$"), "Common Equity")
+        out = None
+        for label, words in SECTIONS:
+            out = F.when(has_any(low, words), label) if out is None else out.when(has_any(low, words), label)
+        return F.when(low.contains("%") & low.rlike(r"-\s*\d+\.?\d*\s*%") & ~has_any(low, FORMS), out.otherwise(kind))
+
+    return F.when(F.length(cell) >= 5, let(plain(cell), told))
 
 
 def _without_percent(c: Column) -> Column:
@@ -215,23 +233,25 @@ def industry_of_section(cell: Column) -> Column:
 def kind_of_row(company: Column, bare: Column, detail: Column) -> Column:
     """section, summary, category, fragment, continued, data or other, of a row by its company's cell, the name without
     instruments, and whether it has a kind, a maturity or money."""
-    low = plain(company)
-    summary = (F.length(company) >= 5) & (
-        (low.rlike(PERCENT_BEHIND) & (low.startswith("investments in ") | has_any(low, ["non-control", "non-affiliate"]) | low.rlike("^(" + "|".join(SUMMED) + ")"))) | low.rlike(r"\s+total$")
-    )
-    category = (F.length(bare) >= 3) & (_without_percent(bare).isin(*CATEGORIES, *INDUSTRIES))
-    fragment = (F.length(bare) <= 15) & F.trim(bare).rlike(r"^[A-Za-z]{1,4}\s+(Inc\.?|LLC\.?)$")
-    no_data = (
-        (F.length(company) < 2) | low.isin("total", "totals", "aggregate", "portfolio company", "company") | low.startswith("total ")
-        | has_any(low, ["total investments", "liabilities in excess"]) | (low.contains("net assets") & low.contains("100"))
-        | low.rlike(r"^(equity|senior secured|subordinated|unsecured)\s*[-–]\s*\d") | low.rlike(r"^(senior secured (first|second) lien|subordinated|unsecured) debt$")
-        | company.rlike(r"^[\d\s.,$%\-]+$")
-    )
-    data = ~no_data & (has_any(low, FORMS) | company.rlike(r"^\p{Lu}"))
-    return (
-        F.when(section_kind(company).isNotNull(), "section").when(summary, "summary").when(category, "category").when(fragment, "fragment")
-        .when((company == "") & detail, "continued").when((company != "") & data, "data").otherwise("other")
-    )
+    def told(low):
+        summary = (F.length(company) >= 5) & (
+            (low.rlike(PERCENT_BEHIND) & (low.startswith("investments in ") | has_any(low, ["non-control", "non-affiliate"]) | low.rlike("^(" + "|".join(SUMMED) + ")"))) | low.rlike(r"\s+total$")
+        )
+        category = (F.length(bare) >= 3) & (_without_percent(bare).isin(*CATEGORIES, *INDUSTRIES))
+        fragment = (F.length(bare) <= 15) & F.trim(bare).rlike(r"^[A-Za-z]{1,4}\s+(Inc\.?|LLC\.?)$")
+        no_data = (
+            (F.length(company) < 2) | low.isin("total", "totals", "aggregate", "portfolio company", "company") | low.startswith("total ")
+            | has_any(low, ["total investments", "liabilities in excess"]) | (low.contains("net assets") & low.contains("100"))
+            | low.rlike(r"^(equity|senior secured|subordinated|unsecured)\s*[-–]\s*\d") | low.rlike(r"^(senior secured (first|second) lien|subordinated|unsecured) debt$")
+            | company.rlike(r"^[\d\s.,$%\-]+$")
+        )
+        data = ~no_data & (has_any(low, FORMS) | company.rlike(r"^\p{Lu}"))
+        return (
+            F.when(section_kind(company).isNotNull(), "section").when(summary, "summary").when(category, "category").when(fragment, "fragment")
+            .when((company == "") & detail, "continued").when((company != "") & data, "data").otherwise("other")
+        )
+
+    return let(plain(company), told)
 
 
 def record_kind(told: Column) -> Column:
@@ -266,27 +286,29 @@ def records(tables: DataFrame) -> DataFrame:
     known = known.withColumn("__bare", names.instrument_suffix(text.tidy(F.col("company_name"))))
     detail = (F.col("investment_type") != "") | (F.col("maturity_date") != "") | (F.col("principal_amount") != "") | (F.col("fair_value") != "")
     known = known.withColumn("__kind", kind_of_row(F.col("company_name"), F.col("__bare.name"), detail))
-    in_table = Window.partitionBy("doc", "idx").orderBy("r").rowsBetween(Window.unboundedPreceding, 0)
-    in_page = Window.partitionBy("doc").orderBy("idx", "r").rowsBetween(Window.unboundedPreceding, 0)
-    last = lambda c, w: F.last(c, ignorenulls=True).over(w)
-    known = known.withColumns({
-        "__section": last(F.when(F.col("__kind") == "section", section_kind(F.col("company_name"))), in_table),
-        "__company": last(F.when(F.col("__kind") == "data", F.col("__bare")), in_table),
-        "__industry": last(F.when(F.col("__kind") == "category", industry_of_section(F.col("company_name"))), in_page),
-    })
-    d = known.filter((F.col("__kind") == "data") | ((F.col("__kind") == "continued") & F.col("__company").isNotNull()))
     full = lambda c: F.nullif(F.col(c), F.lit(""))
     words = lambda c: F.nullif(F.trim(F.replace(F.col(c), F.lit(","), F.lit(" "))), F.lit(""))
     rate = reference_and_spread(F.col("reference_rate"))
-    told = F.coalesce(F.when(F.col("__kind") == "data", F.col("__bare.type")), words("investment_type"), F.col("__section"), F.lit("First Lien"))
     cost = F.when(F.col("__cost"), F.col("cost")).otherwise(F.col("amortized_cost"))
-    out = {
-        "company_name": F.col("__company.name"), "investment_type": record_kind(told), "industry": F.coalesce(words("industry"), F.col("__industry")),
+    # What a row tells by itself is worked out where it is read, so that only this is dealt by document, once for both windows.
+    is_ = lambda *kinds: F.col("__kind").isin(*kinds)
+    own = {
+        "investment_type": F.coalesce(F.when(is_("data"), F.col("__bare.type")), words("investment_type")), "industry": words("industry"),
         "cash_rate": words("cash_rate"), "pik_rate": words("pik_rate"), "reference_rate": rate["reference"], "spread": F.coalesce(words("spread"), rate["spread"]),
         "acquisition_date": parse.normalize_date(full("acquisition_date")), "maturity_date": parse.normalize_date(full("maturity_date")),
         **{f: parse.to_double(F.col(f)) for f in MONEY}, "cost": parse.to_double(cost),
     }
-    return d.select("doc", "idx", "r", *[out[f].alias(f) for f in FIELDS])
+    told = known.select("doc", "idx", "r", "__kind",
+        F.when(is_("section"), section_kind(F.col("company_name"))).alias("__section"), F.when(is_("data"), F.col("__bare.name")).alias("company_name"),
+        F.when(is_("category"), industry_of_section(F.col("company_name"))).alias("__industry"), *[F.when(is_("data", "continued"), c).alias(f) for f, c in own.items()],
+    ).repartition("doc")
+    in_table = Window.partitionBy("doc", "idx").orderBy("r").rowsBetween(Window.unboundedPreceding, 0)
+    in_page = Window.partitionBy("doc").orderBy("idx", "r").rowsBetween(Window.unboundedPreceding, 0)
+    last = lambda c, w: F.last(c, ignorenulls=True).over(w)
+    d = told.withColumns({"__section": last("__section", in_table), "company_name": last("company_name", in_table), "__industry": last("__industry", in_page)})
+    d = d.filter(is_("data") | (is_("continued") & F.col("company_name").isNotNull()))
+    out = {"investment_type": record_kind(F.coalesce("investment_type", "__section", F.lit("First Lien"))), "industry": F.coalesce("industry", "__industry")}
+    return d.select("doc", "idx", "r", *[out.get(f, F.col(f)).alias(f) for f in FIELDS])
 
 
 def section_context(lines: Column, first: int = 6, longest: int = 120) -> Column:
