@@ -43,13 +43,14 @@ def instrument_suffix(name: Column) -> Column:
     """struct(name, type) of ``Name - Instrument``, ``Name, Instrument`` or ``Name (Instrument)``; type is null where there is none."""
     behind = rf"(?i)\s*(?:[-–—,]\s*(?:{ANY_INSTRUMENT})|\(\s*(?:{ANY_INSTRUMENT})\s*\))\s*$"
 
-    def read(found):
+    def read(name, found):
         tail = F.regexp_replace(found, r"^[\s,(–—-]+|[\s)]+$", "")
         kind = lambda t: F.when(t != "", text.first_match(F.lower(t), [(label, f"^({p})$") for p, label in INSTRUMENTS]))
-        # Most names have none.
         return F.struct(F.when(found == "", name).otherwise(F.regexp_replace(name, behind, "")).alias("name"), F.when(found != "", text.let(tail, kind)).alias("type"))
 
-    return text.let(F.regexp_extract(name, behind, 0), read)
+    # Most names have none of the marks before an instrument.
+    marked = lambda name: text.holds(name, [[["-", "–", "—", ",", "("]]])
+    return text.let(name, lambda name: text.let(F.when(marked(name), F.regexp_extract(name, behind, 0)).otherwise(""), lambda found: read(name, found)))
 
 
 def clean_company(name: Column, rounds: int = 3) -> Column:

@@ -15,7 +15,7 @@ def to_double(c: Column) -> Column:
     t = F.trim(c)
     bare = F.trim(F.regexp_replace(t, r"[,$%()]", ""))
     x = F.when(bare.rlike(NUMBER), bare).try_cast("double")
-    return F.when(t.rlike(r"^\(.*\)$"), -x).otherwise(x)
+    return F.when(t.startswith("(") & t.rlike(r"^\(.*\)$"), -x).otherwise(x)
 
 
 def to_double_or_zero(c: Column) -> Column:

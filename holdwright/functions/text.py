@@ -144,7 +144,8 @@ def rate_of_url(c: Column) -> Column:
 def tidy(c: Column) -> Column:
     """Plain spaces, dashes and quotes, squeezed; trailing footnotes like ``(1)(2)`` dropped."""
     t = F.translate(c, " –—‘’“”", " --''\"\"")
-    return F.trim(F.regexp_replace(F.regexp_replace(t, r"\s+", " "), r"(\s*\(\d{1,2}\))+\s*$", ""))
+    plain = F.regexp_replace(t, r"\s{2,}|[^\S ]", " ")
+    return F.trim(let(plain, lambda x: F.when(x.contains(")"), F.regexp_replace(x, r"(\s*\(\d{1,2}\))+\s*$", "")).otherwise(x)))
 
 
 def strip_markup(html: Column) -> Column:

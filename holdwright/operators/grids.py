@@ -109,7 +109,8 @@ def part_of_any(c: Column, phrases: Sequence[str]) -> Column:
 
 
 def plain(c: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"\s+", " "))
+    # A single space needs no replacing.
+    return F.trim(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"\s{2,}|[^\S ]", " "))
 
 
 def merged_heads(first: Column, second: Column) -> Column:
@@ -171,7 +172,8 @@ def with_heads(tables: DataFrame) -> DataFrame:
     """
     filled = lambda a: F.size(F.filter(a, lambda x: F.trim(x) != ""))
     every = sorted({w for words in HEAD_PHRASES.values() for w in words})
-    some = lambda head: F.exists(head, lambda h: let(plain(h), lambda x: (x != "") & (part_of_any(x, every) | has_any(x, least(every)))))
+    holding = lambda xs: F.exists(xs, lambda x: part_of_any(x, every)) | F.exists(xs, lambda x: has_any(x, least(every)))
+    some = lambda head: let(F.filter(F.transform(head, plain), lambda x: x != ""), holding)
 
     def whole(head, m):
         free = F.filter(F.transform(head, lambda h, i: F.when((F.trim(h) != "") & ~F.array_contains(F.map_values(m), i), i)), lambda i: i.isNotNull())
@@ -181,18 +183,18 @@ def with_heads(tables: DataFrame) -> DataFrame:
 
     def read(row, after, r):
         """The heads of a row: its place, the columns of fields, and whether the next row is one of heads too; null if it has none."""
-        sparse = (filled(row) <= 3) & after.isNotNull()
         # Only rows that hold a phrase are read as heads.
         at = lambda head: F.when(some(head), let(fields_of_heads(head), lambda m: whole(head, m)))
 
-        def with_more(at):
+        def with_more(at, sparse):
             # A second row of heads adds the fields that the first lacks, if the industry is among them.
             more = F.when(~sparse & ~F.map_contains_key(at, "industry") & after.isNotNull(), fields_of_heads(after))
             both = lambda m: F.when(F.map_contains_key(m, "industry"), F.map_concat(at, F.map_filter(m, lambda k, v: ~F.map_contains_key(at, k))))
             found = lambda m: F.struct(r.alias("r"), F.coalesce(m, at).alias("at"), (sparse | m.isNotNull()).cast("int").alias("two"))
             return F.when(at.isNotNull(), let(let(more, both), found))
 
-        return let(let(F.when(sparse, merged_heads(row, after)).otherwise(row), at), with_more)
+        heads = lambda sparse: let(let(F.when(sparse, merged_heads(row, after)).otherwise(row), at), lambda at: with_more(at, sparse))
+        return let((filled(row) <= 3) & after.isNotNull(), heads)
 
     # The rows below the first with heads are not tried.
     none = F.lit(None).cast("struct<r:int,at:map<string,int>,two:int>")
@@ -219,7 +221,7 @@ def section_kind(cell: Column) -> Column:
 
 
 def _without_percent(c: Column) -> Column:
-    return F.trim(F.regexp_replace(plain(c), PERCENT_BEHIND, ""))
+    return let(plain(c), lambda low: F.when(low.contains("-"), F.trim(F.regexp_replace(low, PERCENT_BEHIND, ""))).otherwise(low))
 
 
 def industry_of_section(cell: Column) -> Column:
@@ -235,14 +237,15 @@ def kind_of_row(company: Column, bare: Column, detail: Column) -> Column:
     instruments, and whether it has a kind, a maturity or money."""
     def told(low):
         summary = (F.length(company) >= 5) & (
-            (low.rlike(PERCENT_BEHIND) & (low.startswith("investments in ") | has_any(low, ["non-control", "non-affiliate"]) | low.rlike("^(" + "|".join(SUMMED) + ")"))) | low.rlike(r"\s+total$")
+            (low.contains("-") & low.rlike(PERCENT_BEHIND) & (low.startswith("investments in ") | has_any(low, ["non-control", "non-affiliate"]) | low.rlike("^(" + "|".join(SUMMED) + ")"))) | (low.endswith("total") & low.rlike(r"\s+total$"))
         )
         category = (F.length(bare) >= 3) & (_without_percent(bare).isin(*CATEGORIES, *INDUSTRIES))
         fragment = (F.length(bare) <= 15) & F.trim(bare).rlike(r"^[A-Za-z]{1,4}\s+(Inc\.?|LLC\.?)$")
         no_data = (
             (F.length(company) < 2) | low.isin("total", "totals", "aggregate", "portfolio company", "company") | low.startswith("total ")
             | has_any(low, ["total investments", "liabilities in excess"]) | (low.contains("net assets") & low.contains("100"))
-            | low.rlike(r"^(equity|senior secured|subordinated|unsecured)\s*[-–]\s*\d") | low.rlike(r"^(senior secured (first|second) lien|subordinated|unsecured) debt$")
+            | (has_any(low, ["-", "–"]) & low.rlike(r"^(equity|senior secured|subordinated|unsecured)\s*[-–]\s*\d"))
+            | low.isin("senior secured first lien debt", "senior secured second lien debt", "subordinated debt", "unsecured debt")
             | company.rlike(r"^[\d\s.,$%\-]+$")
         )
         data = ~no_data & (has_any(low, FORMS) | company.rlike(r"^\p{Lu}"))

@@ -25,10 +25,8 @@ _LABELS = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in grids.INDUSTRIES.items
 
 
 def _html(rows, heads):
-    """An HTML table of rows (array of arrays of cells) below rows of heads."""
-    cell = lambda x: F.concat(F.lit("<td>"), F.replace(x, F.lit("&"), F.lit("&amp;")), F.lit("</td>"))
-    line = lambda r: F.concat(F.lit("<tr>"), F.array_join(F.transform(r, lambda x: cell(x)), ""), F.lit("</tr>"))
-    return F.concat(F.lit("<table>"), F.lit(heads), F.array_join(F.transform(rows, lambda r: line(r)), "\n"), F.lit("</table>"))
+    """An HTML table of rows (an array of them, written out) below rows of heads."""
+    return F.concat(F.lit("<table>"), F.lit(heads), F.array_join(rows, "\n"), F.lit("</table>"))
 
 
 @query(rf"""
@@ -57,10 +55,12 @@ def schedule_records(spark, sf):
     filled = (first == "") | F.lower(first).rlike(_FORMS)
     cell = lambda c: F.when(filled, c).otherwise("")
     q = F.format_number("l_quantity", 2)
-    row = F.array(first, cell(_pick(F.col("l_suppkey"), _KINDS)), cell(F.date_format("l_shipdate", "MM/dd/yyyy")), cell(F.concat(F.lit("$ "), F.format_number(F.col("l_quantity") * 1000, 2))), cell(q), cell(F.concat(F.lit("("), q, F.lit(")"))))
+    row = (first, cell(_pick(F.col("l_suppkey"), _KINDS)), cell(F.date_format("l_shipdate", "MM/dd/yyyy")), cell(F.concat(F.lit("$ "), F.format_number(F.col("l_quantity") * 1000, 2))), cell(q), cell(F.concat(F.lit("("), q, F.lit(")"))))
+    # Rows are written before they are put together, where no lambda runs over their cells.
+    written = F.concat(F.lit("<tr>"), *[x for c in row for x in (F.lit("<td>"), F.replace(F.coalesce(c, F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("</td>"))], F.lit("</tr>"))
     place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity"))
     # Pages are parsed in Python, so small tables too are dealt to all cores; lines go there once, before their cells are written.
-    lines = dealt(spark, sf, "lineitem", "l_orderkey").select("l_orderkey", F.struct(place.alias("place"), (n > 3).alias("second"), row.alias("row")).alias("x"))
+    lines = dealt(spark, sf, "lineitem", "l_orderkey").select("l_orderkey", F.struct(place.alias("place"), (n > 3).alias("second"), written.alias("row")).alias("x"))
     pages = lines.groupBy("l_orderkey").agg(F.sort_array(F.collect_list("x")).alias("x"))
     rows = lambda second: F.transform(F.filter("x", lambda x: x["second"] == second), lambda x: x["row"])
     tr = lambda cells: "<tr>" + "".join(f"<th>{c}</th>" for c in cells) + "</tr>"
